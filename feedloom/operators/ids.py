@@ -29,27 +29,27 @@ def positional_index(
     integer (row index, key, sequence); earlier ones may be of any type.
     """
     *prefix, last = order_by
-    b = "__bucket"
+    b = "__pi_bucket"
     with_b = df.withColumn(b, F.shiftright(F.col(last).cast("bigint"), bucket_bits))
     gkeys = list(partition_by) + list(prefix) + [b]
 
     local = F.row_number().over(Window.partitionBy(*gkeys).orderBy(*order_by)) - 1
-    ranked = with_b.withColumn("__local", local)
+    ranked = with_b.withColumn("__pi_local", local)
 
-    stats = with_b.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("__n"))
+    stats = with_b.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("__pi_n"))
     before = (
         Window.partitionBy(*partition_by)
         .orderBy(*(list(prefix) + [b]))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     stats = stats.select(
-        *[F.col(k).alias(f"__s{i}") for i, k in enumerate(gkeys)],
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+        *[F.col(k).alias(f"__pi_s{i}") for i, k in enumerate(gkeys)],
+        F.coalesce(F.sum("__pi_n").over(before), F.lit(0)).alias("__pi_offset"),
     )
     # Null-safe equality keeps rows whose group or order prefix is NULL.
-    cond = [F.col(k).eqNullSafe(F.col(f"__s{i}")) for i, k in enumerate(gkeys)]
+    cond = [F.col(k).eqNullSafe(F.col(f"__pi_s{i}")) for i, k in enumerate(gkeys)]
     return (
         ranked.join(stats, on=cond, how="inner")
-        .withColumn(out, (F.col("__offset") + F.col("__local") + F.lit(base)).cast("bigint"))
-        .drop(b, "__local", "__offset", *[f"__s{i}" for i in range(len(gkeys))])
+        .withColumn(out, (F.col("__pi_offset") + F.col("__pi_local") + F.lit(base)).cast("bigint"))
+        .drop(b, "__pi_local", "__pi_offset", *[f"__pi_s{i}" for i in range(len(gkeys))])
     )

@@ -162,7 +162,9 @@ def project_records(
         "run_id": F.lit(run_id).cast("bigint"),
     }
     out = [
-        (_col("file_seq") if "file_seq" in cols else F.lit(0)).cast("bigint").alias("file_seq"),
+        # Feed order is file order: a file sequence when the scan made one,
+        # else the file name itself (names sort like the listing).
+        (_col("file_seq") if "file_seq" in cols else file_name if "file_name" in cols else F.lit("")).alias("file_seq"),
         (_col("sheet_seq") if "sheet_seq" in cols else F.lit(0)).cast("bigint").alias("sheet_seq"),
         _col("row_idx").cast("bigint").alias("row_idx"),
     ]

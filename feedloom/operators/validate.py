@@ -84,7 +84,8 @@ def missing_key_sample(feed: DataFrame, records: DataFrame, k: int = MISSING_KEY
     top = skipped.withColumn("sample_rank", F.row_number().over(w)).filter(F.col("sample_rank") <= k)
     keys = ["file_seq", "row_idx"]
     probe_vals = feed.select(
-        (F.col("file_seq") if "file_seq" in feed.columns else F.lit(0)).cast("bigint").alias("file_seq"),
+        (F.col("file_seq") if "file_seq" in feed.columns
+         else F.col("file_name") if "file_name" in feed.columns else F.lit("")).alias("file_seq"),
         F.col("row_idx").cast("bigint").alias("row_idx"),
         *[F.col(f"`{p}`").alias(f"probe_{p}") for p in probes],
     )
@@ -96,7 +97,8 @@ def missing_key_sample(feed: DataFrame, records: DataFrame, k: int = MISSING_KEY
     return out
 
 
-def locate_bad_rows(rows: DataFrame, checks: dict[str, Column], group: list[str], order: str) -> DataFrame:
+def locate_bad_rows(rows: DataFrame, checks: dict[str, Column], group: list[str], order: str,
+                    tiebreak: list[str] | None = None) -> DataFrame:
     """Per group, the first row (by ``order``) that breaks a constraint.
 
     Re-aim of "retry row by row to find the failing row": every constraint is
@@ -109,6 +111,6 @@ def locate_bad_rows(rows: DataFrame, checks: dict[str, Column], group: list[str]
     bad = rows.withColumn("failed_check", fails).filter(F.col("failed_check").isNotNull())
     return bad.groupBy(*group).agg(
         F.min(order).alias("first_bad_row"),
-        F.min_by("failed_check", F.col(order)).alias("failed_check"),
+        F.min_by("failed_check", F.struct(order, *(tiebreak or []))).alias("failed_check"),
         F.count(F.lit(1)).alias("bad_rows"),
     )
