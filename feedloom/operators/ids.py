@@ -7,6 +7,11 @@ each window task sees one bounded bucket, and a small per-bucket count
 table (one row per bucket) gives every bucket its starting offset.
 Everything is deterministic (no partition ids, no sampling), so a lost
 executor recomputes the same numbers.
+
+Plan shape: the input is hash-partitioned once on one struct key
+``(group, order prefix, bucket)``; the window, the per-bucket count and the
+join back all reuse that partitioning, so only the tiny count table moves
+again.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+KEY = "__pi_key"
+
 
 def positional_index(
     df: DataFrame,
@@ -29,27 +36,23 @@ def positional_index(
     integer (row index, key, sequence); earlier ones may be of any type.
     """
     *prefix, last = order_by
-    b = "__pi_bucket"
-    with_b = df.withColumn(b, F.shiftright(F.col(last).cast("bigint"), bucket_bits))
-    gkeys = list(partition_by) + list(prefix) + [b]
-
-    local = F.row_number().over(Window.partitionBy(*gkeys).orderBy(*order_by)) - 1
-    ranked = with_b.withColumn("__pi_local", local)
-
-    stats = with_b.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("__pi_n"))
-    before = (
-        Window.partitionBy(*partition_by)
-        .orderBy(*(list(prefix) + [b]))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    stats = stats.select(
-        *[F.col(k).alias(f"__pi_s{i}") for i, k in enumerate(gkeys)],
-        F.coalesce(F.sum("__pi_n").over(before), F.lit(0)).alias("__pi_offset"),
-    )
-    # Null-safe equality keeps rows whose group or order prefix is NULL.
-    cond = [F.col(k).eqNullSafe(F.col(f"__pi_s{i}")) for i, k in enumerate(gkeys)]
+    gkeys = list(partition_by) + list(prefix)
+    # A struct key is never NULL and compares NULL fields as equal, so one
+    # equi-join key covers NULL groups without a null-safe rewrite.
+    keyed = df.withColumn(KEY, F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(gkeys)],
+                                        F.shiftright(F.col(last).cast("bigint"), bucket_bits).alias("b")))
+    ranked = keyed.withColumn(
+        "__pi_local", F.row_number().over(Window.partitionBy(KEY).orderBy(*order_by)) - 1)
+
+    stats = ranked.groupBy(KEY).agg(F.count(F.lit(1)).alias("__pi_n"))
+    k = F.col(KEY)
+    order = [k[f"k{i}"] for i in range(len(partition_by), len(gkeys))] + [k["b"]]
+    spec = (Window.partitionBy(*[k[f"k{i}"] for i in range(len(partition_by))]).orderBy(*order)
+            if partition_by else Window.orderBy(*order))
+    before = spec.rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(KEY, F.coalesce(F.sum("__pi_n").over(before), F.lit(0)).alias("__pi_offset"))
     return (
-        ranked.join(stats, on=cond, how="inner")
+        ranked.join(stats, KEY, "inner")
         .withColumn(out, (F.col("__pi_offset") + F.col("__pi_local") + F.lit(base)).cast("bigint"))
-        .drop(b, "__pi_local", "__pi_offset", *[f"__pi_s{i}" for i in range(len(gkeys))])
+        .drop(KEY, "__pi_local", "__pi_offset")
     )

@@ -10,11 +10,12 @@ and row numbering uses the bucketed :func:`positional_index`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import norm_header_raw, safe_table_name, shorten_identifier, with_counter_suffix
 from ..functions.text import SOURCE_NA_TOKENS, clean_text, has_text
+from ..session import materialize
 from .ids import positional_index
 
 SHEET = ["file_name", "sheet_name"]
@@ -85,7 +86,7 @@ def header_names(cells: DataFrame, headers: DataFrame) -> DataFrame:
         F.when(F.col("kind").isNull() | F.col("text").isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string")))
         .otherwise(F.col("text")),
     )
-    named = positional_index(named, [*SHEET, "raw_name"], ["col_idx"], "__k")
+    named = _rank(named, [*SHEET, "raw_name"], "__k", base=0, bounded=True)
     return named.select(
         *SHEET, "header_row", "col_idx",
         F.when(F.col("__k") > 0, F.concat(F.col("raw_name"), F.lit("."), F.col("__k").cast("string")))
@@ -114,20 +115,30 @@ def renumber_rows(rows: DataFrame) -> DataFrame:
     return positional_index(rows, SHEET, ["row_idx"], "source_row_number")
 
 
-def column_names(names: DataFrame, cols: DataFrame) -> DataFrame:
+def _rank(df: DataFrame, group: list[str], out: str, base: int, bounded: bool) -> DataFrame:
+    """Position by ``col_idx`` within ``group``.
+
+    A worksheet has at most 16,384 columns, so for sheet headers a plain
+    window is bounded; header lists of unknown size use the bucketed index.
+    """
+    if bounded:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy("col_idx")) - 1 + base)
+    return positional_index(df, group, ["col_idx"], out, base=base)
+
+
+def column_names(names: DataFrame, cols: DataFrame, bounded: bool = True) -> DataFrame:
     """Normalised, shortened (>120 chars) and de-duplicated stored names.
 
     The first pass gives the k-th repeat of a name ``_k``; a second pass
     repeats that on the results, so stored names are always unique.
+    ``bounded=False`` for header lists not limited by a worksheet's width.
     """
     kept = names.join(cols, [*SHEET, "col_idx"], "left_semi")
     kept = kept.withColumn("normalized_header", norm_header_raw(F.col("original_header")))
     kept = kept.withColumn("__base", shorten_identifier(F.col("normalized_header")))
-    # Repeat counters use the bucketed index: one name (say "col") may
-    # repeat in a third of a very wide header.
-    kept = positional_index(kept, [*SHEET, "__base"], ["col_idx"], "__k1", base=1)
+    kept = _rank(kept, [*SHEET, "__base"], "__k1", base=1, bounded=bounded)
     kept = kept.withColumn("__s1", with_counter_suffix(F.col("__base"), F.col("__k1")))
-    kept = positional_index(kept, [*SHEET, "__s1"], ["col_idx"], "__k2", base=1)
+    kept = _rank(kept, [*SHEET, "__s1"], "__k2", base=1, bounded=bounded)
     kept = kept.withColumn("stored_column_name", with_counter_suffix(F.col("__s1"), F.col("__k2")))
     return kept.drop("__base", "__s1", "__k1", "__k2")
 
@@ -149,11 +160,13 @@ def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens
     per-sheet table names. Values are C3-cleaned text."""
     if na_tokens:
         cells = with_source_na(cells)
-    headers = detect_header(cells)
+    # Sheet- and header-sized tables are read by several joins below; they
+    # are checkpointed once instead of being recomputed from the cells.
+    headers = materialize(detect_header(cells))
     data = data_cells(cells, headers)
     rows = renumber_rows(live_rows(data))
     cols = live_columns(data, rows)
-    names = column_names(header_names(cells, headers), cols)
+    names = materialize(column_names(materialize(header_names(cells, headers)), cols))
     values = data.join(rows.select(*SHEET, "row_idx", "source_row_number"), [*SHEET, "row_idx"]).join(
         names.select(*SHEET, "col_idx", "stored_column_name"), [*SHEET, "col_idx"])
     ts = [F.lit(loaded_at).cast("timestamp").alias("loaded_at")] if loaded_at is not None else []

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..schema import (
     ATTRIBUTE_TABLES, CORE_COLUMNS, DEFAULT_CURRENCY, KEY_COLUMNS, PRESENCE_TABLES, SQL_TYPES,
 )
+from ..session import materialize
 from .ids import positional_index
 
 KEY = list(KEY_COLUMNS)
@@ -87,15 +88,27 @@ def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = No
     and ids ``max(product_id) + 1 ...`` in first-seen order. Existing ids
     never change. ``keep`` passes extra folded columns through (NULL for
     target-only keys).
+
+    Ids are numbered on the narrow set of new keys (key + first position)
+    and attached to the folded batch with a left join that keeps its key
+    partitioning, so the full outer join with the target is the only
+    other shuffle.
     """
     keep = list(keep or [])
+    first = ["first_file_seq", "first_sheet_seq", "first_row_idx"]
+    tkeys = target.select(*KEY)
+    new_keys = folded.select(*KEY, *first).join(tkeys, KEY, "left_anti")
+    max_id = target.select(F.coalesce(F.max("product_id"), F.lit(0)).cast("bigint")).scalar()
+    ids = positional_index(new_keys, [], first, "__pos").select(
+        *KEY, (max_id + F.lit(1) + F.col("__pos")).cast("bigint").alias("__new_id"))
+
+    s = folded.join(ids, KEY, "left").select(
+        *KEY, *[F.col(c).alias(f"s_{c}") for c in CORE_ATTRS], "__new_id", *keep, F.lit(True).alias("__s"))
     t = target.select(*CORE_OUT).withColumn("__t", F.lit(True))
-    s = folded.select(*KEY, *[F.col(c).alias(f"s_{c}") for c in CORE_ATTRS],
-                      "first_file_seq", "first_sheet_seq", "first_row_idx", *keep, F.lit(True).alias("__s"))
     j = t.join(s, KEY, "full_outer")
     in_s, in_t = F.col("__s").isNotNull(), F.col("__t").isNotNull()
 
-    cols = {}
+    cols = {"product_id": F.coalesce(F.col("product_id"), F.col("__new_id")).cast("bigint")}
     for c in CORE_ATTRS:
         if c == "currency_code":
             cols[c] = (
@@ -105,15 +118,7 @@ def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = No
             )
         else:
             cols[c] = F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(c))
-    j = j.withColumns(cols).withColumn("__new", ~in_t)
-
-    # New keys are numbered by first-seen position; old rows are numbered too
-    # (ordered by their id, so every window bucket stays bounded) and ignored.
-    max_id = target.select(F.coalesce(F.max("product_id"), F.lit(0)).cast("bigint")).scalar()
-    j = j.withColumn("__o3", F.coalesce(F.col("first_row_idx"), F.col("product_id")))
-    j = positional_index(j, ["__new"], ["first_file_seq", "first_sheet_seq", "__o3"], "__pos")
-    pid = F.when(F.col("__new"), max_id + F.lit(1) + F.col("__pos")).otherwise(F.col("product_id"))
-    return j.withColumn("product_id", pid.cast("bigint")).select(*CORE_OUT, *keep)
+    return j.withColumns(cols).select(*CORE_OUT, *keep)
 
 
 def merge_attributes(target: DataFrame, merged: DataFrame, table: str) -> DataFrame:
@@ -159,7 +164,9 @@ def merge_run(targets: dict[str, DataFrame], ok_rows: DataFrame) -> dict[str, Da
     folded = last_write_wins(ok_rows)
     extra = [c for c in folded.columns if c.endswith("_rec") or c.startswith("in_")]
     tgt_core = targets.get("core") if targets.get("core") is not None else empty_core(spark)
-    merged = merge_core(tgt_core, folded, keep=extra)
+    # The new core snapshot (one row per key, with the folded category
+    # records) is written once; every table below is read from it.
+    merged = materialize(merge_core(tgt_core, folded, keep=extra))
     out = {"core": merged.select(*CORE_OUT)}
     for table in ATTRIBUTE_TABLES:
         tgt = targets.get(table)

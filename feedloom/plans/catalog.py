@@ -25,6 +25,7 @@ from ..operators import validate as V
 from ..operators.classify import classify, classify_layer
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
 from ..plans.ingest import canonical_rows, normalize_feed
+from ..session import materialize
 from ..sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +84,8 @@ def _target_and_batch(spark, sf, cfg=None):
     rows = _rows(spark, sf, cfg)
     ok = rows.filter(F.col("status") == "ok")
     target = M.merge_run({}, ok.filter(F.col("row_idx") % 2 == 0))
-    return target, ok
+    # Existing snapshots are stored tables, not part of this run's plan.
+    return {k: materialize(v) for k, v in target.items()}, ok
 
 
 def _merged(spark, sf, cfg=None) -> dict:
@@ -156,7 +158,7 @@ def q_detect_header(spark, sf):
 @query("dedupe_headers")
 def q_dedupe_headers(spark, sf):
     h = A.feed_headers(spark, sf).withColumn("file_name", F.lit("headers.xlsx"))
-    names = L.column_names(h, h.select("file_name", "sheet_name", "col_idx"))
+    names = L.column_names(h, h.select("file_name", "sheet_name", "col_idx"), bounded=False)
     return names.select("sheet_name", "col_idx", "normalized_header", "stored_column_name")
 
 

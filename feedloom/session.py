@@ -56,3 +56,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used where a plan would otherwise recompute an expensive subtree several
+    times (an existing snapshot, a header table read by many joins). The
+    checkpoint survives executor loss, unlike a cache.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
