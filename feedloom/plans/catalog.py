@@ -25,7 +25,6 @@ from ..operators import validate as V
 from ..operators.classify import classify, classify_layer
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
 from ..plans.ingest import canonical_rows, normalize_feed
-from ..session import materialize
 from ..sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,9 +82,10 @@ def _target_and_batch(spark, sf, cfg=None):
     """Existing snapshots (even rows merged into empty tables) and the whole batch."""
     rows = _rows(spark, sf, cfg)
     ok = rows.filter(F.col("status") == "ok")
+    # The existing snapshots come from merging the even rows into empty
+    # tables; merge_run checkpoints the merged core they all derive from.
     target = M.merge_run({}, ok.filter(F.col("row_idx") % 2 == 0))
-    # Existing snapshots are stored tables, not part of this run's plan.
-    return {k: materialize(v) for k, v in target.items()}, ok
+    return target, ok
 
 
 def _merged(spark, sf, cfg=None) -> dict:
