@@ -25,7 +25,10 @@ from ..operators import validate as V
 from ..operators.classify import classify, classify_layer
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
 from ..plans.ingest import canonical_rows, normalize_feed
+from ..operators.ids import positional_index
+from ..session import scratch_path
 from ..sources import adapters as A
+from ..sources import xlsx as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -483,3 +486,111 @@ def q_disposition(spark, sf):
 
 
 __all__ = ["REGISTRY", "query"]
+
+
+# ------------------------------------------------------------ A3/A4: workbooks
+# Display headers the supplier workbook carries for each feed_parts column.
+PART_HEADERS = {"row_idx": "Part Key", "sku": "SKU", "short_description": "Short Description",
+                "product_name": "Product  Name", "dnprice": "DNPrice", "lamps_supplied": "Lamps Supplied",
+                "glass": "Glass", "shade_material": "Shade  Material ", "blade_span": "Blade Span",
+                "canopy_height_inches": "Canopy Height (Inches)", "currency_code": "Currency Code"}
+
+
+def _parts_as_cells(spark, sf) -> DataFrame:
+    """feed_parts as spreadsheet cells of one sheet ``DATA``: header row 0,
+    one row per part below it (numeric key cells typed as numbers)."""
+    p = _parts(spark, sf)
+    cols = list(PART_HEADERS)
+    header = spark.createDataFrame(
+        [("DATA", 0, i, "s", PART_HEADERS[c]) for i, c in enumerate(cols)],
+        "sheet_name string, row_idx bigint, col_idx int, kind string, text string")
+    kinds = {"row_idx": F.lit("n"), "sku": F.col("sku_kind")}
+    body = p.select(
+        F.lit("DATA").alias("sheet_name"), (F.col("row_idx") + 1).alias("row_idx"),
+        F.explode(F.array(*[
+            F.struct(F.lit(i).alias("col_idx"), kinds.get(c, F.lit("s")).alias("kind"), F.col(c).cast("string").alias("text"))
+            for i, c in enumerate(cols)])).alias("c"))
+    body = body.select("sheet_name", "row_idx", "c.col_idx", "c.kind", "c.text").filter(F.col("text").isNotNull())
+    return header.unionByName(body)
+
+
+@query("xlsx_cells")
+def q_xlsx_cells(spark, sf):
+    """A4: the grid written as workbooks (blocks of rows, on executors) and
+    read back as typed cells; row indexes are restored from the block."""
+    out = scratch_path(spark, "grid-books")
+    written = X.write_workbooks(_grid_cells(spark, sf).filter(F.col("kind").isNotNull()), out, rows_per_book=4096)
+    written.count()
+    back = X.read_cells(spark, out)
+    first = F.regexp_extract("file_name", r"__(\d+)\.xlsx$", 1).cast("bigint")
+    return back.select("sheet_name", (first + F.col("row_idx")).cast("int").alias("row_idx"),
+                       "col_idx", "kind", "text")
+
+
+@query("xlsx_scan")
+def q_xlsx_scan(spark, sf):
+    """A3: feed_parts as supplier workbooks, read by configured sheet and
+    header row, then the whole mapped pipeline per row."""
+    out = scratch_path(spark, "parts-books")
+    X.write_workbooks(_parts_as_cells(spark, sf), out, rows_per_book=1 << 20).count()
+    cfg = dict(_layered(), vendor_code="Parts Feed")
+    cells = X.read_cells(spark, out)
+    rules = sheet_rules_df(spark, [cfg])
+    wide = X.mapped_rows(cells, rules, ["sku"]).withColumn("file_seq", F.col("file_name")).drop("file_path")
+    rows = canonical_rows(wide, cfg)
+    return rows.join(wide.select("row_idx", F.col("part_key").cast("bigint").alias("part_key")), "row_idx").select(
+        "part_key", "inventory_partno", "category_type", "wholesale_price", "status")
+
+
+# ------------------------------------------------------------ J1: drop folder
+DROP_HEADERS = dict(PART_HEADERS, vendor_code="Vendor Code")
+
+
+@query("drop_folder_stream")
+def q_drop_folder_stream(spark, sf):
+    """feed_parts dropped as one workbook per feed file, ingested by an
+    ``availableNow`` stream into versioned snapshots; returns the final core."""
+    from ..streaming import drop_folder as D
+
+    root = scratch_path(spark, "drop")
+    p = positional_index(_parts(spark, sf), ["file_name"], ["row_idx"], "pos")
+    cols = list(DROP_HEADERS)
+    header = p.select("file_name").distinct().select(
+        "file_name", F.lit("DATA").alias("sheet_name"), F.lit(0).cast("bigint").alias("row_idx"),
+        F.explode(F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit("s").alias("kind"), F.lit(DROP_HEADERS[c]).alias("text"))
+                            for i, c in enumerate(cols)])).alias("c"))
+    kinds = {"row_idx": F.lit("n"), "sku": F.col("sku_kind")}
+    body = p.select("file_name", F.lit("DATA").alias("sheet_name"), (F.col("pos") + 1).alias("row_idx"),
+                    F.explode(F.array(*[F.struct(F.lit(i).alias("col_idx"), kinds.get(c, F.lit("s")).alias("kind"),
+                                                 F.col(c).cast("string").alias("text")) for i, c in enumerate(cols)])).alias("c"))
+    cells = header.unionByName(body).select("file_name", "sheet_name", "row_idx", "c.col_idx", "c.kind", "c.text")
+    X.write_workbooks(cells.filter(F.col("text").isNotNull()), f"{root}/in", rows_per_book=1 << 20, book_col="file_name").count()
+    cfg = _layered()
+    q = D.start(spark, f"{root}/in", cfg, f"{root}/snapshots", f"{root}/checkpoint")
+    q.awaitTermination()
+    core = D.latest_snapshot(spark, f"{root}/snapshots", f"{root}/checkpoint")["core"]
+    return core.select("product_id", "vendor_code", "inventory_partno", "category_type", "wholesale_price",
+                       "currency_code", "source_file_name", "marketing_description")
+
+
+# ------------------------------------------------------------ I4/I5: log files
+@query("error_csv_roundtrip")
+def q_error_csv_roundtrip(spark, sf):
+    """I4: the error log written as CSV (with its timestamp) and read back."""
+    path = scratch_path(spark, "ingest-errors")
+    errors = V.error_rows(_rows(spark, sf), with_timestamp=True)
+    R.write_csv(errors, path)
+    schema = ("timestamp timestamp, file string, sheet string, row_index bigint, vendor_code string, "
+              "inventory_partno string, category_type string, error_type string, error_message string")
+    return R.read_csv(spark, path, schema).drop("timestamp")
+
+
+@query("conversion_csv_roundtrip")
+def q_conversion_csv_roundtrip(spark, sf):
+    """The conversion audit written as CSV with sorted columns and read back."""
+    path = scratch_path(spark, "conversion-errors")
+    cfg = _layered()
+    audit = conversion_audit(classify(normalize_feed(_parts(spark, sf)), cfg), cfg)
+    R.write_csv(audit, path, sort_columns=True)
+    schema = ", ".join(f"{c} {'bigint' if c == 'row_index' else 'string'}" for c in sorted(audit.columns))
+    return R.read_csv(spark, path, schema)

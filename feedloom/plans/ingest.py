@@ -60,3 +60,39 @@ def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int
 
 
 __all__ = ["normalize_feed", "canonical_rows", "ingest", "feed_columns"]
+
+
+def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
+                     run_id: int | None = None, exclude_dirs=()) -> dict:
+    """End-to-end mapped ingest of a folder of workbooks.
+
+    A1 inventory (binaryFile listing, no bytes read) -> A2 vendor match ->
+    A3/A5 configured sheets as wide rows -> per-vendor canonical rows (E6
+    union) -> H merge. Returns the new snapshots plus ``rows`` (status-tagged
+    canonical rows) and ``files`` (match status per file) for reporting.
+    """
+    from ..config import match_rules_df, sheet_rules_df
+    from ..operators.files import file_inventory, vendor_match
+    from ..operators.mapping import union_vendors
+    from ..sources.xlsx import mapped_rows, read_cells
+
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+               .select("path"))
+    inv = file_inventory(listing, exclude_dirs=exclude_dirs)
+    files = vendor_match(inv, match_rules_df(spark, mappings))
+    matched = files.filter(F.col("status") == "matched").select(
+        F.col("path").alias("file_path"), "file_seq", "vendor_code")
+    cells = read_cells(spark, path).join(F.broadcast(matched), "file_path")
+    frames = []
+    for cfg in mappings:
+        vcells = cells.filter(F.col("vendor_code") == F.lit(cfg.get("vendor_code")))
+        rules = sheet_rules_df(spark, [cfg])
+        key = ((cfg.get("column_map") or {}).get("core") or {}).get("inventory_partno") or []
+        wide = mapped_rows(vcells.drop("vendor_code"), rules, key if isinstance(key, list) else [key])
+        wide = wide.join(F.broadcast(matched.select("file_path", "file_seq")), "file_path").drop("file_path")
+        frames.append(canonical_rows(wide, cfg, run_id=run_id))
+    rows = union_vendors(frames)
+    out = merge_run(targets or {}, rows.filter(F.col("status") == "ok"))
+    out["rows"] = rows
+    out["files"] = files
+    return out

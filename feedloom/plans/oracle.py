@@ -592,6 +592,15 @@ def build() -> dict[str, str]:
         f"CASE WHEN d.dest_dir IS NOT NULL THEN d.dest_dir || '/' || CASE WHEN e.file_name IS NOT NULL THEN d.stem || '_{RUN_STAMP}' || "
         "regexp_extract(d.file_name, '(\\.[^.]*)$', 1) ELSE d.file_name END END AS moved_to "
         "FROM d LEFT JOIN existing e ON e.dest_dir = d.dest_dir AND e.file_name = d.file_name")
+    q["xlsx_cells"] = duckdb_cte("feed_grid") + "\nSELECT sheet_name, row_idx, col_idx, kind, text FROM feed_grid WHERE kind IS NOT NULL"
+    q["xlsx_scan"] = with_rows(lay) + (
+        "\nSELECT CAST(row_idx AS BIGINT) AS part_key, inventory_partno, category_type, wholesale_price, status FROM rows")
+    q["drop_folder_stream"] = with_rows(lay) + (
+        ",\nok AS (SELECT * FROM rows WHERE status = 'ok'),\n" + lww_cte("fold", "ok") + ",\n" + merge_cte("core", None, "fold")
+        + "\nSELECT product_id, vendor_code, inventory_partno, category_type, wholesale_price, currency_code, "
+          "source_file_name, marketing_description FROM core")
+    q["error_csv_roundtrip"] = q["error_rows"]
+    q["conversion_csv_roundtrip"] = q["conversion_audit"]
     return q
 
 
