@@ -6,6 +6,8 @@ than the rows inside the files; rule tables are config-sized.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +33,11 @@ def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(),
     them in path order (part by part, like a sorted directory walk)."""
     df = with_name_parts(files, path_col)
     keep = (~F.col("file_name").startswith(LOCK_PREFIX)) & F.col("ext").isin(*suffixes)
+    # Compare without a local "file:" scheme, so "/in/archive" also excludes "file:/in/archive/x".
+    plain = F.regexp_replace(F.col(path_col), r"^file:(//)?", "")
     for d in exclude_dirs:
-        keep = keep & ~F.col(path_col).startswith(d.rstrip("/") + "/")
+        d = re.sub(r"^file:(//)?", "", str(d)).rstrip("/") + "/"
+        keep = keep & ~plain.startswith(d)
     df = df.filter(keep)
     w = Window.orderBy(F.split(F.col(path_col), "/"))
     return df.withColumn("file_seq", F.row_number().over(w))
