@@ -102,6 +102,29 @@ def java_regex(pat: str) -> str | None:
     return "(?U)" + pat
 
 
+def any_pattern(text: Column, patterns) -> Column | None:
+    """True when any valid pattern is found in ``text``.
+
+    Patterns without back-references are fused into one alternation of
+    non-capturing groups (inline flags such as ``(?i)`` stay scoped to their
+    own group), so the text is scanned once per rule, not once per pattern.
+    """
+    valid = [p for p in (str(x) for x in patterns) if java_regex(p)]
+    if not valid:
+        return None
+    fusable = [p for p in valid if not re.search(r"\\[1-9]|\(\?P=|\\k<", p)]
+    rest = [p for p in valid if p not in fusable]
+    conds = []
+    if fusable:
+        fused = "|".join(f"(?:{java_regex(p)[4:]})" for p in fusable)
+        conds.append(text.rlike("(?U)" + fused))
+    conds += [text.rlike(java_regex(p)) for p in rest]
+    out = conds[0]
+    for c in conds[1:]:
+        out = out | c
+    return out
+
+
 def regex_scan(columns, rs: dict, hay: Column | None = None) -> Column:
     """first rule with a pattern found in the newline-joined original texts.
 
@@ -110,13 +133,9 @@ def regex_scan(columns, rs: dict, hay: Column | None = None) -> Column:
     hay = joined_values(columns, rs.get("columns"), "\n", lower=False) if hay is None else hay
     out = None
     for rule in rs.get("rules") or []:
-        pats = [p for p in (java_regex(str(p)) for p in (rule.get("any_regex") or [])) if p]
-        if not pats:
+        cond = any_pattern(hay, rule.get("any_regex") or [])
+        if cond is None:
             continue
-        cond = None
-        for p in pats:
-            c = hay.rlike(p)
-            cond = c if cond is None else (cond | c)
         cond = (hay != F.lit("")) & cond
         cat = rule.get("category_type") or None
         val = F.lit(cat) if cat else _null()

@@ -121,7 +121,16 @@ def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = No
     return j.withColumns(cols).select(*CORE_OUT, *keep)
 
 
-def merge_attributes(target: DataFrame, merged: DataFrame, table: str) -> DataFrame:
+def first_load(folded: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """H1 into an empty table: every key is new, ids ``1..n`` in first-seen
+    order, currency ``COALESCE(new, 'USD')`` (no join with a target)."""
+    first = ["first_file_seq", "first_sheet_seq", "first_row_idx"]
+    ided = positional_index(folded, [], first, "product_id", base=1)
+    cols = {"currency_code": F.coalesce(F.col("currency_code"), F.lit(DEFAULT_CURRENCY))}
+    return ided.withColumns(cols).select(*CORE_OUT, *(keep or []))
+
+
+def merge_attributes(target: DataFrame | None, merged: DataFrame, table: str) -> DataFrame:
     """H5a-c: full-overwrite upsert of an attribute table keyed on ``product_id``.
 
     ``merged`` is the core merge output carrying ``<table>_rec``.
@@ -130,14 +139,18 @@ def merge_attributes(target: DataFrame, merged: DataFrame, table: str) -> DataFr
     rec = f"{table}_rec"
     src = merged.filter(F.col(rec).isNotNull()).select(
         "product_id", *[F.col(f"{rec}.{n}").alias(f"s_{n}") for n in names], F.lit(True).alias("__s"))
+    if target is None:
+        return src.select("product_id", *[F.col(f"s_{n}").alias(n) for n in names])
     j = target.select("product_id", *names).join(src, "product_id", "full_outer")
     in_s = F.col("__s").isNotNull()
     return j.select("product_id", *[F.when(in_s, F.col(f"s_{n}")).otherwise(F.col(n)).alias(n) for n in names])
 
 
-def insert_if_absent(target: DataFrame, merged: DataFrame, table: str) -> DataFrame:
+def insert_if_absent(target: DataFrame | None, merged: DataFrame, table: str) -> DataFrame:
     """H6: presence tables only gain ids (``IF NOT EXISTS ... INSERT``)."""
     ids = merged.filter(F.coalesce(F.col(f"in_{table}"), F.lit(False))).select("product_id")
+    if target is None:
+        return ids
     tgt = target.select("product_id")
     return tgt.unionByName(ids.join(tgt, "product_id", "left_anti"))
 
@@ -160,22 +173,20 @@ def merge_run(targets: dict[str, DataFrame], ok_rows: DataFrame) -> dict[str, Da
     a key seen as lighting and then as fans updates both tables, and a
     product that changes category keeps its old attribute row.
     """
-    spark = ok_rows.sparkSession
     folded = last_write_wins(ok_rows)
     extra = [c for c in folded.columns if c.endswith("_rec") or c.startswith("in_")]
-    tgt_core = targets.get("core") if targets.get("core") is not None else empty_core(spark)
+    tgt_core = targets.get("core")
     # The new core snapshot (one row per key, with the folded category
     # records) is written once; every table below is read from it.
-    merged = materialize(merge_core(tgt_core, folded, keep=extra))
+    if tgt_core is None:
+        merged = materialize(first_load(folded, keep=extra))
+    else:
+        merged = materialize(merge_core(tgt_core, folded, keep=extra))
     out = {"core": merged.select(*CORE_OUT)}
     for table in ATTRIBUTE_TABLES:
-        tgt = targets.get(table)
-        tgt = tgt if tgt is not None else empty_attributes(spark, table)
-        out[table] = merge_attributes(tgt, merged, table)
+        out[table] = merge_attributes(targets.get(table), merged, table)
     for table in PRESENCE_TABLES:
-        tgt = targets.get(table)
-        tgt = tgt if tgt is not None else empty_attributes(spark, table)
-        out[table] = insert_if_absent(tgt, merged, table)
+        out[table] = insert_if_absent(targets.get(table), merged, table)
     return out
 
 

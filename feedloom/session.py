@@ -67,3 +67,12 @@ def materialize(df):
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Round-robin a DataFrame over all cores when its scan yields fewer
+    partitions than cores (one small file = one task). Expression-heavy
+    stages (classification, conversions) then use every core. A no-op on a
+    large input, whose scan already has many splits."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
