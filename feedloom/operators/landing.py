@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.headers import norm_header_raw, safe_table_name, shorten_identifier, with_counter_suffix
 from ..functions.text import SOURCE_NA_TOKENS, clean_text, has_text
-from ..session import materialize
+from ..session import stage_table
 from .ids import positional_index
 
 SHEET = ["file_name", "sheet_name"]
@@ -155,18 +155,22 @@ def column_map(columns: DataFrame, loaded_at=None) -> DataFrame:
     )
 
 
-def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens: bool = True) -> dict[str, DataFrame]:
+def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens: bool = True,
+                stage: bool = True) -> dict[str, DataFrame]:
     """H9 + H10 on every sheet: landing rows (long), the column map, and the
     per-sheet table names. Values are C3-cleaned text."""
     if na_tokens:
         cells = with_source_na(cells)
-    # Sheet- and header-sized tables are read by several joins below; they
-    # are checkpointed once instead of being recomputed from the cells.
-    headers = materialize(detect_header(cells))
+    # The cells are read by every step below (header scan, names, data); they
+    # are staged once as a Parquet table, so a workbook is parsed once and
+    # the header scan reads only the first rows' column chunks.
+    if stage:
+        cells = stage_table(cells, "cells")
+    headers = detect_header(cells)
     data = data_cells(cells, headers)
     rows = renumber_rows(live_rows(data))
     cols = live_columns(data, rows)
-    names = materialize(column_names(materialize(header_names(cells, headers)), cols))
+    names = column_names(header_names(cells, headers), cols)
     values = data.join(rows.select(*SHEET, "row_idx", "source_row_number"), [*SHEET, "row_idx"]).join(
         names.select(*SHEET, "col_idx", "stored_column_name"), [*SHEET, "col_idx"])
     ts = [F.lit(loaded_at).cast("timestamp").alias("loaded_at")] if loaded_at is not None else []

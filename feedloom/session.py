@@ -76,3 +76,12 @@ def spread(df):
     large input, whose scan already has many splits."""
     target = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def stage_table(df, name: str):
+    """Write ``df`` once as a Parquet table under the shared folder and read
+    it back: later reads get column pruning and filter pushdown, and an
+    expensive producer (workbook parsing) runs once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
