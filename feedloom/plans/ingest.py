@@ -74,6 +74,7 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     from ..config import match_rules_df, sheet_rules_df
     from ..operators.files import file_inventory, vendor_match
     from ..operators.mapping import union_vendors
+    from ..session import stage_table
     from ..sources.xlsx import mapped_rows, read_cells
 
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -82,14 +83,16 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     files = vendor_match(inv, match_rules_df(spark, mappings))
     matched = files.filter(F.col("status") == "matched").select(
         F.col("path").alias("file_path"), "file_seq", "vendor_code")
-    cells = read_cells(spark, path).join(F.broadcast(matched), "file_path")
+    # Parse every matched workbook once; the header-name lookup and each
+    # vendor's pivot read the staged cells.
+    cells = stage_table(read_cells(spark, path).join(matched, "file_path"), "cells")
     frames = []
     for cfg in mappings:
         vcells = cells.filter(F.col("vendor_code") == F.lit(cfg.get("vendor_code")))
         rules = sheet_rules_df(spark, [cfg])
         key = ((cfg.get("column_map") or {}).get("core") or {}).get("inventory_partno") or []
         wide = mapped_rows(vcells.drop("vendor_code"), rules, key if isinstance(key, list) else [key])
-        wide = wide.join(F.broadcast(matched.select("file_path", "file_seq")), "file_path").drop("file_path")
+        wide = wide.join(matched.select("file_path", "file_seq"), "file_path").drop("file_path")
         frames.append(canonical_rows(wide, cfg, run_id=run_id))
     rows = union_vendors(frames)
     out = merge_run(targets or {}, rows.filter(F.col("status") == "ok"))
