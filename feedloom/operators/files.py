@@ -55,7 +55,7 @@ def vendor_match(files: DataFrame, rules: DataFrame) -> DataFrame:
         F.min("mapping_seq").alias("mapping_seq"),
     )
     return best.withColumns({
-        "status": F.when(F.col("vendor_code").isNull() & F.col("mapping_seq").isNull(), F.lit("skipped")).otherwise(F.lit("matched")),
+        "status": F.when(F.col("mapping_seq").isNull(), F.lit("skipped")).otherwise(F.lit("matched")),
         "reason": F.when(F.col("mapping_seq").isNull(), F.lit("No vendor mapping matched file_name")),
     })
 

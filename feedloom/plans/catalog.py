@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import bundled, load_mappings, match_rules_df, sheet_rules_df, MAPPINGS_DIR
 from ..functions.convert import to_bool, to_decimal, to_int, to_money
 from ..functions.headers import norm_header, norm_header_raw, safe_table_name
-from ..functions.text import clean_text, is_blank, source_na
+from ..functions.text import clean_text, has_text, is_blank, source_na
 from ..operators import files as FL
 from ..operators import landing as L
 from ..operators import merge as M
@@ -265,7 +265,7 @@ def q_first_non_null_long(spark, sf):
     aliases = spark.createDataFrame(
         [(f, a, i) for f, cs in E1_FIELDS.items() for i, a in enumerate(cs)],
         "field string, source_col string, priority int")
-    picked = long.join(F.broadcast(aliases), "source_col").filter(V.has_text(F.col("value")))
+    picked = long.join(F.broadcast(aliases), "source_col").filter(has_text(F.col("value")))
     return picked.groupBy("row_idx", "field").agg(F.min_by("value", "priority").alias("value"))
 
 

@@ -213,8 +213,8 @@ def typed(expr: str | None, kind: str) -> str:
     return f"TRY_CAST({expr} AS {t})" if t != "VARCHAR" else f"CAST({expr} AS VARCHAR)"
 
 
-def rows_cte(cfg, run_id=None) -> str:
-    """``rows``: one canonical row per feed_parts row (as the Spark plan)."""
+def rows_cte(cfg, run_id=None, suffix: str = "") -> str:
+    """``rows<suffix>``: one canonical row per feed_parts row (as the Spark plan)."""
     cm = cfg.get("column_map") or {}
     core = converted(cfg, cm.get("core"))
     if "currency_code" not in core:
@@ -241,11 +241,12 @@ def rows_cte(cfg, run_id=None) -> str:
               f"OR (coalesce(inventory_partno_kind, 's') = 'n' AND coalesce(TRY_CAST(inventory_partno AS DOUBLE), 1.0) = 0) "
               f"OR (coalesce(inventory_partno_kind, 's') = 'b' AND lower(inventory_partno) = 'false') "
               f"THEN 'error' ELSE 'ok' END")
+    x = suffix
     return (
-        f"src AS (SELECT row_idx, vendor_code, file_name, sku_kind, {na_cols} FROM feed_parts),\n"
-        f"cls AS (SELECT *, {category_sql(FEED_TEXT, cfg)} AS category_type FROM src),\n"
-        f"rec AS (SELECT {', '.join(sel)} FROM cls),\n"
-        f"rows AS (SELECT *, {status} AS status FROM rec)"
+        f"src{x} AS (SELECT row_idx, vendor_code, file_name, sku_kind, {na_cols} FROM feed_parts),\n"
+        f"cls{x} AS (SELECT *, {category_sql(FEED_TEXT, cfg)} AS category_type FROM src{x}),\n"
+        f"rec{x} AS (SELECT {', '.join(sel)} FROM cls{x}),\n"
+        f"rows{x} AS (SELECT *, {status} AS status FROM rec{x})"
     )
 
 
@@ -508,10 +509,8 @@ def build() -> dict[str, str]:
     q["category_projection_fans"] = with_rows(lay) + "\nSELECT row_idx, category_type, fans.* FROM rows WHERE fans IS NOT NULL"
     q["default_currency"] = with_rows(rul) + "\nSELECT row_idx, currency_code FROM rows"
     q["lineage"] = with_rows(lay, RUN_ID) + "\nSELECT row_idx, source_file_name, source_sheet_name, source_row_number, run_id FROM rows"
-    a = rows_cte(lay).replace("src AS", "src_a AS").replace("FROM src)", "FROM src_a)").replace("cls AS", "cls_a AS") \
-        .replace("FROM cls)", "FROM cls_a)").replace("rec AS", "rec_a AS").replace("rows AS", "rows_a AS").replace("FROM rec)", "FROM rec_a)")
-    b = rows_cte(rul).replace("src AS", "src_b AS").replace("FROM src)", "FROM src_b)").replace("cls AS", "cls_b AS") \
-        .replace("FROM cls)", "FROM cls_b)").replace("rec AS", "rec_b AS").replace("rows AS", "rows_b AS").replace("FROM rec)", "FROM rec_b)")
+    a = rows_cte(lay, suffix="_a")
+    b = rows_cte(rul, suffix="_b")
     q["vendor_union"] = parts + ",\n" + a + ",\n" + b + (
         "\nSELECT 'parts_layered' AS mapping, row_idx, vendor_code, inventory_partno, category_type, status FROM rows_a "
         "UNION ALL SELECT 'parts_rules', row_idx, vendor_code, inventory_partno, category_type, status FROM rows_b")
@@ -531,7 +530,7 @@ def build() -> dict[str, str]:
 
     # G
     q["missing_key_filter"] = with_rows(lay) + "\nSELECT row_idx, source_file_name AS file FROM rows WHERE status = 'skipped'"
-    cols40 = ",".join(["row_idx", "file_name"][:0] + FEED_TEXT)
+    cols40 = ",".join(FEED_TEXT)
     q["missing_key_sample"] = with_rows(lay) + (
         f",\ns AS (SELECT source_file_name AS file, source_sheet_name AS sheet, row_idx, "
         f"row_number() OVER (PARTITION BY source_file_name ORDER BY {SEQ}) AS sample_rank FROM rows WHERE status = 'skipped')\n"
