@@ -18,6 +18,7 @@ from ..operators.classify import META_COLUMNS, classify, feed_columns
 from ..operators.mapping import project_records
 from ..operators.merge import merge_run
 from ..operators.validate import split_status, with_status
+from ..session import stage_table
 
 
 def normalize_feed(feed: DataFrame, na_tokens: bool = True) -> DataFrame:
@@ -50,9 +51,17 @@ def canonical_rows(feed: DataFrame, cfg: dict, run_id: int | None = None,
     return with_status(project_records(df, cfg, run_id=run_id))
 
 
-def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int | None = None) -> dict:
-    """Full mapped ingest of one feed into new snapshots of every table."""
+def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int | None = None,
+           stage_rows: bool = True) -> dict:
+    """Full mapped ingest of one feed into new snapshots of every table.
+
+    The canonical batch is read by the merge, the counters, the error log and
+    the audit; ``stage_rows`` writes it once to the shared folder so the
+    classification and conversions run once.
+    """
     rows = canonical_rows(feed, cfg, run_id=run_id)
+    if stage_rows:
+        rows = stage_table(rows, "canonical-batch")
     ok, skipped, errors = split_status(rows)
     out = merge_run(targets or {}, ok)
     out["rows"] = rows
@@ -63,7 +72,7 @@ __all__ = ["normalize_feed", "canonical_rows", "ingest", "feed_columns"]
 
 
 def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
-                     run_id: int | None = None, exclude_dirs=()) -> dict:
+                     run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True) -> dict:
     """End-to-end mapped ingest of a folder of workbooks.
 
     A1 inventory (binaryFile listing, no bytes read) -> A2 vendor match ->
@@ -74,7 +83,6 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     from ..config import match_rules_df, sheet_rules_df
     from ..operators.files import file_inventory, vendor_match
     from ..operators.mapping import union_vendors
-    from ..session import stage_table
     from ..sources.xlsx import mapped_rows, read_cells
 
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -95,6 +103,8 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
         wide = wide.join(matched.select("file_path", "file_seq"), "file_path").drop("file_path")
         frames.append(canonical_rows(wide, cfg, run_id=run_id))
     rows = union_vendors(frames)
+    if stage_rows:
+        rows = stage_table(rows, "canonical-batch")
     out = merge_run(targets or {}, rows.filter(F.col("status") == "ok"))
     out["rows"] = rows
     out["files"] = files

@@ -170,29 +170,54 @@ def read_cells(spark: SparkSession, path: str, glob: str = "*.xls[xm]", recursiv
     )
 
 
-def mapped_rows(cells: DataFrame, sheet_rules: DataFrame, key_aliases: list[str] | None = None) -> DataFrame:
+def mapped_rows(cells: DataFrame, sheet_rules: DataFrame, key_aliases: list[str] | None = None,
+                keep_blank_rows: bool = True) -> DataFrame:
     """A3 + A5 + B1: configured sheets as wide all-text rows.
 
     ``sheet_rules(vendor_code, sheet_name, header_row, sheet_seq)`` selects
     sheets by exact name (missing sheets are simply absent) and gives each
-    its header row. Header names are normalised; the column list is read
-    from the header rows (header-sized metadata) so the pivot has a fixed
-    schema. Repeated names keep the first non-empty cell by position.
-    Output row index = data row position below the header.
+    its header row. Column names follow the sheet parse: a blank header cell
+    is ``Unnamed: <i>``, the k-th exact repeat of a name gets ``.k``; then B1
+    normalises them. Names that normalise alike keep the first non-empty
+    cell by position. The column list comes from the header rows
+    (header-sized metadata), so the pivot has a fixed schema.
+
+    Row index = position below the header. With ``keep_blank_rows`` the
+    empty rows between the header and a sheet's last non-empty row are kept
+    (all NULL), as the parse keeps them; they are counted and skipped later.
     """
+    from pyspark.sql import Window
+
     from ..functions.headers import norm_header
 
     rules = sheet_rules.withColumnRenamed("sheet_seq", "cfg_sheet_seq").withColumnRenamed("vendor_code", "cfg_vendor_code")
     sel = cells.join(F.broadcast(rules), "sheet_name")
-    head = sel.filter(F.col("row_idx") == F.col("header_row")).select(
-        "file_name", "sheet_name", "col_idx", norm_header(F.col("text")).alias("col_name"))
+    sheet = ["file_path", "file_name", "sheet_name"]
+    # Column slots: every column with a header or a value (at most 16,384 per sheet).
+    slots = sel.filter(F.col("row_idx") >= F.col("header_row")).select(*sheet, "col_idx").distinct()
+    htext = sel.filter(F.col("row_idx") == F.col("header_row")).select(*sheet, "col_idx", F.col("text").alias("h"))
+    head = slots.join(htext, [*sheet, "col_idx"], "left").withColumn(
+        "raw", F.when(F.col("h").isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string"))).otherwise(F.col("h")))
+    k = F.row_number().over(Window.partitionBy(*sheet, "raw").orderBy("col_idx")) - 1
+    head = head.withColumn("__k", k).select(
+        *sheet, "col_idx",
+        norm_header(F.when(F.col("__k") > 0, F.concat(F.col("raw"), F.lit("."), F.col("__k").cast("string")))
+                    .otherwise(F.col("raw"))).alias("col_name"))
     names = sorted({r.col_name for r in head.select("col_name").distinct().collect() if r.col_name})
-    body = sel.filter(F.col("row_idx") > F.col("header_row")).join(head, ["file_name", "sheet_name", "col_idx"])
+    body = sel.filter(F.col("row_idx") > F.col("header_row")).join(head, [*sheet, "col_idx"])
     body = body.filter(F.col("col_name") != "")
-    keys = ["file_path", "file_name", "cfg_vendor_code", "sheet_name", F.col("cfg_sheet_seq").alias("sheet_seq"),
+    keys = [*sheet, "cfg_vendor_code", F.col("cfg_sheet_seq").alias("sheet_seq"),
             (F.col("row_idx") - F.col("header_row") - 1).alias("row_idx")]
     wide = body.groupBy(*keys).pivot("col_name", names).agg(
         F.min_by("text", "col_idx").alias("v"), F.min_by("kind", "col_idx").alias("k"))
+    if keep_blank_rows:
+        # Every row position up to the sheet's last non-empty row (a sheet has
+        # at most 1,048,576 rows, so one sheet's range is bounded).
+        last = sel.filter(F.col("row_idx") > F.col("header_row")).groupBy(
+            *sheet, "cfg_vendor_code", "cfg_sheet_seq", "header_row").agg(F.max("row_idx").alias("last"))
+        grid = last.select(*sheet, "cfg_vendor_code", F.col("cfg_sheet_seq").alias("sheet_seq"),
+                           F.explode(F.sequence(F.lit(0), F.col("last") - F.col("header_row") - 1)).alias("row_idx"))
+        wide = grid.join(wide, [*sheet, "cfg_vendor_code", "sheet_seq", "row_idx"], "left")
     kinds = set(key_aliases or [])
     out = [F.col(c) for c in ["file_path", "file_name", "sheet_name", "sheet_seq", "row_idx"]]
     # A "Vendor Code" column in the sheet names the vendor per row; else the mapping's.

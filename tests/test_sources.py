@@ -90,3 +90,24 @@ def test_jdbc_options():
     opts = sinks.jdbc_options("jdbc:sqlserver://h;databaseName=pim", "etl.stage_core", user="u", batchsize=500)
     assert opts == {"url": "jdbc:sqlserver://h;databaseName=pim", "dbtable": "etl.stage_core", "batchsize": "500",
                     "isolationLevel": "READ_COMMITTED", "user": "u"}
+
+
+def test_mapped_rows_keep_blank_rows_and_parse_names(spark, tmp_path):
+    from feedloom.config import sheet_rules_df
+    from feedloom.sources.xlsx import mapped_rows
+
+    book = workbook_bytes({"DATA": [
+        (0, 0, "s", "Item No"), (0, 1, "s", "Width"), (0, 2, "s", "Width"), (0, 4, "s", "Item  No"),
+        (1, 0, "s", "A"), (1, 1, "n", "3"), (1, 2, "n", "4"), (1, 3, "s", "x"),
+        (3, 0, "s", "B"), (3, 4, "s", "b2"),
+    ]})
+    (tmp_path / "acme_1.xlsx").write_bytes(book)
+    cells = read_cells(spark, str(tmp_path))
+    rules = sheet_rules_df(spark, [{"vendor_code": "V", "sheets": [{"sheet_name": "DATA", "header_row": 0}]}])
+    wide = mapped_rows(cells, rules, ["item_no"])
+    rows = {r.row_idx: r for r in wide.collect()}
+    assert sorted(rows) == [0, 1, 2]                     # the blank row 1 is kept
+    assert rows[1].item_no is None and rows[1].width is None
+    assert (rows[0].width, rows[0].width1, rows[0].unnamed_3) == ("3", "4", "x")
+    assert rows[0].item_no == "A" and rows[2].item_no == "B"   # "Item No"/"Item  No" both normalise to item_no
+    assert rows[0].item_no_kind == "s"
