@@ -244,3 +244,23 @@ def classify_layer(df: DataFrame, cfg: dict, layer: str, out: str = "category_ty
     else:
         raise ValueError(f"unknown layer {layer!r}")
     return df.withColumn(out, e)
+
+
+def column_value_substring_table(df: DataFrame, cfg: dict, key: list[str], out: str = "category_type") -> DataFrame:
+    """F4 as a rule table: for mappings with hundreds of values.
+
+    The category values become a small broadcast table ``(cat_seq, category,
+    value)``; a theta join on ``contains`` finds every hit and ``min_by``
+    keeps the first category in mapping order per row. The row's other
+    columns come back with a left join on ``key`` (rows without a hit get
+    NULL). Same result as :func:`column_value_substring`.
+    """
+    cv = (cfg.get("category") or {}).get("column_value") or {}
+    rules = [(i, cat, str(v).strip().lower())
+             for i, (cat, vals) in enumerate((cv.get("mappings") or {}).items())
+             for v in vals or [] if str(v).strip()]
+    rt = df.sparkSession.createDataFrame(rules, "cat_seq int, category string, value string")
+    joined = df.select(*key, joined_values(feed_columns(df.columns), cv.get("columns"), " | ", lower=True).alias("__j"))
+    hits = joined.filter(F.col("__j") != F.lit("")).join(F.broadcast(rt), F.col("__j").contains(F.col("value")))
+    best = hits.groupBy(*key).agg(F.min_by("category", "cat_seq").alias(out))
+    return df.join(best, key, "left")

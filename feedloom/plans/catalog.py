@@ -22,7 +22,7 @@ from ..operators import landing as L
 from ..operators import merge as M
 from ..operators import report as R
 from ..operators import validate as V
-from ..operators.classify import classify, classify_layer
+from ..operators.classify import classify, classify_layer, column_value_substring_table
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
 from ..plans.ingest import canonical_rows, normalize_feed
 from ..operators.ids import positional_index
@@ -328,6 +328,13 @@ def _layer_query(layer):
     return q
 
 
+@query("classify_substring_table")
+def q_classify_substring_table(spark, sf):
+    """F4 through the broadcast rule table (the many-values form)."""
+    df = column_value_substring_table(normalize_feed(_parts(spark, sf)), _layered(), ["row_idx"])
+    return df.select("row_idx", "category_type")
+
+
 REGISTRY["classify_exact"] = _layer_query("column_value_exact")
 REGISTRY["classify_substring"] = _layer_query("column_value_substring")
 REGISTRY["classify_regex"] = _layer_query("regex_scan")

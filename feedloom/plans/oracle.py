@@ -521,6 +521,7 @@ def build() -> dict[str, str]:
     q["classify_rules"] = parts + f",\np AS (SELECT row_idx, {na} FROM feed_parts)\nSELECT row_idx, {category_sql(FEED_TEXT, rul)} AS category_type FROM p"
     q["classify_exact"] = _layer_sql("exact")
     q["classify_substring"] = _layer_sql("substring")
+    q["classify_substring_table"] = _layer_sql("substring")
     q["classify_regex"] = _layer_sql("regex")
     q["classify_features"] = _layer_sql("features")
     q["classify_layered"] = parts + (f",\np AS (SELECT row_idx, {na} FROM feed_parts)\n"
