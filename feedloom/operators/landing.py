@@ -64,20 +64,23 @@ def detect_header(cells: DataFrame, max_scan: int = MAX_HEADER_SCAN_ROWS) -> Dat
     best = s.groupBy(*SHEET).agg(
         F.max_by(F.col("row_idx"), F.struct(F.col("score"), -F.col("row_idx"))).alias("best_row"),
         F.max("score").alias("best_score"),
-        F.first("width").alias("width"),
     )
+    # Every sheet gets a header row, also one whose first rows are all empty.
+    best = sheet_width(cells).join(best, SHEET, "left")
     empty = F.lit(-NUMBER_WEIGHT) * F.col("width")
     return best.select(
         *SHEET,
         F.when(F.col("best_score") > empty, F.col("best_row")).otherwise(F.lit(0)).cast("int").alias("header_row"),
-        F.greatest(F.col("best_score"), empty).alias("score"),
+        F.coalesce(F.greatest(F.col("best_score"), empty), empty).alias("score"),
+        "width",
     )
 
 
 def header_names(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Column names as the sheet parse gives them: blank -> ``Unnamed: i``, repeats -> ``x.1``."""
-    width = sheet_width(cells)
-    slots = headers.join(width, SHEET).select(
+    if "width" not in headers.columns:
+        headers = headers.join(sheet_width(cells), SHEET)
+    slots = headers.select(
         *SHEET, "header_row", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col_idx"))
     hcells = cells.join(headers.select(*SHEET, "header_row"), SHEET).filter(
         F.col("row_idx") == F.col("header_row")).select(*SHEET, "col_idx", "kind", "text")

@@ -363,10 +363,11 @@ def grid_ctes() -> str:
         f"CAST(3 * count(*) FILTER (WHERE kind = 's' AND {has_text('text')}) + count(kind) "
         "- 0.5 * (count(*) FILTER (WHERE kind IN ('n', 'b')) + (w.width - count(kind))) AS DOUBLE) AS score, w.width "
         "FROM cells c JOIN width w USING (file_name, sheet_name) WHERE c.row_idx < 30 GROUP BY c.file_name, c.sheet_name, c.row_idx, w.width),\n"
-        "best AS (SELECT file_name, sheet_name, row_idx AS best_row, score AS best_score, width FROM scores "
+        "best AS (SELECT file_name, sheet_name, row_idx AS best_row, score AS best_score FROM scores "
         "QUALIFY row_number() OVER (PARTITION BY file_name, sheet_name ORDER BY score DESC, row_idx) = 1),\n"
-        "headers AS (SELECT file_name, sheet_name, CAST(CASE WHEN best_score > -0.5 * width THEN best_row ELSE 0 END AS INTEGER) AS header_row, "
-        "greatest(best_score, -0.5 * width) AS score FROM best),\n"
+        "headers AS (SELECT w.file_name, w.sheet_name, CAST(CASE WHEN b.best_score > -0.5 * w.width THEN b.best_row ELSE 0 END AS INTEGER) AS header_row, "
+        "CAST(coalesce(greatest(b.best_score, -0.5 * w.width), -0.5 * w.width) AS DOUBLE) AS score "
+        "FROM width w LEFT JOIN best b USING (file_name, sheet_name)),\n"
         "data AS (SELECT c.*, h.header_row FROM cells c JOIN headers h USING (file_name, sheet_name) WHERE c.row_idx > h.header_row),\n"
         "live_rows AS (SELECT DISTINCT file_name, sheet_name, header_row, row_idx FROM data WHERE kind IS NOT NULL),\n"
         "live_cols AS (SELECT DISTINCT file_name, sheet_name, col_idx FROM data WHERE kind IS NOT NULL),\n"

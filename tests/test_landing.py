@@ -52,3 +52,9 @@ def test_landing_drops_empty_and_renumbers(spark):
     cmap = sorted((r.original_header, r.stored_column_name) for r in out["column_map"].collect())
     assert cmap == [("Head A", "head_a"), ("Head B", "head_b")]
     assert out["tables"].first().table_name == "RAW_w_S"
+
+
+def test_sheet_with_empty_top_rows_uses_row_zero(spark):
+    rows = [("w.xlsx", "S", 40, 0, "s", "late"), ("w.xlsx", "S", 41, 0, "s", "data")]
+    h = L.detect_header(spark.createDataFrame(rows, CELLS)).collect()
+    assert [(r.header_row, r.score) for r in h] == [(0, -0.5)]
