@@ -53,10 +53,22 @@ def report_json(report: DataFrame, by_category: DataFrame | None = None) -> Data
     return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
 
 
-def write_csv(df: DataFrame, path: str, sort_columns: bool = False) -> None:
-    """CSV log with a header; I5 uses the sorted column union."""
+def write_csv(df: DataFrame, path: str, sort_columns: bool = False, only_if_any: bool = False) -> bool:
+    """CSV log with a header; I5 uses the sorted column union.
+
+    ``only_if_any`` writes nothing for an empty log (``isEmpty`` reads at
+    most one row). Returns whether a log was written.
+    """
+    if only_if_any and df.isEmpty():
+        return False
     cols = sorted(df.columns) if sort_columns else df.columns
     df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
+    return True
+
+
+def write_report(report: DataFrame, path: str, by_category: DataFrame | None = None) -> None:
+    """I3 sink: the run report as JSON lines, one document per file."""
+    report_json(report, by_category).write.mode("overwrite").text(path)
 
 
 def read_csv(spark, path: str, schema: str) -> DataFrame:

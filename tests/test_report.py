@@ -23,3 +23,15 @@ def test_report_rows_and_json(spark):
     a = next(d for d in docs if d["file"] == "a.xlsx")
     assert a["by_category"] == {"fans": 1, "lighting": 1}
     assert next(d for d in docs if d["file"] == "z.xlsx")["reason"] == "No vendor mapping matched file_name"
+
+
+def test_log_sinks(spark, tmp_path):
+    empty = spark.createDataFrame([], "file string, error_message string")
+    assert R.write_csv(empty, str(tmp_path / "none"), only_if_any=True) is False
+    assert not (tmp_path / "none").exists()
+    df = spark.createDataFrame([("a.xlsx", "x")], "file string, error_message string")
+    assert R.write_csv(df, str(tmp_path / "errs"), sort_columns=True, only_if_any=True) is True
+    back = R.read_csv(spark, str(tmp_path / "errs"), "error_message string, file string").collect()
+    assert [tuple(r) for r in back] == [("x", "a.xlsx")]
+    R.write_report(df.withColumnRenamed("error_message", "reason"), str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report")).first().file == "a.xlsx"
