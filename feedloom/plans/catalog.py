@@ -26,7 +26,7 @@ from ..operators.classify import classify, classify_layer, column_value_substrin
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
 from ..plans.ingest import canonical_rows, normalize_feed
 from ..operators.ids import positional_index
-from ..session import scratch_path
+from ..session import scratch_path, stage_table
 from ..sources import adapters as A
 from ..sources import xlsx as X
 
@@ -83,7 +83,8 @@ def _inventory(spark, sf) -> DataFrame:
 
 def _target_and_batch(spark, sf, cfg=None):
     """Existing snapshots (even rows merged into empty tables) and the whole batch."""
-    rows = _rows(spark, sf, cfg)
+    # The canonical batch feeds both folds; it is staged once.
+    rows = stage_table(_rows(spark, sf, cfg), "canonical-batch")
     ok = rows.filter(F.col("status") == "ok")
     # The existing snapshots come from merging the even rows into empty
     # tables; merge_run checkpoints the merged core they all derive from.

@@ -68,9 +68,6 @@ def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int
     return out
 
 
-__all__ = ["normalize_feed", "canonical_rows", "ingest", "feed_columns"]
-
-
 def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
                      run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True) -> dict:
     """End-to-end mapped ingest of a folder of workbooks.
@@ -109,3 +106,6 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     out["rows"] = rows
     out["files"] = files
     return out
+
+
+__all__ = ["normalize_feed", "canonical_rows", "ingest", "ingest_workbooks", "feed_columns"]
