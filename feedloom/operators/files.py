@@ -28,9 +28,16 @@ def with_name_parts(files: DataFrame, path_col: str = "path") -> DataFrame:
     })
 
 
-def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(), path_col: str = "path") -> DataFrame:
-    """A1: keep workbook files, drop lock files and excluded folders, number
-    them in path order (part by part, like a sorted directory walk)."""
+def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(), path_col: str = "path",
+                   number: bool = True) -> DataFrame:
+    """A1: keep workbook files, drop lock files and excluded folders, and
+    order them by path, part by part, like a sorted directory walk.
+
+    ``number=True`` adds a dense ``file_seq`` (a window over the file list:
+    one row per file, metadata). ``number=False`` makes ``file_seq`` the
+    path-parts array itself, which orders the same way with no window; the
+    ingest uses that form.
+    """
     df = with_name_parts(files, path_col)
     keep = (~F.col("file_name").startswith(LOCK_PREFIX)) & F.col("ext").isin(*suffixes)
     # Compare without a local "file:" scheme, so "/in/archive" also excludes "file:/in/archive/x".
@@ -39,8 +46,10 @@ def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(),
         d = re.sub(r"^file:(//)?", "", str(d)).rstrip("/") + "/"
         keep = keep & ~plain.startswith(d)
     df = df.filter(keep)
-    w = Window.orderBy(F.split(F.col(path_col), "/"))
-    return df.withColumn("file_seq", F.row_number().over(w))
+    parts = F.split(F.col(path_col), "/")
+    if not number:
+        return df.withColumn("file_seq", parts)
+    return df.withColumn("file_seq", F.row_number().over(Window.orderBy(parts)))
 
 
 def vendor_match(files: DataFrame, rules: DataFrame) -> DataFrame:

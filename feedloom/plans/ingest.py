@@ -84,7 +84,7 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
 
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                .select("path"))
-    inv = file_inventory(listing, exclude_dirs=exclude_dirs)
+    inv = file_inventory(listing, exclude_dirs=exclude_dirs, number=False)
     files = vendor_match(inv, match_rules_df(spark, mappings))
     matched = files.filter(F.col("status") == "matched").select(
         F.col("path").alias("file_path"), "file_seq", "vendor_code")
