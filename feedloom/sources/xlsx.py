@@ -141,7 +141,7 @@ def iter_cells(data: bytes, sheets: set[str] | None = None):
                     yield name, seq, row_no, col_index(ref), kind, text
 
 
-@udtf(returnType=CELLS_SCHEMA)
+@udtf(returnType=CELLS_SCHEMA, useArrow=True)
 class WorkbookCells:
     """UDTF: one workbook (bytes) -> its non-empty cells."""
 
