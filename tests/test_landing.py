@@ -58,3 +58,16 @@ def test_sheet_with_empty_top_rows_uses_row_zero(spark):
     rows = [("w.xlsx", "S", 40, 0, "s", "late"), ("w.xlsx", "S", 41, 0, "s", "data")]
     h = L.detect_header(spark.createDataFrame(rows, CELLS)).collect()
     assert [(r.header_row, r.score) for r in h] == [(0, -0.5)]
+
+
+def test_landing_wide_table(spark):
+    rows = [
+        ("w.xlsx", "S", 0, 0, "s", "Name"), ("w.xlsx", "S", 0, 1, "s", "Name"), ("w.xlsx", "S", 0, 2, "s", "Qty"),
+        ("w.xlsx", "S", 1, 0, "s", "a"), ("w.xlsx", "S", 1, 1, "s", "b"), ("w.xlsx", "S", 1, 2, "n", "3"),
+        ("w.xlsx", "S", 2, 0, "s", "c"), ("w.xlsx", "S", 2, 2, "n", "4"),
+    ]
+    out = L.raw_landing(spark.createDataFrame(rows, CELLS))
+    names = [r.stored_column_name for r in out["column_map"].orderBy("col_idx").collect()]
+    assert names == ["name", "name1", "qty"]         # "Name.1" from the sheet parse; "." is dropped
+    wide = L.landing_wide(out["landing"], names).orderBy("source_row_number").collect()
+    assert [(r.source_row_number, r.name, r.name1, r.qty) for r in wide] == [(0, "a", "b", "3"), (1, "c", None, "4")]
