@@ -17,10 +17,16 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "feedloom") -> SparkSession:
-    """A session with AQE (coalescing, skew joins) and no UI server."""
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "feedloom",
+                  driver_memory: str = "16g") -> SparkSession:
+    """A session with AQE (coalescing, skew joins) and no UI server.
+
+    In local mode the driver JVM runs the executors too, so its heap (default
+    1 GB) is the memory for every task; ``driver_memory`` sizes it.
+    """
     spark = (
         SparkSession.builder.master(master).appName(app)
+        .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
