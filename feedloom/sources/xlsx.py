@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..session import ship_package
+
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RNS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
@@ -162,6 +164,7 @@ def read_cells(spark: SparkSession, path: str, glob: str = "*.xls[xm]", recursiv
     files = files.select(F.col("path").alias("file_path"), "content").withColumn(
         "file_name", F.element_at(F.split("file_path", "/"), -1)).filter(~F.col("file_name").startswith("~$"))
     wanted = F.lit(None).cast("string") if sheets is None else F.lit("\x1f".join(sheets))
+    ship_package(spark)
     spark.udtf.register("feedloom_workbook_cells", WorkbookCells)
     return spark.sql(
         "SELECT f.file_path, f.file_name, c.* FROM {files} f, "
@@ -307,6 +310,7 @@ def write_workbooks(cells: DataFrame, out_dir: str, rows_per_book: int = 65536,
 
     import pyarrow.fs as pafs
 
+    ship_package(cells.sparkSession)
     blocks = cells.withColumn("__block", F.floor(F.col("row_idx") / rows_per_book).cast("bigint"))
     if book_col is None:
         blocks = blocks.withColumn("__book", F.lit(None).cast("string"))

@@ -23,6 +23,7 @@ from ..config import sheet_rules_df
 from ..operators.merge import merge_run
 from ..plans.ingest import canonical_rows
 from ..schema import ATTRIBUTE_TABLES, PRESENCE_TABLES
+from ..session import ship_package
 from ..sources.xlsx import WorkbookCells, mapped_rows
 
 TABLES = ["core", *ATTRIBUTE_TABLES, *PRESENCE_TABLES]
@@ -59,6 +60,7 @@ def start(spark: SparkSession, drop_dir: str, cfg: dict, snapshots: str, checkpo
           archive_dir: str | None = None, run_id: int | None = None, max_files: int | None = None,
           glob: str = "*.xls[xm]"):
     """Start one ``availableNow`` run over the drop folder; returns the query."""
+    ship_package(spark)
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true"))
     if max_files:
