@@ -25,3 +25,11 @@ def test_positional_index_global_with_base(spark):
     got = positional_index(df, [], ["o"], "pos", bucket_bits=3, base=1)
     want = df.withColumn("pos", F.row_number().over(Window.orderBy("o")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_positional_index_negative_and_null_order(spark):
+    rows = [("g", v) for v in [-70000, -5, -1, 0, 3, 65535, 65536, 200000, None]]
+    df = spark.createDataFrame(rows, "g string, o bigint")
+    got = {r.o: r.pos for r in positional_index(df, ["g"], ["o"], "pos", bucket_bits=4).collect()}
+    # Spark sorts NULL first in ascending order; buckets keep that order.
+    assert got == {None: 0, -70000: 1, -5: 2, -1: 3, 0: 4, 3: 5, 65535: 6, 65536: 7, 200000: 8}
