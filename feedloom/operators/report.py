@@ -28,6 +28,14 @@ def category_counts(rows: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def category_totals(rows: DataFrame) -> DataFrame:
+    """I2 with totals: per (file, category), per file and overall (``rollup``),
+    ``level`` is ``grouping_id()``: 0 = detail, 1 = file total, 3 = grand total."""
+    ok = rows.filter(F.col("status") == "ok")
+    return ok.rollup(F.col("source_file_name").alias("file"), "category_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("level"))
+
+
 def category_map(rows: DataFrame) -> DataFrame:
     """I2 as the report's ``by_category`` map column, one row per file."""
     return category_counts(rows).groupBy("file").agg(

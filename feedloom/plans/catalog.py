@@ -476,6 +476,11 @@ def q_category_counts(spark, sf):
     return R.category_counts(_rows(spark, sf))
 
 
+@query("category_totals")
+def q_category_totals(spark, sf):
+    return R.category_totals(_rows(spark, sf)).withColumn("level", F.col("level").cast("bigint"))
+
+
 @query("run_report")
 def q_run_report(spark, sf):
     matched = FL.vendor_match(_inventory(spark, sf), match_rules_df(spark, _vendors()))

@@ -583,6 +583,10 @@ def build() -> dict[str, str]:
     q["file_counters"] = with_rows(lay) + "\n" + counters
     q["category_counts"] = with_rows(lay) + (
         "\nSELECT source_file_name AS file, category_type, count(*) AS n_rows FROM rows WHERE status = 'ok' GROUP BY ALL")
+    q["category_totals"] = with_rows(lay) + (
+        "\nSELECT source_file_name AS file, category_type, count(*) AS n_rows, "
+        "CAST(grouping(source_file_name, category_type) AS BIGINT) AS level "
+        "FROM rows WHERE status = 'ok' GROUP BY ROLLUP (source_file_name, category_type)")
     q["run_report"] = with_rows(lay) + ",\n" + _matched().removeprefix("WITH ") + (
         f"\nSELECT *, false AS skipped, CAST(NULL AS VARCHAR) AS reason, 'ok' AS status FROM ({counters}) "
         "UNION ALL SELECT file_name, NULL, NULL, NULL, NULL, NULL, true, reason, 'skipped' FROM matched WHERE status = 'skipped'")
