@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, sharding
-from .tables import table
+from . import decontamination, jaccard_join, language_id, license_scan, packing, secret_scan, sharding, token_counts
+from .tables import remainder, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,35 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), buckets=16, token_budget=65_536)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~remainder(F.col("doc_id"), 4, 2)))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", remainder(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model") -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.load_vocabulary(vocabulary))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    base, first = F.array_distinct("places.label"), F.col("places.first")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, F.col("matches.label"))), ",").alias("labels"), "score")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), k=5)
 
@@ -32,6 +61,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_packing": op2_packing,
+    "op3_language_id": op3_language_id,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_token_counts": op6_token_counts,
+    "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_sharding": op10_sharding,
 }

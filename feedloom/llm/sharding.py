@@ -1,31 +1,22 @@
 """Contiguous shards of near-equal byte size from global prefix sums.
 
-Rows are put in one global order, range partitions of that order are written
-once to the shared folder, and the byte totals of the partitions (one row
-each) give every partition its starting offset. A running sum inside the
-partition then gives each row its global byte offset, and the row belongs to
-the shard whose equal share of all bytes holds the middle of the row.
-
-Only narrow columns move (id, size, checksum, never the texts). Equal rows are
-counted before the shuffle and carried as blocks of at most ``COPY_BLOCK``
-copies, so no key, however frequent, is one task's work.
-
-Built-in SQL functions only.
-
-Defined cases: a null text has 8 bytes and checksum 0's null (``text_crc32`` is
-null); null ids sort first; repeated rows are separate rows with neighbouring
-offsets; an empty table gives an empty result; other columns of the input are
-ignored, whatever their names.
+Rows are put in one global order; partition totals and running sums give every
+row its global byte offset (see ``prefix``), and the row belongs to the shard
+whose equal share of all bytes holds the middle of the row. Only narrow columns
+move (id, size, checksum), never the texts. Built-in SQL functions only.
+
+Defined cases: a null text has size 8 and a null checksum; null ids sort first;
+repeated rows are separate rows with neighbouring offsets; an empty table gives
+an empty result; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.session import stage_table
+from .prefix import prefix_sums
 
-COPY_BLOCK = 1 << 16
 ROW_OVERHEAD = 8
 
 
@@ -35,36 +26,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     Order: id (nulls first), checksum, size. ``slot`` counts from 0 inside the
     shard. A row's shard is ``floor((offset + size / 2) * shards / total)``.
     """
-    key = ["doc_id", "text_crc32", "size"]
-    copies = (docs.select(F.col(id_col).alias("doc_id"),
-                          (F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
-                          F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"))
-              .groupBy(*key).agg(F.count("*").alias("n")))
-    blocks = (copies
-              .select(*key, "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / COPY_BLOCK).cast("long"))).alias("block"))
-              .select(*key, "block", F.least(F.lit(COPY_BLOCK), F.col("n") - F.col("block") * COPY_BLOCK).alias("n")))
-    order = [F.col(c).asc_nulls_first() for c in (*key, "block")]
-    staged = stage_table(blocks.repartitionByRange(*order), "shards")
-    base = staged.withColumn("part", F.col("_metadata.file_name"))
-
-    totals = base.groupBy("part").agg(F.sum(F.col("n") * F.col("size")).alias("part_bytes"), F.sum("n").alias("part_rows"),
-                                      F.min(F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in (*key, "block")])).alias("low"))
-    # One row for each range partition: the only window over the whole table.
-    before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
-    parts = totals.select(
-        "part",
-        F.coalesce(F.sum("part_bytes").over(before), F.lit(0)).alias("bytes_before"),
-        F.coalesce(F.sum("part_rows").over(before), F.lit(0)).alias("rows_before"),
-        F.sum("part_bytes").over(Window.partitionBy()).alias("total"))
-
-    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = (base
-              .withColumns({"b": F.coalesce(F.sum(F.col("n") * F.col("size")).over(inside), F.lit(0)),
-                            "r": F.coalesce(F.sum("n").over(inside), F.lit(0))})
-              .join(F.broadcast(parts), "part")  # one row for each range partition
-              .withColumns({"b": F.col("b") + F.col("bytes_before"), "r": F.col("r") + F.col("rows_before")})
-              .select(*key, "b", "r", "total", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("i"))
-              .withColumns({"b": F.col("b") + F.col("i") * F.col("size"), "r": F.col("r") + F.col("i")}))
-    cut = placed.withColumn("shard", F.expr(f"cast(least({shards - 1}, ((2 * b + size) * {shards}) div (2 * total)) as int)"))
-    first = F.broadcast(cut.groupBy("shard").agg(F.min("r").alias("first_row")))  # one row for each shard
-    return cut.join(first, "shard").select(*key, "shard", (F.col("r") - F.col("first_row")).alias("slot"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"),
+                       (F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"))
+    placed = prefix_sums(rows, ["doc_id", "text_crc32", "size"], "size")
+    cut = placed.withColumn("shard", F.expr(f"cast(least({shards - 1}, ((2 * before + size) * {shards}) div (2 * total)) as int)"))
+    first = F.broadcast(cut.groupBy("shard").agg(F.min("row").alias("first_row")))  # one row for each shard
+    return cut.join(first, "shard").select("doc_id", "size", "text_crc32", "shard", (F.col("row") - F.col("first_row")).alias("slot"))
