@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, license_scan, packing, secret_scan, sharding, token_counts
+from . import decontamination, jaccard_join, language_id, license_scan, lm_scoring, nearest, packing, secret_scan, sharding, token_counts
 from .tables import remainder, table
 
 
@@ -31,6 +31,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", remainder(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents"), k=5)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 7, 2)
+    found = lm_scoring.score(docs, lm_scoring.learn(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -63,9 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_nearest": op4_nearest,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
     "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
 }
