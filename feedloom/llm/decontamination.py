@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from feedloom.session import stage_table
 
 from . import words as W
+from .tables import prepare
 
 SAMPLE = 8
 SHARD_BYTES = 8 << 20
@@ -170,6 +171,7 @@ def compile_phrases(item_ids: list, texts: list[bytes | None], window: int) -> P
 
 def phrase_blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[Phrases]:
     """The benchmark, compiled block by block (one block in the driver at a time)."""
+    prepare(benchmark.sparkSession)
     ids, texts, size = [], [], 0
     for row in benchmark.select(F.col(id_col), F.col(text_col).cast("binary")).toLocalIterator():
         text = bytes(row[1]) if row[1] is not None else b""

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 BUCKETS = 1 << 16
@@ -133,6 +134,7 @@ def _counts_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           per_language: int = TRAIN_DOCS) -> Model:
     """Fit on at most about ``per_language`` documents of each language."""
+    prepare(labelled.sparkSession)
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
@@ -214,6 +216,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """``doc_id, lang_pred, score, spans`` for every document row. ``score``:
     share of the letters on the path in that language; ``spans``: runs of words
     (runs of letters) in one language, end exclusive."""
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,6 +247,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def keep_identified(docs: DataFrame, model: Model, least_share: float = 0.5, text_col: str = "text") -> DataFrame:
     """The documents with letters of which at least ``least_share`` lie in one
     language, all their columns as they were."""
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 
@@ -166,6 +167,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
     first word; every place of a phrase), ``matches`` (template label, first and
     end word) and ``score`` (largest share of a template's mandatory wording
     found in a row; 1 for an accepted template)."""
+    prepare(docs.sparkSession)
     phrases = BASE_PHRASES if phrases is None else phrases
     automaton = TemplateAutomaton(TEMPLATES if templates is None else templates, [w for p in phrases for w in p.split()])
     wanted = [([automaton.symbol[w] for w in p.split()], label) for p, label in phrases.items()]

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from feedloom.session import stage_table
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 #: Words a task holds before it hands on its pair counts.
@@ -231,6 +232,7 @@ def learn(training: DataFrame, text_col: str = "text") -> Model:
     """Word counts, and the filter of words and word pairs, of all training
     documents."""
     spark = training.sparkSession
+    prepare(spark)
     text = training.select(F.col(text_col).alias("text"))
     counts = stage_table(text.mapInArrow(_words_pass, "word long, times long").groupBy("word").agg(F.sum("times").alias("times")), "words")
     levels = (counts.groupBy(F.floor(F.log2("times") * 4).cast("int").alias("level")).agg(F.count("*").alias("n"), F.sum("times").alias("times"))
@@ -281,6 +283,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every
     document row."""
     spark = docs.sparkSession
+    prepare(spark)
     sent = spark.sparkContext.broadcast((model.frequent, model.frequent_counts, model.filter, model.total, model.distinct))
     id_type = docs.schema[id_col].dataType.simpleString()
 

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 from feedloom.session import stage_table
 
+from .tables import prepare
+
 SHARD = 16_384
 QUERY_BLOCK = 8_192
 DEGREE = 32
@@ -208,6 +210,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEA
     """``query_id, rank, vec_id, score``: of each row of ``queries`` the ``k``
     rows of ``vectors`` with the largest inner product found."""
     spark = vectors.sparkSession
+    prepare(spark)
 
     def usable(df: DataFrame) -> DataFrame:
         x = F.col("vector")

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from feedloom.session import stage_table
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 LEAST = 8
@@ -100,6 +101,7 @@ def _sum_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def corpus_statistics(docs: DataFrame, text_col: str = "text") -> Statistics:
     """Byte pair and word counts over all documents. The counts are fixed-size
     vectors, cut into slices that are summed by slice."""
+    prepare(docs.sparkSession)
     text = docs.select(F.col(text_col).alias("text"))
     per_task = text.mapInArrow(_statistics_pass, "kind string, counts array<long>")
     cut = 4096

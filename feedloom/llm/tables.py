@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from feedloom.session import ship_package
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables. Arrow batches are kept small (they hold whole
-    texts), and the package is made importable in tasks."""
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable in tasks, and keep Arrow batches small, as
+    they hold whole texts."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

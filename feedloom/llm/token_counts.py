@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 MARK = "▁"
@@ -144,6 +145,7 @@ def load_vocabulary(path: str) -> PieceAutomaton:
 def count_tokens(docs: DataFrame, automaton: PieceAutomaton, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_tokens, n_unknown`` for every document row. The
     automaton sent to the tasks has the size of the vocabulary."""
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
