@@ -16,16 +16,19 @@ by a 64-bit fingerprint of the set and its size; all later work is on nodes.
 Lists are never expanded to all pairs. Inside a list, every set is compared with
 one leader of similar size, first in the task that reads it, then leaders among
 themselves. After the found links are closed to components, only lists that
-still span several components compare their members, across components and
+still span several components go on: they compare more leaders with their other
+components, turn after turn, and at last all pairs left across components and
 within the size limits; so no link between different components is lost.
-Candidates are checked exactly on their whole sets.
+Candidates are first compared by parity maps of their sets (a few bits for each
+element), which can only rule out pairs that do not link, and then exactly on
+their whole sets.
 
 Components come from minimum labels with pointer jumping, each round written to
 the shared folder.
 
 Defined cases: null or wordless texts have the empty set, link with nothing and
 are their own component; repeated rows and equal texts share a component; a
-component's id is its smallest non-null id; other columns are ignored (or passed
+component's id is its smallest non-null id (null, if all are); other columns are ignored (or passed
 on by ``keep_one``); an empty table gives an empty result.
 """
 
@@ -37,12 +40,13 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.session import stage_table
 
 from . import words as W
+from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 #: Prefix elements a task holds before it hands them on.
@@ -52,6 +56,9 @@ ORDER_HINTS = 1 << 17
 #: Bits of the filter that keeps texts without candidates from being shuffled.
 FILTER_BITS = 1 << 23
 MAX_LIGHT = 16
+#: Entries of a long list that are compared with all others in a turn; turns.
+LEADERS = 16
+TURNS = 2
 T_NUM, T_DEN = 4, 5  # threshold 0.8
 
 
@@ -114,8 +121,24 @@ def fingerprint(s: np.ndarray) -> int:
     return int(mixed.view(np.int64)[0])
 
 
+def parity_map(s: np.ndarray) -> bytes:
+    """Two to four bits for each element of a set: bit ``element mod size`` is
+    flipped by every element. The maps of two sets differ in no more bits than
+    the sets differ in elements."""
+    size = max(64, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def maps_differ(a: bytes, b: bytes) -> int:
+    """In how many bits two parity maps differ, the larger one folded."""
+    x, y = (np.frombuffer(m, dtype=np.uint64) for m in sorted((a, b), key=len))
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets_pass(k: int):
-    """Rows (doc_id, node, n) for documents, and (element, count) hints for
+    """Rows (doc_id, key, node, n, map) for documents, and (element, count) hints for
     elements that several sets of a chunk hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in W.chunks(batches, "text", CHUNK_BYTES):
@@ -132,13 +155,14 @@ def _sets_pass(k: int):
             else:
                 times = np.empty(0, dtype=np.int64)
             rows, hints = chunk.num_rows, len(common)
-            ids = pa.concat_arrays([chunk.column(0), pa.nulls(hints, chunk.column(0).type)])
+            ids, key = (pa.concat_arrays([c, pa.nulls(hints, c.type)]) for c in chunk.columns[:2])
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(node + [None] * hints, type=pa.int64()),
+                [ids, key, pa.array(node + [None] * hints, type=pa.int64()),
                  pa.concat_arrays([pa.array(n), pa.nulls(hints, pa.int64())]),
                  pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(common.view(np.int64))]),
-                 pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(times.astype(np.int64))])],
-                ["doc_id", "node", "n", "element", "times"])
+                 pa.concat_arrays([pa.nulls(rows, pa.int64()), pa.array(times.astype(np.int64))]),
+                 pa.array([parity_map(s) if len(s) else None for s in sets] + [None] * hints, type=pa.binary())],
+                ["doc_id", "key", "node", "n", "element", "times", "map"])
     return run
 
 
@@ -204,117 +228,109 @@ class _Hints:
         return np.concatenate([head, s[maybe][often][:length - len(head)]])
 
 
-def _stars(token: np.ndarray, node: np.ndarray, n: np.ndarray):
-    """Inside every list: runs of similar size, a leader for each run.
-
-    Returns leader pairs (token, a, b, na, nb) and the leaders' entries. Entries
-    of one list are linked to its run's leader, and runs to the run before."""
-    order = np.lexsort((node, n, token))
-    token, node, n = token[order], node[order], n[order]
-    if len(token):
-        same = np.concatenate([[False], (token[1:] == token[:-1]) & (node[1:] == node[:-1]) & (n[1:] == n[:-1])])
-        token, node, n = token[~same], node[~same], n[~same]
-    listed = np.concatenate([[True], token[1:] != token[:-1]]) if len(token) else np.empty(0, bool)
-    lead = np.arange(len(token))
-    heads = np.flatnonzero(listed)
-    lengths = np.diff(np.concatenate([heads, [len(token)]]))
-    leaders = listed.copy()
-    active, lead_n = heads[lengths > 1], None
-    lead_at = active.copy()
-    left = lengths[lengths > 1] - 1
-    at = active + 1
-    while len(at):                                   # one step along all lists
-        lead_n = n[lead_at]
-        fresh = n[at] * T_NUM > lead_n * T_DEN       # too large for the run's leader
-        leaders[at[fresh]] = True
-        before = lead_at.copy()
-        lead_at = np.where(fresh, at, lead_at)
-        lead[at] = np.where(fresh, before, lead_at)
-        left -= 1
-        go = left > 0
-        at, lead_at, left = at[go] + 1, lead_at[go], left[go]
-    pair = np.flatnonzero(lead != np.arange(len(token)))
-    return (token[pair], node[lead[pair]], node[pair], n[lead[pair]], n[pair]), (token[leaders], node[leaders], n[leaders])
-
-
-_PAIR = "token long, a long, b long, na long, nb long"
+def _stars(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray):
+    """Inside every list: classes of similar size, a leader for each class.
+
+    The leader is the set that has the element earliest in its order (of near
+    copies, the one with the fewest elements of its own). Returns pairs (token,
+    a, b, na, nb, pa, pb) of entries with their leader and of a list's leaders in
+    a row, and the leaders' entries."""
+    size_class = np.floor(np.log(n) / np.log(T_DEN / T_NUM)).astype(np.int64)
+    order = np.lexsort((node, pos, size_class, token))
+    token, node, n, pos, size_class = (x[order] for x in (token, node, n, pos, size_class))
+    if not len(token):
+        return (token, node, node, n, n, pos, pos), (token, node, n, pos)
+    fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
+    token, node, n, pos, size_class = (x[fresh] for x in (token, node, n, pos, size_class))
+    listed = np.concatenate([[True], token[1:] != token[:-1]])
+    leads = listed | np.concatenate([[True], size_class[1:] != size_class[:-1]])
+    at = np.arange(len(token))
+    leader = np.maximum.accumulate(np.where(leads, at, 0))
+    before = np.concatenate([[0], leader[:-1]])                   # the class before
+    leader = np.where(leads & ~listed, before, leader)
+    b = np.flatnonzero(leader != at)
+    a = leader[b]
+    return (token[b], node[a], node[b], n[a], n[b], pos[a], pos[b]), (token[leads], node[leads], n[leads], pos[leads])
+
+
+_PAIR = "token long, a long, b long, na long, nb long, pa long, pb long"
+_COLUMNS = ["token", "a", "b", "na", "nb", "pa", "pb"]
 
 
 def _lists_pass(k: int, boundary: int, parts: int, hints):
     """Prefix elements of all sets that may link through a list. Elements that
     meet in the task are paired with their leader there; the leaders' entries go
     on, packed, one row for each target partition."""
-    def pack(token, node, n):
+    def pack(token, node, n, pos):
         to = (W.mix(token) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(to, kind="stable")
-        token, node, n, to = token[order], node[order], n[order], to[order]
+        token, node, n, pos, to = (x[order] for x in (token, node, n, pos, to))
         cuts = np.searchsorted(to, np.arange(parts + 1))
         for p in range(parts):
             a, b = cuts[p], cuts[p + 1]
             if a < b:
-                yield p, token[a:b].tobytes() + node[a:b].tobytes() + n[a:b].astype(np.int32).tobytes()
+                yield p, b"".join([token[a:b].tobytes(), node[a:b].tobytes(), n[a:b].astype(np.int32).tobytes(), pos[a:b].astype(np.int32).tobytes()])
 
-    def flush(token, node, n):
-        pairs, kept = _stars(np.concatenate(token), np.concatenate(node), np.concatenate(n))
+    def flush(held):
+        pairs, kept = _stars(*(np.concatenate(x) for x in zip(*held)))
         packed = list(pack(*kept))
         m = len(pairs[0])
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in packed], pa.int32()), pa.array([x for _, x in packed], pa.binary()),
-                                          *[pa.nulls(len(packed), pa.int64())] * 5], ["part", "entries", "token", "a", "b", "na", "nb"])
+                                          *[pa.nulls(len(packed), pa.int64())] * len(_COLUMNS)], ["part", "entries", *_COLUMNS])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(m) % parts, pa.int32()), pa.nulls(m, pa.binary()),
-                                          *[pa.array(x.view(np.int64)) for x in pairs]], ["part", "entries", "token", "a", "b", "na", "nb"])
+                                          *[pa.array(x.view(np.int64)) for x in pairs]], ["part", "entries", *_COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = hints.value
-        token, node, n, held, seen = [], [], [], 0, set()
+        held, size, seen = [], 0, set()
         for chunk in W.chunks(batches, "text", CHUNK_BYTES):
             for s in shingle_sets(W.texts_of(chunk, "text"), k):
                 if most(len(s)) <= boundary or (f := fingerprint(s)) in seen:
                     continue
                 seen.add(f)
                 head = order.prefix(s, len(s) - least(len(s)) + 1)
-                token.append(head)
-                node.append(np.full(len(head), f, dtype=np.int64))
-                n.append(np.full(len(head), len(s), dtype=np.int64))
-                held += len(head)
-            if held >= FLUSH:
-                yield from flush(token, node, n)
-                token, node, n, held = [], [], [], 0
+                held.append((head, np.full(len(head), f, dtype=np.int64), np.full(len(head), len(s), dtype=np.int64), np.arange(len(head))))
+                size += len(head)
+            if size >= FLUSH:
+                yield from flush(held)
+                held, size = [], 0
         if held:
-            yield from flush(token, node, n)
+            yield from flush(held)
     return run
 
 
 def _meet_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lists of one partition: leaders of the tasks meet; pairs found
     earlier pass through."""
-    token, node, n = [], [], []
+    held = []
     for batch in batches:
         entries = batch.column(1)
         for x in entries.drop_null().to_pylist():
-            m = len(x) // 20
-            token.append(np.frombuffer(x, np.uint64, m))
-            node.append(np.frombuffer(x, np.int64, m, 8 * m))
-            n.append(np.frombuffer(x, np.int32, m, 16 * m).astype(np.int64))
-        yield pa.RecordBatch.from_arrays(batch.filter(entries.is_null()).columns[2:], ["token", "a", "b", "na", "nb"])
-    if token:
-        pairs, _ = _stars(np.concatenate(token), np.concatenate(node), np.concatenate(n))
-        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in pairs], ["token", "a", "b", "na", "nb"])
+            m = len(x) // 24
+            held.append((np.frombuffer(x, np.uint64, m), np.frombuffer(x, np.int64, m, 8 * m),
+                         np.frombuffer(x, np.int32, m, 16 * m).astype(np.int64), np.frombuffer(x, np.int32, m, 20 * m).astype(np.int64)))
+        yield pa.RecordBatch.from_arrays(batch.filter(entries.is_null()).columns[2:], _COLUMNS)
+    if held:
+        pairs, _ = _stars(*(np.concatenate(x) for x in zip(*held)))
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in pairs], _COLUMNS)
 
 
 # -- exact check --------------------------------------------------------------
 
-def _sizes_fit(a: str, b: str) -> str:
-    return f"{T_DEN} * least({a}, {b}) >= {T_NUM} * greatest({a}, {b})"
+#: Sizes that can link, and positions of a shared element from which the overlap
+#: can still be reached. A linked pair meets this at its first shared element.
+_CAN_LINK = (f"{T_DEN} * least(na, nb) >= {T_NUM} * greatest(na, nb) and "
+             f"least(na - pa, nb - pb) * {T_NUM + T_DEN} >= {T_NUM} * (na + nb)")
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame, doc_nodes: DataFrame, k: int) -> DataFrame:
     """(node, items) for the given nodes: whole sets, computed from the texts of
     one document each. A bit filter of fixed size keeps other texts out of the
     shuffle; it may let some through, which the exact join drops."""
-    ids = nodes.join(doc_nodes, "node").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("id_hash"))
-    bits = (ids.select(F.pmod("id_hash", F.lit(FILTER_BITS)).alias("slot"))
+    ids = doc_nodes.select("node", "key").join(nodes, "node").groupBy("node").agg(F.min("key").alias("key"))
+    bits = (ids.select(F.pmod("key", F.lit(FILTER_BITS)).alias("slot"))
             .selectExpr("cast(slot div 64 as int) w", "shiftleft(1L, cast(slot % 64 as int)) bit")
-            .groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas())  # FILTER_BITS / 64 rows at most
+            .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow())  # FILTER_BITS / 64 rows at most
     mask = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     mask[bits["w"].to_numpy()] = bits["bits"].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(np.unpackbits(mask.view(np.uint8), bitorder="little").astype(bool))
@@ -329,18 +345,31 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, doc_nodes: DataFrame, k: int) ->
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 items = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
-                                                  pa.ListArray.from_arrays(at, pa.array(items))], ["id_hash", "node", "items"])
+                                                  pa.ListArray.from_arrays(at, pa.array(items))], ["key", "node", "items"])
+
+    found = docs.select("key", "text").mapInArrow(run, "key long, node long, items array<long>")
+    return found.join(ids, ["node", "key"], "left_semi").dropDuplicates(["node"])
 
-    found = docs.select(F.xxhash64("doc_id").alias("id_hash"), "text").mapInArrow(run, "id_hash long, node long, items array<long>")
-    return found.join(ids, ["node", "id_hash"], "left_semi").dropDuplicates(["node"])
+
+def _maps_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose parity maps leave room for a link. Linked sets of sizes n and
+    m differ in ``n + m - 2 need(n, m)`` elements at most."""
+    for batch in batches:
+        rows = zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)))
+        yield batch.filter(pa.array([maps_differ(ma, mb) <= na + nb - 2 * need(na, nb) for na, nb, ma, mb in rows], pa.bool_())).select([0, 1])
 
 
 def check(pairs: DataFrame, docs: DataFrame, doc_nodes: DataFrame, k: int) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold."""
-    pairs = stage_table(pairs.filter(_sizes_fit("na", "nb")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    """The pairs (a, b) whose Jaccard similarity reaches the threshold. Parity
+    maps drop most others; what is left is compared on the whole sets."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    maps = stage_table(doc_nodes.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("map").alias("map")), "maps")
+    near = stage_table(pairs.join(maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("map").alias("ma")), "a")
+                       .join(maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("map").alias("mb")), "b")
+                       .select("a", "b", "na", "nb", "ma", "mb").mapInArrow(_maps_pass, "a long, b long"), "near")
+    nodes = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = stage_table(_sets_of(docs, nodes, doc_nodes, k).select("node", "items"), "sets")
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("sa")), "a")
+    both = (near.join(sets.select(F.col("node").alias("a"), F.col("items").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("items").alias("sb")), "b")
             .select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("both"), (F.size("sa") + F.size("sb")).alias("sum")))
     return both.filter(f"{T_DEN} * both >= {T_NUM} * (sum - both)").select("a", "b")
@@ -364,15 +393,81 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+# -- lists over several components ----------------------------------------------
+
+def _spanning(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries of lists over several components, with their component and
+    the list's length m."""
+    rooted = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lists = (rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"))
+             .filter("low <> high").select("token", "m"))
+    return rooted.join(lists, "token")
+
+
+def _across(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of entries of a list, of different components and fitting sizes."""
+    a = left.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
+    b = right.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
+    return a.join(b, "token").filter("a <> b and ra <> rb and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _leaders(entries: DataFrame, turn: int) -> DataFrame:
+    """``LEADERS`` entries of each list at most, others in each turn."""
+    h = F.xxhash64("node", F.lit(turn))
+    return (entries.groupBy("token", F.pmod(h, F.lit(LEADERS)).alias("seat")).agg(F.min(F.struct("pos", h.alias("h"), "node", "n", "root")).alias("x"))
+            .select("token", "x.node", "x.n", "x.pos", "x.root"))
+
+
+def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: DataFrame, doc_nodes: DataFrame, k: int) -> DataFrame:
+    """Components after every pair that a list can still link was compared.
+
+    Short lists compare all their pairs across components. Long ones compare
+    ``LEADERS`` entries with all others, turn after turn; once the pairs left
+    are no more than that (or turns bring nothing), they are all compared."""
+    members = stage_table(met.select("token", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("na").alias("n"), F.col("pa").alias("pos")),
+                                                                F.struct(F.col("b").alias("node"), F.col("nb").alias("n"), F.col("pb").alias("pos")))).alias("m"))
+                          .select("token", "m.*").distinct(), "members")
+    tried = met.filter(_CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    turn = 0
+    while True:
+        entries = stage_table(_spanning(members, labels), "spanning")
+        if turn == 0:
+            short = entries.filter(F.col("m") <= 2 * LEADERS)
+            members = stage_table(entries.filter(F.col("m") > 2 * LEADERS).select("token", "node", "n", "pos"), "members")
+            entries = entries.filter(F.col("m") > 2 * LEADERS)
+        sizes = (entries.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+                 .agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first())
+        last = turn >= TURNS or (sizes["pairs"] or 0) <= LEADERS * (sizes["rows"] or 0)
+        pairs = _across(entries, entries) if last else _across(_leaders(entries, turn), entries)
+        if turn == 0:
+            pairs = pairs.union(_across(short, short)).distinct()
+        pairs = stage_table(pairs.join(tried, ["a", "b"], "left_anti"), "rest")
+        if pairs.limit(1).count():
+            found = stage_table(check(pairs, docs, doc_nodes, k), "links")
+            if found.limit(1).count():
+                links = links.union(found)
+                labels = components(links)
+        if last:
+            return labels
+        tried, turn = tried.union(pairs.select("a", "b")), turn + 1
+
+
 # -- operator -----------------------------------------------------------------
 
-def near_duplicate_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document row."""
+def _row_key(docs: DataFrame, id_col: str, text_col: str):
+    """A hash of id and text; equal for repeated rows."""
+    return F.xxhash64(docs[id_col], docs[text_col])
+
+
+def _assign(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, key, n, component_id, stays) for every document row; in each
+    component the row with the smallest id (then key) stays, and repetitions."""
     spark = docs.sparkSession
+    prepare(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    first = stage_table(source.mapInArrow(_sets_pass(k), f"doc_id {id_type}, node long, n long, element long, times long"), "sets")
-    doc_nodes = first.filter("element is null").select("doc_id", "node", "n")
+    source = docs.select(docs[id_col].alias("doc_id"), _row_key(docs, id_col, text_col).alias("key"), docs[text_col].alias("text"))
+    first = stage_table(source.mapInArrow(_sets_pass(k), f"doc_id {id_type}, key long, node long, n long, element long, times long, map binary"), "sets")
+    doc_nodes = first.filter("element is null").select("doc_id", "key", "node", "n", "map")
     text = source.select("text")
 
     # Distinct set sizes are fewer than words in the longest text; beyond MAX_LIGHT one number does.
@@ -389,50 +484,45 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id
         if total > ORDER_HINTS:
             break
         low = r["level"]
-    top = hint.filter(F.floor(F.log2("times") * 4) >= low).toPandas()  # ORDER_HINTS rows at most
-    hints = spark.sparkContext.broadcast(_Hints(top["element"].to_numpy(dtype=np.int64).view(np.uint64), top["times"].to_numpy(dtype=np.int64)))
+    top = hint.filter(F.floor(F.log2("times") * 4) >= low).toArrow()  # ORDER_HINTS rows at most
+    hints = spark.sparkContext.broadcast(_Hints(top["element"].to_numpy().view(np.uint64), top["times"].to_numpy()))
 
     met = stage_table(text.mapInArrow(_lists_pass(k, boundary, parts, hints), f"part int, entries binary, {_PAIR}")
                       .repartition(parts, "part").mapInArrow(_meet_pass, _PAIR), "lists")
-    links = check(met, source, doc_nodes, k)
+    first_pairs = met.filter(_CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = check(stage_table(first_pairs, "pairs"), source, doc_nodes, k)
     if boundary:
         links = links.union(light_links(text, k, boundary))
     links = stage_table(links, "links")
     labels = components(links)
 
-    # Lists that still span several components.
-    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    known = met.join(root("a"), "a", "left").join(root("b"), "b", "left").withColumns(
-        {"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")})
-    known = stage_table(known, "known")
-    open_lists = known.filter("root_a <> root_b").select("token").distinct()
-    members = (known.join(open_lists, "token")
-               .select("token", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("na").alias("n"), F.col("root_a").alias("root")),
-                                                  F.struct(F.col("b").alias("node"), F.col("nb").alias("n"), F.col("root_b").alias("root")))).alias("m"))
-               .select("token", "m.*").distinct())
-    members = stage_table(members, "members")
-    left = members.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = members.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = left.join(right, "token").filter("a < b and ra <> rb and " + _sizes_fit("na", "nb")).select("a", "b", "na", "nb").distinct()
-    tried = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = stage_table(across.join(tried, ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
-        more = stage_table(check(rest, source, doc_nodes, k), "links")
-        if more.limit(1).count():
-            labels = components(links.union(more))
-
-    nodes = doc_nodes.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = nodes.join(lowest, "root").select("node", "component_id")
-    return (doc_nodes.join(named, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    labels = _close_lists(met, links, labels, source, doc_nodes, k)
+
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    nodes = doc_nodes.filter("node is not null").groupBy("node").agg(F.min(row).alias("low")).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lowest = nodes.groupBy("root").agg(F.min("low").alias("first"))
+    named = nodes.join(lowest, "root").select("node", "first")
+    empty = F.col("node").isNull()
+    return doc_nodes.join(named, "node", "left").select(
+        "doc_id", "key", "n", F.when(empty, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (empty | (F.col("key") == F.col("first.key"))).alias("stays"))
+
+
+def near_duplicate_components(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every document row."""
+    return _assign(docs, k, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of every component, the one with the smallest id; documents
-    with empty sets all stay. All columns as they were. Of repeated rows with
-    that id one stays."""
-    found = near_duplicate_components(docs, k, id_col, text_col)
-    kept = found.filter("doc_id = component_id or n_shingles = 0").select(F.col("doc_id").alias("__keep"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
-    joined = docs.join(kept, docs[id_col].eqNullSafe(kept["__keep"]), "left_semi")
-    return joined
+    """One document of every component, the one with the smallest id (null ids
+    last); documents with empty sets all stay. All columns as they were."""
+    rows = stage_table(_assign(docs, k, id_col, text_col).select("key", "n", "stays"), "components")
+    repeated = rows.filter("stays and n > 0").groupBy("key").count().filter("count > 1").select("key")
+    gone = rows.filter("not stays").select("key").union(repeated).distinct()
+    key = _row_key(docs, id_col, text_col)
+    kept = docs.join(gone, key == gone["key"], "left_anti")
+    if repeated.limit(1).count():
+        again = docs.join(repeated, key == repeated["key"], "left_semi")
+        number = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))
+        kept = kept.union(again.select(*[again[c] for c in again.columns], number.alias("__copy")).filter(F.col("__copy") == 1).drop("__copy"))
+    return kept

@@ -144,10 +144,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     share = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))]), F.col("lang"))
     drawn = rows.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
     counts = (drawn.mapInArrow(_counts_pass, "lang string, feature int, times long")
-              .groupBy("lang", "feature").agg(F.sum("times").alias("times")).toPandas())  # BUCKETS + 256 rows a language at most
+              .groupBy("lang", "feature").agg(F.sum("times").alias("times")).toArrow())  # BUCKETS + 256 rows a language at most
     langs = sorted(sizes)
     table = np.zeros((len(langs), BUCKETS + 256))
-    table[counts["lang"].map({k: i for i, k in enumerate(langs)}).to_numpy(dtype=np.int64), counts["feature"].to_numpy()] = counts["times"].to_numpy()
+    table[np.searchsorted(langs, counts["lang"].to_pylist()), counts["feature"].to_numpy()] = counts["times"].to_numpy()
     grams, scripts = table[:, :BUCKETS], table[:, BUCKETS:]
     logp = np.log(grams + SMOOTH) - np.log(grams.sum(axis=1, keepdims=True) + SMOOTH * BUCKETS)
     uses = (scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(axis=1, keepdims=True))) & (scripts > 0)
