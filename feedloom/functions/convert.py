@@ -57,6 +57,21 @@ def to_bool(c) -> Column:
     return F.when(s.isin(*TRUE_WORDS), F.lit(True)).when(s.isin(*FALSE_WORDS), F.lit(False))
 
 
+def number_text(c: Column, sql_type: str) -> Column:
+    """A converted value as Python's ``str`` writes it: ``12345678.0``, never in
+    Java's ``1.2345678E7`` form; booleans as ``True`` / ``False``. Doubles from
+    1e16 on have an exponent in Python too (``1e+16``)."""
+    if sql_type == "boolean":
+        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    if sql_type != "double":
+        return c.cast("string")
+    plain = (c == 0) | ((F.abs(c) >= 1e-4) & (F.abs(c) < 1e16))
+    digits = F.regexp_replace(c.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    short = F.regexp_replace(c.cast("string"), r"(?:\.0)?E", "e")
+    signed = F.regexp_replace(short, r"e(\d)", "e+$1")
+    return F.when(plain, F.regexp_replace(digits, r"\.$", ".0")).otherwise(F.regexp_replace(signed, r"e-(\d)$", "e-0$1"))
+
+
 # Conversion kinds of a mapping's ``conversions`` block, in application order.
 CONVERTERS = {
     "money": to_money,

@@ -8,44 +8,56 @@ Rule order is preserved by ordered ``when`` chains: the first hit wins.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.patterns import is_plain, java_pattern
 from ..functions.text import has_text, strip_u
-from ..schema import DEFAULT_CATEGORY
-
-# Columns the pipeline adds next to the feed's own columns; they are never
-# seen by classification rules (the reference only sees the sheet's cells).
-META_COLUMNS = frozenset({
-    "row_idx", "file_name", "sheet_name", "file_seq", "sheet_seq", "vendor_code",
-    "mapping_seq", "header_row", "run_id", "file_path",
-})
+from ..schema import DEFAULT_CATEGORY, HAS, RESERVED
 
 
 def feed_columns(columns: Iterable[str]) -> list[str]:
-    return [c for c in columns if c not in META_COLUMNS and not c.endswith("_kind")]
+    """The feed's own columns: rules never see what the pipeline adds."""
+    return [c for c in columns if not c.startswith(RESERVED)]
 
 
 def _null() -> Column:
     return F.lit(None).cast("string")
 
 
-def _tokens(tokens) -> list[str]:
-    return [str(t).strip().lower() for t in (tokens or []) if str(t).strip() != ""]
+def feature_tokens(tokens) -> list[str]:
+    """Lower-cased, stripped, non-empty tokens."""
+    cleaned = (str(t).strip().lower() for t in tokens or ())
+    return [t for t in cleaned if t]
+
+
+def config_tokens(cfg: dict) -> list[str]:
+    """All feature tokens that a mapping's rules ask for, without repeats."""
+    cat = cfg.get("category") or {}
+    rules = [*(cat.get("rules") or []), *((cat.get("feature_presence") or {}).get("rules") or [])]
+    return list(dict.fromkeys(t for r in rules for t in feature_tokens(r.get("if_any_field_present"))))
 
 
 def feature_present(columns: Iterable[str], tokens) -> Column:
-    """some column whose lower-cased name equals/contains a token has text."""
-    toks = _tokens(tokens)
-    hits = [c for c in columns if any(t in str(c).lower() for t in toks)]
-    if not hits:
+    """some column whose lower-cased name equals/contains a token has text.
+
+    A pivoted sheet holds the mapping's columns only; it brings one flag for
+    each token, worked out over all columns of the sheet (see ``mapped_rows``).
+    """
+    columns = list(columns)
+    checks = []
+    for t in feature_tokens(tokens):
+        if HAS + t in columns:
+            checks.append(F.coalesce(F.col(f"`{HAS}{t}`"), F.lit(False)))
+        else:
+            checks += [has_text(F.col(f"`{c}`")) for c in feed_columns(columns) if t in str(c).lower()]
+    if not checks:
         return F.lit(False)
-    out = has_text(F.col(f"`{hits[0]}`"))
-    for c in hits[1:]:
-        out = out | has_text(F.col(f"`{c}`"))
+    out = checks[0]
+    for c in checks[1:]:
+        out = out | c
     return out
 
 
@@ -91,37 +103,30 @@ def column_value_substring(columns, cv: dict, joined: Column | None = None) -> C
     return _null() if out is None else out
 
 
-def java_regex(pat: str) -> str | None:
-    """A Python pattern as a Unicode-aware Java pattern; None when invalid."""
-    try:
-        re.compile(pat)
-    except re.error:
-        return None
-    pat = re.sub(r"\(\?P<(\w+)>", r"(?<\1>", pat)
-    pat = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pat)
-    return "(?U)" + pat
-
-
 def any_pattern(text: Column, patterns) -> Column | None:
     """True when any valid pattern is found in ``text``.
 
-    Patterns without back-references are fused into one alternation of
-    non-capturing groups (inline flags such as ``(?i)`` stay scoped to their
-    own group), so the text is scanned once per rule, not once per pattern.
+    Plain patterns that share their flags are fused into one alternation, so the
+    text is scanned once per rule; the others are tested one by one. Patterns
+    that Python rejects are skipped; one that only Java rejects fails the plan.
     """
-    valid = [p for p in (str(x) for x in patterns) if java_regex(p)]
-    if not valid:
+    fused: dict[bool, list[str]] = {}
+    single = []
+    for p in map(str, patterns):
+        java = java_pattern(p)
+        if java is None:
+            continue
+        if is_plain(p):
+            fused.setdefault(p.startswith("(?i)"), []).append(p.removeprefix("(?i)"))
+        else:
+            single.append(java)
+    for ignore_case, bodies in fused.items():
+        single.append(("(?Uiu)" if ignore_case else "(?U)") + "|".join(f"(?:{b})" for b in bodies))
+    if not single:
         return None
-    fusable = [p for p in valid if not re.search(r"\\[1-9]|\(\?P=|\\k<", p)]
-    rest = [p for p in valid if p not in fusable]
-    conds = []
-    if fusable:
-        fused = "|".join(f"(?:{java_regex(p)[4:]})" for p in fusable)
-        conds.append(text.rlike("(?U)" + fused))
-    conds += [text.rlike(java_regex(p)) for p in rest]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
+    out = text.rlike(single[0])
+    for p in single[1:]:
+        out = out | text.rlike(p)
     return out
 
 
@@ -145,7 +150,7 @@ def regex_scan(columns, rs: dict, hay: Column | None = None) -> Column:
 
 def category_expr(columns: Iterable[str], cfg: dict, with_layer: bool = False, staged: bool = False):
     """the category Column (and, optionally, the deciding layer)."""
-    cols = feed_columns(columns)
+    cols, names = feed_columns(columns), list(columns)
     cat = cfg.get("category") or {}
     strat = str(cat.get("strategy") or "default").strip().lower()
     default = cat.get("default", DEFAULT_CATEGORY)
@@ -158,7 +163,7 @@ def category_expr(columns: Iterable[str], cfg: dict, with_layer: bool = False, s
             if "default" in rule:
                 cond, val = F.lit(True), rule["default"]
             else:
-                cond, val = feature_present(cols, rule.get("if_any_field_present")), rule.get("category_type", default)
+                cond, val = feature_present(names, rule.get("if_any_field_present")), rule.get("category_type", default)
             v = F.lit(val) if val is not None else _null()
             chain = F.when(cond, v) if chain is None else chain.when(cond, v)
             if "default" in rule:
@@ -180,7 +185,7 @@ def category_expr(columns: Iterable[str], cfg: dict, with_layer: bool = False, s
         for rule in ((cat.get("feature_presence") or {}).get("rules") or []):
             val = rule.get("category_type", default)
             v = F.lit(val) if val is not None else _null()
-            cond = feature_present(cols, rule.get("if_any_field_present"))
+            cond = feature_present(names, rule.get("if_any_field_present"))
             fp_conds.append(cond)
             fp = F.when(cond, v) if fp is None else fp.when(cond, v)
         # An empty-string hit is falsy in the cascade, like NULL.
@@ -237,7 +242,7 @@ def classify_layer(df: DataFrame, cfg: dict, layer: str, out: str = "category_ty
     elif layer == "feature_presence":
         e = None
         for rule in ((cat.get("feature_presence") or {}).get("rules") or []):
-            cond = feature_present(cols, rule.get("if_any_field_present"))
+            cond = feature_present(df.columns, rule.get("if_any_field_present"))
             v = F.lit(rule.get("category_type"))
             e = F.when(cond, v) if e is None else e.when(cond, v)
         e = _null() if e is None else e
@@ -246,21 +251,18 @@ def classify_layer(df: DataFrame, cfg: dict, layer: str, out: str = "category_ty
     return df.withColumn(out, e)
 
 
-def column_value_substring_table(df: DataFrame, cfg: dict, key: list[str], out: str = "category_type") -> DataFrame:
-    """F4 as a rule table: for mappings with hundreds of values.
-
-    The category values become a small broadcast table ``(cat_seq, category,
-    value)``; a theta join on ``contains`` finds every hit and ``min_by``
-    keeps the first category in mapping order per row. The row's other
-    columns come back with a left join on ``key`` (rows without a hit get
-    NULL). Same result as :func:`column_value_substring`.
-    """
+def column_value_substring_table(df: DataFrame, cfg: dict, out: str = "category_type") -> DataFrame:
+    """F4 for mappings with hundreds of values: the rules are one array of
+    (category, value) in mapping order, and the first one contained in the joined
+    text decides. The row needs no join and no shuffle, and the generated code
+    does not grow with the number of values. Same result as
+    :func:`column_value_substring`."""
     cv = (cfg.get("category") or {}).get("column_value") or {}
-    rules = [(i, cat, str(v).strip().lower())
-             for i, (cat, vals) in enumerate((cv.get("mappings") or {}).items())
-             for v in vals or [] if str(v).strip()]
-    rt = df.sparkSession.createDataFrame(rules, "cat_seq int, category string, value string")
-    joined = df.select(*key, joined_values(feed_columns(df.columns), cv.get("columns"), " | ", lower=True).alias("__j"))
-    hits = joined.filter(F.col("__j") != F.lit("")).join(F.broadcast(rt), F.col("__j").contains(F.col("value")))
-    best = hits.groupBy(*key).agg(F.min_by("category", "cat_seq").alias(out))
-    return df.join(best, key, "left")
+    rules = [(cat, str(v).strip().lower()) for cat, vals in (cv.get("mappings") or {}).items() for v in vals or [] if str(v).strip()]
+    if not rules:
+        return df.withColumn(out, _null())
+    table = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(v).alias("value")) for c, v in rules])
+    joined = joined_values(feed_columns(df.columns), cv.get("columns"), " | ", lower=True)
+    hits = F.filter(table, lambda r: F.col("__joined").contains(r["value"]))
+    found = F.when(F.col("__joined") != F.lit(""), F.get(hits, F.lit(0))["category"])
+    return df.withColumn("__joined", joined).withColumn(out, found).drop("__joined")

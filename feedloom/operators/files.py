@@ -1,7 +1,8 @@
 """File inventory, vendor match and disposition.
 
 A file list is metadata (one row per file), orders of magnitude smaller
-than the rows inside the files; rule tables are config-sized.
+than the rows inside the files; rule tables are config-sized. A file is told by
+its path: files of one name in two folders are two files.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ids import global_index
+
 # Workbook suffixes the mapped ingest accepts (any case), the
 # raw landing also takes binary workbooks; lock files start with "~$".
 MAPPED_SUFFIXES = (".xlsx", ".xlsm", ".xls")
@@ -33,10 +36,9 @@ def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(),
     """A1: keep workbook files, drop lock files and excluded folders, and
     order them by path, part by part, like a sorted directory walk.
 
-    ``number=True`` adds a dense ``file_seq`` (a window over the file list:
-    one row per file, metadata). ``number=False`` makes ``file_seq`` the
-    path-parts array itself, which orders the same way with no window; the
-    ingest uses that form.
+    ``number=True`` adds a dense ``file_seq`` from 1. ``number=False`` makes
+    ``file_seq`` the path-parts array itself, which orders the same way; the
+    ingest and the reports use that form.
     """
     df = with_name_parts(files, path_col)
     keep = (~F.col("file_name").startswith(LOCK_PREFIX)) & F.col("ext").isin(*suffixes)
@@ -46,49 +48,64 @@ def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(),
         d = re.sub(r"^file:(//)?", "", str(d)).rstrip("/") + "/"
         keep = keep & ~plain.startswith(d)
     df = df.filter(keep)
-    parts = F.split(F.col(path_col), "/")
+    df = df.withColumn("file_seq", F.split(F.col(path_col), "/"))
     if not number:
-        return df.withColumn("file_seq", parts)
-    return df.withColumn("file_seq", F.row_number().over(Window.orderBy(parts)))
+        return df
+    return global_index(df, ["file_seq"], "__n", base=1).withColumn("file_seq", F.col("__n")).drop("__n")
+
+
+#: Vendor patterns that are tested inside the row; more go through a join.
+INLINE_RULES = 2000
 
 
 def vendor_match(files: DataFrame, rules: DataFrame) -> DataFrame:
     """A2: first mapping (list order) with a pattern contained in the
     lower-cased file name; unmatched files get ``vendor_code`` NULL and status
-    ``skipped``. The rule table is config-sized and broadcast."""
-    low = F.lower(F.col("file_name"))
-    hits = files.join(F.broadcast(rules), low.contains(F.col("pattern")), "left")
-    keys = [c for c in files.columns]
-    best = hits.groupBy(*keys).agg(
-        F.min_by(F.col("vendor_code"), F.struct("mapping_seq", "pattern_seq")).alias("vendor_code"),
-        F.min("mapping_seq").alias("mapping_seq"),
-    )
-    return best.withColumns({
-        "status": F.when(F.col("mapping_seq").isNull(), F.lit("skipped")).otherwise(F.lit("matched")),
-        "reason": F.when(F.col("mapping_seq").isNull(), F.lit("No vendor mapping matched file_name")),
-    })
+    ``skipped``.
+
+    The rule table comes from the configuration. It is read once on the driver
+    behind a size check and tested as one array in list order, so a file needs
+    no join; a larger table is an error, not a silent cut.
+    """
+    listed = rules.orderBy("mapping_seq", "pattern_seq").take(INLINE_RULES + 1)
+    if len(listed) > INLINE_RULES:
+        raise ValueError(f"more than {INLINE_RULES} vendor patterns; split the mappings")
+    empty = F.lit(None).cast("struct<vendor_code: string, mapping_seq: int>")
+    hit = empty
+    if listed:
+        table = F.array(*[F.struct(F.lit(r["vendor_code"]).cast("string").alias("vendor_code"), F.lit(r["mapping_seq"]).alias("mapping_seq"),
+                                   F.lit(r["pattern"]).alias("pattern")) for r in listed])
+        hit = F.get(F.filter(table, lambda r: F.col("__low").contains(r["pattern"])), F.lit(0))
+    found = files.withColumn("__low", F.lower(F.col("file_name"))).withColumn("__hit", hit)
+    skipped = F.col("__hit").isNull()
+    return found.withColumns({
+        "vendor_code": F.col("__hit.vendor_code"), "mapping_seq": F.col("__hit.mapping_seq"),
+        "status": F.when(skipped, F.lit("skipped")).otherwise(F.lit("matched")),
+        "reason": F.when(skipped, F.lit("No vendor mapping matched file_name")),
+    }).drop("__low", "__hit")
 
 
 def disposition(files: DataFrame, existing: DataFrame, run_stamp: str,
                 archive_dir: str = "/in/archive", error_dir: str = "/in/error") -> DataFrame:
     """Where each processed file goes. A name already present in the
-    destination gets ``_<run_stamp>`` before its suffix.
+    destination, or taken there by an earlier file of the run, gets
+    ``_<run_stamp>`` before its suffix, and ``_<n>`` too from the third file on.
 
-    ``files`` carries ``status`` (matched / skipped / failed); ``existing``
+    ``files`` carries ``status`` (matched or ok / skipped / failed); ``existing``
     lists ``(dir, file_name)`` already in the destinations.
     """
-    dest_dir = (F.when(F.col("status") == "matched", F.lit(archive_dir))
-                .when(F.col("status") == "failed", F.lit(error_dir)))
+    done = F.col("status").isin("matched", "ok")
+    dest_dir = F.when(done, F.lit(archive_dir)).when(F.col("status") == "failed", F.lit(error_dir))
     df = files.withColumn("dest_dir", dest_dir)
-    ex = existing.select(F.col("dir").alias("dest_dir"), "file_name").distinct().withColumn("__clash", F.lit(True))
-    df = df.join(ex, ["dest_dir", "file_name"], "left")
-    target_name = F.when(
-        F.col("__clash"), F.concat(F.col("stem"), F.lit("_" + run_stamp), F.col("ext_orig"))
-    ).otherwise(F.col("file_name"))
-    df = df.withColumn("ext_orig", F.regexp_extract(F.col("file_name"), r"(\.[^.]*)$", 1))
+    taken = existing.select(F.col("dir").alias("dest_dir"), "file_name").distinct().withColumn("__taken", F.lit(1))
+    df = df.join(taken, ["dest_dir", "file_name"], "left")
+    # Files of one name and destination: a window over equal names only.
+    place = F.row_number().over(Window.partitionBy("dest_dir", "file_name").orderBy("path")) - 1 + F.coalesce("__taken", F.lit(0))
+    more = F.when(F.col("__place") > 1, F.concat(F.lit("_"), F.col("__place").cast("string"))).otherwise(F.lit(""))
+    name = F.when(F.col("__place") > 0, F.concat("stem", F.lit("_" + run_stamp), more, F.regexp_extract("file_name", r"(\.[^.]*)$", 1))).otherwise(F.col("file_name"))
+    df = df.withColumn("__place", place)
     return df.select(
         *[c for c in files.columns],
-        F.when(F.col("status") == "matched", F.lit("archived")).when(F.col("status") == "failed", F.lit("error"))
-        .otherwise(F.lit("skipped")).alias("disposition"),
-        F.when(F.col("dest_dir").isNotNull(), F.concat(F.col("dest_dir"), F.lit("/"), target_name)).alias("moved_to"),
+        F.when(done, F.lit("archived")).when(F.col("status") == "failed", F.lit("error")).otherwise(F.lit("skipped")).alias("disposition"),
+        F.when(F.col("dest_dir").isNotNull(), F.concat(F.col("dest_dir"), F.lit("/"), name)).alias("moved_to"),
     )

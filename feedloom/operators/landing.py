@@ -40,33 +40,35 @@ def sheet_width(cells: DataFrame) -> DataFrame:
 
 
 def header_scores(cells: DataFrame, max_scan: int = MAX_HEADER_SCAN_ROWS) -> DataFrame:
-    """Per scanned row: text, non-null and number counts and the score."""
-    kind = F.col("kind")
-    rows = cells.filter(F.col("row_idx") < max_scan).groupBy(*SHEET, "row_idx").agg(
-        F.count_if((kind == "s") & has_text(F.col("text"))).alias("n_text"),
-        F.count_if(kind.isNotNull()).alias("n_non_null"),
-        F.count_if(kind.isin("n", "b")).alias("n_typed_number"),
+    """Per scanned row: text, non-null and number counts, the sheet's width and
+    the score. One aggregate over all cells: those below the scanned rows only
+    count for the width."""
+    kind, scanned = F.col("kind"), F.col("row_idx") < max_scan
+    per_row = cells.groupBy(*SHEET, F.when(scanned, F.col("row_idx")).alias("row_idx")).agg(
+        F.count_if(scanned & (kind == "s") & has_text(F.col("text"))).alias("n_text"),
+        F.count_if(scanned & kind.isNotNull()).alias("n_non_null"),
+        F.count_if(scanned & kind.isin("n", "b")).alias("n_typed_number"),
+        (F.max("col_idx") + 1).alias("__w"),
     )
-    rows = rows.join(sheet_width(cells), SHEET)
+    # At most max_scan + 1 rows for each sheet from here on.
+    rows = per_row.withColumn("width", F.max("__w").over(Window.partitionBy(*SHEET))).drop("__w")
     n_num = F.col("n_typed_number") + (F.col("width") - F.col("n_non_null"))
     score = (F.lit(TEXT_WEIGHT) * F.col("n_text") + F.lit(NON_NULL_WEIGHT) * F.col("n_non_null")
              - F.lit(NUMBER_WEIGHT) * n_num)
-    return rows.withColumn("score", score.cast("double"))
+    return rows.withColumn("score", F.when(F.col("row_idx").isNotNull(), score.cast("double")))
 
 
 def detect_header(cells: DataFrame, max_scan: int = MAX_HEADER_SCAN_ROWS) -> DataFrame:
     """``(file_name, sheet_name, header_row, score)``; ties go to the earliest row.
 
     A row with no cell at all scores as all-empty (-0.5 * width); it can only
-    win when no scanned row does better, and then row 0 wins the tie.
+    win when no scanned row does better, and then row 0 wins the tie. Every sheet
+    gets a header row, also one whose first rows are all empty.
     """
-    s = header_scores(cells, max_scan)
-    best = s.groupBy(*SHEET).agg(
-        F.max_by(F.col("row_idx"), F.struct(F.col("score"), -F.col("row_idx"))).alias("best_row"),
-        F.max("score").alias("best_score"),
+    best = header_scores(cells, max_scan).groupBy(*SHEET).agg(
+        F.max_by(F.col("row_idx"), F.when(F.col("score").isNotNull(), F.struct(F.col("score"), -F.col("row_idx")))).alias("best_row"),
+        F.max("score").alias("best_score"), F.max("width").alias("width"),
     )
-    # Every sheet gets a header row, also one whose first rows are all empty.
-    best = sheet_width(cells).join(best, SHEET, "left")
     empty = F.lit(-NUMBER_WEIGHT) * F.col("width")
     return best.select(
         *SHEET,
@@ -89,7 +91,7 @@ def header_names(cells: DataFrame, headers: DataFrame) -> DataFrame:
         F.when(F.col("kind").isNull() | F.col("text").isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string")))
         .otherwise(F.col("text")),
     )
-    named = _rank(named, [*SHEET, "raw_name"], "__k", base=0, bounded=True)
+    named = _rank(named, [*SHEET, "raw_name"], "__k", base=0)
     return named.select(
         *SHEET, "header_row", "col_idx",
         F.when(F.col("__k") > 0, F.concat(F.col("raw_name"), F.lit("."), F.col("__k").cast("string")))
@@ -107,7 +109,7 @@ def live_rows(data: DataFrame) -> DataFrame:
     return data.filter(F.col("kind").isNotNull()).select(*SHEET, "header_row", "row_idx").distinct()
 
 
-def live_columns(data: DataFrame, rows: DataFrame) -> DataFrame:
+def live_columns(data: DataFrame) -> DataFrame:
     """C2 (after C1): columns with at least one non-empty cell. Rows with a
     non-empty cell are live by definition, so no join with ``rows`` is needed."""
     return data.filter(F.col("kind").isNotNull()).select(*SHEET, "col_idx").distinct()
@@ -118,30 +120,36 @@ def renumber_rows(rows: DataFrame) -> DataFrame:
     return positional_index(rows, SHEET, ["row_idx"], "source_row_number")
 
 
-def _rank(df: DataFrame, group: list[str], out: str, base: int, bounded: bool) -> DataFrame:
+MAX_SHEET_COLUMNS = 16_384
+
+
+def _rank(df: DataFrame, group: list[str], out: str, base: int, wide: bool = False) -> DataFrame:
     """Position by ``col_idx`` within ``group``.
 
-    A worksheet has at most 16,384 columns, so for sheet headers a plain
-    window is bounded; header lists of unknown size use the bucketed index.
+    A worksheet has at most 16,384 columns, so a plain window is bounded; a
+    larger column index fails the query instead of growing the window. Header
+    lists that are not worksheets (``wide``) use the bucketed index.
     """
-    if bounded:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy("col_idx")) - 1 + base)
-    return positional_index(df, group, ["col_idx"], out, base=base)
+    if wide:
+        return positional_index(df, group, ["col_idx"], out, base=base)
+    checked = F.when(F.col("col_idx") < MAX_SHEET_COLUMNS, F.col("col_idx")).otherwise(
+        F.raise_error(F.lit(f"a worksheet has at most {MAX_SHEET_COLUMNS} columns; pass wide=True for other header lists")).cast("long"))
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(checked)) - 1 + base)
 
 
-def column_names(names: DataFrame, cols: DataFrame, bounded: bool = True) -> DataFrame:
+def column_names(names: DataFrame, cols: DataFrame, wide: bool = False) -> DataFrame:
     """Normalised, shortened (>120 chars) and de-duplicated stored names.
 
     The first pass gives the k-th repeat of a name ``_k``; a second pass
     repeats that on the results, so stored names are always unique.
-    ``bounded=False`` for header lists not limited by a worksheet's width.
+    ``wide=True`` for header lists not limited by a worksheet's width.
     """
     kept = names.join(cols, [*SHEET, "col_idx"], "left_semi")
     kept = kept.withColumn("normalized_header", norm_header_raw(F.col("original_header")))
     kept = kept.withColumn("__base", shorten_identifier(F.col("normalized_header")))
-    kept = _rank(kept, [*SHEET, "__base"], "__k1", base=1, bounded=bounded)
+    kept = _rank(kept, [*SHEET, "__base"], "__k1", base=1, wide=wide)
     kept = kept.withColumn("__s1", with_counter_suffix(F.col("__base"), F.col("__k1")))
-    kept = _rank(kept, [*SHEET, "__s1"], "__k2", base=1, bounded=bounded)
+    kept = _rank(kept, [*SHEET, "__s1"], "__k2", base=1, wide=wide)
     kept = kept.withColumn("stored_column_name", with_counter_suffix(F.col("__s1"), F.col("__k2")))
     return kept.drop("__base", "__s1", "__k1", "__k2")
 
@@ -161,7 +169,8 @@ def column_map(columns: DataFrame, loaded_at=None) -> DataFrame:
 def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens: bool = True,
                 stage: bool = True) -> dict[str, DataFrame]:
     """H9 + H10 on every sheet: landing rows (long), the column map, and the
-    per-sheet table names. Values are C3-cleaned text."""
+    per-sheet table names. Values are C3-cleaned text. Sheets without a non-empty
+    cell below the header are skipped (A7): they have no table."""
     if na_tokens:
         cells = with_source_na(cells)
     # The cells are read by every step below (header scan, names, data); they
@@ -172,7 +181,7 @@ def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens
     headers = detect_header(cells)
     data = data_cells(cells, headers)
     rows = renumber_rows(live_rows(data))
-    cols = live_columns(data, rows)
+    cols = live_columns(data)
     names = column_names(header_names(cells, headers), cols)
     values = data.join(rows.select(*SHEET, "row_idx", "source_row_number"), [*SHEET, "row_idx"]).join(
         names.select(*SHEET, "col_idx", "stored_column_name"), [*SHEET, "col_idx"])
@@ -184,12 +193,34 @@ def raw_landing(cells: DataFrame, prefix: str = "RAW", loaded_at=None, na_tokens
         "col_idx", "stored_column_name", clean_text(F.col("text")).alias("value"),
     )
     stem = F.regexp_replace(F.col("file_name"), r"\.[^.]*$", "")
-    tables = headers.select(*SHEET, "header_row", safe_table_name(prefix, stem, F.col("sheet_name")).alias("table_name"))
+    full = headers.join(rows.select(*SHEET).distinct(), SHEET, "left_semi")
+    tables = full.select(*SHEET, "header_row", safe_table_name(prefix, stem, F.col("sheet_name")).alias("table_name"))
     return {"headers": headers, "rows": rows, "columns": names, "landing": landing,
             "column_map": column_map(names, loaded_at), "tables": tables}
 
 
-def landing_wide(landing: DataFrame, stored_names: list[str]) -> DataFrame:
-    """One sheet's landing table in wide form (the columns come from its column map)."""
+def landing_wide(landing: DataFrame, stored_names: list[str], loaded_at=None) -> DataFrame:
+    """H9 + H10: landing tables in wide form, all text, with ``raw_id`` (1-based
+    place in the sheet's table) and one ``loaded_at`` for the load. The columns
+    come from the sheets' column map."""
     keys = ["source_file", "source_sheet", "header_row", "source_row_number"]
-    return landing.groupBy(*keys).pivot("stored_column_name", stored_names).agg(F.first("value"))
+    wide = landing.groupBy(*keys).pivot("stored_column_name", stored_names).agg(F.first("value"))
+    at = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    return wide.select((F.col("source_row_number") + 1).alias("raw_id"), *keys, at.alias("loaded_at"), *[F.col(f"`{n}`") for n in stored_names])
+
+
+def write_raw_tables(landed: dict[str, DataFrame], save, loaded_at=None) -> list[str]:
+    """One wide table for each sheet that has rows, replaced on reload.
+
+    ``save(df, table_name)`` writes a table (see ``sinks.replace_table``). Sheets
+    of one table name follow in file order, so the last one stays, as a reload
+    replaces a table. The list of sheets and their columns is metadata.
+    """
+    sheets = landed["tables"].orderBy("file_name", "sheet_name").collect()
+    names: dict[tuple, list[str]] = {}
+    for r in landed["columns"].select(*SHEET, "col_idx", "stored_column_name").orderBy(*SHEET, "col_idx").toLocalIterator():
+        names.setdefault((r.file_name, r.sheet_name), []).append(r.stored_column_name)
+    for r in sheets:
+        own = landed["landing"].filter((F.col("source_file") == r.file_name) & (F.col("source_sheet") == r.sheet_name))
+        save(landing_wide(own, names[(r.file_name, r.sheet_name)], loaded_at), r.table_name)
+    return [r.table_name for r in sheets]

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 
 def file_counters(rows: DataFrame) -> DataFrame:
-    """Rows processed per file (not distinct keys)."""
+    """Rows processed per file (not distinct keys). A file is its path."""
     s = F.col("status")
-    return rows.groupBy(F.col("source_file_name").alias("file"), "vendor_code").agg(
+    return rows.groupBy(F.col("source_path").alias("path"), F.col("source_file_name").alias("file"), "vendor_code").agg(
         F.count(F.lit(1)).alias("rows_total"),
         F.count_if(s == "ok").alias("rows_upserted"),
         F.count_if(s == "skipped").alias("rows_skipped_missing_key"),
@@ -24,7 +24,7 @@ def file_counters(rows: DataFrame) -> DataFrame:
 def category_counts(rows: DataFrame) -> DataFrame:
     """I2 (long form): upserted rows per file and category."""
     return (rows.filter(F.col("status") == "ok")
-            .groupBy(F.col("source_file_name").alias("file"), "category_type")
+            .groupBy(F.col("source_path").alias("path"), F.col("source_file_name").alias("file"), "category_type")
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
@@ -32,33 +32,58 @@ def category_totals(rows: DataFrame) -> DataFrame:
     """I2 with totals: per (file, category), per file and overall (``rollup``),
     ``level`` is ``grouping_id()``: 0 = detail, 1 = file total, 3 = grand total."""
     ok = rows.filter(F.col("status") == "ok")
-    return ok.rollup(F.col("source_file_name").alias("file"), "category_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("level"))
+    return ok.rollup(F.struct(F.col("source_path").alias("path"), F.col("source_file_name").alias("file")).alias("f"), "category_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("level")).select("f.path", "f.file", "category_type", "n_rows", "level")
 
 
 def category_map(rows: DataFrame) -> DataFrame:
     """I2 as the report's ``by_category`` map column, one row per file."""
-    return category_counts(rows).groupBy("file").agg(
-        F.map_from_entries(F.collect_list(F.struct("category_type", "n_rows"))).alias("by_category"))
-
-
-def run_report(rows: DataFrame, matched_files: DataFrame) -> DataFrame:
-    """One report row per file: processed files with their counters,
-    unmatched files as skipped with the reason."""
-    counters = file_counters(rows).withColumns({
-        "skipped": F.lit(False), "reason": F.lit(None).cast("string"), "status": F.lit("ok")})
-    skipped = matched_files.filter(F.col("status") == "skipped").select(
-        F.col("file_name").alias("file"), F.lit(None).cast("string").alias("vendor_code"),
-        *[F.lit(None).cast("bigint").alias(c) for c in ("rows_total", "rows_upserted", "rows_skipped_missing_key", "rows_error")],
-        F.lit(True).alias("skipped"), F.col("reason"), F.lit("skipped").alias("status"),
-    )
-    return counters.unionByName(skipped)
-
-
-def report_json(report: DataFrame, by_category: DataFrame | None = None) -> DataFrame:
+    return category_counts(rows).groupBy("path", "category_type").agg(F.sum("n_rows").alias("n_rows")).groupBy("path").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category_type", "n_rows")))).alias("by_category"))
+
+
+def file_status(files: DataFrame, fatal: DataFrame) -> DataFrame:
+    """Matched files become ``ok``, or ``failed`` with the reason in ``fatal(path,
+    reason)``; unmatched files stay ``skipped``. Row errors do not fail a file."""
+    why = fatal.groupBy("path").agg(F.min("reason").alias("__why"))
+    failed = (F.col("status") == "matched") & F.col("__why").isNotNull()
+    return files.join(why, "path", "left").withColumns({
+        "reason": F.when(failed, F.concat(F.lit("Fatal error: "), F.col("__why"))).otherwise(F.col("reason")),
+        "status": F.when(failed, F.lit("failed")).when(F.col("status") == "matched", F.lit("ok")).otherwise(F.col("status")),
+    }).drop("__why")
+
+
+COUNTS = ("rows_total", "rows_upserted", "rows_skipped_missing_key", "rows_error")
+
+
+def run_report(rows: DataFrame, files: DataFrame, input_dir: str | None = None, moved: DataFrame | None = None) -> DataFrame:
+    """One report row per file of the inventory: its counters and categories
+    when it was read (zeros for a file without rows), else the reason why it was
+    skipped or failed. ``moved(path, moved_to, move_error)``: what became of the
+    file. ``run_status`` is ``failed`` if no matched file was read, ``partial`` if
+    some were not or had row errors, else ``ok``."""
+    counters = file_counters(rows).groupBy("path").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    read = F.col("status") == "ok"
+    df = files.select("path", F.col("file_name").alias("file"), "vendor_code", "status", "reason")
+    df = df.join(counters, "path", "left").join(category_map(rows), "path", "left")
+    df = df.withColumns({c: F.when(read, F.coalesce(c, F.lit(0))) for c in COUNTS} | {"skipped": ~read})
+    if moved is None:
+        df = df.withColumns({"archived_to": F.lit(None).cast("string"), "move_error": F.lit(None).cast("string")})
+    else:
+        df = df.join(moved.select("path", F.col("moved_to").alias("archived_to"), "move_error"), "path", "left")
+    whole = df.agg(F.count_if(read).alias("n_ok"), F.count_if(F.col("status") == "failed").alias("n_failed"),
+                   F.coalesce(F.sum("rows_error"), F.lit(0)).alias("n_errors"))
+    run = whole.select(F.when((F.col("n_failed") > 0) & (F.col("n_ok") == 0), F.lit("failed"))
+                       .when((F.col("n_failed") > 0) | (F.col("n_errors") > 0), F.lit("partial")).otherwise(F.lit("ok")).alias("run_status"))
+    # One row: the status of the whole run.
+    return df.join(F.broadcast(run)).select(
+        F.lit(input_dir).cast("string").alias("input_dir"), "path", "file", "vendor_code", *COUNTS, "by_category", "skipped", "status", "reason",
+        "archived_to", "move_error", "run_status")
+
+
+def report_json(report: DataFrame) -> DataFrame:
     """I3 sink form: one JSON document per file (``to_json`` of the row)."""
-    df = report if by_category is None else report.join(by_category, "file", "left")
-    return df.select(F.to_json(F.struct(*df.columns)).alias("json"))
+    return report.select(F.to_json(F.struct(*report.columns)).alias("json"))
 
 
 def write_csv(df: DataFrame, path: str, sort_columns: bool = False, only_if_any: bool = False) -> bool:
@@ -74,9 +99,9 @@ def write_csv(df: DataFrame, path: str, sort_columns: bool = False, only_if_any:
     return True
 
 
-def write_report(report: DataFrame, path: str, by_category: DataFrame | None = None) -> None:
+def write_report(report: DataFrame, path: str) -> None:
     """I3 sink: the run report as JSON lines, one document per file."""
-    report_json(report, by_category).write.mode("overwrite").text(path)
+    report_json(report).write.mode("overwrite").text(path)
 
 
 def read_csv(spark, path: str, schema: str) -> DataFrame:

@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import has_text
-from .classify import feed_columns
 
 # The hard-validation error raised for a falsy key.
 ERROR_TYPE = "ValueError"
 ERROR_MESSAGE = "Missing vendor_code or inventory_partno (required)."
+TYPE_ERROR = "DataError"
 MAX_ERROR_MESSAGE = 3500
 MISSING_KEY_SAMPLE = 10
 SAMPLE_COLUMNS = 40
@@ -31,13 +31,14 @@ def falsy_key(value: Column, kind: Column) -> Column:
 
 
 def with_status(records: DataFrame) -> DataFrame:
-    """G1 + G3: ``skipped`` (no key text), ``error`` (falsy vendor/key), else ``ok``."""
+    """G1 + G3: ``skipped`` (no key text), ``error`` (falsy vendor/key, or text
+    that a typed field cannot hold), else ``ok``."""
     partno = F.col("inventory_partno")
     kind = F.coalesce(F.col("inventory_partno_kind"), F.lit("s"))
     vendor = F.col("vendor_code")
     status = (
         F.when(~has_text(partno), F.lit("skipped"))
-        .when(vendor.isNull() | (vendor == F.lit("")) | falsy_key(partno, kind), F.lit("error"))
+        .when(vendor.isNull() | (vendor == F.lit("")) | falsy_key(partno, kind) | F.col("rejected_field").isNotNull(), F.lit("error"))
         .otherwise(F.lit("ok"))
     )
     return records.withColumn("status", status)
@@ -61,40 +62,31 @@ def error_rows(records: DataFrame, with_timestamp: bool = True) -> DataFrame:
         F.col("vendor_code"),
         F.coalesce(F.col("inventory_partno"), F.lit("")).alias("inventory_partno"),
         F.col("category_type"),
-        F.lit(ERROR_TYPE).alias("error_type"),
-        F.substring(F.lit(ERROR_MESSAGE), 1, MAX_ERROR_MESSAGE).alias("error_message"),
+        F.when(F.col("rejected_field").isNotNull(), F.lit(TYPE_ERROR)).otherwise(F.lit(ERROR_TYPE)).alias("error_type"),
+        F.substring(F.when(F.col("rejected_field").isNotNull(), F.concat(F.lit("The column type cannot hold the value of "), F.col("rejected_field")))
+                    .otherwise(F.lit(ERROR_MESSAGE)), 1, MAX_ERROR_MESSAGE).alias("error_message"),
     ]
     return records.filter(F.col("status") == "error").select(*cols)
 
 
-def missing_key_sample(feed: DataFrame, records: DataFrame, k: int = MISSING_KEY_SAMPLE) -> DataFrame:
+def missing_key_sample(records: DataFrame, columns: list[str], k: int = MISSING_KEY_SAMPLE) -> DataFrame:
     """The first ``k`` skipped rows per file with column names and probe values.
 
-    ``row_number() <= k`` lets Spark insert a partial per-group limit before
-    the shuffle, so a file with millions of skipped rows ships only ``k`` per
-    map task.
+    ``records`` carry the probe columns (``canonical_rows(..., keep=...)``), so
+    nothing is joined back. ``columns``: the feed's columns in order, unless the
+    rows bring their sheet's own (``sheet_columns``). ``row_number() <= k`` lets
+    Spark limit each group before the shuffle, so a file with millions of skipped
+    rows ships only ``k`` per map task.
     """
-    cols = feed_columns(feed.columns)
-    probes = [p for p in PROBE_COLUMNS if p in cols]
-    skipped = records.filter(F.col("status") == "skipped").select(
-        "file_seq", "sheet_seq", "row_idx",
-        F.col("source_file_name").alias("file"), F.col("source_sheet_name").alias("sheet"),
-    )
-    w = Window.partitionBy("file").orderBy("file_seq", "sheet_seq", "row_idx")
-    top = skipped.withColumn("sample_rank", F.row_number().over(w)).filter(F.col("sample_rank") <= k)
-    keys = ["file_seq", "row_idx"]
-    probe_vals = feed.select(
-        (F.col("file_seq") if "file_seq" in feed.columns
-         else F.col("file_name") if "file_name" in feed.columns else F.lit("")).alias("file_seq"),
-        F.col("row_idx").cast("bigint").alias("row_idx"),
-        *[F.col(f"`{p}`").alias(f"probe_{p}") for p in probes],
-    )
-    out = top.join(probe_vals, keys, "left").select(
-        "file", "sheet", "row_idx", "sample_rank",
-        F.array(*[F.lit(c) for c in cols[:SAMPLE_COLUMNS]]).alias("cols_first40"),
-        *[F.col(f"probe_{p}") for p in probes],
-    )
-    return out
+    probes = [c for c in records.columns if c.startswith("probe_")]
+    own = "sheet_columns" in records.columns
+    names = F.slice("sheet_columns", 1, SAMPLE_COLUMNS) if own else F.array(*[F.lit(c) for c in columns[:SAMPLE_COLUMNS]])
+    w = Window.partitionBy("source_path").orderBy("file_seq", "sheet_seq", "row_idx")
+    return (records.filter(F.col("status") == "skipped")
+            .select("source_path", "file_seq", "sheet_seq", F.col("source_file_name").alias("file"), F.col("source_sheet_name").alias("sheet"),
+                    "row_idx", names.alias("cols_first40"), *probes)
+            .withColumn("sample_rank", F.row_number().over(w)).filter(F.col("sample_rank") <= k)
+            .select("source_path", "file", "sheet", "row_idx", "sample_rank", "cols_first40", *probes))
 
 
 def locate_bad_rows(rows: DataFrame, checks: dict[str, Column], group: list[str], order: str,

@@ -22,13 +22,12 @@ from ..operators import landing as L
 from ..operators import merge as M
 from ..operators import report as R
 from ..operators import validate as V
-from ..operators.classify import classify, classify_layer, column_value_substring_table
+from ..operators.classify import classify, classify_layer, column_value_substring_table, feed_columns
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
-from ..plans.ingest import canonical_rows, normalize_feed
-from ..operators.ids import positional_index
+from ..plans.ingest import as_feed, canonical_rows, ingest_cells, normalize_feed, probe_columns
+from ..schema import ROW
 from ..session import scratch_path, stage_table
 from ..sources import adapters as A
-from ..sources import xlsx as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -39,6 +38,8 @@ RUN_STAMP = "20260202_101010"
 FEED_TEXT = ["sku", "short_description", "product_name", "dnprice", "lamps_supplied", "glass",
              "shade_material", "blade_span", "canopy_height_inches", "currency_code"]
 STAGING_CELL_CHARS = 8
+FAILED_FILE = "feed_3.xlsx"
+LOADED_AT = "2026-02-02 10:10:10"
 
 
 def query(name: str):
@@ -61,16 +62,23 @@ def _parts(spark, sf) -> DataFrame:
     return A.feed_parts(spark, sf)
 
 
-def _rows(spark, sf, cfg=None, run_id=None) -> DataFrame:
-    return canonical_rows(_parts(spark, sf), cfg or _layered(), run_id=run_id)
+def _feed(spark, sf) -> DataFrame:
+    """feed_parts as a normalised wide feed with its reserved columns."""
+    return normalize_feed(as_feed(_parts(spark, sf), row="row_idx", file="file_name", vendor="vendor_code", kinds={"sku": "sku_kind"}))
+
+
+def _rows(spark, sf, cfg=None, run_id=None, keep=()) -> DataFrame:
+    return canonical_rows(_feed(spark, sf), cfg or _layered(), run_id=run_id, normalize=False, keep=keep)
 
 
 def _grid_cells(spark, sf) -> DataFrame:
-    return A.feed_grid(spark, sf).withColumn("file_name", F.lit(A.GRID_FILE))
+    """The grid's cells, written once: its row numbers are worked out once
+    however many steps read them."""
+    return stage_table(A.feed_grid(spark, sf).withColumn("file_name", F.lit(A.GRID_FILE)), "grid")
 
 
 def _landing(spark, sf) -> dict:
-    return L.raw_landing(_grid_cells(spark, sf))
+    return L.raw_landing(_grid_cells(spark, sf), stage=False)
 
 
 def _vendors() -> list[dict]:
@@ -78,7 +86,11 @@ def _vendors() -> list[dict]:
 
 
 def _inventory(spark, sf) -> DataFrame:
-    return FL.file_inventory(A.feed_files(spark, sf), exclude_dirs=["/in/archive", "/in/error", "/in/log"])
+    return FL.file_inventory(A.feed_files(spark, sf), exclude_dirs=["/in/archive", "/in/error", "/in/log"], number=False)
+
+
+def _matched(spark, sf) -> DataFrame:
+    return FL.vendor_match(_inventory(spark, sf), match_rules_df(spark, _vendors()))
 
 
 def _target_and_batch(spark, sf, cfg=None):
@@ -86,8 +98,7 @@ def _target_and_batch(spark, sf, cfg=None):
     # The canonical batch feeds both folds; it is staged once.
     rows = stage_table(_rows(spark, sf, cfg), "canonical-batch")
     ok = rows.filter(F.col("status") == "ok")
-    # The existing snapshots come from merging the even rows into empty
-    # tables; merge_run checkpoints the merged core they all derive from.
+    # The existing snapshots come from merging the even rows into empty tables.
     target = M.merge_run({}, ok.filter(F.col("row_idx") % 2 == 0))
     return target, ok
 
@@ -100,13 +111,13 @@ def _merged(spark, sf, cfg=None) -> dict:
 # ------------------------------------------------------------ A: sources
 @query("file_inventory")
 def q_file_inventory(spark, sf):
-    return _inventory(spark, sf).select("file_id", "path", "file_name", "ext", F.col("file_seq").cast("bigint"))
+    inv = FL.file_inventory(A.feed_files(spark, sf), exclude_dirs=["/in/archive", "/in/error", "/in/log"])
+    return inv.select("file_id", "path", "file_name", "ext", "file_seq")
 
 
 @query("vendor_match")
 def q_vendor_match(spark, sf):
-    m = FL.vendor_match(_inventory(spark, sf), match_rules_df(spark, _vendors()))
-    return m.select("file_id", "file_name", "vendor_code", "status")
+    return _matched(spark, sf).select("file_id", "file_name", "vendor_code", "status")
 
 
 @query("sheet_select")
@@ -114,7 +125,7 @@ def q_sheet_select(spark, sf):
     cells = _grid_cells(spark, sf)
     sheets = cells.groupBy("sheet_name").agg(F.count_distinct("row_idx").alias("n_rows"))
     rules = sheet_rules_df(spark, [m for m in _vendors() if m["vendor_code"] == "Brands"])
-    return sheets.join(F.broadcast(rules), "sheet_name").select(
+    return sheets.join(rules, "sheet_name").select(
         "sheet_name", "header_row", "sheet_seq", "n_rows")
 
 
@@ -162,7 +173,7 @@ def q_detect_header(spark, sf):
 @query("dedupe_headers")
 def q_dedupe_headers(spark, sf):
     h = A.feed_headers(spark, sf).withColumn("file_name", F.lit("headers.xlsx"))
-    names = L.column_names(h, h.select("file_name", "sheet_name", "col_idx"), bounded=False)
+    names = L.column_names(h, h.select("file_name", "sheet_name", "col_idx"), wide=True)
     return names.select("sheet_name", "col_idx", "normalized_header", "stored_column_name")
 
 
@@ -183,7 +194,7 @@ def q_drop_empty_rows(spark, sf):
 def q_drop_empty_cols(spark, sf):
     cells = L.with_source_na(_grid_cells(spark, sf))
     data = L.data_cells(cells, L.detect_header(cells))
-    return L.live_columns(data, None).select("sheet_name", "col_idx")
+    return L.live_columns(data).select("sheet_name", "col_idx")
 
 
 @query("clean_text")
@@ -236,8 +247,30 @@ def q_apply_conversions(spark, sf):
 @query("conversion_audit")
 def q_conversion_audit(spark, sf):
     cfg = _layered()
-    feed = classify(normalize_feed(_parts(spark, sf)), cfg)
-    return conversion_audit(feed, cfg).select("type", "field", "value", "error", "vendor", "file", "sheet", "row_index")
+    return conversion_audit(classify(_feed(spark, sf), cfg), cfg)
+
+
+@query("conversion_audit_strict")
+def q_conversion_audit_strict(spark, sf):
+    """Only conversions that raise: none does for text."""
+    cfg = _layered()
+    return conversion_audit(classify(_feed(spark, sf), cfg), cfg, strict=True)
+
+
+def _two_kinds() -> dict:
+    """A mapping with fields under two conversions."""
+    cfg = _layered()
+    cfg["column_map"]["core"]["bulb_quantity"] = ["canopy_height_inches", "dnprice"]
+    cfg["column_map"]["core"]["is_imap"] = ["lamps_supplied"]
+    cfg["conversions"] = {"money": ["wholesale_price", "bulb_quantity"], "int": ["bulb_quantity"], "bool": ["is_imap", "bulb_included"],
+                          "decimals": ["canopy_height_in", "blade_span_in", "diameter_in"]}
+    return cfg
+
+
+@query("conversions_in_turn")
+def q_conversions_in_turn(spark, sf):
+    """D5 on a field listed under two kinds: the second reads the first's result."""
+    return _rows(spark, sf, _two_kinds()).select("row_idx", "wholesale_price", "bulb_quantity", "is_imap")
 
 
 # ------------------------------------------------------------ E: mapping
@@ -247,8 +280,8 @@ E1_FIELDS = {"shade": ["glass", "shade_material"], "inventory_partno": ["sku"],
 
 @query("first_non_null_wide")
 def q_first_non_null_wide(spark, sf):
-    p = normalize_feed(_parts(spark, sf))
-    wide = p.select("row_idx", *[first_non_null(p.columns, c).alias(f) for f, c in E1_FIELDS.items()])
+    p = _feed(spark, sf)
+    wide = p.select(F.col(ROW).alias("row_idx"), *[first_non_null(p.columns, c).alias(f) for f, c in E1_FIELDS.items()])
     stack = ", ".join(f"'{f}', `{f}`" for f in E1_FIELDS)
     return wide.selectExpr("row_idx", f"stack({len(E1_FIELDS)}, {stack}) AS (field, value)").filter(
         F.col("value").isNotNull())
@@ -256,24 +289,23 @@ def q_first_non_null_wide(spark, sf):
 
 @query("first_non_null_long")
 def q_first_non_null_long(spark, sf):
-    """E1 on the long form: melt, broadcast join with the alias table, and
-    pick the first alias with text per (row, field). Serves many vendors in
+    """E1 on the long form: melt, join with the alias table, and pick the first alias with text per (row, field). Serves many vendors in
     one plan without one expression per alias."""
-    p = normalize_feed(_parts(spark, sf))
+    p = _feed(spark, sf)
     feed_cols = [c for c in FEED_TEXT if c in p.columns]
     stack = ", ".join(f"'{c}', `{c}`" for c in feed_cols)
-    long = p.selectExpr("row_idx", f"stack({len(feed_cols)}, {stack}) AS (source_col, value)")
+    long = p.selectExpr(f"{ROW} AS row_idx", f"stack({len(feed_cols)}, {stack}) AS (source_col, value)")
     aliases = spark.createDataFrame(
         [(f, a, i) for f, cs in E1_FIELDS.items() for i, a in enumerate(cs)],
         "field string, source_col string, priority int")
-    picked = long.join(F.broadcast(aliases), "source_col").filter(has_text(F.col("value")))
+    picked = long.join(aliases, "source_col").filter(has_text(F.col("value")))
     return picked.groupBy("row_idx", "field").agg(F.min_by("value", "priority").alias("value"))
 
 
 @query("core_projection")
 def q_core_projection(spark, sf):
     r = _rows(spark, sf)
-    return r.drop("file_seq", "sheet_seq", "lighting", "fans", "light_bulbs", "inventory_partno_kind", "status")
+    return r.drop("file_seq", "sheet_seq", "source_path", "lighting", "fans", "light_bulbs", "inventory_partno_kind", "rejected_field", "status")
 
 
 @query("category_projection")
@@ -308,7 +340,7 @@ def q_vendor_union(spark, sf):
 
 # ------------------------------------------------------------ F: classification
 def _classified(spark, sf, cfg, layer_col=None):
-    return classify(normalize_feed(_parts(spark, sf)), cfg, layer_col=layer_col)
+    return classify(_feed(spark, sf), cfg, layer_col=layer_col).withColumnRenamed(ROW, "row_idx")
 
 
 @query("classify_default")
@@ -324,16 +356,16 @@ def q_classify_rules(spark, sf):
 
 def _layer_query(layer):
     def q(spark, sf):
-        df = classify_layer(normalize_feed(_parts(spark, sf)), _layered(), layer)
-        return df.select("row_idx", "category_type")
+        df = classify_layer(_feed(spark, sf), _layered(), layer)
+        return df.select(F.col(ROW).alias("row_idx"), "category_type")
     return q
 
 
 @query("classify_substring_table")
 def q_classify_substring_table(spark, sf):
-    """F4 through the broadcast rule table (the many-values form)."""
-    df = column_value_substring_table(normalize_feed(_parts(spark, sf)), _layered(), ["row_idx"])
-    return df.select("row_idx", "category_type")
+    """F4 through the rule array (the many-values form)."""
+    df = column_value_substring_table(_feed(spark, sf), _layered())
+    return df.select(F.col(ROW).alias("row_idx"), "category_type")
 
 
 REGISTRY["classify_exact"] = _layer_query("column_value_exact")
@@ -349,11 +381,27 @@ def q_classify_layered(spark, sf):
 
 @query("classify_documents")
 def q_classify_documents(spark, sf):
-    """F5 over whole English documents: the regex layer on full texts."""
-    docs = A.table(spark, sf, "documents").filter(F.col("lang") == "en").select(
-        F.col("doc_id").alias("row_idx"), F.col("text").alias("short_description"))
-    cfg = {"category": {"regex_scan": dict(_layered()["category"]["regex_scan"], columns=["short_description"])}}
-    return classify_layer(docs, cfg, "regex_scan").select(F.col("row_idx").alias("doc_id"), "category_type")
+    """F5 over all documents: the regex layer on full texts."""
+    docs = A.table(spark, sf, "documents").select("doc_id", "text")
+    cfg = {"category": {"regex_scan": dict(_layered()["category"]["regex_scan"], columns=["text"])}}
+    return classify_layer(docs, cfg, "regex_scan").select("doc_id", "category_type")
+
+
+# Patterns that Python accepts in forms Java writes otherwise: an ASCII flag, a
+# verbose one, one group name in two patterns, a back-reference by name.
+ODD_PATTERNS = [
+    {"category_type": "ascii", "any_regex": [r"(?a)\bchair\b"]},
+    {"category_type": "verbose", "any_regex": ["(?x) wall \\s art  # two words"]},
+    {"category_type": "named", "any_regex": [r"(?P<w>remote) for", r"(?P<w>PENDANT)$"]},
+    {"category_type": "twice", "any_regex": [r"(?P<x>[a-z])(?P=x)"]},
+    {"category_type": "broken", "any_regex": ["(unclosed"]},
+]
+
+
+@query("classify_regex_forms")
+def q_classify_regex_forms(spark, sf):
+    cfg = {"category": {"regex_scan": {"columns": ["short_description"], "rules": ODD_PATTERNS}}}
+    return classify_layer(_feed(spark, sf), cfg, "regex_scan").select(F.col(ROW).alias("row_idx"), "category_type")
 
 
 # ------------------------------------------------------------ G: validation
@@ -365,9 +413,9 @@ def q_missing_key_filter(spark, sf):
 
 @query("missing_key_sample")
 def q_missing_key_sample(spark, sf):
-    p = normalize_feed(_parts(spark, sf))
-    r = canonical_rows(p, _layered(), normalize=False)
-    return V.missing_key_sample(p.withColumn("file_seq", F.col("file_name")), r).select(
+    p = _feed(spark, sf)
+    r = _rows(spark, sf, keep=probe_columns(p))
+    return V.missing_key_sample(r, feed_columns(p.columns)).select(
         "file", "sheet", "row_idx", "sample_rank", F.array_join("cols_first40", ",").alias("cols_first40"), "probe_sku")
 
 
@@ -440,17 +488,14 @@ def q_insert_if_absent(spark, sf):
 @query("route_categories")
 def q_route_categories(spark, sf):
     ok = _rows(spark, sf).filter(F.col("status") == "ok")
-    known = ["lighting", "fans", "light_bulbs", "accessories", "home_decor"]
-    route = F.when(F.col("category_type").isin(*known), F.col("category_type")).otherwise(F.lit("core_only"))
-    return ok.select("row_idx", *M.KEY, route.alias("route"))
+    return ok.select("row_idx", *M.KEY, M.route_column().alias("route"))
 
 
 @query("atomic_files")
 def q_atomic_files(spark, sf):
-    """H8 in strict mode: a file with any hard-validation error fails as a
-    unit and contributes nothing to the merge."""
+    """H8: a file that cannot be read contributes nothing; files with row errors do."""
     rows = _rows(spark, sf)
-    failed = rows.filter(F.col("status") == "error").select(F.col("source_file_name").alias("file")).distinct()
+    failed = rows.select(F.col("source_path").alias("path")).distinct().filter(F.col("path") == FAILED_FILE)
     ok = M.exclude_failed_files(rows.filter(F.col("status") == "ok"), failed)
     return M.merge_run({}, ok)["core"]
 
@@ -465,6 +510,17 @@ def q_raw_tables(spark, sf):
     return _landing(spark, sf)["tables"].select("sheet_name", "header_row", "table_name")
 
 
+@query("raw_tables_wide")
+def q_raw_tables_wide(spark, sf):
+    """H9 + H10: the wide landing tables of all sheets, one below the other (the
+    grid's sheets have the same columns)."""
+    land = _landing(spark, sf)
+    names = sorted(r.stored_column_name for r in land["columns"].select("stored_column_name").distinct().collect())
+    tables = land["tables"].select(F.col("file_name").alias("source_file"), F.col("sheet_name").alias("source_sheet"), "table_name")
+    wide = L.landing_wide(land["landing"], names, LOADED_AT).join(tables, ["source_file", "source_sheet"])
+    return wide.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 # ------------------------------------------------------------ I: reports
 @query("file_counters")
 def q_file_counters(spark, sf):
@@ -478,111 +534,122 @@ def q_category_counts(spark, sf):
 
 @query("category_totals")
 def q_category_totals(spark, sf):
-    return R.category_totals(_rows(spark, sf)).withColumn("level", F.col("level").cast("bigint"))
+    return R.category_totals(_rows(spark, sf)).drop("path").withColumn("level", F.col("level").cast("bigint"))
 
 
 @query("run_report")
 def q_run_report(spark, sf):
-    matched = FL.vendor_match(_inventory(spark, sf), match_rules_df(spark, _vendors()))
-    return R.run_report(_rows(spark, sf), matched)
+    """One report over the files of the inventory and of feed_parts, of which one
+    could not be read."""
+    rows = _rows(spark, sf).filter(F.col("source_path") != FAILED_FILE)
+    fed = _rows(spark, sf).select(F.col("source_path").alias("path"), F.col("source_file_name").alias("file_name")).distinct()
+    fed = fed.withColumns({"vendor_code": F.lit("Parts Feed"), "status": F.lit("matched"), "reason": F.lit(None).cast("string")})
+    files = _matched(spark, sf).filter(F.col("status") == "skipped").select("path", "file_name", "vendor_code", "status", "reason").unionByName(fed)
+    fatal = fed.filter(F.col("path") == FAILED_FILE).select("path", F.lit("BadZipFile: File is not a zip file").alias("reason"))
+    report = R.run_report(rows, R.file_status(files, fatal), "/in")
+    categories = F.array_join(F.transform(F.map_entries("by_category"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return report.withColumn("by_category", categories).drop("archived_to", "move_error")
 
 
 @query("disposition")
 def q_disposition(spark, sf):
-    inv = _inventory(spark, sf)
-    matched = FL.vendor_match(inv, match_rules_df(spark, _vendors())).withColumn(
-        "status", F.when(F.col("status") == "matched", F.lit("matched")).otherwise(F.lit("skipped")))
+    """The inventory's files, each of them also under another folder with the
+    same name, and every fifth of them unreadable."""
+    matched = _matched(spark, sf)
+    twin = matched.withColumn("path", F.concat(F.lit("/in/twin/"), F.col("file_name")))
+    both = matched.unionByName(twin).withColumn("status", F.when((F.col("status") == "matched") & (F.col("file_id") % 5 == 0), F.lit("failed")).otherwise(F.col("status")))
     existing = FL.with_name_parts(A.feed_files(spark, sf)).filter(F.col("path").startswith("/in/archive/")).select(
         F.lit("/in/archive").alias("dir"), "file_name")
-    d = FL.disposition(matched, existing, RUN_STAMP)
-    return d.select("file_id", "file_name", "disposition", "moved_to")
-
-
-__all__ = ["REGISTRY", "query"]
+    d = FL.disposition(both, existing, RUN_STAMP)
+    return d.select("file_id", "path", "file_name", "disposition", "moved_to")
 
 
-# ------------------------------------------------------------ A3/A4: workbooks
-# Display headers the supplier workbook carries for each feed_parts column.
-PART_HEADERS = {"row_idx": "Part Key", "sku": "SKU", "short_description": "Short Description",
-                "product_name": "Product  Name", "dnprice": "DNPrice", "lamps_supplied": "Lamps Supplied",
-                "glass": "Glass", "shade_material": "Shade  Material ", "blade_span": "Blade Span",
+# ------------------------------------------------------------ A3/A4: sheets as cells
+# Display headers the supplier sheet carries for each feed_parts column.
+PART_HEADERS = {"sku": "SKU", "short_description": "Short Description", "product_name": "Product  Name", "dnprice": "DNPrice",
+                "lamps_supplied": "Lamps Supplied", "glass": "Glass", "shade_material": "Shade  Material ", "blade_span": "Blade Span",
                 "canopy_height_inches": "Canopy Height (Inches)", "currency_code": "Currency Code"}
-
-
-def _parts_as_cells(spark, sf) -> DataFrame:
-    """feed_parts as spreadsheet cells of one sheet ``DATA``: header row 0,
-    one row per part below it (numeric key cells typed as numbers)."""
-    p = _parts(spark, sf)
-    cols = list(PART_HEADERS)
-    header = spark.createDataFrame(
-        [("DATA", 0, i, "s", PART_HEADERS[c]) for i, c in enumerate(cols)],
-        "sheet_name string, row_idx bigint, col_idx int, kind string, text string")
-    kinds = {"row_idx": F.lit("n"), "sku": F.col("sku_kind")}
-    body = p.select(
-        F.lit("DATA").alias("sheet_name"), (F.col("row_idx") + 1).alias("row_idx"),
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("col_idx"), kinds.get(c, F.lit("s")).alias("kind"), F.col(c).cast("string").alias("text"))
-            for i, c in enumerate(cols)])).alias("c"))
-    body = body.select("sheet_name", "row_idx", "c.col_idx", "c.kind", "c.text").filter(F.col("text").isNotNull())
-    return header.unionByName(body)
-
-
-@query("xlsx_cells")
-def q_xlsx_cells(spark, sf):
-    """A4: the grid written as workbooks (blocks of rows, on executors) and
-    read back as typed cells; row indexes are restored from the block."""
-    out = scratch_path(spark, "grid-books")
-    written = X.write_workbooks(_grid_cells(spark, sf).filter(F.col("kind").isNotNull()), out, rows_per_book=4096)
-    written.count()
-    back = X.read_cells(spark, out)
-    first = F.regexp_extract("file_name", r"__(\d+)\.xlsx$", 1).cast("bigint")
-    return back.select("sheet_name", (first + F.col("row_idx")).cast("int").alias("row_idx"),
-                       "col_idx", "kind", "text")
-
-
-@query("xlsx_scan")
-def q_xlsx_scan(spark, sf):
-    """A3: feed_parts as supplier workbooks, read by configured sheet and
-    header row, then the whole mapped pipeline per row."""
-    out = scratch_path(spark, "parts-books")
-    X.write_workbooks(_parts_as_cells(spark, sf), out, rows_per_book=1 << 20).count()
-    cfg = dict(_layered(), vendor_code="Parts Feed")
-    cells = X.read_cells(spark, out)
-    rules = sheet_rules_df(spark, [cfg])
-    wide = X.mapped_rows(cells, rules, ["sku"]).withColumn("file_seq", F.col("file_name")).drop("file_path")
-    rows = canonical_rows(wide, cfg)
-    return rows.join(wide.select("row_idx", F.col("part_key").cast("bigint").alias("part_key")), "row_idx").select(
-        "part_key", "inventory_partno", "category_type", "wholesale_price", "status")
+# Columns of the sheet that have the names of pipeline columns, and of a feature.
+OWN_HEADERS = {"vendor_code": "Vendor Code", "file_name": "File Name", "bulb_kind": "Bulb Kind"}
+SHEET_ROWS = 1 << 16
+
+
+def _parts_as_cells(spark, sf, headers: dict) -> DataFrame:
+    """feed_parts as cells of many supplier files: a file holds the rows of one
+    range of keys (as many files as the data needs), header row 0 in every file
+    and one row per part below it."""
+    p = _parts(spark, sf).withColumns({"bulb_kind": F.col("glass"), "block": F.expr(f"row_idx div {SHEET_ROWS}"), "at": F.col("row_idx") % SHEET_ROWS + 1})
+    p = p.withColumns({"file_path": F.concat(F.lit("/in/feed_block_"), F.lpad(F.col("block").cast("string"), 12, "0"), F.lit(".xlsx")), "sheet_name": F.lit("DATA")})
+    cols = list(headers)
+    kind = {"sku": F.col("sku_kind")}
+    body = p.select("file_path", "sheet_name", F.col("at").alias("row_idx"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col_idx"), kind.get(c, F.lit("s")).alias("kind"), F.col(c).cast("string").alias("text")) for i, c in enumerate(cols)])).alias("c"))
+    head = p.select("file_path", "sheet_name").distinct().select("file_path", "sheet_name", F.lit(0).cast("bigint").alias("row_idx"), F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col_idx"), F.lit("s").alias("kind"), F.lit(headers[c]).alias("text")) for i, c in enumerate(cols)])).alias("c"))
+    cells = head.unionByName(body).select("file_path", "sheet_name", "row_idx", "c.col_idx", "c.kind", "c.text")
+    return cells.filter(F.col("text").isNotNull())
+
+
+def _sheet_ingest(spark, sf, headers: dict, cfg: dict) -> dict:
+    cells = stage_table(_parts_as_cells(spark, sf, headers), "cells")
+    files = FL.vendor_match(FL.with_name_parts(cells.select(F.col("file_path").alias("path")).distinct()).withColumn("file_seq", F.split("path", "/")),
+                            match_rules_df(spark, [cfg]))
+    return ingest_cells(cells, files, [cfg], input_dir="/in")
+
+
+@query("sheet_scan")
+def q_sheet_scan(spark, sf):
+    """A3: feed_parts as cells of many sheets, read by configured sheet and header
+    row, then the whole mapped pipeline. Row r of block b is part b * 65536 + r."""
+    rows = _sheet_ingest(spark, sf, PART_HEADERS, _layered())["rows"]
+    block = F.regexp_extract("source_path", r"(\d+)\.xlsx$", 1).cast("bigint")
+    part = block * SHEET_ROWS + F.col("row_idx")
+    last = A.table(spark, sf, "part").select(F.col("p_partkey").alias("part_key"))
+    # Positions without a part are empty rows of the sheet, kept and skipped.
+    return rows.withColumn("part_key", part).join(last, "part_key").select(
+        "part_key", "vendor_code", "inventory_partno", "category_type", "wholesale_price", "status")
+
+
+@query("sheet_own_columns")
+def q_sheet_own_columns(spark, sf):
+    """Sheets with columns named like the pipeline's own: the vendor stays the
+    mapping's, and rules see the sheet's column."""
+    cfg = _layered()
+    cfg["category"] = {"strategy": "rules", "rules": [{"if_any_field_present": ["bulb_kind"], "category_type": "light_bulbs"}, {"default": "lighting"}]}
+    cfg["column_map"]["core"]["location"] = ["vendor_code"]
+    cfg["column_map"]["core"]["collection"] = ["file_name"]
+    rows = _sheet_ingest(spark, sf, PART_HEADERS | OWN_HEADERS, cfg)["rows"]
+    part = F.regexp_extract("source_path", r"(\d+)\.xlsx$", 1).cast("bigint") * SHEET_ROWS + F.col("row_idx")
+    return rows.withColumn("part_key", part).join(A.table(spark, sf, "part").select(F.col("p_partkey").alias("part_key")), "part_key").select(
+        "part_key", "vendor_code", "location", "collection", "category_type")
+
+
+@query("typed_cells")
+def q_typed_cells(spark, sf):
+    """A4: the raw typed-cell scan with source NA tokens out, on the long form."""
+    cells = L.with_source_na(_grid_cells(spark, sf))
+    return cells.filter(F.col("kind").isNotNull()).select("sheet_name", "row_idx", "col_idx", "kind", "text")
 
 
 # ------------------------------------------------------------ J1: drop folder
-DROP_HEADERS = dict(PART_HEADERS, vendor_code="Vendor Code")
+FEED_SCHEMA = "row_idx long, vendor_code string, file_name string, file_seq string, sku string, sku_kind string, " + ", ".join(f"{c} string" for c in FEED_TEXT if c != "sku")
 
 
 @query("drop_folder_stream")
 def q_drop_folder_stream(spark, sf):
-    """feed_parts dropped as one workbook per feed file, ingested by an
-    ``availableNow`` stream into versioned snapshots; returns the final core."""
+    """feed_parts dropped as Parquet files, as many as its size asks for,
+    ingested by an ``availableNow`` stream into a bucketed, versioned snapshot;
+    returns the final core."""
     from ..streaming import drop_folder as D
 
     root = scratch_path(spark, "drop")
-    p = positional_index(_parts(spark, sf), ["file_name"], ["row_idx"], "pos")
-    cols = list(DROP_HEADERS)
-    header = p.select("file_name").distinct().select(
-        "file_name", F.lit("DATA").alias("sheet_name"), F.lit(0).cast("bigint").alias("row_idx"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit("s").alias("kind"), F.lit(DROP_HEADERS[c]).alias("text"))
-                            for i, c in enumerate(cols)])).alias("c"))
-    kinds = {"row_idx": F.lit("n"), "sku": F.col("sku_kind")}
-    body = p.select("file_name", F.lit("DATA").alias("sheet_name"), (F.col("pos") + 1).alias("row_idx"),
-                    F.explode(F.array(*[F.struct(F.lit(i).alias("col_idx"), kinds.get(c, F.lit("s")).alias("kind"),
-                                                 F.col(c).cast("string").alias("text")) for i, c in enumerate(cols)])).alias("c"))
-    cells = header.unionByName(body).select("file_name", "sheet_name", "row_idx", "c.col_idx", "c.kind", "c.text")
-    X.write_workbooks(cells.filter(F.col("text").isNotNull()), f"{root}/in", rows_per_book=1 << 20, book_col="file_name").count()
-    cfg = _layered()
-    q = D.start(spark, f"{root}/in", cfg, f"{root}/snapshots", f"{root}/checkpoint")
-    q.awaitTermination()
-    core = D.latest_snapshot(spark, f"{root}/snapshots", f"{root}/checkpoint")["core"]
-    return core.select("product_id", "vendor_code", "inventory_partno", "category_type", "wholesale_price",
+    cols = [c.split()[0] for c in FEED_SCHEMA.split(", ")]
+    _parts(spark, sf).withColumn("file_seq", F.col("file_name")).select(*cols).write.option("maxRecordsPerFile", 1 << 20).parquet(f"{root}/in")
+    cfg = dict(_layered(), file_match=[".parquet"])
+    D.start_feed(spark, f"{root}/in", [cfg], f"{root}/snapshot", f"{root}/checkpoint", FEED_SCHEMA, columns={
+        "row": "row_idx", "file": "file_name", "file_seq": "file_seq", "vendor": "vendor_code", "kinds": {"sku": "sku_kind"}}, buckets=4).awaitTermination()
+    core = D.latest_snapshot(spark, f"{root}/snapshot", f"{root}/checkpoint")["core"]
+    return core.select("vendor_code", "inventory_partno", "category_type", "wholesale_price",
                        "currency_code", "source_file_name", "marketing_description")
 
 
@@ -603,7 +670,10 @@ def q_conversion_csv_roundtrip(spark, sf):
     """The conversion audit written as CSV with sorted columns and read back."""
     path = scratch_path(spark, "conversion-errors")
     cfg = _layered()
-    audit = conversion_audit(classify(normalize_feed(_parts(spark, sf)), cfg), cfg)
+    audit = conversion_audit(classify(_feed(spark, sf), cfg), cfg)
     R.write_csv(audit, path, sort_columns=True)
     schema = ", ".join(f"{c} {'bigint' if c == 'row_index' else 'string'}" for c in sorted(audit.columns))
     return R.read_csv(spark, path, schema)
+
+
+__all__ = ["REGISTRY", "query"]

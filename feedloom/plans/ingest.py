@@ -8,32 +8,52 @@ fold; shuffles only at the fold, the merge joins and the report aggregates.
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import match_rules_df, sheet_rules_df
 from ..functions.headers import norm_header_py
 from ..functions.text import source_na
-from ..operators.classify import META_COLUMNS, classify, feed_columns
-from ..operators.mapping import project_records
-from ..operators.merge import merge_run
-from ..operators.validate import split_status, with_status
+from ..operators.classify import classify, feed_columns
+from ..operators.files import file_inventory, vendor_match
+from ..operators.mapping import alias_list, conversion_audit, project_records, union_vendors
+from ..operators.merge import exclude_failed_files, merge_run
+from ..operators.report import file_status, run_report
+from ..operators.validate import PROBE_COLUMNS, error_rows, split_status, with_status
+from ..schema import FILE, FILE_SEQ, KIND, PATH, RESERVED, ROW, SHEET, VENDOR
 from ..session import stage_table
+from ..sources.xlsx import mapped_rows, read_cells, workbook_files
+
+
+def as_feed(df: DataFrame, row: str, file: str | None = None, path: str | None = None, sheet: str | None = None,
+            vendor: str | None = None, kinds: dict[str, str] | None = None, file_seq: str | None = None) -> DataFrame:
+    """A table as a wide feed: the named columns become reserved ones, every
+    other column is a feed column, whatever its name. ``kinds`` maps a feed
+    column to the column with its cells' kinds; ``file_seq`` orders the files
+    (else their paths do)."""
+    reserved = {row: ROW, file: FILE, path: PATH, sheet: SHEET, vendor: VENDOR, file_seq: FILE_SEQ}
+    reserved |= {k: KIND + norm_header_py(c) for c, k in (kinds or {}).items()}
+    reserved.pop(None, None)
+    return df.select(*[F.col(f"`{c}`").alias(reserved.get(c, c)) for c in df.columns])
 
 
 def normalize_feed(feed: DataFrame, na_tokens: bool = True) -> DataFrame:
     """A8 + B1 on a wide, all-text feed.
 
-    Header normalisation is resolved at plan time from the schema. Columns
-    that normalise to the same name are folded, first non-null by position.
+    Header normalisation is resolved at plan time from the schema. NA tokens
+    become NULL first; then columns that normalise to the same name are folded,
+    first non-null by position. Columns without a name after B1 are dropped (no
+    mapping can name them); reserved columns stay as they are.
     """
     groups: OrderedDict[str, list[str]] = OrderedDict()
     keep = []
     for c in feed.columns:
-        if c in META_COLUMNS or c.endswith("_kind"):
+        if c.startswith(RESERVED):
             keep.append(F.col(f"`{c}`"))
-            continue
-        groups.setdefault(norm_header_py(c), []).append(c)
+        elif norm := norm_header_py(c):
+            groups.setdefault(norm, []).append(c)
     cols = []
     for norm, srcs in groups.items():
         vals = [F.col(f"`{s}`").cast("string") for s in srcs]
@@ -43,12 +63,18 @@ def normalize_feed(feed: DataFrame, na_tokens: bool = True) -> DataFrame:
     return feed.select(*keep, *cols)
 
 
-def canonical_rows(feed: DataFrame, cfg: dict, run_id: int | None = None,
-                   na_tokens: bool = True, normalize: bool = True) -> DataFrame:
+def canonical_rows(feed: DataFrame, cfg: dict, run_id: int | None = None, na_tokens: bool = True,
+                   normalize: bool = True, keep: Iterable[str] = ()) -> DataFrame:
     """Normalised, classified, mapped, converted and validated rows (one per feed row)."""
     df = normalize_feed(feed, na_tokens) if normalize else feed
     df = classify(df, cfg)
-    return with_status(project_records(df, cfg, run_id=run_id))
+    return with_status(project_records(df, cfg, run_id=run_id, keep=keep))
+
+
+def probe_columns(feed: DataFrame) -> list[str]:
+    """The columns shown for rows without a key, as far as the feed has them."""
+    cols = feed_columns(feed.columns)
+    return [p for p in PROBE_COLUMNS if p in cols]
 
 
 def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int | None = None,
@@ -62,50 +88,77 @@ def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int
     rows = canonical_rows(feed, cfg, run_id=run_id)
     if stage_rows:
         rows = stage_table(rows, "canonical-batch")
-    ok, skipped, errors = split_status(rows)
+    ok, _, _ = split_status(rows)
     out = merge_run(targets or {}, ok)
     out["rows"] = rows
     return out
 
 
-def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
-                     run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True) -> dict:
-    """End-to-end mapped ingest of a folder of workbooks.
+def mapping_columns(cfg: dict) -> list[str]:
+    """The normalised sheet columns that a mapping reads."""
+    cat = cfg.get("category") or {}
+    wanted = [a for section in (cfg.get("column_map") or {}).values() for c in (section or {}).values() for a in alias_list(c)]
+    for part in ("column_value", "regex_scan"):
+        wanted += (cat.get(part) or {}).get("columns") or []
+    return list(dict.fromkeys([*wanted, *PROBE_COLUMNS]))
+
+
+def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targets: dict | None = None,
+                 run_id: int | None = None, input_dir: str | None = None, stage_rows: bool = True) -> dict:
+    """Mapped ingest of long cells of many files.
+
+    ``cells(file_path, sheet_name, row_idx, col_idx, kind, text)``, where a row
+    of kind ``fatal`` says why the file could not be read; ``files``: the matched
+    inventory of :func:`match_files`. A fatal file fails alone: it brings no rows
+    and is reported with its reason; the others are merged.
 
-    A1 inventory (binaryFile listing, no bytes read) -> A2 vendor match ->
-    A3/A5 configured sheets as wide rows -> per-vendor canonical rows (E6
-    union) -> H merge. Returns the new snapshots plus ``rows`` (status-tagged
-    canonical rows) and ``files`` (match status per file) for reporting.
+    Returns the new snapshots, ``rows`` (status-tagged canonical rows), ``files``
+    (with status ok / skipped / failed), ``errors``, ``audit`` and ``report``.
     """
-    from ..config import match_rules_df, sheet_rules_df
-    from ..operators.files import file_inventory, vendor_match
-    from ..operators.mapping import union_vendors
-    from ..sources.xlsx import mapped_rows, read_cells
-
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-               .select("path"))
-    inv = file_inventory(listing, exclude_dirs=exclude_dirs, number=False)
-    files = vendor_match(inv, match_rules_df(spark, mappings))
-    matched = files.filter(F.col("status") == "matched").select(
-        F.col("path").alias("file_path"), "file_seq", "vendor_code")
-    # Parse every matched workbook once; the header-name lookup and each
-    # vendor's pivot read the staged cells.
-    cells = stage_table(read_cells(spark, path).join(matched, "file_path"), "cells")
-    frames = []
-    for cfg in mappings:
-        vcells = cells.filter(F.col("vendor_code") == F.lit(cfg.get("vendor_code")))
-        rules = sheet_rules_df(spark, [cfg])
-        key = ((cfg.get("column_map") or {}).get("core") or {}).get("inventory_partno") or []
-        wide = mapped_rows(vcells.drop("vendor_code"), rules, key if isinstance(key, list) else [key])
-        wide = wide.join(matched.select("file_path", "file_seq"), "file_path").drop("file_path")
-        frames.append(canonical_rows(wide, cfg, run_id=run_id))
+    fatal = cells.filter(F.col("kind") == "fatal").select(F.col("file_path").alias("path"), F.col("text").alias("reason")).distinct()
+    files = stage_table(file_status(files, fatal), "files")
+    good = files.filter(F.col("status") == "ok").select(
+        F.col("path").alias("file_path"), "file_name", F.col("file_seq"), F.col("mapping_seq"))
+    readable = (cells.filter(F.col("kind").isNull() | (F.col("kind") != "fatal"))
+                .select("file_path", "sheet_name", "row_idx", "col_idx", "kind", "text").join(good, "file_path"))
+    frames, audits = [], []
+    for seq, cfg in enumerate(mappings):
+        own = readable.filter(F.col("mapping_seq") == seq)
+        wide = mapped_rows(own, sheet_rules_df(cells.sparkSession, [cfg]), mapping_columns(cfg), cfg)
+        feed = normalize_feed(wide)
+        frames.append(canonical_rows(feed, cfg, run_id=run_id, normalize=False, keep=probe_columns(feed)))
+        audits.append(conversion_audit(classify(feed, cfg), cfg))
     rows = union_vendors(frames)
     if stage_rows:
         rows = stage_table(rows, "canonical-batch")
-    out = merge_run(targets or {}, rows.filter(F.col("status") == "ok"))
-    out["rows"] = rows
-    out["files"] = files
+    out = merge_run(targets or {}, exclude_failed_files(rows.filter(F.col("status") == "ok"), files.filter(F.col("status") == "failed")))
+    out |= {"rows": rows, "files": files, "errors": error_rows(rows), "audit": union_vendors(audits),
+            "report": run_report(rows, files, input_dir)}
     return out
 
 
-__all__ = ["normalize_feed", "canonical_rows", "ingest", "ingest_workbooks", "feed_columns"]
+def match_files(listing: DataFrame, mappings: list[dict], exclude_dirs=()) -> DataFrame:
+    """A1 + A2 on a listing with a ``path`` column."""
+    inv = file_inventory(listing.select("path"), exclude_dirs=exclude_dirs, number=False)
+    return vendor_match(inv, match_rules_df(listing.sparkSession, mappings))
+
+
+def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
+                     run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True) -> dict:
+    """End-to-end mapped ingest of a folder of workbooks.
+
+    A1 inventory (listing only) -> A2 vendor match -> only matched files are
+    read, configured sheets only -> per-vendor canonical rows -> H merge. A file
+    that cannot be read is reported as failed and the run goes on.
+    """
+    books = workbook_files(spark, path)
+    files = match_files(books, mappings, exclude_dirs)
+    matched = files.filter(F.col("status") == "matched").select("path")
+    sheets = sorted({s["sheet_name"] for m in mappings for s in m.get("sheets") or []})
+    # Parse every matched workbook once; each vendor's pivot reads the staged cells.
+    cells = stage_table(read_cells(spark, path, sheets=sheets, only=matched), "cells")
+    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows)
+
+
+__all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_workbooks", "match_files",
+           "mapping_columns", "probe_columns", "feed_columns"]

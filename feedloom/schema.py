@@ -53,6 +53,15 @@ BULBS_COLUMNS = [("diameter_in", "F")]
 ATTRIBUTE_TABLES = {"lighting": LIGHTING_COLUMNS, "fans": FANS_COLUMNS, "light_bulbs": BULBS_COLUMNS}
 PRESENCE_TABLES = ("accessories", "home_decor")
 
+# Columns that the pipeline adds to a wide feed. A normalised header never
+# starts with "_", so no sheet column can have one of these names.
+RESERVED = "_src_"
+ROW, FILE, PATH, SHEET = "_src_row", "_src_file", "_src_path", "_src_sheet"
+FILE_SEQ, SHEET_SEQ, VENDOR = "_src_file_seq", "_src_sheet_seq", "_src_vendor"
+SHEET_COLUMNS = "_src_columns"   # the sheet's first column names, in sheet order
+KIND = "_src_kind_"              # + column: cell kind of that column's value
+HAS = "_src_has_"                # + token: some column named like the token has text
+
 KEY_COLUMNS = ("vendor_code", "inventory_partno")
 LINEAGE_COLUMNS = ("source_file_name", "source_sheet_name", "source_row_number", "run_id")
 DEFAULT_CURRENCY = "USD"

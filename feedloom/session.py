@@ -18,7 +18,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "feedloom",
-                  driver_memory: str = "16g") -> SparkSession:
+                  driver_memory: str = "6g") -> SparkSession:
     """A session with AQE (coalescing, skew joins) and no UI server.
 
     In local mode the driver JVM runs the executors too, so its heap (default
@@ -60,31 +60,38 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the working tables made so far (once their readers are done);
+    returns how many there were. Works on any Hadoop file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    done = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done
 
 
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared folder.
 
-    Used where a plan would otherwise recompute an expensive subtree several
-    times (an existing snapshot, a header table read by many joins). The
-    checkpoint survives executor loss, unlike a cache.
+    For subtrees that a plan would otherwise recompute; unlike a cache it
+    survives the loss of executors. :func:`stage_table` is better where later
+    steps read a few columns only.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def spread(df):
-    """Round-robin a DataFrame over all cores when its scan yields fewer
-    partitions than cores (one small file = one task). Expression-heavy
-    stages (classification, conversions) then use every core. A no-op on a
-    large input, whose scan already has many splits."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def stage_table(df, name: str):
     """Write ``df`` once as a Parquet table under the shared folder and read
     it back: later reads get column pruning and filter pushdown, and an

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ids import positional_index
-from ..session import spread
 
 FEED_PARTS_SQL = """
 SELECT p_partkey AS row_idx,
@@ -98,8 +97,8 @@ def duckdb_cte(*names: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; spread over all cores when it is a single small file."""
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def feed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,9 +16,9 @@ def write_snapshot(df: DataFrame, path: str, partitions: int | None = None) -> N
     (df.repartition(partitions) if partitions else df).write.mode("overwrite").parquet(path)
 
 
-def write_landing_table(df: DataFrame, table: str) -> None:
+def replace_table(df: DataFrame, table: str) -> None:
     """H9: drop-and-create a raw landing table (all text + lineage)."""
-    df.write.mode("overwrite").saveAsTable(table)
+    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,

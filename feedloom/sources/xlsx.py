@@ -24,6 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..functions.headers import norm_header
+from ..functions.text import SOURCE_NA_TOKENS, has_text
+from ..operators.classify import config_tokens
+from ..schema import FILE, FILE_SEQ, HAS, KIND, PATH, ROW, SHEET, SHEET_COLUMNS, SHEET_SEQ
 from ..session import ship_package
 
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -145,92 +149,109 @@ def iter_cells(data: bytes, sheets: set[str] | None = None):
 
 @udtf(returnType=CELLS_SCHEMA, useArrow=True)
 class WorkbookCells:
-    """UDTF: one workbook (bytes) -> its non-empty cells."""
+    """UDTF: one workbook (bytes) -> its non-empty cells. A workbook that cannot
+    be read gives one row of kind ``fatal`` with the reason."""
 
     def eval(self, content: bytes, sheets: str | None = None):
         wanted = None if sheets is None else set(sheets.split("\x1f"))
-        yield from iter_cells(bytes(content), wanted)
+        try:
+            yield from iter_cells(bytes(content), wanted)
+        except Exception as e:  # whatever a broken file brings: it fails alone
+            yield None, None, None, None, "fatal", f"{type(e).__name__}: {e}"
 
 
-def read_cells(spark: SparkSession, path: str, glob: str = "*.xls[xm]", recursive: bool = True,
-               sheets: list[str] | None = None) -> DataFrame:
-    """A4: every sheet of every workbook under ``path`` as long cells
-    ``(file_path, file_name, sheet_name, sheet_seq, row_idx, col_idx, kind, text)``.
+# Any case of the suffix; ".xls" is listed and matched, and fails as unreadable.
+WORKBOOK_GLOB = "*.[xX][lL][sS]{,[xX],[mM]}"
 
-    Lock files (``~$*``) are skipped before any bytes are read.
-    """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower()).load(path))
-    files = files.select(F.col("path").alias("file_path"), "content").withColumn(
-        "file_name", F.element_at(F.split("file_path", "/"), -1)).filter(~F.col("file_name").startswith("~$"))
-    wanted = F.lit(None).cast("string") if sheets is None else F.lit("\x1f".join(sheets))
+
+def workbook_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """The workbooks under ``path`` (listing only: ``content`` is not read)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_GLOB)
+            .option("recursiveFileLookup", str(recursive).lower()).load(path))
+
+
+def cells_of(books: DataFrame, sheets: list[str] | None = None) -> DataFrame:
+    """A4: every sheet of every workbook in ``books(path, content)`` as long cells
+    ``(file_path, file_name, sheet_name, sheet_seq, row_idx, col_idx, kind, text)``."""
+    spark = books.sparkSession
     ship_package(spark)
     spark.udtf.register("feedloom_workbook_cells", WorkbookCells)
-    return spark.sql(
-        "SELECT f.file_path, f.file_name, c.* FROM {files} f, "
-        "LATERAL feedloom_workbook_cells(f.content, f.__sheets) c",
-        files=files.withColumn("__sheets", wanted),
-    )
+    wanted = F.lit(None).cast("string") if sheets is None else F.lit("\x1f".join(sheets))
+    files = books.select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"), "content", wanted.alias("__sheets"))
+    return spark.sql("SELECT f.file_path, f.file_name, c.* FROM {files} f, LATERAL feedloom_workbook_cells(f.content, f.__sheets) c", files=files)
+
+
+def read_cells(spark: SparkSession, path: str, recursive: bool = True, sheets: list[str] | None = None,
+               only: DataFrame | None = None) -> DataFrame:
+    """A4 on the workbooks under ``path``; lock files (``~$*``) are skipped.
+    ``only(path)`` names the files to read (the matched ones); the bytes of
+    others are not parsed."""
+    books = workbook_files(spark, path, recursive).filter(~F.element_at(F.split("path", "/"), -1).startswith("~$"))
+    if only is not None:
+        books = books.join(only.select("path").distinct(), "path", "left_semi")
+    return cells_of(books, sheets)
 
 
-def mapped_rows(cells: DataFrame, sheet_rules: DataFrame, key_aliases: list[str] | None = None,
-                keep_blank_rows: bool = True) -> DataFrame:
+def mapped_rows(cells: DataFrame, sheet_rules: DataFrame, columns: list[str], cfg: dict | None = None) -> DataFrame:
     """A3 + A5 + B1: configured sheets as wide all-text rows.
 
-    ``sheet_rules(vendor_code, sheet_name, header_row, sheet_seq)`` selects
-    sheets by exact name (missing sheets are simply absent) and gives each
-    its header row. Column names follow the sheet parse: a blank header cell
-    is ``Unnamed: <i>``, the k-th exact repeat of a name gets ``.k``; then B1
-    normalises them. Names that normalise alike keep the first non-empty
-    cell by position. The column list comes from the header rows
-    (header-sized metadata), so the pivot has a fixed schema.
-
-    Row index = position below the header. With ``keep_blank_rows`` the
-    empty rows between the header and a sheet's last non-empty row are kept
-    (all NULL), as the parse keeps them; they are counted and skipped later.
+    ``cells(file_path, file_name, file_seq, sheet_name, row_idx, col_idx, kind,
+    text)``; ``sheet_rules(vendor_code, sheet_name, header_row, sheet_seq)``
+    selects sheets by exact name (missing sheets are simply absent) and gives each
+    its header row. Column names follow the sheet parse: a blank header cell is
+    ``Unnamed: <i>``, the k-th exact repeat of a name gets ``.k``; then B1
+    normalises them. NA tokens become empty first; then names that normalise
+    alike keep the first non-empty cell by position.
+
+    The row has the columns that the mapping reads (``columns``), with their
+    cells' kinds, so its width is fixed by the configuration and no header is
+    collected. What rules ask of all columns of a sheet is worked out on the
+    cells: one flag for each feature token of ``cfg``. ``_src_columns`` lists the
+    sheet's first 40 column names in sheet order.
+
+    Row index = position below the header. The empty rows between the header and
+    a sheet's last non-empty row are kept (all NULL), as the parse keeps them;
+    they are counted and skipped later.
     """
     from pyspark.sql import Window
 
-    from ..functions.headers import norm_header
-
-    rules = sheet_rules.withColumnRenamed("sheet_seq", "cfg_sheet_seq").withColumnRenamed("vendor_code", "cfg_vendor_code")
-    sel = cells.join(F.broadcast(rules), "sheet_name")
-    sheet = ["file_path", "file_name", "sheet_name"]
+    rules = sheet_rules.select("sheet_name", "header_row", F.col("sheet_seq").alias("cfg_sheet_seq"))
+    sheet = ["file_path", "sheet_name"]
+    na = (F.col("kind") == "s") & F.col("text").isin(*SOURCE_NA_TOKENS)
+    sel = cells.join(rules, "sheet_name").filter(F.col("row_idx") >= F.col("header_row")).withColumns({
+        "text": F.when(~F.coalesce(na, F.lit(False)), F.col("text")), "kind": F.when(~F.coalesce(na, F.lit(False)), F.col("kind"))})
     # Column slots: every column with a header or a value (at most 16,384 per sheet).
-    slots = sel.filter(F.col("row_idx") >= F.col("header_row")).select(*sheet, "col_idx").distinct()
-    htext = sel.filter(F.col("row_idx") == F.col("header_row")).select(*sheet, "col_idx", F.col("text").alias("h"))
-    head = slots.join(htext, [*sheet, "col_idx"], "left").withColumn(
-        "raw", F.when(F.col("h").isNull(), F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string"))).otherwise(F.col("h")))
+    head = sel.groupBy(*sheet, "col_idx").agg(F.max(F.when(F.col("row_idx") == F.col("header_row"), F.col("text"))).alias("h"))
+    head = head.withColumn("raw", F.coalesce("h", F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string"))))
     k = F.row_number().over(Window.partitionBy(*sheet, "raw").orderBy("col_idx")) - 1
     head = head.withColumn("__k", k).select(
         *sheet, "col_idx",
         norm_header(F.when(F.col("__k") > 0, F.concat(F.col("raw"), F.lit("."), F.col("__k").cast("string")))
                     .otherwise(F.col("raw"))).alias("col_name"))
-    names = sorted({r.col_name for r in head.select("col_name").distinct().collect() if r.col_name})
+    shown = head.groupBy(*sheet).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("col_idx", "col_name"))), lambda c: c["col_name"]), 1, 40).alias("names"))
+
+    keys = [*sheet, "row_idx"]
+    tokens = config_tokens(cfg or {})
     body = sel.filter(F.col("row_idx") > F.col("header_row")).join(head, [*sheet, "col_idx"])
-    body = body.filter(F.col("col_name") != "")
-    keys = [*sheet, "cfg_vendor_code", F.col("cfg_sheet_seq").alias("sheet_seq"),
-            (F.col("row_idx") - F.col("header_row") - 1).alias("row_idx")]
-    wide = body.groupBy(*keys).pivot("col_name", names).agg(
-        F.min_by("text", "col_idx").alias("v"), F.min_by("kind", "col_idx").alias("k"))
-    if keep_blank_rows:
-        # Every row position up to the sheet's last non-empty row (a sheet has
-        # at most 1,048,576 rows, so one sheet's range is bounded).
-        last = sel.filter(F.col("row_idx") > F.col("header_row")).groupBy(
-            *sheet, "cfg_vendor_code", "cfg_sheet_seq", "header_row").agg(F.max("row_idx").alias("last"))
-        grid = last.select(*sheet, "cfg_vendor_code", F.col("cfg_sheet_seq").alias("sheet_seq"),
-                           F.explode(F.sequence(F.lit(0), F.col("last") - F.col("header_row") - 1)).alias("row_idx"))
-        wide = grid.join(wide, [*sheet, "cfg_vendor_code", "sheet_seq", "row_idx"], "left")
-    kinds = set(key_aliases or [])
-    out = [F.col(c) for c in ["file_path", "file_name", "sheet_name", "sheet_seq", "row_idx"]]
-    # A "Vendor Code" column in the sheet names the vendor per row; else the mapping's.
-    if "vendor_code" not in names:
-        out.append(F.col("cfg_vendor_code").alias("vendor_code"))
-    for n in names:
-        out.append(F.col(f"`{n}_v`").alias(n))
-        if n in kinds:
-            out.append(F.col(f"`{n}_k`").alias(f"{n}_kind"))
-    return wide.select(*out)
+    filled = F.col("text").isNotNull()
+    name = F.col("col_name")
+    # A column repeats under one name: the first non-empty cell by position.
+    picks = [F.min_by(F.struct("text", "kind"), F.when(filled & (name == c), F.col("col_idx"))).alias(f"v{i}") for i, c in enumerate(columns)]
+    flags = [F.bool_or(name.contains(t) & has_text(F.col("text"))).alias(f"t{i}") for i, t in enumerate(tokens)]
+    wide = body.groupBy(*keys).agg(*picks, *flags) if picks or flags else body.select(*keys).distinct()
+    # Every row position up to the sheet's last non-empty row (a sheet has at
+    # most 1,048,576 rows, so one sheet's range is bounded).
+    last = sel.groupBy(*sheet, "header_row", "cfg_sheet_seq").agg(
+        F.max("row_idx").alias("last"), F.first("file_name").alias("file_name"), F.first("file_seq").alias("file_seq")).join(shown, sheet)
+    grid = last.filter(F.col("last") > F.col("header_row")).select(
+        *sheet, "header_row", "cfg_sheet_seq", "file_name", "file_seq", "names",
+        F.explode(F.sequence(F.col("header_row") + 1, F.col("last"))).alias("row_idx"))
+    rows = grid.join(wide, keys, "left")
+    return rows.select(
+        F.col("file_path").alias(PATH), F.col("file_name").alias(FILE), F.col("file_seq").alias(FILE_SEQ), F.col("sheet_name").alias(SHEET),
+        F.col("cfg_sheet_seq").alias(SHEET_SEQ), (F.col("row_idx") - F.col("header_row") - 1).alias(ROW), F.col("names").alias(SHEET_COLUMNS),
+        *[F.col(f"v{i}.text").alias(c) for i, c in enumerate(columns)], *[F.col(f"v{i}.kind").alias(KIND + c) for i, c in enumerate(columns)],
+        *[F.col(f"t{i}").alias(HAS + t) for i, t in enumerate(tokens)])
 
 
 # ---------------------------------------------------------------- writer
@@ -297,45 +318,3 @@ def workbook_bytes(sheets: dict[str, list[tuple[int, int, str, str]]]) -> bytes:
                        '<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
                        f'<sheetData>{"".join(parts)}</sheetData></worksheet>')
     return buf.getvalue()
-
-
-def write_workbooks(cells: DataFrame, out_dir: str, rows_per_book: int = 65536, book_col: str | None = None) -> DataFrame:
-    """Write long cells as workbooks, one per (sheet, block of rows), on executors.
-
-    Each workbook holds at most ``rows_per_book`` rows of one sheet, so no
-    task ever holds more than one bounded block. File name:
-    ``<sheet>__<first row>.xlsx``; row indexes inside restart at 0.
-    """
-    import os
-
-    import pyarrow.fs as pafs
-
-    ship_package(cells.sparkSession)
-    blocks = cells.withColumn("__block", F.floor(F.col("row_idx") / rows_per_book).cast("bigint"))
-    if book_col is None:
-        blocks = blocks.withColumn("__book", F.lit(None).cast("string"))
-    else:
-        blocks = blocks.withColumn("__book", F.col(book_col))
-
-    def write(pdf):
-        import pandas as pd
-        sheet = str(pdf["sheet_name"].iloc[0])
-        block = int(pdf["__block"].iloc[0])
-        base = block * rows_per_book
-        recs = [(int(r) - base, int(c), k, t) for r, c, k, t in
-                zip(pdf["row_idx"], pdf["col_idx"], pdf["kind"], pdf["text"])]
-        book = pdf["__book"].iloc[0]
-        if book is not None and not pd.isna(book):
-            name = str(book) if block == 0 else re.sub(r"(\.[^.]*)?$", f"__{base:012d}\\1", str(book), count=1)
-        else:
-            name = re.sub(r"[^\w.-]", "_", sheet) + f"__{base:012d}.xlsx"
-        path = f"{out_dir.rstrip('/')}/{name}"
-        # Any file system pyarrow knows (local, HDFS, object stores).
-        fs, fpath = pafs.FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
-        fs.create_dir(fpath.rsplit("/", 1)[0], recursive=True)
-        with fs.open_output_stream(fpath) as fh:
-            fh.write(workbook_bytes({sheet: recs}))
-        return pd.DataFrame({"path": [path], "sheet_name": [sheet], "first_row": [base], "cells": [len(recs)]})
-
-    return blocks.groupBy("__book", "sheet_name", "__block").applyInPandas(
-        write, "path string, sheet_name string, first_row bigint, cells bigint")

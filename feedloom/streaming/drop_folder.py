@@ -1,85 +1,119 @@
 """Incremental drop-folder ingest (J1) on Structured Streaming.
 
-``readStream.format("binaryFile")`` picks up each new workbook once (the
-file source keeps the set of seen files in the checkpoint); every
-micro-batch is parsed on executors, mapped and merged into the previous
-snapshot version inside ``foreachBatch``; processed files can be moved to
-an archive folder by the file source itself (``cleanSource=archive``).
-
-Snapshots are versioned by batch id (``<snapshots>/batch=<id>/<table>``):
-a replayed batch after a failure reads the same previous version and
-overwrites its own version with the same result, so the sink is
-idempotent. ``trigger(availableNow=True)`` turns a run into a bounded
-catch-up job, the streaming form of the scheduled folder sweep.
+``start_feed`` watches a folder of tabular feed files (Parquet, CSV, JSON);
+``start`` one of workbooks. The file source hands over each new file once (it
+keeps the set of seen files in the checkpoint); every micro-batch is matched to
+its mapping by file name, mapped, and merged into the previous version of the
+bucketed snapshot inside ``foreachBatch``. A batch also writes its error log,
+conversion audit and run report. Processed files can be moved by the file source
+itself (``cleanSource=archive``).
+
+Versions are batch ids: a replayed batch after a failure reads the same previous
+version and writes its own version again, so the sink is idempotent. A previous
+version that cannot be read is an error; it is never taken for an empty target.
+``trigger(availableNow=True)`` turns a run into a bounded catch-up job, the
+streaming form of the scheduled folder sweep.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..config import sheet_rules_df
-from ..operators.merge import merge_run
-from ..plans.ingest import canonical_rows
-from ..schema import ATTRIBUTE_TABLES, PRESENCE_TABLES
-from ..session import ship_package
-from ..sources.xlsx import WorkbookCells, mapped_rows
+from ..config import match_rules_df
+from ..operators import merge as M
+from ..operators.classify import classify
+from ..operators.files import vendor_match, with_name_parts
+from ..operators.mapping import conversion_audit, union_vendors
+from ..operators.report import file_status, run_report, write_report
+from ..operators.validate import error_rows
+from ..plans.ingest import as_feed, canonical_rows, ingest_cells, match_files, normalize_feed, probe_columns
+from ..schema import PATH
+from ..session import ship_package, stage_table
+from ..sources.xlsx import WORKBOOK_GLOB, cells_of
 
-TABLES = ["core", *ATTRIBUTE_TABLES, *PRESENCE_TABLES]
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+_NO_FATAL = "path string, reason string"
 
 
-def read_snapshot(spark: SparkSession, snapshots: str, batch_id: int) -> dict[str, DataFrame] | None:
-    try:
-        return {t: spark.read.parquet(f"{snapshots}/batch={batch_id}/{t}") for t in TABLES}
-    except AnalysisException:
-        return None
+def _write_batch(out: dict, root: str, batch_id: int, buckets: int) -> None:
+    """Logs of a batch, then its snapshot version. Written again on a replay."""
+    spark = out["rows"].sparkSession
+    logs = f"{root}/logs/batch={batch_id}"
+    out["errors"].write.mode("overwrite").parquet(f"{logs}/errors")
+    out["audit"].write.mode("overwrite").parquet(f"{logs}/conversions")
+    write_report(out["report"], f"{logs}/report")
+    M.merge_snapshot(spark, root, batch_id, out["rows"].filter(F.col("status") == "ok"), batch_id - 1 if batch_id else None, buckets)
 
 
-def _process(cfg: dict, snapshots: str, run_id: int | None):
+def _feed_batch(mappings: list[dict], root: str, columns: dict, run_id: int | None, input_dir: str, buckets: int) -> Callable[[DataFrame, int], None]:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        spark.udtf.register("feedloom_workbook_cells", WorkbookCells)
-        files = batch.select(F.col("path").alias("file_path"), "content").withColumn(
-            "file_name", F.element_at(F.split("file_path", "/"), -1))
-        cells = spark.sql(
-            "SELECT f.file_path, f.file_name, c.* FROM {files} f, "
-            "LATERAL feedloom_workbook_cells(f.content, CAST(NULL AS STRING)) c", files=files)
-        key = ((cfg.get("column_map") or {}).get("core") or {}).get("inventory_partno") or []
-        wide = mapped_rows(cells, sheet_rules_df(spark, [cfg]), key).drop("file_path")
-        rows = canonical_rows(wide.withColumn("file_seq", F.col("file_name")), cfg, run_id=run_id)
-        previous = read_snapshot(spark, snapshots, batch_id - 1) if batch_id > 0 else None
-        out = merge_run(previous or {}, rows.filter(F.col("status") == "ok"))
-        for t in TABLES:
-            out[t].write.mode("overwrite").parquet(f"{snapshots}/batch={batch_id}/{t}")
+        batch = stage_table(batch, "batch")
+        files = vendor_match(with_name_parts(batch.select(F.col(PATH).alias("path")).distinct()), match_rules_df(spark, mappings))
+        files = stage_table(files, "files")
+        matched = files.filter(F.col("status") == "matched").select(F.col("path").alias(PATH), "mapping_seq")
+        rows, audits = [], []
+        for seq, cfg in enumerate(mappings):
+            own = batch.join(matched.filter(F.col("mapping_seq") == seq).select(PATH), PATH, "left_semi")
+            feed = normalize_feed(as_feed(own, **columns))
+            rows.append(canonical_rows(feed, cfg, run_id=run_id, normalize=False, keep=probe_columns(feed)))
+            audits.append(conversion_audit(classify(feed, cfg), cfg))
+        whole = stage_table(union_vendors(rows), "canonical-batch")
+        status = file_status(files, spark.createDataFrame([], _NO_FATAL))
+        _write_batch({"rows": whole, "errors": error_rows(whole), "audit": union_vendors(audits),
+                      "report": run_report(whole, status, input_dir)}, root, batch_id, buckets)
     return run
 
 
-def start(spark: SparkSession, drop_dir: str, cfg: dict, snapshots: str, checkpoint: str,
-          archive_dir: str | None = None, run_id: int | None = None, max_files: int | None = None,
-          glob: str = "*.xls[xm]"):
-    """Start one ``availableNow`` run over the drop folder; returns the query."""
-    ship_package(spark)
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true"))
+def _workbook_batch(mappings: list[dict], root: str, run_id: int | None, input_dir: str, buckets: int) -> Callable[[DataFrame, int], None]:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        files = stage_table(match_files(batch, mappings), "files")
+        sheets = sorted({s["sheet_name"] for m in mappings for s in m.get("sheets") or []})
+        matched = batch.join(files.filter(F.col("status") == "matched").select("path"), "path", "left_semi")
+        cells = stage_table(cells_of(matched, sheets), "cells")
+        _write_batch(ingest_cells(cells, files, mappings, run_id=run_id, input_dir=input_dir), root, batch_id, buckets)
+    return run
+
+
+def _run(reader, drop_dir: str, max_files: int | None, archive_dir: str | None):
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    stream = reader.load(drop_dir).filter(~F.element_at(F.split("path", "/"), -1).startswith("~$"))
-    return (stream.writeStream.foreachBatch(_process(cfg, snapshots, run_id))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def latest_snapshot(spark: SparkSession, snapshots: str, checkpoint: str) -> dict[str, DataFrame] | None:
-    """The newest committed snapshot version, from the stream's commit log
-    (read through Spark, so any checkpoint file system works)."""
-    try:
-        commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select(
-            F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(\d+)$", 1).alias("id"))
-    except AnalysisException:
-        return None
-    last = commits.filter(F.col("id") != "").select(F.max(F.col("id").cast("bigint"))).first()[0]
-    return None if last is None else read_snapshot(spark, snapshots, int(last))
+    return reader.option("recursiveFileLookup", "true").load(drop_dir)
+
+
+def start_feed(spark: SparkSession, drop_dir: str, mappings: list[dict], root: str, checkpoint: str, schema: str, fmt: str = "parquet",
+               columns: dict | None = None, options: dict | None = None, archive_dir: str | None = None,
+               run_id: int | None = None, max_files: int | None = None, buckets: int = M.BUCKETS):
+    """One ``availableNow`` run over a folder of feed files; returns the query.
+
+    ``schema``: the files' columns; ``columns``: arguments of
+    :func:`~feedloom.plans.ingest.as_feed` (which column is the row number, the
+    vendor and so on). A file is told by its path.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    stream = _run(reader, drop_dir, max_files, archive_dir).withColumn(PATH, F.col("_metadata.file_path"))
+    return (stream.writeStream.foreachBatch(_feed_batch(mappings, root, columns or {"row": "row_idx"}, run_id, drop_dir, buckets))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def start(spark: SparkSession, drop_dir: str, mappings: list[dict], root: str, checkpoint: str, archive_dir: str | None = None,
+          run_id: int | None = None, max_files: int | None = None, buckets: int = M.BUCKETS):
+    """One ``availableNow`` run over a folder of workbooks; returns the query."""
+    ship_package(spark)
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", WORKBOOK_GLOB)
+    return (_run(reader, drop_dir, max_files, archive_dir).writeStream.foreachBatch(_workbook_batch(mappings, root, run_id, drop_dir, buckets))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def latest_snapshot(spark: SparkSession, root: str, checkpoint: str) -> dict[str, DataFrame] | None:
+    """The newest committed snapshot version, by the stream's commit log; None
+    before the first batch."""
+    commits = (spark.read.format("binaryFile").option("pathGlobFilter", "[0-9]*").load(f"{checkpoint}/commits")
+               .select(F.element_at(F.split("path", "/"), -1).cast("long").alias("id")))
+    last = commits.agg(F.max("id")).first()[0]
+    return None if last is None else M.read_snapshot(spark, root, int(last))

@@ -51,3 +51,35 @@ def test_rules_strategy_and_default(spark):
     got = _classify(spark, [(0, None, None, "1", "2"), (1, None, None, "1", None)], cfg, layer=False)
     assert got == {0: ("fans", None), 1: ("home_decor", None)}
     assert _classify(spark, [(0, "fan", None, None, None)], {"category": {"strategy": "weird"}}, layer=False)[0][0] == "lighting"
+
+
+def test_pipeline_columns_are_not_seen_and_sheet_columns_are(spark):
+    cfg = {"category": {"strategy": "rules", "rules": [
+        {"if_any_field_present": ["bulb_kind"], "category_type": "bulbs"}, {"if_any_field_present": ["_src_file"], "category_type": "never"},
+        {"default": "other"}]}}
+    df = spark.createDataFrame([(0, "f", "led", "r"), (1, "f", None, "r")], "_src_row int, _src_file string, bulb_kind string, run_id string")
+    got = {r._src_row: r.category_type for r in classify(df, cfg).collect()}
+    assert got == {0: "bulbs", 1: "other"}
+
+
+def test_python_patterns_in_java(spark):
+    import re
+
+    from feedloom.functions.patterns import java_pattern
+
+    texts = ["a chair", "armchair x", "wall art", "wall  art", "abba", "Größe chair", "chair\n", "x(1)", "REMOTE for", "foo bar"]
+    patterns = [r"(?a)\bchair\b", "(?x) wall \\s art  # comment", r"(?P<w>b)(?P=w)", r"(?i)remote", r"chair\Z", r"(?s)c.*$", "x\\(1\\)", r"(?im)^FOO", r"\w+\s\w+"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for p in patterns:
+        got = {r.i: r.hit for r in df.selectExpr("i", "t").withColumn("hit", df.t.rlike(java_pattern(p))).collect()}
+        assert got == {i: bool(re.search(p, t)) for i, t in enumerate(texts)}, p
+    assert java_pattern("(unclosed") is None
+
+
+def test_fused_patterns(spark):
+    cfg = {"category": {"regex_scan": {"columns": ["t"], "rules": [
+        {"category_type": "a", "any_regex": [r"(?a)\bone\b", "(?x) two # note", r"(?P<g>three)", r"(?P<g>four)", "(?i)five", "six"]}]}}}
+    from feedloom.operators.classify import classify_layer
+    df = spark.createDataFrame([(t,) for t in ["one", "two", "three", "four", "FIVE", "six", "SIX", "seven"]], "t string")
+    got = {r.t: r.category_type for r in classify_layer(df, cfg, "regex_scan").collect()}
+    assert got == {"one": "a", "two": "a", "three": "a", "four": "a", "FIVE": "a", "six": "a", "SIX": None, "seven": None}

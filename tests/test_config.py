@@ -1,7 +1,8 @@
 """A6 mapping loading, plan-time warnings and vendor matching."""
 import yaml
 
-from feedloom.config import MAPPINGS_DIR, bundled, load_mappings, pick_vendor_py, validate_mapping
+from feedloom.config import MAPPINGS_DIR, bundled, load_mappings, match_rules_df, validate_mapping
+from feedloom.operators.files import vendor_match
 
 
 def test_load_dir_and_file(tmp_path):
@@ -13,11 +14,12 @@ def test_load_dir_and_file(tmp_path):
     assert [m["vendor_code"] for m in load_mappings(tmp_path / "b.yaml")] == ["B"]
 
 
-def test_vendor_match_first_mapping_wins():
-    maps = load_mappings(MAPPINGS_DIR / "vendors.yaml")
-    assert pick_vendor_py("EXAMPLE1_data_7.xlsx", maps)["vendor_code"] == "Example 1"
-    assert pick_vendor_py("x_Data_y.xlsx", maps)["vendor_code"] == "Example 2"
-    assert pick_vendor_py("other.xlsx", maps) is None
+def test_vendor_match_first_mapping_wins(spark):
+    rules = match_rules_df(spark, load_mappings(MAPPINGS_DIR / "vendors.yaml"))
+    files = spark.createDataFrame([("EXAMPLE1_data_7.xlsx",), ("x_Data_y.xlsx",), ("other.xlsx",)], "file_name string")
+    got = {r.file_name: (r.vendor_code, r.status) for r in vendor_match(files, rules).collect()}
+    assert got == {"EXAMPLE1_data_7.xlsx": ("Example 1", "matched"), "x_Data_y.xlsx": ("Example 2", "matched"), "other.xlsx": (None, "skipped")}
+    assert vendor_match(files, rules.limit(0)).filter("status = 'skipped'").count() == 3
 
 
 def test_validate_mapping_warnings():

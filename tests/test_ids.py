@@ -33,3 +33,13 @@ def test_positional_index_negative_and_null_order(spark):
     got = {r.o: r.pos for r in positional_index(df, ["g"], ["o"], "pos", bucket_bits=4).collect()}
     # Spark sorts NULL first in ascending order; buckets keep that order.
     assert got == {None: 0, -70000: 1, -5: 2, -1: 3, 0: 4, 3: 5, 65535: 6, 65536: 7, 200000: 8}
+
+
+def test_global_index_of_any_types(spark):
+    from feedloom.operators.ids import global_index
+
+    rows = [(None if i % 11 == 0 else f"f{i % 5}", ["a", str(i)], i) for i in range(300)]
+    df = spark.createDataFrame(rows, "f string, p array<string>, i int").repartition(7)
+    got = [r.pos for r in global_index(df, ["f", "p", "i"], "pos", base=1).orderBy(F.col("f").asc_nulls_first(), "p", "i").collect()]
+    assert got == list(range(1, 301))
+    assert global_index(df.limit(0), ["f", "i"], "pos").count() == 0

@@ -70,4 +70,27 @@ def test_landing_wide_table(spark):
     names = [r.stored_column_name for r in out["column_map"].orderBy("col_idx").collect()]
     assert names == ["name", "name1", "qty"]         # "Name.1" from the sheet parse; "." is dropped
     wide = L.landing_wide(out["landing"], names).orderBy("source_row_number").collect()
-    assert [(r.source_row_number, r.name, r.name1, r.qty) for r in wide] == [(0, "a", "b", "3"), (1, "c", None, "4")]
+    assert [(r.raw_id, r.source_row_number, r.name, r.name1, r.qty) for r in wide] == [(1, 0, "a", "b", "3"), (2, 1, "c", None, "4")]
+    assert len({r.loaded_at for r in wide}) == 1
+
+
+def test_empty_sheets_have_no_table_and_tables_are_replaced(spark):
+    rows = [("w.xlsx", "Full", 0, 0, "s", "Name"), ("w.xlsx", "Full", 1, 0, "s", "a"), ("w.xlsx", "Head only", 0, 0, "s", "Name"),
+            ("w.xlsx", "Blank below", 0, 0, "s", "Name"), ("w.xlsx", "Blank below", 1, 0, None, None), ("w.xlsx", "NA below", 0, 0, "s", "Name"),
+            ("w.xlsx", "NA below", 1, 0, "s", "N/A")]
+    out = L.raw_landing(spark.createDataFrame(rows, CELLS))
+    assert [r.table_name for r in out["tables"].collect()] == ["RAW_w_Full"]
+    store = {}
+    for _ in range(2):
+        assert L.write_raw_tables(out, lambda df, name: store.__setitem__(name, df.collect()), "2026-01-01 00:00:00") == ["RAW_w_Full"]
+    assert [(r.raw_id, r["name"]) for r in store["RAW_w_Full"]] == [(1, "a")]
+
+
+def test_too_wide_a_worksheet_fails(spark):
+    import pytest
+
+    names = spark.createDataFrame([("w.xlsx", "S", 20_000, "h")], "file_name string, sheet_name string, col_idx int, original_header string")
+    cols = names.select("file_name", "sheet_name", "col_idx")
+    with pytest.raises(Exception, match="16384 columns"):
+        L.column_names(names, cols).collect()
+    assert L.column_names(names, cols, wide=True).count() == 1

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import merge as M
 from feedloom.operators.report import file_counters
-from feedloom.plans.ingest import canonical_rows
+from feedloom.plans.ingest import as_feed, canonical_rows
 
 CFG = {
     "vendor_code": "V", "sheets": [{"sheet_name": "S"}],
@@ -16,7 +16,8 @@ SCHEMA = "file_name string, row_idx int, sku string, sku_kind string, finish str
 
 
 def _rows(spark, data):
-    return canonical_rows(spark.createDataFrame(data, SCHEMA), CFG)
+    feed = as_feed(spark.createDataFrame(data, SCHEMA), row="row_idx", file="file_name", kinds={"sku": "sku_kind"})
+    return canonical_rows(feed, CFG)
 
 
 def _ok(rows):
@@ -76,6 +77,40 @@ def test_merge_idempotent_and_order_free(spark):
 def test_exclude_failed_files(spark):
     rows = _rows(spark, [("a.xlsx", 0, "A", "s", None, None, "lamp", None),
                          ("b.xlsx", 0, "B", "s", None, None, "lamp", None)])
-    failed = spark.createDataFrame([("b.xlsx",)], "file string")
+    failed = spark.createDataFrame([("b.xlsx",)], "path string")
     keys = [r.inventory_partno for r in M.exclude_failed_files(_ok(rows), failed).collect()]
     assert keys == ["A"]
+
+
+def test_bucketed_snapshot_equals_plain_merge(spark, tmp_path):
+    import pytest
+
+    batches = [[(f"f{b}.xlsx", i, f"K{(i * (b + 3)) % 23}", "s", f"fin{b}-{i}", ["EUR", None][i % 2], ["lamp", "fan", "kit", "other"][(i + b) % 4], f"s{i}")
+                for i in range(12 + b)] for b in range(3)]
+    root, plain = str(tmp_path / "snap"), {}
+    for b, data in enumerate(batches):
+        ok = _ok(_rows(spark, data))
+        plain = M.merge_run(plain, ok)
+        for _ in range(2):                       # a replayed batch writes the same version
+            M.merge_snapshot(spark, root, b, ok, b - 1 if b else None, buckets=5)
+    got = M.read_snapshot(spark, root, 2)
+    for t in M.TABLES:
+        cols = plain[t].columns
+        assert sorted(map(str, map(tuple, got[t].select(*cols).collect()))) == sorted(map(str, map(tuple, plain[t].collect()))), t
+    one = _ok(_rows(spark, [("z.xlsx", 0, "ONLY", "s", None, None, "lamp", None)]))
+    M.merge_snapshot(spark, root, 3, one, 2)
+    versions = {(e.bucket, e.version) for e in M.read_manifest(spark, root, 3) if e.table == "core"}
+    assert sum(v == 3 for _, v in versions) == 1      # only the touched bucket was written
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        M.merge_snapshot(spark, root, 9, one, 8)       # a missing version is an error, not an empty target
+
+
+def test_conversions_in_turn_and_rejected_text(spark):
+    cfg = dict(CFG, column_map={"core": {"inventory_partno": ["sku"], "wholesale_price": ["p"], "bulb_quantity": ["p"], "width_in": ["w"], "is_imap": ["b"]}},
+               conversions={"money": ["wholesale_price", "bulb_quantity"], "int": ["bulb_quantity"], "bool": ["is_imap"], "decimals": ["is_imap"]})
+    feed = spark.createDataFrame([(0, "A", "$12,345,678", "1.5", "1"), (1, "B", "0.5", "wide", "yes"), (2, "C", "1e3", None, "0")],
+                                 "r int, sku string, p string, w string, b string")
+    got = {r.row_idx: r for r in canonical_rows(as_feed(feed, row="r"), cfg).collect()}
+    assert [got[i].bulb_quantity for i in range(3)] == [12345678, 0, 1000]
+    assert [got[i].is_imap for i in range(3)] == [None, None, None]     # "1.0", nothing and "0.0" are no yes/no words
+    assert [got[i].status for i in range(3)] == ["ok", "error", "ok"] and got[1].rejected_field == "width_in"

@@ -2,7 +2,7 @@
 import json
 
 from feedloom.operators import report as R
-from feedloom.plans.ingest import canonical_rows
+from feedloom.plans.ingest import as_feed, canonical_rows
 
 CFG = {"vendor_code": "V", "sheets": [{"sheet_name": "S"}],
        "category": {"strategy": "layered", "column_value": {"columns": ["d"], "mappings": {"fans": ["fan"]}}},
@@ -13,13 +13,22 @@ def test_report_rows_and_json(spark):
     feed = spark.createDataFrame(
         [("a.xlsx", 0, "A", "fan"), ("a.xlsx", 1, None, "fan"), ("a.xlsx", 2, "B", "lamp"), ("b.xlsx", 0, "C", "fan")],
         "file_name string, row_idx int, sku string, d string")
-    rows = canonical_rows(feed, CFG)
-    files = spark.createDataFrame([("z.xlsx", "skipped", "No vendor mapping matched file_name")],
-                                  "file_name string, status string, reason string")
-    report = R.run_report(rows, files)
+    rows = canonical_rows(as_feed(feed, row="row_idx", file="file_name"), CFG)
+    files = spark.createDataFrame(
+        [("z.xlsx", "z.xlsx", None, "skipped", "No vendor mapping matched file_name")]
+        + [(n, n, "V", "matched", None) for n in ("a.xlsx", "b.xlsx", "c.xlsx", "empty.xlsx")],
+        "path string, file_name string, vendor_code string, status string, reason string")
+    fatal = spark.createDataFrame([("c.xlsx", "BadZipFile: x")], "path string, reason string")
+    moved = spark.createDataFrame([("a.xlsx", "/arch/a.xlsx", None), ("c.xlsx", None, "PermissionError: x")], "path string, moved_to string, move_error string")
+    report = R.run_report(rows, R.file_status(files, fatal), "/in", moved)
     got = {r.file: (r.rows_total, r.rows_upserted, r.rows_skipped_missing_key, r.status) for r in report.collect()}
-    assert got == {"a.xlsx": (3, 2, 1, "ok"), "b.xlsx": (1, 1, 0, "ok"), "z.xlsx": (None, None, None, "skipped")}
-    docs = [json.loads(r.json) for r in R.report_json(report, R.category_map(rows)).collect()]
+    assert got == {"a.xlsx": (3, 2, 1, "ok"), "b.xlsx": (1, 1, 0, "ok"), "empty.xlsx": (0, 0, 0, "ok"),
+                   "z.xlsx": (None, None, None, "skipped"), "c.xlsx": (None, None, None, "failed")}
+    docs = [json.loads(r.json) for r in R.report_json(report).collect()]
+    assert {d["run_status"] for d in docs} == {"partial"} and {d["input_dir"] for d in docs} == {"/in"}
+    c = next(d for d in docs if d["file"] == "c.xlsx")
+    assert c["reason"] == "Fatal error: BadZipFile: x" and c["move_error"] == "PermissionError: x" and c["skipped"]
+    assert next(d for d in docs if d["file"] == "a.xlsx")["archived_to"] == "/arch/a.xlsx"
     a = next(d for d in docs if d["file"] == "a.xlsx")
     assert a["by_category"] == {"fans": 1, "lighting": 1}
     assert next(d for d in docs if d["file"] == "z.xlsx")["reason"] == "No vendor mapping matched file_name"
@@ -35,3 +44,17 @@ def test_log_sinks(spark, tmp_path):
     assert [tuple(r) for r in back] == [("x", "a.xlsx")]
     R.write_report(df.withColumnRenamed("error_message", "reason"), str(tmp_path / "report"))
     assert spark.read.json(str(tmp_path / "report")).first().file == "a.xlsx"
+
+
+def test_same_names_in_two_folders(spark):
+    from feedloom.operators.files import disposition, with_name_parts
+
+    files = with_name_parts(spark.createDataFrame([("/in/a/x.xlsx", "ok"), ("/in/b/x.xlsx", "ok"), ("/in/c/x.xlsx", "failed"), ("/in/d/y.xlsx", "ok"), ("/in/e/x.xlsx", "ok"),
+                                                   ("/in/f/x.xlsx", "skipped")], "path string, status string"))
+    existing = spark.createDataFrame([("/in/archive", "y.xlsx")], "dir string, file_name string")
+    got = {r.path: r.moved_to for r in disposition(files, existing, "S").collect()}
+    assert got == {"/in/a/x.xlsx": "/in/archive/x.xlsx", "/in/b/x.xlsx": "/in/archive/x_S.xlsx", "/in/e/x.xlsx": "/in/archive/x_S_2.xlsx",
+                   "/in/c/x.xlsx": "/in/error/x.xlsx", "/in/d/y.xlsx": "/in/archive/y_S.xlsx", "/in/f/x.xlsx": None}
+    feed = spark.createDataFrame([("/a/x.xlsx", "x.xlsx", 0, "A"), ("/b/x.xlsx", "x.xlsx", 0, "B")], "p string, f string, r int, sku string")
+    rows = canonical_rows(as_feed(feed, row="r", path="p", file="f"), CFG)
+    assert {r.path: r.rows_total for r in R.file_counters(rows).collect()} == {"/a/x.xlsx": 1, "/b/x.xlsx": 1}
