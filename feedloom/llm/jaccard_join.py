@@ -48,9 +48,9 @@ from feedloom.session import stage_table
 from . import words as W
 from .tables import prepare
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Prefix elements a task holds before it hands them on.
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 #: Entries of the order hint sent to the tasks (12 bytes each).
 ORDER_HINTS = 1 << 17
 #: Bits of the filter that keeps texts without candidates from being shuffled.
@@ -405,17 +405,19 @@ def _spanning(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _across(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of entries of a list, of different components and fitting sizes."""
-    a = left.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
-    b = right.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
-    return a.join(b, "token").filter("a <> b and ra <> rb and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Pairs of entries of a list, of different components and fitting sizes.
+    Where both sets have the same list before this one in their order, the pair
+    is met there already."""
+    a = left.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), F.col("prev").alias("va"))
+    b = right.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), F.col("prev").alias("vb"))
+    return a.join(b, "token").filter("a <> b and ra <> rb and coalesce(va <> vb, true) and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _leaders(entries: DataFrame, turn: int) -> DataFrame:
     """``LEADERS`` entries of each list at most, others in each turn."""
     h = F.xxhash64("node", F.lit(turn))
-    return (entries.groupBy("token", F.pmod(h, F.lit(LEADERS)).alias("seat")).agg(F.min(F.struct("pos", h.alias("h"), "node", "n", "root")).alias("x"))
-            .select("token", "x.node", "x.n", "x.pos", "x.root"))
+    return (entries.groupBy("token", F.pmod(h, F.lit(LEADERS)).alias("seat")).agg(F.min(F.struct("pos", h.alias("h"), "node", "n", "root", "prev")).alias("x"))
+            .select("token", "x.node", "x.n", "x.pos", "x.root", "x.prev"))
 
 
 def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: DataFrame, doc_nodes: DataFrame, k: int) -> DataFrame:
@@ -430,10 +432,13 @@ def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: Data
     tried = met.filter(_CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     turn = 0
     while True:
-        entries = stage_table(_spanning(members, labels), "spanning")
+        entries = _spanning(members, labels)
+        if turn == 0:  # a set has no more entries than elements
+            entries = entries.withColumn("prev", F.lag("token").over(Window.partitionBy("node").orderBy("pos", "token")))
+        entries = stage_table(entries, "spanning")
         if turn == 0:
             short = entries.filter(F.col("m") <= 2 * LEADERS)
-            members = stage_table(entries.filter(F.col("m") > 2 * LEADERS).select("token", "node", "n", "pos"), "members")
+            members = stage_table(entries.filter(F.col("m") > 2 * LEADERS).select("token", "node", "n", "pos", "prev"), "members")
             entries = entries.filter(F.col("m") > 2 * LEADERS)
         sizes = (entries.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
                  .agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first())
