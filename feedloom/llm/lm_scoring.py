@@ -48,7 +48,7 @@ from .tables import prepare
 CHUNK_BYTES = 4 << 20
 #: Words a task holds before it hands on its pair counts.
 FLUSH = 3 << 20
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 PRIOR = 8.0
 BASE = 2.0            # code q stands for counts from BASE^(q-1) to BASE^q - 1
 PROBES = 3
@@ -244,8 +244,8 @@ def learn(training: DataFrame, text_col: str = "text") -> Model:
         if taken > FREQUENT:
             break
         low = r["level"]
-    often = counts.filter(F.floor(F.log2("times") * 4) >= low).toPandas()  # FREQUENT rows at most
-    word, times = often["word"].to_numpy(dtype=np.int64).view(np.uint64), often["times"].to_numpy(dtype=np.int64)
+    often = counts.filter(F.floor(F.log2("times") * 4) >= low).toArrow()  # FREQUENT rows at most
+    word, times = often["word"].to_numpy().view(np.uint64), often["times"].to_numpy()
     order = np.argsort(word)
 
     slice_bits = max(4, int(total // SLICE_PAIRS).bit_length())
