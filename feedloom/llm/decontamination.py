@@ -269,7 +269,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     item_type = benchmark.schema[item_id_col].dataType.simpleString()
     sc = docs.sparkSession.sparkContext
 
-    def one_pass(block: Phrases) -> DataFrame:
+    from pyspark.sql.pandas.types import to_arrow_type
+    arrow_item = to_arrow_type(benchmark.schema[item_id_col].dataType)
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def one_pass(source: DataFrame, block: Phrases) -> DataFrame:
         sent = sc.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,24 +288,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                 for d, i in pairs.tolist():
                     if phrases.item_ids[i] is not None:
                         items[d].append(phrases.item_ids[i])
-                yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(w.counts), spans, pa.array([sorted(set(x)) for x in items], type=pa.list_(arrow_item))],
-                                                 ["doc_id", "n_words", "spans", "items"])
-
-        from pyspark.sql.pandas.types import to_arrow_type
-        arrow_item = to_arrow_type(benchmark.schema[item_id_col].dataType)
-        id_type = docs.schema[id_col].dataType.simpleString()
-        source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        return source.mapInArrow(run, f"doc_id {id_type}, n_words long, spans {SPANS}, items array<{item_type}>")
-
-    passes = [one_pass(b) for b in phrase_blocks(benchmark, window, item_id_col, item_text_col)]
-    if len(passes) == 1:
-        return passes[0]
-    # Several blocks: join the passes' findings row by row. Rows are told apart
-    # by their place in the staged passes, which all read the same input order.
-    staged = [stage_table(p.withColumn("row", F.monotonically_increasing_id()), "decon") for p in passes]
-    whole = staged[0]
-    for part in staged[1:]:
-        whole = whole.unionByName(part)
+                yield pa.RecordBatch.from_arrays([*chunk.columns[:2], pa.array(w.counts), spans, pa.array([sorted(set(x)) for x in items], type=pa.list_(arrow_item))],
+                                                 ["row", "doc_id", "n_words", "spans", "items"])
+
+        return source.mapInArrow(run, f"row long, doc_id {id_type}, n_words long, spans {SPANS}, items array<{item_type}>")
+
+    source = docs.select(F.lit(0).cast("long").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = phrase_blocks(benchmark, window, item_id_col, item_text_col)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return one_pass(source, block).drop("row")
+    # Several blocks: the rows get written numbers, and the findings of the
+    # passes are put together by them.
+    source = stage_table(source.withColumn("row", F.monotonically_increasing_id()), "decon")
+    whole = stage_table(one_pass(source, block), "decon")
+    while following is not None:
+        whole = whole.unionByName(stage_table(one_pass(source, following), "decon"))
+        following = next(blocks, None)
     union = whole.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
                                      F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
                                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
@@ -315,7 +318,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, t
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents without a removal span, all their columns as they were."""
     out = docs
-    for block in phrase_blocks(benchmark, window, item_id_col, item_text_col):
+    for k, block in enumerate(phrase_blocks(benchmark, window, item_id_col, item_text_col)):
+        out = stage_table(out, "decon") if k else out
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -330,10 +334,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, t
 def cut_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """All documents, with the removal spans cut out of ``text_col`` (from the
-    first byte of a span's first word to the last byte of its last)."""
+    first byte of a span's first word to the last byte of its last). Of a benchmark
+    in several blocks, each is searched in what the ones before have left."""
     out = docs
     place = docs.columns.index(text_col)
-    for block in phrase_blocks(benchmark, window, item_id_col, item_text_col):
+    for k, block in enumerate(phrase_blocks(benchmark, window, item_id_col, item_text_col)):
+        out = stage_table(out, "decon") if k else out
         sent = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

@@ -244,7 +244,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         run, f"doc_id {id_type}, lang_pred string, score double, spans array<struct<first: long, end: long, lang: string>>")
 
 
-def keep_identified(docs: DataFrame, model: Model, least_share: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, least_share: float = 1 / 3, text_col: str = "text") -> DataFrame:
     """The documents with letters of which at least ``least_share`` lie in one
     language, all their columns as they were."""
     prepare(docs.sparkSession)

@@ -36,7 +36,7 @@ SHARD = 16_384
 QUERY_BLOCK = 8_192
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 96
+SEARCH_BEAM = 128
 RELAX = 1.2
 BATCH = 256
 #: Nodes expanded in one step of the search.
