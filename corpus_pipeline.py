@@ -5,8 +5,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
 written and read again as the next stage's ``docs``. All stages but the last
 return the columns of ``documents``:
 
-* ``language_id`` drops texts without a letter and texts that are in no
-  language for the most part;
+* ``language_id`` drops texts without a letter and texts of which no language
+  has a third of the letters;
 * ``near_duplicates`` keeps one document of each component of the n-gram
   Jaccard join (five words, 0.8), the one with the smallest id;
 * ``decontamination`` drops documents that hold a test phrase of ``benchmark``;
