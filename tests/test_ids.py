@@ -43,3 +43,17 @@ def test_global_index_of_any_types(spark):
     got = [r.pos for r in global_index(df, ["f", "p", "i"], "pos", base=1).orderBy(F.col("f").asc_nulls_first(), "p", "i").collect()]
     assert got == list(range(1, 301))
     assert global_index(df.limit(0), ["f", "i"], "pos").count() == 0
+
+
+def test_clean_scratch(spark, monkeypatch):
+    import pytest
+
+    from feedloom import session
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    df = session.stage_table(spark.range(3), "probe")
+    assert df.count() == 3
+    path = session._SCRATCH[0]
+    assert session.clean_scratch(spark) == 1 and session._SCRATCH == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path)
