@@ -45,9 +45,9 @@ from feedloom.session import stage_table
 from . import words as W
 from .tables import prepare
 
-CHUNK_BYTES = 4 << 20
-#: Words a task holds before it hands on its pair counts.
-FLUSH = 3 << 20
+CHUNK_BYTES = 2 << 20
+#: Words a task holds before it hands on its counts.
+FLUSH = 1 << 20
 FREQUENT = 1 << 19
 PRIOR = 8.0
 BASE = 2.0            # code q stands for counts from BASE^(q-1) to BASE^q - 1
@@ -182,8 +182,9 @@ def _pairs_pass(slice_bits: int):
     """(slice, packed): the item counts of chunks, for each slice of the range.
     Items are words and word pairs."""
     def pack(held):
-        h, times = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
-        values, counts = _summed(remainders(h, slice_bits) >> np.uint64(32 - slice_bits), times)
+        values = np.sort(np.concatenate(held) >> np.uint64(32 - slice_bits))
+        first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        values, counts = values[first], np.diff(np.concatenate([first, [len(values)]]))
         cuts = np.searchsorted(values, np.arange((1 << slice_bits) + 1, dtype=np.uint64) << np.uint64(32))
         part = [k for k in range(1 << slice_bits) if cuts[k] < cuts[k + 1]]
         rows = [_pack((values[cuts[k]:cuts[k + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32), counts[cuts[k]:cuts[k + 1]]) for k in part]
@@ -193,8 +194,7 @@ def _pairs_pass(slice_bits: int):
         held, size = [], 0
         for chunk in W.chunks(batches, "text", CHUNK_BYTES):
             t, bounds = tokens(W.texts_of(chunk, "text"))
-            for h in (t, pair_hashes(t, bounds)):
-                held.append((h, np.ones(len(h), dtype=np.int64)))
+            held += [t, pair_hashes(t, bounds)]
             size += len(t)
             if size >= FLUSH:
                 yield pack(held)
