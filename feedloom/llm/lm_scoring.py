@@ -2,17 +2,21 @@
 
 Counts of words and word pairs of the training documents are quantised on a
 logarithmic scale; a pair or word with code q is put into a Bloom filter q times,
-as (item, 1) .. (item, q). The filter is sent to the workers, and a count is read
-back by asking for (item, 1), (item, 2), ... until one is missing. Probabilities
-are smoothed: ``P(w | v) = (c(v w) + PRIOR * P(w)) / (c(v) + PRIOR)`` with
+as (item, 1) .. (item, q). A count is read back by asking for (item, 1),
+(item, 2), ... until one is missing, or the code of the total is reached.
+Probabilities are smoothed: ``P(w | v) = (c(v w) + PRIOR * P(w)) / (c(v) + PRIOR)`` with
 ``P(w) = (c(w) + 1) / (N + V + 1)``.
 
 Counting covers all training documents. Every task counts its pairs in chunks
 and hands them on packed (sorted 32-bit remainders and counts, one row for each
 slice of the hash range); a slice's counts meet in one task, which sets the bits
-of its own part of the filter. The filter has about ``BITS_PER_PAIR`` bits for
-each distinct pair, and ``MAX_FILTER_BYTES`` at most (what a worker can hold);
-beyond that its error rate grows, nothing is left out.
+of its own part of the filter. A slice has ``BITS_PER_PAIR`` bits for each of its
+entries, so the error rate is the same at every size. The number of slices grows
+with the training documents: one holds about ``SLICE_PAIRS`` tokens' items.
+
+The filter is a table of slices, of which a task holds one at a time. Documents
+are scored in chunks: a chunk's distinct items go to their slices, are probed
+there, and their codes come back to the chunk.
 
 The unigram base score needs exact counts of every word. They come from an exact
 count table: words found at least ``t`` times, ``FREQUENT`` of them at most, are
@@ -37,8 +41,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedloom.session import stage_table
 
@@ -46,16 +52,19 @@ from . import words as W
 from .tables import prepare
 
 CHUNK_BYTES = 2 << 20
+#: Text scored at a time; its distinct items are one row for each slice.
+SCORE_BYTES = 4 << 20
 #: Words a task holds before it hands on its counts.
 FLUSH = 1 << 20
 FREQUENT = 1 << 19
 PRIOR = 8.0
 BASE = 2.0            # code q stands for counts from BASE^(q-1) to BASE^q - 1
 PROBES = 3
+#: Bits for each entry (item, q) of the filter.
 BITS_PER_PAIR = 10
-MAX_FILTER_BYTES = 64 << 20
-#: Distinct pairs that a slice is sized for.
-SLICE_PAIRS = 1 << 19
+#: Training tokens a slice, about.
+SLICE_PAIRS = 1 << 22
+LEAST_SLICE_BITS = 6
 END = np.uint64(0x5851F42D4C957F2D)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -98,15 +107,13 @@ class FilterShape:
         return ((a + np.uint64(k) * b) % np.uint64(self.size)).astype(np.int64)
 
 
-def remainders(h: np.ndarray, slice_bits: int) -> np.ndarray:
-    """The hash as the filter sees it: slice and 32 bits below."""
-    return (h >> np.uint64(32 - slice_bits)) << np.uint64(32 - slice_bits)
-
-
-def set_bits(remainder: np.ndarray, counts: np.ndarray, shape: FilterShape) -> bytes:
-    """The bits of one slice. ``remainder``: distinct 32-bit values."""
-    h = remainder.astype(np.uint64) << np.uint64(32 - shape.slice_bits)
-    bits, code, q = np.zeros(shape.size, dtype=bool), code_of(counts), 1
+def set_bits(remainder: np.ndarray, counts: np.ndarray, slice_bits: int, each: int) -> bytes:
+    """The bits of one slice, ``each`` for an entry. ``remainder``: distinct
+    32-bit values."""
+    h = remainder.astype(np.uint64) << np.uint64(32 - slice_bits)
+    code, q = code_of(counts), 1
+    shape = FilterShape(slice_bits, max(64, -(-each * int(code.sum()) // 8) * 8))
+    bits = np.zeros(shape.size, dtype=bool)
     while len(h):
         for k in range(PROBES):
             bits[shape.slot(h, q, k)] = True
@@ -115,29 +122,45 @@ def set_bits(remainder: np.ndarray, counts: np.ndarray, shape: FilterShape) -> b
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def probe(remainder: np.ndarray, data: bytes, slice_bits: int, most: int) -> np.ndarray:
+    """The codes of 32-bit values of one slice: membership probes until one
+    fails, ``most`` at most."""
+    bits = np.frombuffer(data, dtype=np.uint8)
+    shape = FilterShape(slice_bits, 8 * len(bits))
+    h = remainder.astype(np.uint64) << np.uint64(32 - slice_bits)
+    code, left = np.zeros(len(h), dtype=np.uint8), np.arange(len(h))
+    for q in range(1, most + 1):
+        for k in range(PROBES):
+            at = shape.slot(h, q, k)
+            ok = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            h, left = h[ok], left[ok]
+        if not len(left):
+            break
+        code[left] = q
+    return code
+
+
+@dataclass
 class LogFrequencyFilter:
-    def __init__(self, shape: FilterShape, bits: np.ndarray):
-        self.shape, self.bits = shape, bits
+    slice_bits: int     # the hash's top bits choose a slice
+    most: int           # no code is above the code of the total
+    slices: DataFrame   # (slice, bits)
 
     def codes(self, h: np.ndarray) -> np.ndarray:
-        """The code of each item: membership probes until one fails."""
-        h = remainders(h, self.shape.slice_bits)
-        base = (h >> np.uint64(64 - self.shape.slice_bits)).astype(np.int64) * self.shape.size
-        code, left, q = np.zeros(len(h), dtype=np.int64), np.arange(len(h)), 1
-        while len(left):
-            for k in range(PROBES):
-                if len(left):
-                    at = base + self.shape.slot(h, q, k)
-                    ok = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                    h, base, left = h[ok], base[ok], left[ok]
-            code[left] = q
-            q += 1
+        """The code of each item, read slice by slice on the driver (for a few
+        items; documents are scored where the slices are)."""
+        values = h >> np.uint64(32 - self.slice_bits)
+        number = (values >> np.uint64(32)).astype(np.int64)
+        code = np.zeros(len(h), dtype=np.int64)
+        for row in self.slices.toLocalIterator():
+            at = np.flatnonzero(number == row["slice"])
+            code[at] = probe(values[at] & np.uint64(0xFFFFFFFF), row["bits"], self.slice_bits, self.most)
         return code
 
 
 def _pack(values: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted 32-bit values and their counts, as compressed byte planes of the
-    differences."""
+    """Sorted 32-bit values and their counts (or none), as compressed byte planes
+    of the differences."""
     step = np.diff(values, prepend=np.uint32(0)).astype("<u4")
     planes = step.view(np.uint8).reshape(-1, 4).T
     return len(values).to_bytes(4, "little") + planes[:2].tobytes() + zlib.compress(planes[2:].tobytes() + counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
@@ -148,7 +171,7 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     rest = np.frombuffer(zlib.decompress(data[4 + 2 * n:]), dtype=np.uint8)
     planes = np.concatenate([np.frombuffer(data, np.uint8, 2 * n, 4), rest[:2 * n]]).reshape(4, n)
     step = np.ascontiguousarray(planes.T).view("<u4").ravel()
-    return np.cumsum(step, dtype=np.uint32), np.ascontiguousarray(rest[2 * n:].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    return np.cumsum(step, dtype=np.uint32), np.ascontiguousarray(rest[2 * n:].reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def _summed(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +201,37 @@ def _words_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield hand_on()
 
 
+def _sliced(values: np.ndarray, counts: np.ndarray | None, slice_bits: int) -> tuple[list[int], list[bytes]]:
+    """Sorted distinct items, as the filter sees them, packed for each slice."""
+    cuts = np.searchsorted(values, np.arange((1 << slice_bits) + 1, dtype=np.uint64) << np.uint64(32))
+    part = np.flatnonzero(cuts[:-1] < cuts[1:]).tolist()
+    low, none = (values & np.uint64(0xFFFFFFFF)).astype(np.uint32), np.empty(0, dtype=np.int64)
+    return part, [_pack(low[cuts[k]:cuts[k + 1]], none if counts is None else counts[cuts[k]:cuts[k + 1]]) for k in part]
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each value of the first column, by which they are ordered."""
+    held = []
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if held and a < b and held[0].column(0)[0].as_py() != key[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if a < b:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _pairs_pass(slice_bits: int):
     """(slice, packed): the item counts of chunks, for each slice of the range.
     Items are words and word pairs."""
     def pack(held):
         values = np.sort(np.concatenate(held) >> np.uint64(32 - slice_bits))
         first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        values, counts = values[first], np.diff(np.concatenate([first, [len(values)]]))
-        cuts = np.searchsorted(values, np.arange((1 << slice_bits) + 1, dtype=np.uint64) << np.uint64(32))
-        part = [k for k in range(1 << slice_bits) if cuts[k] < cuts[k + 1]]
-        rows = [_pack((values[cuts[k]:cuts[k + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32), counts[cuts[k]:cuts[k + 1]]) for k in part]
+        part, rows = _sliced(values[first], np.diff(np.concatenate([first, [len(values)]])), slice_bits)
         return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(rows, pa.binary())], ["slice", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,20 +248,21 @@ def _pairs_pass(slice_bits: int):
     return run
 
 
-def _fill_pass(shape: FilterShape):
+def _fill_pass(slice_bits: int, each: int):
     """The filter's bits of every slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for k, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(k, []).append(data)
-        for k in sorted(held):
-            parts = [_unpack(x) for x in held.pop(k)]
+        for group in _grouped(batches):
+            parts = [_unpack(x) for x in group["packed"].to_pylist()]
             values, counts = _summed(np.concatenate([v for v, _ in parts]), np.concatenate([c for _, c in parts]))
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([set_bits(values, counts, shape)], pa.binary())], ["slice", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([group["slice"][0].as_py()], pa.int32()), pa.array([set_bits(values, counts, slice_bits, each)], pa.binary())],
+                                             ["slice", "bits"])
     return run
 
 
+def _slice_parts(spark, slice_bits: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), (1 << slice_bits) // 8)
+
+
 @dataclass
 class Model:
     total: int                 # N
@@ -248,17 +293,11 @@ def learn(training: DataFrame, text_col: str = "text") -> Model:
     word, times = often["word"].to_numpy().view(np.uint64), often["times"].to_numpy()
     order = np.argsort(word)
 
-    slice_bits = max(4, int(total // SLICE_PAIRS).bit_length())
-    wanted = BITS_PER_PAIR * (total // 2 + distinct)    # about half of the pairs are distinct
-    size = max(64, min(wanted, 8 * MAX_FILTER_BYTES) >> slice_bits) // 8 * 8
-    shape = FilterShape(slice_bits, size)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (1 << slice_bits) // 8)
+    slice_bits = max(LEAST_SLICE_BITS, int(total // SLICE_PAIRS).bit_length())
     made = (text.mapInArrow(_pairs_pass(slice_bits), "slice int, packed binary")
-            .repartition(parts, "slice").mapInArrow(_fill_pass(shape), "slice int, bits binary"))
-    bits = np.zeros((1 << slice_bits) * size // 8, dtype=np.uint8)
-    for row in made.toLocalIterator():                  # MAX_FILTER_BYTES at most
-        bits[row["slice"] * size // 8:(row["slice"] + 1) * size // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return Model(total, distinct, word[order], times[order], counts, LogFrequencyFilter(shape, bits))
+            .repartition(_slice_parts(spark, slice_bits), "slice").sortWithinPartitions("slice").mapInArrow(_fill_pass(slice_bits, BITS_PER_PAIR), "slice int, bits binary"))
+    model_filter = LogFrequencyFilter(slice_bits, int(code_of(np.array([total]))[0]), stage_table(made, "filter"))
+    return Model(total, distinct, word[order], times[order], counts, model_filter)
 
 
 # -- scoring --------------------------------------------------------------------
@@ -269,14 +308,61 @@ def smoothed(c_pair: np.ndarray, c_before: np.ndarray, c_word: np.ndarray, total
     return np.log10((c_pair + prior) / (np.maximum(c_before, c_pair) + PRIOR))
 
 
-def score_tokens(t: np.ndarray, bounds: np.ndarray, model_filter: LogFrequencyFilter, total: int, distinct: int) -> np.ndarray:
-    """log10 probability of every token given the one before."""
-    code, unique = pd.factorize(t)
-    c_word = count_of(model_filter.codes(unique))[code]
-    end = count_of(model_filter.codes(np.array([END])))
-    c_before = np.concatenate([end, c_word[:-1]]) if len(t) else c_word
-    code, unique = pd.factorize(pair_hashes(t, bounds))
-    return smoothed(count_of(model_filter.codes(unique))[code], c_before, c_word, total, distinct)
+def items_of(t: np.ndarray, bounds: np.ndarray, slice_bits: int) -> np.ndarray:
+    """The distinct items of a chunk, sorted, as the filter sees them."""
+    values = np.sort(np.concatenate([t, pair_hashes(t, bounds), [END]]) >> np.uint64(32 - slice_bits))
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
+
+
+def score_tokens(t: np.ndarray, bounds: np.ndarray, codes: np.ndarray, slice_bits: int, total: int, distinct: int) -> np.ndarray:
+    """log10 probability of every token given the one before. ``codes``: of
+    ``items_of`` the chunk."""
+    items, counts = items_of(t, bounds, slice_bits), count_of(codes)
+
+    def found(h):
+        code, unique = pd.factorize(h)
+        return counts[np.searchsorted(items, unique >> np.uint64(32 - slice_bits))][code]
+
+    c_word = found(t)
+    c_before = np.concatenate([found(np.array([END])), c_word[:-1]]) if len(t) else c_word
+    return smoothed(found(pair_hashes(t, bounds)), c_before, c_word, total, distinct)
+
+
+def _chunks_pass(slice_bits: int, size: int, id_type: pa.DataType):
+    """The ids and text of each chunk (slice -1; a null text is empty), and its
+    distinct items of each slice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, number = ["chunk", "slice", "doc_id", "sizes", "data"], TaskContext.get().partitionId() << 32
+        for chunk in W.chunks(batches, "text", size):
+            texts = [x or b"" for x in W.texts_of(chunk, "text")]
+            part, rows = _sliced(items_of(*tokens(texts), slice_bits), None, slice_bits)
+            n, ends = len(part) + 1, [0, len(texts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number] * n, pa.int64()), pa.array([-1, *part], pa.int32()),
+                 pa.concat_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), chunk.column(0).cast(id_type)), pa.nulls(n - 1, pa.list_(id_type))]),
+                 pa.array([[len(x) for x in texts], *[None] * (n - 1)], pa.list_(pa.int32())),
+                 pa.array([pa.compress(b"".join(texts), "zstd", asbytes=True), *rows], pa.binary())], names)
+            number += 1
+    return run
+
+
+def _probe_pass(slice_bits: int, most: int):
+    """(chunk, slice, codes) of the items of every chunk. Rows are ordered by
+    slice and chunk; the slice's bits come first, as chunk -1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bits = None, bytes(8)
+        for batch in batches:
+            out = []
+            for k, chunk, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != now:
+                    now, bits = k, bytes(8)             # a slice without bits holds nothing
+                if chunk < 0:
+                    bits = data
+                else:
+                    out.append((chunk, k, zlib.compress(probe(_unpack(data)[0], bits, slice_bits, most).tobytes(), 1)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.binary()))],
+                                             ["chunk", "slice", "data"])
+    return run
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,14 +370,29 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     document row."""
     spark = docs.sparkSession
     prepare(spark)
-    sent = spark.sparkContext.broadcast((model.frequent, model.frequent_counts, model.filter, model.total, model.distinct))
+    slice_bits, parts = model.filter.slice_bits, _slice_parts(spark, model.filter.slice_bits)
+    sent = spark.sparkContext.broadcast((model.frequent, model.frequent_counts, model.total, model.distinct))
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    # Written once, so a chunk's rows and its items stay the same for all reads.
+    chunks = stage_table(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        _chunks_pass(slice_bits, SCORE_BYTES, to_arrow_type(docs.schema[id_col].dataType)),
+        f"chunk long, slice int, doc_id array<{id_type}>, sizes array<int>, data binary"), "chunks")
+    codes = (chunks.filter("slice >= 0").select("slice", "chunk", "data")
+             .union(model.filter.slices.select("slice", F.lit(-1).cast("long").alias("chunk"), F.col("bits").alias("data")))
+             .repartition(parts, "slice").sortWithinPartitions("slice", "chunk")
+             .mapInArrow(_probe_pass(slice_bits, model.filter.most), "chunk long, slice int, data binary"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, times, model_filter, total, distinct = sent.value
+        frequent, times, total, distinct = sent.value
         gain = np.log10(times + 1.0)
-        for chunk in W.chunks(batches, "text", CHUNK_BYTES):
-            t, bounds = tokens(W.texts_of(chunk, "text"))
+        for group in _grouped(batches):
+            raw, *codes = group["data"].to_pylist()
+            ends = np.concatenate([[0], np.cumsum(group["sizes"][0].as_py())]).tolist()
+            raw = pa.decompress(raw, ends[-1], "zstd", asbytes=True)
+            texts = [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+            found = np.frombuffer(b"".join(zlib.decompress(x) for x in codes), dtype=np.uint8)
+            t, bounds = tokens(texts)
             code, unique = pd.factorize(t)
             at = W.find(frequent, unique)
             known = (at >= 0)[code]
@@ -301,12 +402,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             rare = np.flatnonzero(~known)
             rest = pa.ListArray.from_arrays(np.searchsorted(text[rare], np.arange(len(n) + 1)).astype(np.int32), pa.array(t[rare].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [chunk.column(0), pa.array(n), pa.array(W.segments_sum(known.astype(np.int64), bounds)), pa.array(W.segments_sum(part, bounds)),
-                 pa.array(W.segments_sum(score_tokens(t, bounds, model_filter, total, distinct), bounds)), rest],
+                [group["doc_id"][0].values, pa.array(n), pa.array(W.segments_sum(known.astype(np.int64), bounds)),
+                 pa.array(W.segments_sum(part, bounds)), pa.array(W.segments_sum(score_tokens(t, bounds, found, slice_bits, total, distinct), bounds)), rest],
                 ["doc_id", "n_tokens", "n_known", "gain", "score", "rare"])
 
-    first = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, n_known long, gain double, score double, rare array<long>")
+    first = (chunks.filter("slice < 0")
+             .union(codes.select("chunk", "slice", F.lit(None).cast(f"array<{id_type}>"), F.lit(None).cast("array<int>"), "data"))
+             .repartition("chunk").sortWithinPartitions("chunk", "slice")
+             .mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, gain double, score double, rare array<long>"))
     # The row number is written with the rows, so it holds for both reads.
     rows = stage_table(first.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = (rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))

@@ -73,3 +73,33 @@ def test_empty(spark):
     got = M.score(docs_df(spark, [(1, "a b")]), empty).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got] == [(3, 0, 0, 0.0)]
     assert M.score(docs_df(spark, []), empty).collect() == []
+
+
+def plain_scores(c, pairs, rows):
+    quantised = lambda n: float(M.count_of(M.code_of(np.array([n])))[0]) if n else 0.0
+    n, v, out = sum(c.values()), len(c), []
+    for i, t in rows:
+        tokens = [*space_words(t), None]
+        both = [(quantised(pairs[x, y]), quantised(c[x]), M.PRIOR * (quantised(c[y]) + 1) / (n + v + 1)) for x, y in zip([None, *tokens], tokens)]
+        out.append((str(i), sum(math.log10((p + prior) / (max(before, p) + M.PRIOR)) for p, before, prior in both)))
+    return sorted(out)
+
+
+def test_scores_do_not_depend_on_the_filter_being_cut(spark, monkeypatch, rows):
+    monkeypatch.setattr(M, "MAX_FILTER_BYTES", 1 << 10, raising=False)
+    monkeypatch.setattr(M, "SLICE_PAIRS", 50)
+    monkeypatch.setattr(M, "SCORE_BYTES", 3000, raising=False)
+    monkeypatch.setattr(M, "BITS_PER_PAIR", 300)
+    training = [r for r in rows if (r[0] or 0) % 3]
+    model = M.learn(docs_df(spark, training))
+    _, c, pairs = plain(training, rows)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in M.score(docs_df(spark, rows).repartition(3), model).collect())
+    for a, b in zip(got, plain_scores(c, pairs, rows), strict=True):
+        assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-6
+    entries = sum(int(M.code_of(np.array(list(x.values()))).sum()) for x in (c, pairs))
+    assert model.filter.slices.count() > 100 and sum(8 * len(r["bits"]) for r in model.filter.slices.collect()) >= 0.99 * 300 * entries
+
+
+def test_a_full_filter_ends_at_the_code_of_the_total():
+    values = np.arange(100, dtype=np.uint32)
+    assert (M.probe(values, b"\xff" * 64, 6, 9) == 9).all()
