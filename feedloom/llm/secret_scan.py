@@ -15,8 +15,8 @@ The forest is trained on labelled findings. ``label_findings`` labels findings
 by strict formats (known key formats and assigned random values are secrets;
 addresses, numbers, dates and dictionary words are not; others stay unlabelled);
 a table of reviewed findings can be given instead. At most about
-``TRAIN_FINDINGS`` labelled findings of each class, drawn by hash, are used (the
-documented bound of the sample).
+``TRAIN_FINDINGS`` labelled findings of each class, drawn by hash among those of
+different features, are used (the documented bound of the sample).
 
 Defined cases: null texts have no candidates; equal rows get equal results; if
 labelled findings of both classes are not to be had, the strict formats alone
@@ -238,12 +238,16 @@ def _tree_arrays(text: str) -> tuple[np.ndarray, ...]:
 
 def train_forest(findings: DataFrame, per_class: int = TRAIN_FINDINGS, seed: int = 7) -> Forest | None:
     """``findings``: features (array of double), label (0 or 1), h (a hash).
-    None if one of the classes is missing."""
-    sizes = {r["label"]: r["n"] for r in findings.filter("label is not null").groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    Findings of equal features and label count once. None if one of the classes
+    is missing from the sample."""
+    different = stage_table(findings.filter("label is not null").groupBy("features", "label").agg(F.min("h").alias("h")), "findings")
+    sizes = {r["label"]: r["n"] for r in different.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     if set(sizes) != {0, 1}:
         return None
     share = F.when(F.col("label") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
-    drawn = findings.filter("label is not null").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    drawn = different.filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    if {r["label"] for r in drawn.select("label").distinct().collect()} != {0, 1}:
+        return None
     rows = drawn.select(array_to_vector("features").alias("x"), F.col("label").cast("double").alias("label"))
     model = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed, subsamplingRate=0.7,
                                    featureSubsetStrategy="sqrt").fit(rows)

@@ -58,3 +58,14 @@ def test_edge_rows(spark):
     assert len(got) == len(EDGE_TEXTS) + 1                         # one class may be missing: strict formats decide
     assert {r["doc_id"] for r in got if r["n_secrets"]} == {50}
     assert S.scan(docs_df(spark, [])).collect() == []
+
+
+def test_copies_count_once_in_the_sample(spark):
+    out = (1 << 30) - 1                                             # beyond every share under 1
+    high = [([10.0 + k, 5.0], 1, out) for k in range(8)]
+    low = [([k / 100, 1.0], 0, k * 7_000_000) for k in range(100)]
+    shape = "features array<double>, label int, h long"
+    forest = S.train_forest(spark.createDataFrame(high * 60 + low, shape), per_class=10)
+    assert (forest.scores(np.array([x for x, _, _ in high])) >= 0.5).all()
+    missed = [([10.0 + k, 5.0], 1, out) for k in range(30)]
+    assert S.train_forest(spark.createDataFrame(missed + low, shape), per_class=10) is None
