@@ -2,7 +2,8 @@
 
 Candidates are the runs of text between white space, quotes, brackets, commas,
 ``=``, ``:`` and ``|`` that hold a digit and at least ``LEAST`` bytes, or follow a
-naming word (``password`` and so on) and an assignment. Each gets features:
+naming word (``password`` and so on, also as a part of a word between ``_``, ``-``
+and ``.``) and an assignment. Each gets features:
 length and classes of characters, character transitions (how usual each pair of
 neighbouring bytes is in the corpus), dictionary coverage (share of its letters
 in runs that the corpus uses often as words), path and address marks, and the
@@ -55,6 +56,8 @@ NAMING = {b"password", b"passwd", b"pwd", b"pass", b"secret", b"token", b"key",
 _SEPARATORS = b" \t\n\r\x0b\x0c\"'`<>(){}[],;=:|"
 #: Case is kept; separators become spaces.
 _TABLE = bytes(32 if b in _SEPARATORS else b for b in range(256))
+#: A-Z lower-cased; the marks between the parts of a name become spaces too.
+_PARTS = bytes(32 if b in b"_-." else b for b in _TABLE.lower())
 
 _CLASS = np.zeros(256, dtype=np.int8)  # 0 other, 1 lower, 2 upper, 3 digit
 _CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 1, 2, 3
@@ -138,6 +141,11 @@ def _trimmed(raw: bytes, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def is_naming(word: bytes) -> bool:
+    word = word.lower()
+    return word in NAMING or any(part in NAMING for part in re.split(rb"[_.-]", word))
+
+
 def find_candidates(texts: list[bytes | None], stats: Statistics) -> list[list[dict]]:
     """The candidates of every text: first and end byte, the words, features."""
     w = W.split(texts, _TABLE)
@@ -146,6 +154,9 @@ def find_candidates(texts: list[bytes | None], stats: Statistics) -> list[list[d
     plain = W.hash_words(W.Words(np.frombuffer(w.buf.tobytes().lower(), np.uint8), w.starts, w.lens, w.bounds, w.offsets))
     naming = np.sort(np.array([W.hash_bytes(x) for x in NAMING], dtype=np.uint64))
     named = W.find(naming, plain) >= 0
+    parts = W.split(texts, _PARTS)
+    part = W.find(naming, W.hash_words(parts)) >= 0
+    named[np.searchsorted(w.starts, parts.starts[part], side="right") - 1] = True
     after_name = np.concatenate([[False], named[:-1]]) if len(named) else named
     text_of = w.doc_of()
     out: list[list[dict]] = [[] for _ in texts]
@@ -167,7 +178,7 @@ def find_candidates(texts: list[bytes | None], stats: Statistics) -> list[list[d
         change = np.flatnonzero(np.diff(kind))
         before = [raw[int(w.starts[j]) - base:int(w.starts[j] + w.lens[j]) - base] for j in range(max(lo, i - 3), i)]
         after = [raw[int(w.starts[j]) - base:int(w.starts[j] + w.lens[j]) - base] for j in range(i + 1, min(hi, i + 3))]
-        near = [x.lower() in NAMING for x in before]
+        near = [is_naming(x) for x in before]
         hexadecimal = sum(c in b"0123456789abcdefABCDEF" for c in word) / n
         out[d].append({
             "first": start, "end": end, "word": word, "assigned": assigned and bool(near) and near[-1],

@@ -69,3 +69,11 @@ def test_copies_count_once_in_the_sample(spark):
     assert (forest.scores(np.array([x for x, _, _ in high])) >= 0.5).all()
     missed = [([10.0 + k, 5.0], 1, out) for k in range(30)]
     assert S.train_forest(spark.createDataFrame(missed + low, shape), per_class=10) is None
+
+
+def test_values_after_compound_names_are_candidates():
+    stats = S.Statistics(np.zeros((256, 256), dtype=np.float32), np.zeros(S.DICT_SLOTS, dtype=bool))
+    text = b'DB_Password = "CorrectHorseBattery", aws-secret: abcdefghijk my.token=Qwertyuiop passworded: notaname key_ring plainword'
+    found = S.find_candidates([b"x", text], stats)[1]
+    assert [text[c["first"]:c["end"]] for c in found] == [b"CorrectHorseBattery", b"abcdefghijk", b"Qwertyuiop"]
+    assert all(c["assigned"] and c["features"][S.FEATURES.index("named_before")] for c in found)
