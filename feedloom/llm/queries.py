@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, license_scan, lm_scoring, nearest, packing, secret_scan, sharding, token_counts
+from . import (
+    decontamination, fill_in_middle, jaccard_join, language_id, lexical_search, license_scan, lm_scoring, nearest, packing,
+    secret_scan, sharding, token_counts,
+)
 from .tables import remainder, table
 
 
@@ -71,6 +74,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.transform(fill_in_middle.store(table(spark, sf_dir, "documents")), outputs=False)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -82,4 +93,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_lexical_search": op12_lexical_search,
 }
