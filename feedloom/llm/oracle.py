@@ -53,4 +53,30 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM s WHERE score > 0 QUALIFY rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op1_decontamination": OP1, "op11_fill_in_middle": OP11, "op12_lexical_search": OP12}
+WORDS = r"regexp_extract_all(" + ASCII_LOWER + r", '[^\x20\x09-\x0D]+')"
+
+
+def components_sql(k: int, per_cent: int, more: str = "") -> str:
+    """Components of shingle sets: all links, then all that they reach."""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS.format('text')} AS w FROM documents),
+sh AS (SELECT DISTINCT rid, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+              ELSE list_transform(range(1, len(w) - {k} + 2), lambda i: array_to_string(w[i:i + {k - 1}], ' ')) END) AS s FROM d),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+met AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rid < b.rid GROUP BY a.rid, b.rid),
+links AS (SELECT x, y FROM met JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= {per_cent} * (nx.n + ny.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT rid, rid AS other FROM d UNION SELECT reach.rid, y FROM reach JOIN both_ways ON other = x),
+low AS (SELECT reach.rid, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.rid = other GROUP BY reach.rid)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id{more}
+FROM d LEFT JOIN n USING (rid) JOIN low USING (rid)
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_decontamination": OP1,
+    "op8_jaccard_join": components_sql(5, 80),
+    "op11_fill_in_middle": OP11,
+    "op12_lexical_search": OP12,
+    "op13_minhash_dedup": components_sql(3, 85, ", doc_id IS NOT DISTINCT FROM component_id AS kept"),
+}

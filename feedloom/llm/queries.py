@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, fill_in_middle, jaccard_join, language_id, lexical_search, license_scan, lm_scoring, nearest, packing,
-    secret_scan, sharding, token_counts,
+    decontamination, fill_in_middle, jaccard_join, language_id, lexical_search, license_scan, lm_scoring, minhash_dedup,
+    nearest, packing, secret_scan, sharding, token_counts,
 )
 from .tables import remainder, table
 
@@ -82,6 +82,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -95,4 +99,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_lexical_search": op12_lexical_search,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
