@@ -60,8 +60,9 @@ CHUNK_BYTES = 2 << 20
 HASH_BLOCK = 1 << 15
 #: Bucket entries a task holds before it hands them on.
 FLUSH = 1 << 19
-#: Turns in which lists meet leaders.
-TURNS = 3
+#: Turns in which lists meet leaders, at most; pairs for each list entry that
+#: are compared at once.
+TURNS, FEW = 3, 16
 #: Rows of one key in a join of the components; nodes with more are broadcast.
 HUB = 1 << 20
 
@@ -226,47 +227,52 @@ def _items_pass(k: int):
 
 # -- components -------------------------------------------------------------------
 
-def _with_minimum(edges: DataFrame, minimum: DataFrame, hub: int) -> DataFrame:
-    """``edges`` (x, y) with the minimum m of x. Nodes with more than ``hub``
-    edges, at most 200,000, are broadcast; so no task gets more of one key."""
+def _with_minimum(edges: DataFrame, minimum: DataFrame, hub: int, size: int) -> DataFrame:
+    """``edges`` (x, y), ``size`` at most, with the minimum m of x. Nodes with
+    more than ``hub`` edges are few (``size / hub``) and broadcast; so no task
+    gets more of one key."""
+    if size <= hub:
+        return edges.join(minimum.select("x", "m"), "x")
     table = stage_table(minimum, "minimum")
-    if not table.filter(F.col("c") > hub).limit(1).count():
-        return edges.join(table.select("x", "m"), "x")
     hubs = F.broadcast(table.filter(F.col("c") > hub).select("x", F.col("m").alias("hub_m")))
     marked = edges.join(hubs, "x", "left")
     return (marked.filter("hub_m is not null").select("x", "y", F.col("hub_m").alias("m"))
             .union(marked.filter("hub_m is null").select("x", "y").join(table.select("x", "m"), "x")))
 
 
-def _large_star(edges: DataFrame, hub: int) -> DataFrame:
+def _large_star(edges: DataFrame, hub: int, size: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's minimum."""
     both = edges.select(F.col("u").alias("x"), F.col("v").alias("y")).union(edges.select(F.col("v").alias("x"), F.col("u").alias("y")))
     minimum = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"), F.count("*").alias("c"))
-    return _with_minimum(both, minimum, hub).filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_minimum(both, minimum, hub, 2 * size).filter("y > x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, hub: int) -> DataFrame:
+def _small_star(edges: DataFrame, hub: int, size: int) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to the minimum."""
     own = edges.select(F.col("u").alias("x"), F.col("v").alias("y"))
     minimum = own.groupBy("x").agg(F.min("y").alias("m"), F.count("*").alias("c"))
-    found = _with_minimum(own, minimum, hub)
+    found = _with_minimum(own, minimum, hub, size)
     return found.select(F.explode(F.array("x", "y")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """No node has two smaller neighbours, or a smaller and a larger one."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not seen.filter("up > 1 or (up = 1 and down = 1)").limit(1).count()
+
+
 def star_components(links: DataFrame, hub: int | None = None) -> DataFrame:
     """(node, root) for every node with a smaller one in its component; ``root``
-    is the smallest. Large-star and small-star in turn until nothing changes;
+    is the smallest. Large-star and small-star in turn until only stars are left;
     every round is written, so a lost executor costs one round."""
     edges = stage_table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    state = None
-    while True:
-        limit = hub or max(HUB, edges.count() // 100_000)
-        edges = stage_table(_large_star(edges, limit), "large")
-        edges = stage_table(_small_star(edges, limit), "small")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        state = now
+    size = edges.count()  # never grows
+    limit = hub or max(HUB, size // 100_000)
+    while not _are_stars(edges):
+        edges = stage_table(_large_star(edges, limit, size), "large")
+        edges = stage_table(_small_star(edges, limit, size), "small")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 # -- buckets over several components ------------------------------------------------
@@ -338,39 +344,48 @@ def _with_leaders(entries: DataFrame, turn: int) -> DataFrame:
     return _meeting(a.join(b, "item"))
 
 
-def _all_across(entries: DataFrame) -> DataFrame:
-    """Pairs of entries outside their list's largest component with all others
-    that sizes and positions let them link with. Both sides name the classes of
-    both partners, so an entry that can reach nobody is not joined."""
+def _all_across(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of entries outside their list's largest component
+    with all others. They name the list and the classes of both partners, so an
+    entry that sizes and positions let reach nobody is not joined."""
     a, b = _sides(entries.filter("root <> main"), entries)
     a = a.withColumns({"ca": size_class(F.col("na")), "cb": F.explode(_reachable(F.col("na"), F.col("pa")))})
     b = b.withColumns({"cb": size_class(F.col("nb")), "ca": F.explode(_reachable(F.col("nb"), F.col("pb")))})
-    return _meeting(a.join(b, ["item", "ca", "cb"]))
+    return a, b
+
+
+_JOINED = ["item", "ca", "cb"]
 
 
-def _close_buckets(met: DataFrame, links: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Components after every pair that a bucket can still link was compared."""
+def _rows_joined(a: DataFrame, b: DataFrame) -> int:
+    """How many rows the join of two sides makes, from the counts of its keys."""
+    counts = a.groupBy(*_JOINED).agg(F.count("*").alias("x")).join(b.groupBy(*_JOINED).agg(F.count("*").alias("y")), _JOINED)
+    return counts.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
+
+
+def _close_buckets(met: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components after every pair that a bucket can still link was compared.
+
+    Leaders are met as long as the pairs left are more than ``FEW`` for each
+    entry; then, or after ``TURNS`` turns, all that is left is compared."""
     rest = stage_table(_spanning_nodes(met, labels), "rest")
     if not rest.limit(1).count():
         return labels
     lists = stage_table(_prefix_lists(sets, rest), "lists")
     tried = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     for turn in range(TURNS + 1):
-        rooted = stage_table(_rooted(lists, labels), "rooted")
+        rooted = _rooted(lists, labels)
         sizes = (rooted.groupBy("item", "root").agg(F.count("*").alias("c"))
                  .groupBy("item").agg(F.sum("c").alias("m"), F.max(F.struct("c", "root")).alias("top"))
-                 .filter("m > top.c").select("item", "m", F.col("top.c").alias("c"), F.col("top.root").alias("main")))
+                 .filter("m > top.c").select("item", F.col("top.root").alias("main")))
         entries = stage_table(rooted.join(sizes, "item"), "open")
-        work = entries.agg(F.count("*").alias("rows"), F.sum(F.when(F.col("root") != F.col("main"), F.col("m"))).alias("pairs")).first()
-        if not work["rows"]:
-            return labels
-        last = turn == TURNS or (turn > 0 and work["pairs"] <= 16 * work["rows"])
-        pairs = _all_across(entries) if last else _with_leaders(entries, turn)
+        a, b = _all_across(entries)
+        last = turn == TURNS or _rows_joined(a, b) <= FEW * entries.count()
+        pairs = _meeting(a.join(b, _JOINED)) if last else _with_leaders(entries, turn)
         pairs = stage_table(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stage_table(check(pairs, nodes, sets), "links")
         if found.limit(1).count():
-            links = links.union(found)
-            labels = star_components(links)
+            labels = star_components(found.union(labels.select("node", "root")))
         if last:
             return labels
         tried = tried.union(pairs)
@@ -399,8 +414,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_co
     items = texts.mapInArrow(_items_pass(k), "node long, items array<long>")
     sets = stage_table(items.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
-    links = stage_table(check(pairs, nodes, sets), "links")
-    labels = _close_buckets(met, links, star_components(links), nodes, sets)
+    labels = _close_buckets(met, star_components(check(pairs, nodes, sets)), nodes, sets)
 
     low = filled.groupBy("node").agg(F.min("doc_id").alias("low"))  # min leaves nulls out
     named = _rooted(low, labels)
