@@ -62,7 +62,7 @@ HASH_BLOCK = 1 << 15
 FLUSH = 1 << 19
 #: Turns in which lists meet leaders, at most; pairs for each list entry that
 #: are compared at once.
-TURNS, FEW = 3, 16
+TURNS, FEW = 3, 1
 #: Rows of one key in a join of the components; nodes with more are broadcast.
 HUB = 1 << 20
 
