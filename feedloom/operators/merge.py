@@ -12,15 +12,13 @@ Per-row MERGE statements become one plan per run:
   anti-join + append for presence tables;
 * H7/H8: routing by category, failed files removed before the fold.
 
-:func:`merge_run` gives new DataFrames (new snapshots). For large targets
-:func:`merge_snapshot` keeps every table in hash buckets of the key: a run reads,
-joins and writes only the buckets that its batch touches, as files of a new
-version; a manifest names the version of each bucket, and the largest id.
+:func:`merge_run` gives new DataFrames (new snapshots). Targets that stay, with a
+commit log and growing buckets, are in :mod:`snapshots`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import (
@@ -85,7 +83,7 @@ def empty_core(spark) -> DataFrame:
 FIRST = ["first_file_seq", "first_sheet_seq", "first_row_idx"]
 
 
-def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = None, max_id: int | None = None) -> DataFrame:
+def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """H1 + H2 + H4: upsert the folded batch into the core snapshot.
 
     Matched keys take every incoming attribute (NULLs too) and
@@ -113,8 +111,7 @@ def merge_core(target: DataFrame, folded: DataFrame, keep: list[str] | None = No
         else:
             cols[c] = F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(c))
     joined = stage_table(t.join(s, KEY, "full_outer").withColumns(cols).select(*CORE_OUT, *FIRST, *keep), "merged")
-    if max_id is None:
-        max_id = joined.agg(F.coalesce(F.max("product_id"), F.lit(0))).first()[0]
+    max_id = joined.agg(F.coalesce(F.max("product_id"), F.lit(0))).first()[0]
     new = joined.filter(F.col("product_id").isNull())
     ids = global_index(new.select(*KEY, *FIRST), FIRST, "__id", base=int(max_id) + 1).select(*KEY, "__id")
     known = joined.filter(F.col("product_id").isNotNull()).select(*CORE_OUT, *keep)
@@ -129,31 +126,29 @@ def first_load(folded: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return ided.withColumns(cols).select(*CORE_OUT, *(keep or []))
 
 
-def merge_attributes(target: DataFrame | None, merged: DataFrame, table: str, carry: list[str] | None = None) -> DataFrame:
+def merge_attributes(target: DataFrame | None, merged: DataFrame, table: str) -> DataFrame:
     """H5a-c: full-overwrite upsert of an attribute table keyed on ``product_id``.
 
-    ``merged`` is the core merge output carrying ``<table>_rec``; ``carry``
-    names columns of both sides that follow the product (its bucket).
+    ``merged`` is the core merge output carrying ``<table>_rec``.
     """
-    names, carry = [n for n, _ in ATTRIBUTE_TABLES[table]], list(carry or [])
+    names = [n for n, _ in ATTRIBUTE_TABLES[table]]
     rec = f"{table}_rec"
     src = merged.filter(F.col(rec).isNotNull()).select(
-        "product_id", *[F.col(f"{rec}.{n}").alias(f"s_{n}") for n in names], *[F.col(c).alias(f"s_{c}") for c in carry], F.lit(True).alias("__s"))
+        "product_id", *[F.col(f"{rec}.{n}").alias(f"s_{n}") for n in names], F.lit(True).alias("__s"))
     if target is None:
-        return src.select("product_id", *[F.col(f"s_{n}").alias(n) for n in [*names, *carry]])
-    j = target.select("product_id", *names, *carry).join(src, "product_id", "full_outer")
+        return src.select("product_id", *[F.col(f"s_{n}").alias(n) for n in names])
+    j = target.select("product_id", *names).join(src, "product_id", "full_outer")
     in_s = F.col("__s").isNotNull()
-    return j.select("product_id", *[F.when(in_s, F.col(f"s_{n}")).otherwise(F.col(n)).alias(n) for n in [*names, *carry]])
+    return j.select("product_id", *[F.when(in_s, F.col(f"s_{n}")).otherwise(F.col(n)).alias(n) for n in names])
 
 
-def insert_if_absent(target: DataFrame | None, merged: DataFrame, table: str, carry: list[str] | None = None) -> DataFrame:
+def insert_if_absent(target: DataFrame | None, merged: DataFrame, table: str) -> DataFrame:
     """H6: presence tables only gain ids (``IF NOT EXISTS ... INSERT``)."""
-    cols = ["product_id", *(carry or [])]
-    ids = merged.filter(F.coalesce(F.col(f"in_{table}"), F.lit(False))).select(*cols)
+    ids = merged.filter(F.coalesce(F.col(f"in_{table}"), F.lit(False))).select("product_id")
     if target is None:
         return ids
-    tgt = target.select(*cols)
-    return tgt.unionByName(ids.join(tgt.select("product_id"), "product_id", "left_anti"))
+    tgt = target.select("product_id")
+    return tgt.unionByName(ids.join(tgt, "product_id", "left_anti"))
 
 
 def exclude_failed_files(rows: DataFrame, failed_files: DataFrame) -> DataFrame:
@@ -173,81 +168,20 @@ def merge_run(targets: dict[str, DataFrame], ok_rows: DataFrame) -> dict[str, Da
     a key seen as lighting and then as fans updates both tables, and a
     product that changes category keeps its old attribute row.
     """
-    return _merge_tables(targets, last_write_wins(ok_rows))
-
-
-def _merge_tables(targets: dict[str, DataFrame], folded: DataFrame, max_id: int | None = None, buckets: int | None = None) -> dict[str, DataFrame]:
-    carry = ["bucket"] if buckets else []
+    folded = last_write_wins(ok_rows)
     extra = _folded_extras(folded)
     tgt_core = targets.get("core")
     # The merged core is a columnar table: the tables below read only their own
     # columns of it.
-    merged = first_load(folded, keep=extra) if tgt_core is None else merge_core(tgt_core, folded, keep=extra, max_id=max_id)
-    if buckets:
-        merged = merged.withColumn("bucket", key_bucket(buckets))
-    out = {"core": merged.select(*CORE_OUT, *carry)}
+    merged = first_load(folded, keep=extra) if tgt_core is None else merge_core(tgt_core, folded, keep=extra)
+    out = {"core": merged.select(*CORE_OUT)}
     for table in ATTRIBUTE_TABLES:
-        out[table] = merge_attributes(targets.get(table), merged, table, carry)
+        out[table] = merge_attributes(targets.get(table), merged, table)
     for table in PRESENCE_TABLES:
-        out[table] = insert_if_absent(targets.get(table), merged, table, carry)
-    return out
-
-
-# -- bucketed snapshots ---------------------------------------------------------
-
-BUCKETS = 256
-TABLES = ["core", *ATTRIBUTE_TABLES, *PRESENCE_TABLES]
-_MANIFEST = "table string, bucket int, version long, max_product_id long, buckets int"
-
-
-def key_bucket(buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.hash(*KEY), F.lit(buckets))
-
-
-def _table_schema(table: str) -> str:
-    cols = [("product_id", "I"), *(CORE_COLUMNS if table == "core" else ATTRIBUTE_TABLES.get(table, []))]
-    return ", ".join(f"{n} {SQL_TYPES[k]}" for n, k in cols) + ", bucket int"
-
-
-def read_manifest(spark: SparkSession, root: str, version: int) -> list:
-    """At most one row for each table and bucket. Raises if the version is not
-    there: a missing snapshot is never taken for an empty one."""
-    return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest/v={version}").collect()
-
-
-def read_snapshot(spark: SparkSession, root: str, version: int, buckets: set[int] | None = None) -> dict[str, DataFrame]:
-    """The tables of a version, or the given buckets of them."""
-    entries = read_manifest(spark, root, version)
-    out = {}
-    for t in TABLES:
-        paths = [f"{root}/{t}/v={e.version}/bucket={e.bucket}" for e in entries if e.table == t and (buckets is None or e.bucket in buckets)]
-        schema = _table_schema(t)
-        out[t] = (spark.read.schema(schema).option("basePath", f"{root}/{t}").parquet(*paths).drop("v") if paths
-                  else spark.createDataFrame([], schema))
+        out[table] = insert_if_absent(targets.get(table), merged, table)
     return out
 
 
-def merge_snapshot(spark: SparkSession, root: str, version: int, ok_rows: DataFrame, previous: int | None, buckets: int = BUCKETS) -> None:
-    """H1-H7 into a bucketed snapshot: version ``version`` is ``previous`` (None:
-    empty tables) with the batch merged in. Writing a version again after a
-    failure gives the same files. ``buckets`` is fixed by the first version."""
-    entries = [] if previous is None else read_manifest(spark, root, previous)
-    buckets = entries[0].buckets if entries else buckets
-    folded = stage_table(last_write_wins(ok_rows).withColumn("bucket", key_bucket(buckets)), "folded")
-    touched = {r.bucket for r in folded.select("bucket").distinct().collect()}  # as many as buckets at most
-    max_id = max([0, *(e.max_product_id for e in entries if e.table == "core")])
-    targets = read_snapshot(spark, root, previous, touched) if previous is not None else {}
-    out = _merge_tables(targets, folded.drop("bucket"), max_id if previous is not None else None, buckets)
-    kept = [(e.table, e.bucket, e.version) for e in entries if e.bucket not in touched]
-    for t in TABLES:
-        path = f"{root}/{t}/v={version}"
-        out[t].repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-        written = spark.read.schema(_table_schema(t)).option("basePath", path).parquet(path)
-        if t == "core":
-            max_id = max(max_id, written.agg(F.coalesce(F.max("product_id"), F.lit(0))).first()[0])
-        kept += [(t, r.bucket, version) for r in written.select("bucket").distinct().collect()]  # as many as buckets at most
-    rows = [(t, b, v, max_id, buckets) for t, b, v in kept]
-    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/v={version}")
 
 
 def route_column() -> Column:

@@ -653,6 +653,32 @@ def q_drop_folder_stream(spark, sf):
                        "currency_code", "source_file_name", "marketing_description")
 
 
+@query("snapshot_two_jobs")
+def q_snapshot_two_jobs(spark, sf):
+    """Two stream jobs with checkpoints of their own over one root, one
+    fed with all files but the last, one with all but the first; then the first
+    job is started again and its batch replayed. Returns the final core with ids."""
+    from ..operators import snapshots as S
+    from ..streaming import drop_folder as D
+
+    root = scratch_path(spark, "jobs")
+    cols = [c.split()[0] for c in FEED_SCHEMA.split(", ")]
+    feed = _parts(spark, sf).withColumn("file_seq", F.col("file_name")).select(*cols)
+    ends = feed.agg(F.min("file_name"), F.max("file_name")).first()
+    cfg = dict(_layered(), file_match=[".parquet"])
+
+    def run(job):
+        D.start_feed(spark, f"{root}/in-{job}", [cfg], f"{root}/snapshot", f"{root}/checkpoint-{job}", FEED_SCHEMA, columns={
+            "row": "row_idx", "file": "file_name", "file_seq": "file_seq", "vendor": "vendor_code", "kinds": {"sku": "sku_kind"}}).awaitTermination()
+    for job, left_out in (("a", ends[1]), ("b", ends[0])):
+        feed.filter(F.col("file_name") != left_out).write.option("maxRecordsPerFile", 1 << 20).parquet(f"{root}/in-{job}")
+        run(job)
+    run("a")
+    replayed = _rows(spark, sf).filter((F.col("status") == "ok") & (F.col("source_file_name") != ends[1]))
+    S.merge_batch(spark, f"{root}/snapshot", replayed, D.stream_id(spark, f"{root}/checkpoint-a"), 0)
+    return D.latest_snapshot(spark, f"{root}/snapshot")["core"].select(*M.CORE_OUT).drop("run_id")
+
+
 # ------------------------------------------------------------ I4/I5: log files
 @query("error_csv_roundtrip")
 def q_error_csv_roundtrip(spark, sf):

@@ -659,6 +659,12 @@ def build() -> dict[str, str]:
         ",\nok AS (SELECT * FROM rows WHERE status = 'ok'),\n" + lww_cte("fold", "ok") + ",\n" + merge_cte("core", None, "fold")
         + "\nSELECT vendor_code, inventory_partno, category_type, wholesale_price, currency_code, "
           "source_file_name, marketing_description FROM core")
+    q["snapshot_two_jobs"] = with_rows(lay) + (
+        ",\nok_a AS (SELECT * FROM rows WHERE status = 'ok' AND source_file_name <> (SELECT max(file_name) FROM feed_parts)),\n"
+        "ok_b AS (SELECT * FROM rows WHERE status = 'ok' AND source_file_name <> (SELECT min(file_name) FROM feed_parts)),\n"
+        + lww_cte("fold_a", "ok_a") + ",\n" + merge_cte("core_a", None, "fold_a") + ",\n"
+        + lww_cte("fold_b", "ok_b") + ",\n" + merge_cte("core_b", "core_a", "fold_b")
+        + "\nSELECT " + CORE_OUT.replace(", run_id", "") + " FROM core_b")
     q["error_csv_roundtrip"] = q["error_rows"]
     q["conversion_csv_roundtrip"] = q["conversion_audit"]
     return q

@@ -9,8 +9,13 @@ machine-local folder is not visible to other executors.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set; a shared folder is required on a cluster")
         d = tempfile.mkdtemp(prefix="feedloom-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     elif not sc.getCheckpointDir():
@@ -61,26 +67,45 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _SCRATCH: list[str] = []
+_SCOPE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch_scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder."""
+    """A new, unique path under the shared folder, of the scope it is made in."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    _SCRATCH.append(path)
+    scope = _SCOPE.get()
+    (_SCRATCH if scope is None else scope).append(path)
     return path
 
 
-def clean_scratch(spark: SparkSession) -> int:
-    """Delete the working tables made so far (once their readers are done);
-    returns how many there were. Works on any Hadoop file system."""
+def _delete_all(spark: SparkSession, paths: list[str]) -> int:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     done = 0
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         done += bool(path.getFileSystem(conf).delete(path, True))
     return done
 
 
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the working tables made so far outside a scope (once their readers
+    are done); returns how many there were. Works on any Hadoop file system."""
+    return _delete_all(spark, _SCRATCH)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """The working tables made inside are deleted at the end, and no others:
+    for work whose result is written elsewhere by then."""
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete_all(spark, paths)
+
+
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared folder.
 

@@ -82,29 +82,6 @@ def test_exclude_failed_files(spark):
     assert keys == ["A"]
 
 
-def test_bucketed_snapshot_equals_plain_merge(spark, tmp_path):
-    import pytest
-
-    batches = [[(f"f{b}.xlsx", i, f"K{(i * (b + 3)) % 23}", "s", f"fin{b}-{i}", ["EUR", None][i % 2], ["lamp", "fan", "kit", "other"][(i + b) % 4], f"s{i}")
-                for i in range(12 + b)] for b in range(3)]
-    root, plain = str(tmp_path / "snap"), {}
-    for b, data in enumerate(batches):
-        ok = _ok(_rows(spark, data))
-        plain = M.merge_run(plain, ok)
-        for _ in range(2):                       # a replayed batch writes the same version
-            M.merge_snapshot(spark, root, b, ok, b - 1 if b else None, buckets=5)
-    got = M.read_snapshot(spark, root, 2)
-    for t in M.TABLES:
-        cols = plain[t].columns
-        assert sorted(map(str, map(tuple, got[t].select(*cols).collect()))) == sorted(map(str, map(tuple, plain[t].collect()))), t
-    one = _ok(_rows(spark, [("z.xlsx", 0, "ONLY", "s", None, None, "lamp", None)]))
-    M.merge_snapshot(spark, root, 3, one, 2)
-    versions = {(e.bucket, e.version) for e in M.read_manifest(spark, root, 3) if e.table == "core"}
-    assert sum(v == 3 for _, v in versions) == 1      # only the touched bucket was written
-    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        M.merge_snapshot(spark, root, 9, one, 8)       # a missing version is an error, not an empty target
-
-
 def test_conversions_in_turn_and_rejected_text(spark):
     cfg = dict(CFG, column_map={"core": {"inventory_partno": ["sku"], "wholesale_price": ["p"], "bulb_quantity": ["p"], "width_in": ["w"], "is_imap": ["b"]}},
                conversions={"money": ["wholesale_price", "bulb_quantity"], "int": ["bulb_quantity"], "bool": ["is_imap"], "decimals": ["is_imap"]})
