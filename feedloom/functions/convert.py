@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .patterns import SPACE
 from .text import _c, is_blank, strip_u
 
 # Texts (stripped, lower-cased) that mean true / false.
@@ -19,7 +20,7 @@ TRUE_WORDS = ("y", "yes", "true", "1", "included", "include", "t")
 FALSE_WORDS = ("n", "no", "false", "0", "not included", "exclude", "f")
 
 # A range such as "120 - 277" keeps the text before its first dash.
-RANGE_PATTERN = r"(?U)\d+\s*-\s*\d+"
+RANGE_PATTERN = rf"\p{{Nd}}[{SPACE}]*-[{SPACE}]*\p{{Nd}}"
 # Python ``Decimal`` syntax after underscores are dropped, plus the
 # infinity words (which ``try_cast`` understands).
 DECIMAL_SYNTAX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"

@@ -2,8 +2,8 @@
 
 All helpers are built-in Spark SQL expressions, so they stay inside
 whole-stage codegen. Python-compatible Unicode semantics are kept where
-it matters: ``strip`` removes the same characters as ``str.strip()`` and
-regexes run with ``(?U)`` so ``\\w``/``\\s``/``\\b`` are Unicode-aware.
+it matters: ``strip`` removes the same characters as ``str.strip()``, and
+patterns are written with Python's classes (``functions.patterns``).
 """
 
 from __future__ import annotations

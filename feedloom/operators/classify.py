@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import is_plain, java_pattern
+from ..functions.patterns import checked, java_parts, refers_back
 from ..functions.text import has_text, strip_u
 from ..schema import DEFAULT_CATEGORY, HAS, RESERVED
 
@@ -106,22 +106,23 @@ def column_value_substring(columns, cv: dict, joined: Column | None = None) -> C
 def any_pattern(text: Column, patterns) -> Column | None:
     """True when any valid pattern is found in ``text``.
 
-    Plain patterns that share their flags are fused into one alternation, so the
-    text is scanned once per rule; the others are tested one by one. Patterns
+    Patterns that share their flags are fused into one alternation, so the text
+    is scanned once per rule; those with back-references are tested one by one. Patterns
     that Python rejects are skipped; one that only Java rejects fails the plan.
     """
-    fused: dict[bool, list[str]] = {}
+    fused: dict[str, list[str]] = {}
     single = []
     for p in map(str, patterns):
-        java = java_pattern(p)
-        if java is None:
+        parts = java_parts(p)
+        if parts is None:
             continue
-        if is_plain(p):
-            fused.setdefault(p.startswith("(?i)"), []).append(p.removeprefix("(?i)"))
+        flags, body = parts
+        checked(p, flags + body)
+        if refers_back(body):
+            single.append(flags + body)
         else:
-            single.append(java)
-    for ignore_case, bodies in fused.items():
-        single.append(("(?Uiu)" if ignore_case else "(?U)") + "|".join(f"(?:{b})" for b in bodies))
+            fused.setdefault(flags, []).append(body)
+    single += [flags + "|".join(f"(?:{b})" for b in bodies) for flags, bodies in fused.items()]
     if not single:
         return None
     out = text.rlike(single[0])

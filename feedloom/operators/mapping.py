@@ -221,15 +221,12 @@ def project_records(df: DataFrame, cfg: dict, run_id: int | None = None, categor
     return staged.select(*out)
 
 
-def conversion_audit(df: DataFrame, cfg: dict, category_col: str = "category_type", strict: bool = False) -> DataFrame:
+def conversion_audit(df: DataFrame, cfg: dict, category_col: str = "category_type") -> DataFrame:
     """One row per conversion that turned a non-blank value into NULL, for
     the core record and the attribute record of the row's own category, in the
     order the conversions are applied; a later conversion of a field is judged
-    on the earlier one's result.
-
-    ``strict``: only conversions that raise in the mapped ingest, which are none
-    for text input (its converters catch their own errors): the table is empty,
-    with the same columns.
+    on the earlier one's result. (Conversions that raise in the mapped ingest
+    are none for text: its converters catch their own errors.)
     """
     cols = df.columns
     cm = cfg.get("column_map") or {}
@@ -246,7 +243,7 @@ def conversion_audit(df: DataFrame, cfg: dict, category_col: str = "category_typ
                 before = after
         items += [c for k in CONVERSION_ORDER for c in per_kind[k]]
     schema = "type string, field string, value string, error string, vendor string, file string, sheet string, row_index bigint"
-    if strict or not items:
+    if not items:
         return df.sparkSession.createDataFrame([], schema)
     src = source_columns(cols, cfg)
     exploded = df.select(

@@ -250,23 +250,6 @@ def q_conversion_audit(spark, sf):
     return conversion_audit(classify(_feed(spark, sf), cfg), cfg)
 
 
-@query("conversion_audit_strict")
-def q_conversion_audit_strict(spark, sf):
-    """Only conversions that raise: none does for text."""
-    cfg = _layered()
-    return conversion_audit(classify(_feed(spark, sf), cfg), cfg, strict=True)
-
-
-def _two_kinds() -> dict:
-    """A mapping with fields under two conversions."""
-    cfg = _layered()
-    cfg["column_map"]["core"]["bulb_quantity"] = ["canopy_height_inches", "dnprice"]
-    cfg["column_map"]["core"]["is_imap"] = ["lamps_supplied"]
-    cfg["conversions"] = {"money": ["wholesale_price", "bulb_quantity"], "int": ["bulb_quantity"], "bool": ["is_imap", "bulb_included"],
-                          "decimals": ["canopy_height_in", "blade_span_in", "diameter_in"]}
-    return cfg
-
-
 @query("conversions_in_turn")
 def q_conversions_in_turn(spark, sf):
     """D5 on a field listed under two kinds: the second reads the first's result."""

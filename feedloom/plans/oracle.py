@@ -528,7 +528,6 @@ def build() -> dict[str, str]:
         "\nSELECT row_idx, wholesale_price, lighting.bulb_included AS bulb_included, "
         "lighting.canopy_height_in AS canopy_height_in, fans.blade_span_in AS blade_span_in FROM rows")
     q["conversion_audit"] = _audit_sql(lay)
-    q["conversion_audit_strict"] = _audit_sql(lay).replace("WITH ", "SELECT * FROM (WITH ", 1) + ") WHERE false"
     q["conversions_in_turn"] = with_rows(_two_kinds(lay)) + "\nSELECT row_idx, wholesale_price, bulb_quantity, is_imap FROM rows"
 
     # E

@@ -1,4 +1,7 @@
 """Classification layers and strategies on small hand-made feeds."""
+import pytest
+from pyspark.sql import functions as F
+
 from feedloom.config import bundled
 from feedloom.operators.classify import classify
 
@@ -83,3 +86,50 @@ def test_fused_patterns(spark):
     df = spark.createDataFrame([(t,) for t in ["one", "two", "three", "four", "FIVE", "six", "SIX", "seven"]], "t string")
     got = {r.t: r.category_type for r in classify_layer(df, cfg, "regex_scan").collect()}
     assert got == {"one": "a", "two": "a", "three": "a", "four": "a", "FIVE": "a", "six": "a", "SIX": None, "seven": None}
+
+
+PIECES = ["a", "B", "fan", "\\b", "\\B", "\\s", "\\S", "\\w", "\\W+", "\\d", ".", "$", "^", "\\Z", "\\A", "[a-c]", "[^a]", "[f&&x]", "[[a]x", "[\\w-]", "[^\\W_]",
+          "[^\\s\\d]", "[\\Wa]", "(?:ab|b)", "(a)", "(?i:FAN)", "(?-i:a)", "(?a:\\w)", "(?s:.)", "(?m:^b)", "x*", "b+?", "a{,2}", "a{1,2}", "{", "a{b}", "(?=b)", "(?!a)",
+          "(?<=a)", "(?<!\\w)", "\\x41", "\\u00e9", "\\101", "\\0", "\\v", "\\.", "\\#", " ", "#", "é", "(?>a|ab)", "a?+", "[\\b]", "[ #]", "(?#note)", "|"]
+CHARS = ["a", "b", "B", "A", "f", "x", "fan", "FAN", " ", "\n", "\r", "\x85", "\u2028", "\x1c", "\x1f", "\u0301", "é", "É", "1", "²", "_", "&", "[", "{", "#", "\x0b", "\x08", "-", "\xa0"]
+
+
+def test_patterns_mean_what_python_means(spark):
+    import random
+    import re
+    import warnings
+
+    from feedloom.functions.patterns import to_java
+
+    rng, compiled = random.Random(11), spark._jvm.java.util.regex.Pattern
+    tried = 0
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for _ in range(700):
+            p = rng.choice(["", "", "(?i)", "(?m)", "(?s)", "(?x)", "(?a)", "(?ims)"]) + "".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 5)))
+            java = to_java(p)
+            try:
+                python = re.compile(p)
+            except re.error:
+                assert java is None
+                continue
+            pattern = compiled.compile(java)
+            for _ in range(4):
+                text = "".join(rng.choice(CHARS) for _ in range(rng.randrange(7)))
+                tried += 1
+                assert pattern.matcher(text).find() == (python.search(text) is not None), (p, java, text)
+    assert tried > 1500
+
+
+def test_probed_patterns(spark):
+    import re
+
+    from feedloom.functions.patterns import java_pattern
+
+    cases = [("a.c", "a\rc"), ("a.c", "a\x85c"), ("fan$", "fan\r"), ("fan$", "fan\u2028"), ("fan$", "fan\n"), ("[f&&x]an", "fan"), ("(?x)ceiling[ ]fan", "ceiling fan"),
+             ("[[a]x", "ax"), ("[[a]x", "[x"), ("(?a:\\w)", "é"), ("(?a:\\w)", "e"), ("\\s", "\x1d"), ("e\\b", "e\u0301"), (r"(?P<x>[a-z])(?P=x)1", "zz1"), (r"(a)\1{2}", "aaa")]
+    for p, t in cases:
+        hit = spark.createDataFrame([(t,)], "t string").select(F.col("t").rlike(java_pattern(p))).first()[0]
+        assert hit == (re.search(p, t) is not None), (p, t)
+    with pytest.raises(ValueError, match="no Java form"):
+        java_pattern(r"(a)?(?(1)b|c)")

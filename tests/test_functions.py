@@ -95,3 +95,34 @@ def test_number_text_is_pythons(spark):
     vals = [12345678.0, 0.5, -3.0, 1e15, 123456789012345680.0, 1e16, 1.5e-7, 1e22, 2.5e300, 0.1, 100.0]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     assert [r[0] for r in df.select(number_text(df.v, "double")).collect()] == [str(v) for v in vals]
+
+
+def _python_header(c):
+    """B1 as its steps on one name."""
+    import re
+
+    s = re.sub(r"[^\w\s]", "", re.sub(r"\s+", " ", c.strip().lower())).replace(" ", "_")
+    return re.sub("_+", "_", s).strip("_")
+
+
+def _python_raw_header(c):
+    import re
+
+    s = re.sub(r"[^\w]", "", re.sub(r"\s+", "_", c.strip().lower()))
+    return re.sub("_+", "_", s).strip("_") or "col"
+
+
+def test_headers_of_every_character(spark):
+    """Space and word characters as Python sees them, between and around letters;
+    characters that only one side's Unicode version knows are left out."""
+    import unicodedata
+
+    points = [c for c in range(0x20000) if unicodedata.category(chr(c)) not in ("Cs", "Cn")]
+    rows = [(f"A{chr(c)}b {chr(c)}",) for c in points]
+    rows += [("0\x1f0",), ("Cafe\u0301 Price",), ("\x1c a \u2028b\x85",), ("x" * 8 + "\u200b",)]
+    df = spark.createDataFrame(rows, "h string").repartition(4)
+    got = df.select("h", norm_header("h").alias("a"), norm_header_raw("h").alias("r")).collect()
+    wrong = [r.h for r in got if r.a != _python_header(r.h) or r.r != _python_raw_header(r.h) or norm_header_py(r.h) != _python_header(r.h)]
+    known = spark._jvm.java.lang.Character
+    wrong = [h for h in wrong if known.isDefined(ord(h[1]))]
+    assert [hex(ord(h[1])) for h in wrong] == []
