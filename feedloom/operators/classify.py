@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import checked, java_parts, refers_back
 from ..functions.text import has_text, strip_u
 from ..schema import DEFAULT_CATEGORY, HAS, RESERVED
+from .substrings import INLINE_RULES, first_substring
 
 
 def feed_columns(columns: Iterable[str]) -> list[str]:
@@ -252,18 +253,23 @@ def classify_layer(df: DataFrame, cfg: dict, layer: str, out: str = "category_ty
     return df.withColumn(out, e)
 
 
-def column_value_substring_table(df: DataFrame, cfg: dict, out: str = "category_type") -> DataFrame:
-    """F4 for mappings with hundreds of values: the rules are one array of
+def column_value_substring_table(df: DataFrame, cfg: dict, out: str = "category_type", inline: int = INLINE_RULES) -> DataFrame:
+    """F4 for mappings with many values. Up to ``inline`` of them are one array of
     (category, value) in mapping order, and the first one contained in the joined
-    text decides. The row needs no join and no shuffle, and the generated code
-    does not grow with the number of values. Same result as
-    :func:`column_value_substring`."""
+    text decides: no join, no shuffle, and generated code that does not grow with
+    the number of values. More are a table that the distinct joined texts look up
+    by trigrams. Same result as :func:`column_value_substring`."""
     cv = (cfg.get("category") or {}).get("column_value") or {}
     rules = [(cat, str(v).strip().lower()) for cat, vals in (cv.get("mappings") or {}).items() for v in vals or [] if str(v).strip()]
     if not rules:
         return df.withColumn(out, _null())
+    joined = df.withColumn("__joined", joined_values(feed_columns(df.columns), cv.get("columns"), " | ", lower=True))
+    if len(rules) > inline:
+        table = df.sparkSession.createDataFrame([(i, c, v) for i, (c, v) in enumerate(rules)], "seq int, category string, pattern string")
+        hits = first_substring(joined.filter(F.col("__joined") != F.lit("")), "__joined", table, ["seq"])
+        hits = hits.select(F.col("text").alias("__joined"), F.col("rule.category").alias(out))
+        return joined.drop(out).join(hits, "__joined", "left").select(*[c for c in df.columns if c != out], out)
     table = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(v).alias("value")) for c, v in rules])
-    joined = joined_values(feed_columns(df.columns), cv.get("columns"), " | ", lower=True)
     hits = F.filter(table, lambda r: F.col("__joined").contains(r["value"]))
     found = F.when(F.col("__joined") != F.lit(""), F.get(hits, F.lit(0))["category"])
-    return df.withColumn("__joined", joined).withColumn(out, found).drop("__joined")
+    return joined.withColumn(out, found).drop("__joined")

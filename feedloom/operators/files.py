@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ids import global_index
+from .substrings import INLINE_RULES, first_substring
 
 # Workbook suffixes the mapped ingest accepts (any case), the
 # raw landing also takes binary workbooks; lock files start with "~$".
@@ -54,35 +55,34 @@ def file_inventory(files: DataFrame, suffixes=MAPPED_SUFFIXES, exclude_dirs=(),
     return global_index(df, ["file_seq"], "__n", base=1).withColumn("file_seq", F.col("__n")).drop("__n")
 
 
-#: Vendor patterns that are tested inside the row; more go through a join.
-INLINE_RULES = 2000
-
-
-def vendor_match(files: DataFrame, rules: DataFrame) -> DataFrame:
+def vendor_match(files: DataFrame, rules: DataFrame, inline: int = INLINE_RULES) -> DataFrame:
     """A2: first mapping (list order) with a pattern contained in the
     lower-cased file name; unmatched files get ``vendor_code`` NULL and status
     ``skipped``.
 
-    The rule table comes from the configuration. It is read once on the driver
-    behind a size check and tested as one array in list order, so a file needs
-    no join; a larger table is an error, not a silent cut.
+    A rule table of at most ``inline`` rows is read once on the driver and
+    tested as one array in list order, so a file needs no join. A larger one
+    stays a table: file names look up its patterns by trigrams
+    (:func:`~feedloom.operators.substrings.first_substring`).
     """
-    listed = rules.orderBy("mapping_seq", "pattern_seq").take(INLINE_RULES + 1)
-    if len(listed) > INLINE_RULES:
-        raise ValueError(f"more than {INLINE_RULES} vendor patterns; split the mappings")
-    empty = F.lit(None).cast("struct<vendor_code: string, mapping_seq: int>")
-    hit = empty
-    if listed:
-        table = F.array(*[F.struct(F.lit(r["vendor_code"]).cast("string").alias("vendor_code"), F.lit(r["mapping_seq"]).alias("mapping_seq"),
-                                   F.lit(r["pattern"]).alias("pattern")) for r in listed])
-        hit = F.get(F.filter(table, lambda r: F.col("__low").contains(r["pattern"])), F.lit(0))
-    found = files.withColumn("__low", F.lower(F.col("file_name"))).withColumn("__hit", hit)
+    order = ["mapping_seq", "pattern_seq"]
+    named = files.withColumn("__low", F.lower(F.col("file_name")))
+    listed = rules.orderBy(*order).take(inline + 1)
+    if len(listed) > inline:
+        hits = first_substring(named, "__low", rules, order).select(F.col("text").alias("__low"), F.col("rule").alias("__hit"))
+        found = named.join(hits, "__low", "left")
+    else:
+        hit = F.lit(None).cast("struct<vendor_code: string, mapping_seq: int>")
+        if listed:
+            table = F.array(*[F.struct(F.lit(r["vendor_code"]).cast("string").alias("vendor_code"), F.lit(r["mapping_seq"]).alias("mapping_seq"),
+                                       F.lit(r["pattern"]).alias("pattern")) for r in listed])
+            hit = F.get(F.filter(table, lambda r: F.col("__low").contains(r["pattern"])), F.lit(0))
+        found = named.withColumn("__hit", hit)
     skipped = F.col("__hit").isNull()
-    return found.withColumns({
-        "vendor_code": F.col("__hit.vendor_code"), "mapping_seq": F.col("__hit.mapping_seq"),
-        "status": F.when(skipped, F.lit("skipped")).otherwise(F.lit("matched")),
-        "reason": F.when(skipped, F.lit("No vendor mapping matched file_name")),
-    }).drop("__low", "__hit")
+    return found.select(
+        *files.columns, F.col("__hit.vendor_code").alias("vendor_code"), F.col("__hit.mapping_seq").alias("mapping_seq"),
+        F.when(skipped, F.lit("skipped")).otherwise(F.lit("matched")).alias("status"),
+        F.when(skipped, F.lit("No vendor mapping matched file_name")).alias("reason"))
 
 
 def disposition(files: DataFrame, existing: DataFrame, run_stamp: str,

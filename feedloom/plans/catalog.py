@@ -120,6 +120,27 @@ def q_vendor_match(spark, sf):
     return _matched(spark, sf).select("file_id", "file_name", "vendor_code", "status")
 
 
+#: Files named after orders; mappings of one supplier each (its number where the
+#: customer's stands) and, after them, of one part each (the end of the order key).
+MANY_FILES_SQL = "SELECT concat('/in/Feed#', lpad(CAST(o_custkey AS STRING), 9, '0'), '_', CAST(o_orderkey AS STRING), '.xlsx') AS path FROM {orders}"
+MANY_PATTERNS_SQL = """
+SELECT CAST(s_suppkey AS INT) AS mapping_seq, 0 AS pattern_seq, s_name AS vendor_code, concat('#', lpad(CAST(s_suppkey AS STRING), 9, '0')) AS pattern FROM {supplier}
+UNION ALL
+SELECT CAST(2000000000 - p_partkey AS INT), 1, p_brand, concat(CAST(p_partkey AS STRING), '.xlsx') FROM {part}
+UNION ALL
+SELECT 2000000000, CAST(p_partkey AS INT), p_type, right(CAST(p_partkey AS STRING), 2) FROM {part}
+"""
+
+
+@query("vendor_match_many")
+def q_vendor_match_many(spark, sf):
+    """A2 with as many patterns as suppliers and parts, long and short ones."""
+    files = spark.sql(MANY_FILES_SQL, orders=A.table(spark, sf, "orders"))
+    rules = spark.sql(MANY_PATTERNS_SQL, supplier=A.table(spark, sf, "supplier"), part=A.table(spark, sf, "part"))
+    found = FL.vendor_match(FL.with_name_parts(files), rules, inline=0)
+    return found.select("file_name", "vendor_code", "mapping_seq", "status")
+
+
 @query("sheet_select")
 def q_sheet_select(spark, sf):
     cells = _grid_cells(spark, sf)
@@ -351,6 +372,13 @@ def q_classify_substring_table(spark, sf):
     return df.select(F.col(ROW).alias("row_idx"), "category_type")
 
 
+@query("classify_substring_join")
+def q_classify_substring_join(spark, sf):
+    """F4 through the trigram join (the form without a limit of values)."""
+    df = column_value_substring_table(_feed(spark, sf), _layered(), inline=0)
+    return df.select(F.col(ROW).alias("row_idx"), "category_type")
+
+
 REGISTRY["classify_exact"] = _layer_query("column_value_exact")
 REGISTRY["classify_substring"] = _layer_query("column_value_substring")
 REGISTRY["classify_regex"] = _layer_query("regex_scan")

@@ -487,6 +487,16 @@ def build() -> dict[str, str]:
     q["vendor_match"] = _matched() + "\nSELECT file_id, file_name, vendor_code, status FROM matched"
     brands = [m for m in load_mappings(MAPPINGS_DIR / "vendors.yaml") if m["vendor_code"] == "Brands"][0]
     vals = ", ".join(f"({lit(s['sheet_name'])}, {int(s.get('header_row', 0))}, {k})" for k, s in enumerate(brands["sheets"]))
+    many = ("SELECT CAST(s_suppkey AS INT) AS mapping_seq, 0 AS pattern_seq, s_name AS vendor_code, '#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS pattern "
+            "FROM supplier UNION ALL SELECT CAST(2000000000 - p_partkey AS INT), 1, p_brand, CAST(p_partkey AS VARCHAR) || '.xlsx' FROM part "
+            "UNION ALL SELECT 2000000000, CAST(p_partkey AS INT), p_type, right(CAST(p_partkey AS VARCHAR), 2) FROM part")
+    q["vendor_match_many"] = (
+        f"WITH p AS (SELECT pattern, min_by(struct_pack(v := vendor_code, m := mapping_seq), (mapping_seq, pattern_seq)) AS r, "
+        f"min((mapping_seq, pattern_seq)) AS o FROM ({many}) GROUP BY pattern),\n"
+        "f AS (SELECT row_number() OVER () AS id, 'Feed#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_' || CAST(o_orderkey AS VARCHAR) || '.xlsx' AS file_name FROM orders),\n"
+        "h AS (SELECT id, min_by(r, o) AS r FROM f JOIN p ON contains(lower(file_name), pattern) GROUP BY id)\n"
+        "SELECT file_name, r.v AS vendor_code, r.m AS mapping_seq, CASE WHEN h.id IS NULL THEN 'skipped' ELSE 'matched' END AS status "
+        "FROM f LEFT JOIN h USING (id)")
     q["sheet_select"] = duckdb_cte("feed_grid") + (
         f",\nrules(sheet_name, header_row, sheet_seq) AS (VALUES {vals})\n"
         "SELECT s.sheet_name, CAST(r.header_row AS INTEGER) AS header_row, CAST(r.sheet_seq AS INTEGER) AS sheet_seq, s.n_rows "
@@ -556,6 +566,7 @@ def build() -> dict[str, str]:
     q["classify_layered"] = parts + (f",\np AS (SELECT row_idx, {na} FROM feed_parts)\n"
                                      f"SELECT row_idx, {category_sql(FEED_TEXT, lay)} AS category_type, {layer_sql(FEED_TEXT, lay)} AS category_layer FROM p")
     rs = dict(lay["category"]["regex_scan"], columns=["text"])
+    q["classify_substring_join"] = q["classify_substring_table"]
     q["classify_documents"] = f"SELECT doc_id, {regex_sql(['text'], _unicode(rs))} AS category_type FROM documents"
     q["classify_regex_forms"] = parts + (
         f",\np AS (SELECT row_idx, {na} FROM feed_parts)\nSELECT row_idx, CASE WHEN regexp_matches(short_description, '\\bchair\\b') THEN 'ascii' "
