@@ -28,6 +28,7 @@ from ..plans.ingest import as_feed, canonical_rows, ingest_cells, normalize_feed
 from ..schema import ROW
 from ..session import scratch_path, stage_table
 from ..sources import adapters as A
+from ..sources.delimited import delimited_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -185,6 +186,31 @@ def q_safe_table_name(spark, sf):
     return f.select("file_id", safe_table_name("RAW", F.col("stem"), F.lit("DATA (main)")).alias("table_name"))
 
 
+#: part as delimited lines: a file for each size, a title and a header
+#: record, then records with line feeds, quotes and separators inside fields.
+CSV_LINES_SQL = """
+SELECT CAST(p_size AS INT) AS block, p_partkey AS place,
+       concat(CAST(p_partkey AS STRING), ',"', p_name, ', ""', p_type, '""', CASE WHEN p_size % 3 = 0 THEN '\\n' ELSE '' END, p_brand, '",',
+              CASE WHEN p_size % 7 = 0 THEN '' ELSE CAST(p_size AS STRING) END, ',', CAST(p_size AS STRING), '" wide') AS line
+FROM {part}
+UNION ALL
+SELECT DISTINCT CAST(p_size AS INT), -2, 'Price list,,,' FROM {part}
+UNION ALL
+SELECT DISTINCT CAST(p_size AS INT), -1, 'Key,"Name",Size,"Note ""n"" x"' FROM {part}
+"""
+
+
+@query("csv_cells")
+def q_csv_cells(spark, sf):
+    """A4 on delimited files: part written as such files, read back as cells."""
+    path = scratch_path(spark, "csv")
+    lines = spark.sql(CSV_LINES_SQL, part=A.table(spark, sf, "part"))
+    (lines.repartition("block").sortWithinPartitions("block", "place").select("line", "block")
+     .write.partitionBy("block").text(path))
+    block = F.regexp_extract("file_path", "block=([0-9]+)", 1).cast("int")
+    return delimited_cells(spark, path).select(block.alias("block"), "row_idx", "col_idx", "kind", "text")
+
+
 @query("detect_header")
 def q_detect_header(spark, sf):
     h = L.detect_header(L.with_source_na(_grid_cells(spark, sf)))

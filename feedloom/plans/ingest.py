@@ -17,13 +17,14 @@ from ..config import match_rules_df, sheet_rules_df
 from ..functions.headers import norm_header_py
 from ..functions.text import source_na
 from ..operators.classify import classify, feed_columns
-from ..operators.files import file_inventory, vendor_match
+from ..operators.files import MAPPED_SUFFIXES, file_inventory, vendor_match
 from ..operators.mapping import alias_list, conversion_audit, project_records, union_vendors
 from ..operators.merge import exclude_failed_files, merge_run
 from ..operators.report import file_status, run_report
 from ..operators.validate import PROBE_COLUMNS, error_rows, split_status, with_status
 from ..schema import FILE, FILE_SEQ, KIND, PATH, RESERVED, ROW, SHEET, VENDOR
 from ..session import stage_table
+from ..sources.delimited import DELIMITED_SUFFIXES, delimited_cells
 from ..sources.xlsx import mapped_rows, read_cells, workbook_files
 
 
@@ -137,9 +138,9 @@ def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targe
     return out
 
 
-def match_files(listing: DataFrame, mappings: list[dict], exclude_dirs=()) -> DataFrame:
+def match_files(listing: DataFrame, mappings: list[dict], exclude_dirs=(), suffixes=MAPPED_SUFFIXES) -> DataFrame:
     """A1 + A2 on a listing with a ``path`` column."""
-    inv = file_inventory(listing.select("path"), exclude_dirs=exclude_dirs, number=False)
+    inv = file_inventory(listing.select("path"), suffixes=suffixes, exclude_dirs=exclude_dirs, number=False)
     return vendor_match(inv, match_rules_df(listing.sparkSession, mappings))
 
 
@@ -160,5 +161,21 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows)
 
 
-__all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_workbooks", "match_files",
+def ingest_delimited(spark, path: str, mappings: list[dict], targets: dict | None = None, run_id: int | None = None,
+                     exclude_dirs=(), stage_rows: bool = True, sheet_name: str = "DATA", **syntax) -> dict:
+    """End-to-end mapped ingest of a folder of delimited files, each as a workbook
+    of one sheet ``sheet_name``: listing, vendor match, and a scan of the matched
+    files only. A file with a quote that is never closed fails alone."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path"))
+    files = match_files(listing, mappings, exclude_dirs, DELIMITED_SUFFIXES)
+    # Names of the files to open, as a file scan lists them on the driver.
+    matched = [r["path"] for r in files.filter(F.col("status") == "matched").select("path").collect()]
+    if matched:
+        cells = stage_table(delimited_cells(spark, matched, sheet_name=sheet_name, **syntax), "cells")
+    else:
+        cells = spark.createDataFrame([], "file_path string, file_name string, sheet_name string, row_idx long, col_idx int, kind string, text string")
+    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows)
+
+
+__all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_delimited", "ingest_workbooks", "match_files",
            "mapping_columns", "probe_columns", "feed_columns"]

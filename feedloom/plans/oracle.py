@@ -497,6 +497,15 @@ def build() -> dict[str, str]:
         "h AS (SELECT id, min_by(r, o) AS r FROM f JOIN p ON contains(lower(file_name), pattern) GROUP BY id)\n"
         "SELECT file_name, r.v AS vendor_code, r.m AS mapping_seq, CASE WHEN h.id IS NULL THEN 'skipped' ELSE 'matched' END AS status "
         "FROM f LEFT JOIN h USING (id)")
+    q["csv_cells"] = (
+        "WITH r AS (SELECT CAST(p_size AS INTEGER) AS block, 1 + row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS row_idx, "
+        "[CAST(p_partkey AS VARCHAR), p_name || ', \"' || p_type || '\"' || CASE WHEN p_size % 3 = 0 THEN chr(10) ELSE '' END || p_brand, "
+        "CASE WHEN p_size % 7 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END, CAST(p_size AS VARCHAR) || '\" wide'] AS f FROM part "
+        "UNION ALL SELECT DISTINCT CAST(p_size AS INTEGER), 0, ['Price list', '', '', ''] FROM part "
+        "UNION ALL SELECT DISTINCT CAST(p_size AS INTEGER), 1, ['Key', 'Name', 'Size', 'Note \"n\" x'] FROM part),\n"
+        "c AS (SELECT block, row_idx, unnest(f) AS text, CAST(unnest(range(4)) AS INTEGER) AS col_idx FROM r)\n"
+        "SELECT block, row_idx, col_idx, CASE WHEN text = '' THEN NULL WHEN regexp_full_match(text, '[+-]?[0-9]+([.][0-9]+)?') THEN 'n' ELSE 's' END AS kind, "
+        "nullif(text, '') AS text FROM c")
     q["sheet_select"] = duckdb_cte("feed_grid") + (
         f",\nrules(sheet_name, header_row, sheet_seq) AS (VALUES {vals})\n"
         "SELECT s.sheet_name, CAST(r.header_row AS INTEGER) AS header_row, CAST(r.sheet_seq AS INTEGER) AS sheet_seq, s.n_rows "
