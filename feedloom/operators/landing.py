@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.headers import norm_header_raw, safe_table_name, shorten_identifier, with_counter_suffix
 from ..functions.text import SOURCE_NA_TOKENS, clean_text, has_text
-from ..session import stage_table
+from ..session import scratch_path, scratch_scope, stage_table
 from .ids import positional_index
 
 SHEET = ["file_name", "sheet_name"]
@@ -213,14 +213,17 @@ def write_raw_tables(landed: dict[str, DataFrame], save, loaded_at=None) -> list
     """One wide table for each sheet that has rows, replaced on reload.
 
     ``save(df, table_name)`` writes a table (see ``sinks.replace_table``). Sheets
-    of one table name follow in file order, so the last one stays, as a reload
-    replaces a table. The list of sheets and their columns is metadata.
+    of one table name: the last in file order stays, as a reload replaces a table.
+    All rows are written once, by table (``sources.raw_store``), and each table is
+    made from its own files; the list of tables is metadata.
     """
-    sheets = landed["tables"].orderBy("file_name", "sheet_name").collect()
-    names: dict[tuple, list[str]] = {}
-    for r in landed["columns"].select(*SHEET, "col_idx", "stored_column_name").orderBy(*SHEET, "col_idx").toLocalIterator():
-        names.setdefault((r.file_name, r.sheet_name), []).append(r.stored_column_name)
-    for r in sheets:
-        own = landed["landing"].filter((F.col("source_file") == r.file_name) & (F.col("source_sheet") == r.sheet_name))
-        save(landing_wide(own, names[(r.file_name, r.sheet_name)], loaded_at), r.table_name)
-    return [r.table_name for r in sheets]
+    from ..sources.raw_store import raw_table_names, read_raw_table, write_raw_rows
+
+    spark = landed["landing"].sparkSession
+    with scratch_scope(spark):
+        root = scratch_path(spark, "raw")
+        write_raw_rows(landed, root, loaded_at)
+        names = raw_table_names(spark, root)
+        for name in names:
+            save(read_raw_table(spark, root, name), name)
+    return names

@@ -29,6 +29,7 @@ from ..schema import ROW
 from ..session import scratch_path, stage_table
 from ..sources import adapters as A
 from ..sources.delimited import delimited_cells
+from ..sources.raw_store import read_raw_rows, write_raw_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -552,12 +553,27 @@ def q_raw_tables_wide(spark, sf):
     """H9 + H10: the wide landing tables of all sheets, one below the other (the
     grid's sheets have the same columns)."""
     land = _landing(spark, sf)
-    names = sorted(r.stored_column_name for r in land["columns"].select("stored_column_name").distinct().collect())
+    names = [f"head_{i}" for i in range(4)]
     tables = land["tables"].select(F.col("file_name").alias("source_file"), F.col("sheet_name").alias("source_sheet"), "table_name")
     wide = L.landing_wide(land["landing"], names, LOADED_AT).join(tables, ["source_file", "source_sheet"])
     return wide.withColumn("loaded_at", F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("raw_tables_apart")
+def q_raw_tables_apart(spark, sf):
+    """H9 + H10: sheets whose columns differ (each header has its sheet's name in
+    it), written by one job, loaded a second time, and read back: every value by
+    table, row and column."""
+    cells = _grid_cells(spark, sf)
+    own = F.when(F.col("text").startswith("Head "), F.concat("text", F.lit(" "), "sheet_name")).otherwise(F.col("text"))
+    land = L.raw_landing(cells.withColumn("text", own), stage=False)
+    root = scratch_path(spark, "raw")
+    for _ in range(2):
+        write_raw_rows(land, root, LOADED_AT)
+    rows = read_raw_rows(spark, root)
+    return rows.select("table_name", "raw_id", "source_sheet", "header_row", F.explode("values").alias("stored_column_name", "value"))
+
+
 # ------------------------------------------------------------ I: reports
 @query("file_counters")
 def q_file_counters(spark, sf):

@@ -635,6 +635,11 @@ def build() -> dict[str, str]:
         + safe_table("RAW", "regexp_replace(source_file, '\\.[^.]*$', '')", "source_sheet") + ") AS table_name "
         "FROM landing GROUP BY source_file, source_sheet, header_row, source_row_number")
 
+    q["raw_tables_apart"] = grid_ctes() + (
+        "\nSELECT " + safe_table("RAW", "regexp_replace(source_file, '\\.[^.]*$', '')", "source_sheet") + " AS table_name, source_row_number + 1 AS raw_id, "
+        "source_sheet, header_row, stored_column_name || '_' || lower(replace(source_sheet, '#', '')) AS stored_column_name, value "
+        "FROM landing WHERE value IS NOT NULL")
+
     # I
     counters = ("SELECT source_file_name AS path, source_file_name AS file, vendor_code, count(*) AS rows_total, count(*) FILTER (WHERE status = 'ok') AS rows_upserted, "
                 "count(*) FILTER (WHERE status = 'skipped') AS rows_skipped_missing_key, count(*) FILTER (WHERE status = 'error') AS rows_error "

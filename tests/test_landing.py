@@ -94,3 +94,39 @@ def test_too_wide_a_worksheet_fails(spark):
     with pytest.raises(Exception, match="16384 columns"):
         L.column_names(names, cols).collect()
     assert L.column_names(names, cols, wide=True).count() == 1
+
+
+def test_many_sheets_with_columns_of_their_own(spark, tmp_path):
+    """1,000 sheets of different columns: one write, each table with its own
+    columns; a reload replaces the tables it holds and no others."""
+    from pyspark.sql import functions as F
+
+    from feedloom.sources import raw_store as W
+
+    root, sheets = str(tmp_path / "raw"), 1000
+    cells = (spark.range(sheets).select(F.format_string("S%04d", "id").alias("sheet_name"), F.col("id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("row_idx"))
+             .select("sheet_name", "id", "row_idx", F.explode(F.sequence(F.lit(0), (F.col("id") % 3).cast("int"))).alias("col_idx"))
+             .select(F.lit("w.xlsx").alias("file_name"), "sheet_name", F.col("row_idx").cast("int"), "col_idx", F.lit("s").alias("kind"),
+                     F.when(F.col("row_idx") == 0, F.format_string("Col %d of %d", "col_idx", "id")).otherwise(F.format_string("v%d-%d-%d", "id", "row_idx", "col_idx")).alias("text")))
+    landed = L.raw_landing(cells)
+    W.write_raw_rows(landed, root, "2026-01-01 00:00:00")
+    names = W.raw_table_names(spark, root)
+    assert len(names) == sheets and W.read_raw_rows(spark, root).count() == 2 * sheets
+    wide = W.read_raw_table(spark, root, "RAW_w_S0005")
+    assert wide.columns == [*W.LINEAGE, "col_0_of_5", "col_1_of_5", "col_2_of_5"]
+    assert sorted((r.raw_id, r.col_0_of_5, r.col_2_of_5) for r in wide.collect()) == [(1, "v5-1-0", "v5-1-2"), (2, "v5-2-0", "v5-2-2")]
+    again = L.raw_landing(cells.filter("sheet_name = 'S0005' and row_idx < 2 and col_idx < 2"))
+    W.write_raw_rows(again, root, "2026-01-02 00:00:00")
+    assert W.read_raw_table(spark, root, "RAW_w_S0005").columns == [*W.LINEAGE, "col_0_of_5", "col_1_of_5"]
+    assert W.read_raw_rows(spark, root).count() == 2 * sheets - 1
+    W.register_views(spark, root, ["RAW_w_S0005", "RAW_w_S0004"])
+    assert spark.sql("SELECT a.col_0_of_5, b.col_0_of_4 FROM RAW_w_S0005 a JOIN RAW_w_S0004 b USING (raw_id)").collect() == [("v5-1-0", "v4-1-0")]
+
+
+def test_sheets_of_one_table_name(spark, tmp_path):
+    from feedloom.sources import raw_store as W
+
+    rows = [("a.xlsx", "S 1", 0, 0, "s", "Old"), ("a.xlsx", "S 1", 1, 0, "s", "x"), ("a.xlsx", "S_1", 0, 0, "s", "New"), ("a.xlsx", "S_1", 1, 0, "s", "y"), ("a.xlsx", "S_1", 2, 0, "s", "z")]
+    landed = L.raw_landing(spark.createDataFrame(rows, CELLS))
+    W.write_raw_rows(landed, str(tmp_path))
+    assert sorted(r.new for r in W.read_raw_table(spark, str(tmp_path), "RAW_a_S_1").collect()) == ["y", "z"]
