@@ -24,7 +24,9 @@ from ..operators import report as R
 from ..operators import validate as V
 from ..operators.classify import classify, classify_layer, column_value_substring_table, feed_columns
 from ..operators.mapping import conversion_audit, first_non_null, union_vendors
-from ..plans.ingest import as_feed, canonical_rows, ingest_cells, normalize_feed, probe_columns
+from ..operators.moves import names_in
+from ..operators.snapshots import read_snapshot
+from ..plans.ingest import as_feed, canonical_rows, ingest_cells, ingest_delimited, normalize_feed, probe_columns, run_folder
 from ..schema import ROW
 from ..session import scratch_path, stage_table
 from ..sources import adapters as A
@@ -201,13 +203,36 @@ SELECT DISTINCT CAST(p_size AS INT), -1, 'Key,"Name",Size,"Note ""n"" x"' FROM {
 """
 
 
-@query("csv_cells")
-def q_csv_cells(spark, sf):
-    """A4 on delimited files: part written as such files, read back as cells."""
+def _part_files(spark, sf) -> str:
+    """part written as delimited files; their folder."""
     path = scratch_path(spark, "csv")
     lines = spark.sql(CSV_LINES_SQL, part=A.table(spark, sf, "part"))
     (lines.repartition("block").sortWithinPartitions("block", "place").select("line", "block")
      .write.partitionBy("block").text(path))
+    return path
+
+
+@query("run_folder_csv")
+def q_run_folder_csv(spark, sf):
+    """A whole run over a folder of delimited files, moved when read,
+    and a second run over what is left (nothing). Per file: its counters, and how
+    many files lie in the archive and in the folder after both runs."""
+    path, root = _part_files(spark, sf), scratch_path(spark, "run")
+    cfg = {"vendor_code": "Sizes", "file_match": [".txt"], "sheets": [{"sheet_name": "DATA", "header_row": 1}], "category": {"default": "fans"},
+           "column_map": {"core": {"inventory_partno": ["key"], "marketing_description": ["name"], "bulb_quantity": ["size"]}}, "conversions": {"int": ["bulb_quantity"]}}
+    reports = [run_folder(spark, path, [cfg], f"{root}/tables", f"{root}/archive", f"{root}/error", f"{RUN_STAMP}_{k}", source=ingest_delimited) for k in (1, 2)]
+    core = read_snapshot(spark, f"{root}/tables")["core"].groupBy().agg(F.count("*").alias("n_products"), F.sum("bulb_quantity").alias("sum_quantity"))
+    archived = len(names_in(spark, [f"{root}/archive"]).filter(F.col("file_name").endswith(".txt")).collect())
+    block = F.regexp_extract("path", "block=([0-9]+)", 1).cast("int")
+    first, second = reports
+    return (first.select(block.alias("block"), "status", "rows_total", "rows_upserted", F.col("archived_to").isNotNull().alias("archived"), F.col("move_error").alias("move_error"))
+            .join(core).withColumns({"files_archived": F.lit(archived).cast("long"), "files_left": F.lit(second.count()).cast("long")}))
+
+
+@query("csv_cells")
+def q_csv_cells(spark, sf):
+    """A4 on delimited files: part written as such files, read back as cells."""
+    path = _part_files(spark, sf)
     block = F.regexp_extract("file_path", "block=([0-9]+)", 1).cast("int")
     return delimited_cells(spark, path).select(block.alias("block"), "row_idx", "col_idx", "kind", "text")
 

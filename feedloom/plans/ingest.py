@@ -17,13 +17,15 @@ from ..config import match_rules_df, sheet_rules_df
 from ..functions.headers import norm_header_py
 from ..functions.text import source_na
 from ..operators.classify import classify, feed_columns
-from ..operators.files import MAPPED_SUFFIXES, file_inventory, vendor_match
+from ..operators.files import MAPPED_SUFFIXES, disposition, file_inventory, vendor_match
 from ..operators.mapping import alias_list, conversion_audit, project_records, union_vendors
 from ..operators.merge import exclude_failed_files, merge_run
-from ..operators.report import file_status, run_report
+from ..operators.moves import finish_moves, move_files, names_in
+from ..operators.report import file_status, run_report, write_csv, write_report
+from ..operators.snapshots import merge_batch
 from ..operators.validate import PROBE_COLUMNS, error_rows, split_status, with_status
 from ..schema import FILE, FILE_SEQ, KIND, PATH, RESERVED, ROW, SHEET, VENDOR
-from ..session import stage_table
+from ..session import scratch_scope, stage_table
 from ..sources.delimited import DELIMITED_SUFFIXES, delimited_cells
 from ..sources.xlsx import mapped_rows, read_cells, workbook_files
 
@@ -105,7 +107,7 @@ def mapping_columns(cfg: dict) -> list[str]:
 
 
 def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targets: dict | None = None,
-                 run_id: int | None = None, input_dir: str | None = None, stage_rows: bool = True) -> dict:
+                 run_id: int | None = None, input_dir: str | None = None, stage_rows: bool = True, merge: bool = True) -> dict:
     """Mapped ingest of long cells of many files.
 
     ``cells(file_path, sheet_name, row_idx, col_idx, kind, text)``, where a row
@@ -113,8 +115,10 @@ def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targe
     inventory of :func:`match_files`. A fatal file fails alone: it brings no rows
     and is reported with its reason; the others are merged.
 
-    Returns the new snapshots, ``rows`` (status-tagged canonical rows), ``files``
-    (with status ok / skipped / failed), ``errors``, ``audit`` and ``report``.
+    Returns the new snapshots, ``rows`` (status-tagged canonical rows), ``ok``
+    (those to merge), ``files`` (with status ok / skipped / failed), ``errors``,
+    ``audit`` and ``report``. With ``merge=False`` there are no snapshots: the
+    caller merges ``ok``.
     """
     fatal = cells.filter(F.col("kind") == "fatal").select(F.col("file_path").alias("path"), F.col("text").alias("reason")).distinct()
     files = stage_table(file_status(files, fatal), "files")
@@ -132,8 +136,9 @@ def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targe
     rows = union_vendors(frames)
     if stage_rows:
         rows = stage_table(rows, "canonical-batch")
-    out = merge_run(targets or {}, exclude_failed_files(rows.filter(F.col("status") == "ok"), files.filter(F.col("status") == "failed")))
-    out |= {"rows": rows, "files": files, "errors": error_rows(rows), "audit": union_vendors(audits),
+    ok = exclude_failed_files(rows.filter(F.col("status") == "ok"), files.filter(F.col("status") == "failed"))
+    out = merge_run(targets or {}, ok) if merge else {}
+    out |= {"rows": rows, "ok": ok, "files": files, "errors": error_rows(rows), "audit": union_vendors(audits),
             "report": run_report(rows, files, input_dir)}
     return out
 
@@ -145,7 +150,7 @@ def match_files(listing: DataFrame, mappings: list[dict], exclude_dirs=(), suffi
 
 
 def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | None = None,
-                     run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True) -> dict:
+                     run_id: int | None = None, exclude_dirs=(), stage_rows: bool = True, merge: bool = True) -> dict:
     """End-to-end mapped ingest of a folder of workbooks.
 
     A1 inventory (listing only) -> A2 vendor match -> only matched files are
@@ -158,11 +163,11 @@ def ingest_workbooks(spark, path: str, mappings: list[dict], targets: dict | Non
     sheets = sorted({s["sheet_name"] for m in mappings for s in m.get("sheets") or []})
     # Parse every matched workbook once; each vendor's pivot reads the staged cells.
     cells = stage_table(read_cells(spark, path, sheets=sheets, only=matched), "cells")
-    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows)
+    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows, merge)
 
 
 def ingest_delimited(spark, path: str, mappings: list[dict], targets: dict | None = None, run_id: int | None = None,
-                     exclude_dirs=(), stage_rows: bool = True, sheet_name: str = "DATA", **syntax) -> dict:
+                     exclude_dirs=(), stage_rows: bool = True, merge: bool = True, sheet_name: str = "DATA", **syntax) -> dict:
     """End-to-end mapped ingest of a folder of delimited files, each as a workbook
     of one sheet ``sheet_name``: listing, vendor match, and a scan of the matched
     files only. A file with a quote that is never closed fails alone."""
@@ -174,8 +179,35 @@ def ingest_delimited(spark, path: str, mappings: list[dict], targets: dict | Non
         cells = stage_table(delimited_cells(spark, matched, sheet_name=sheet_name, **syntax), "cells")
     else:
         cells = spark.createDataFrame([], "file_path string, file_name string, sheet_name string, row_idx long, col_idx int, kind string, text string")
-    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows)
-
-
-__all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_delimited", "ingest_workbooks", "match_files",
+    return ingest_cells(cells, files, mappings, targets, run_id, path, stage_rows, merge)
+
+
+def run_folder(spark, path: str, mappings: list[dict], root: str, archive_dir: str, error_dir: str, run_stamp: str,
+               run_id: int | None = None, source=ingest_workbooks, **options) -> DataFrame:
+    """One whole run over a folder: read, commit, move, report.
+
+    The files' rows are merged into the tables under ``root`` by one commit
+    (``operators.snapshots``); then files that were read go to ``archive_dir`` and
+    unreadable ones to ``error_dir``, through a journal; then the logs are
+    written. Returns the run report, with ``archived_to`` and ``move_error``.
+
+    A run lost before its commit has changed nothing. One lost after it leaves
+    files in the folder: the next run first finishes the moves written down, and
+    merges the rest again, which changes no row. ``source``: :func:`ingest_workbooks`
+    or :func:`ingest_delimited`."""
+    journal, logs = f"{root}/moves", f"{root}/logs/run={run_stamp}"
+    finish_moves(spark, journal)
+    with scratch_scope(spark):
+        out = source(spark, path, mappings, run_id=run_id, exclude_dirs=(archive_dir, error_dir, root), merge=False, **options)
+        merge_batch(spark, root, out["ok"])
+        plan = disposition(out["files"], names_in(spark, [archive_dir, error_dir]), run_stamp, archive_dir, error_dir)
+        moved = move_files(spark, plan, journal, run_stamp)
+        write_report(run_report(out["rows"], out["files"], path, moved), f"{logs}/report")
+        write_csv(out["errors"], f"{logs}/errors", only_if_any=True)
+        write_csv(out["audit"], f"{logs}/conversions", sort_columns=True, only_if_any=True)
+        schema = run_report(out["rows"], out["files"], path, moved).schema
+    return spark.read.schema(schema).json(f"{logs}/report")
+
+
+__all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_delimited", "ingest_workbooks", "match_files", "run_folder",
            "mapping_columns", "probe_columns", "feed_columns"]

@@ -506,6 +506,11 @@ def build() -> dict[str, str]:
         "c AS (SELECT block, row_idx, unnest(f) AS text, CAST(unnest(range(4)) AS INTEGER) AS col_idx FROM r)\n"
         "SELECT block, row_idx, col_idx, CASE WHEN text = '' THEN NULL WHEN regexp_full_match(text, '[+-]?[0-9]+([.][0-9]+)?') THEN 'n' ELSE 's' END AS kind, "
         "nullif(text, '') AS text FROM c")
+    q["run_folder_csv"] = (
+        "SELECT CAST(p_size AS INTEGER) AS block, 'ok' AS status, count(*) AS rows_total, count(*) FILTER (WHERE p_partkey <> 0) AS rows_upserted, true AS archived, CAST(NULL AS VARCHAR) AS move_error, "
+        # A numeric zero is no part number.
+        "(SELECT count(*) FROM part WHERE p_partkey <> 0) AS n_products, (SELECT CAST(sum(p_size) AS BIGINT) FROM part WHERE p_size % 7 <> 0 AND p_partkey <> 0) AS sum_quantity, "
+        "(SELECT count(DISTINCT p_size) FROM part) AS files_archived, CAST(0 AS BIGINT) AS files_left FROM part GROUP BY p_size")
     q["sheet_select"] = duckdb_cte("feed_grid") + (
         f",\nrules(sheet_name, header_row, sheet_seq) AS (VALUES {vals})\n"
         "SELECT s.sheet_name, CAST(r.header_row AS INTEGER) AS header_row, CAST(r.sheet_seq AS INTEGER) AS sheet_seq, s.n_rows "

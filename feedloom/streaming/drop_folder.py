@@ -94,7 +94,7 @@ def _workbook_batch(mappings: list[dict], root: str, run_id: int | None, input_d
         sheets = sorted({s["sheet_name"] for m in mappings for s in m.get("sheets") or []})
         matched = batch.join(files.filter(F.col("status") == "matched").select("path"), "path", "left_semi")
         cells = stage_table(cells_of(matched, sheets), "cells")
-        _write_batch(ingest_cells(cells, files, mappings, run_id=run_id, input_dir=input_dir), root, stream, batch_id, buckets)
+        _write_batch(ingest_cells(cells, files, mappings, run_id=run_id, input_dir=input_dir, merge=False), root, stream, batch_id, buckets)
     return run
 
 
