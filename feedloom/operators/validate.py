@@ -7,10 +7,14 @@ predicate, so ``rows_total = upserted + skipped + errors`` always holds.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import has_text
+from ..session import scratch_scope, stage_table
+from .ids import global_index
 
 # The hard-validation error raised for a falsy key.
 ERROR_TYPE = "ValueError"
@@ -106,3 +110,49 @@ def locate_bad_rows(rows: DataFrame, checks: dict[str, Column], group: list[str]
         F.min_by("failed_check", F.struct(order, *(tiebreak or []))).alias("failed_check"),
         F.count(F.lit(1)).alias("bad_rows"),
     )
+
+
+def write_locating(rows: DataFrame, order: list[str], write: Callable[[DataFrame], None]) -> dict | None:
+    """G5 on the real write: ``write`` the rows; if that fails, find the first row
+    (by ``order``, unique) that makes it fail. Returns None, or ``position`` (from
+    0), ``row`` (as a dict), ``error`` and ``writes`` (how many were made).
+
+    The rows are numbered once (:func:`~feedloom.operators.ids.global_index`) and
+    written again in ranges of that number, the earlier half first, so about
+    log2(n) writes find the row, the last of them of this row alone. ``write`` is
+    called with rows that it may have got before, so it must replace or merge
+    (a staging table), not append. A write that fails for another reason (the sink
+    is gone) fails for no row at all: then its error is raised.
+    """
+    def attempt(df: DataFrame) -> str | None:
+        try:
+            write(df)
+        except Exception as e:  # whatever the sink raises is what is asked for
+            return f"{type(e).__name__}: {e}"
+        return None
+
+    error = attempt(rows)
+    if error is None:
+        return None
+    with scratch_scope(rows.sparkSession):
+        numbered = stage_table(global_index(rows, order, "__at"), "located")
+        low, high, writes = 0, numbered.count(), 1
+
+        def part(a: int, b: int) -> DataFrame:
+            return numbered.filter((F.col("__at") >= a) & (F.col("__at") < b)).drop("__at")
+        if not high:
+            raise RuntimeError(f"the write fails without rows: {error}")
+        while high - low > 1:
+            middle = (low + high) // 2
+            writes += 1
+            found = attempt(part(low, middle))
+            if found is None:
+                low = middle
+            else:
+                high, error = middle, found
+        one = part(low, high)
+        writes += 1
+        found = attempt(one)
+        if found is None:
+            raise RuntimeError(f"no single row makes the write fail; it failed with {error}")
+        return {"position": low, "row": one.first().asDict(), "error": found, "writes": writes}

@@ -35,6 +35,8 @@ def test_entry_without_the_optional_parts(tmp_path):
     import shutil
 
     shutil.copytree(ROOT, tmp_path / "repo", ignore=shutil.ignore_patterns("llm", "corpus_pipeline.py", ".git", "__pycache__"))
+    (tmp_path / "repo/feedloom/llm/__pycache__").mkdir(parents=True)      # what a deleted folder may leave behind
+    (tmp_path / "repo/feedloom/llm/__pycache__/queries.cpython-313.pyc").write_bytes(b"")
     code = ("import __spark_entry__ as e; from feedloom.plans.catalog import REGISTRY; import bench; "
             "assert set(e.queries()) == set(REGISTRY) == set(e.oracle_sql()); print('WITHOUT-OK')")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
