@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.session import stage_table
 
@@ -334,29 +335,52 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, t
 def cut_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text",
                       item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """All documents, with the removal spans cut out of ``text_col`` (from the
-    first byte of a span's first word to the last byte of its last). Of a benchmark
-    in several blocks, each is searched in what the ones before have left."""
-    out = docs
-    place = docs.columns.index(text_col)
-    for k, block in enumerate(phrase_blocks(benchmark, window, item_id_col, item_text_col)):
-        out = stage_table(out, "decon") if k else out
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    first byte of a span's first word to the last byte of its last). All blocks of
+    a benchmark are searched in the text as it came; its spans are cut at once."""
+    out, blocks = docs, phrase_blocks(benchmark, window, item_id_col, item_text_col)
+    block, k = next(blocks), 0
+    while block is not None:
+        following = next(blocks, None)
+        out = _cut_pass(stage_table(out, "decon") if k else out, docs, block, text_col, k > 0, following is None)
+        block, k = following, k + 1
+    return out
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for chunk in W.chunks(batches, text_col, SHARD_BYTES):
-                texts = W.texts_of(chunk, text_col)
-                w, hit, _ = shard_hits(texts, sent.value)
-                cuts: dict[int, list[tuple[int, int]]] = {}
-                for d, a, b in zip(*(x.tolist() for x in merged_spans(w, hit))):
-                    a, b = w.bounds[d] + a, w.bounds[d] + b - 1
-                    cuts.setdefault(d, []).append((int(w.starts[a] - w.offsets[d]), int(w.starts[b] + w.lens[b] - w.offsets[d])))
-                for d, spans in cuts.items():
-                    kept, at = [], 0
-                    for a, b in spans:
-                        kept.append(texts[d][at:a])
-                        at = b
+
+_FOUND = "__spans_before"
+
+
+def _cut_pass(rows: DataFrame, docs: DataFrame, block: Phrases, text_col: str, has_spans: bool, last: bool) -> DataFrame:
+    """Search one block. The spans found (in words of the whole text) go on in a
+    column beside the row; the last pass cuts them all."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    place, columns = docs.columns.index(text_col), len(docs.columns)
+    span = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in W.chunks(batches, text_col, SHARD_BYTES):
+            texts = W.texts_of(chunk, text_col)
+            w, hit, _ = shard_hits(texts, sent.value)
+            if has_spans:
+                for d, spans in enumerate(chunk.column(columns).to_pylist()):
+                    for s in spans:
+                        hit[w.bounds[d] + s["first"]:w.bounds[d] + s["end"]] = True
+            found: list[list] = [[] for _ in texts]
+            for d, a, b in zip(*(x.tolist() for x in merged_spans(w, hit))):
+                found[d].append({"first": a, "end": b})
+            fields, arrays = list(chunk.schema)[:columns], chunk.columns[:columns]
+            if not last:
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, span)], [*(f.name for f in fields), _FOUND])
+                continue
+            for d, spans in enumerate(found):
+                kept, at = [], 0
+                for s in spans:
+                    a, b = w.bounds[d] + s["first"], w.bounds[d] + s["end"] - 1
+                    kept.append(texts[d][at:int(w.starts[a] - w.offsets[d])])
+                    at = int(w.starts[b] + w.lens[b] - w.offsets[d])
+                if spans:
                     texts[d] = b"".join([*kept, texts[d][at:]])
-                yield chunk.set_column(place, chunk.schema.field(place), pa.array(texts, type=pa.binary()).cast(chunk.schema.field(place).type)) if cuts else chunk
+            arrays[place] = pa.array(texts, type=pa.binary()).cast(fields[place].type)
+            yield pa.RecordBatch.from_arrays(arrays, [f.name for f in fields])
 
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    schema = docs.schema if last else T.StructType([*docs.schema.fields, T.StructField(_FOUND, T._parse_datatype_string(SPANS))])
+    return rows.mapInArrow(run, schema)

@@ -17,8 +17,10 @@ Lists are never expanded to all pairs. Inside a list, every set is compared with
 one leader of similar size, first in the task that reads it, then leaders among
 themselves. After the found links are closed to components, only lists that
 still span several components go on: they compare more leaders with their other
-components, turn after turn, and at last all pairs left across components and
-within the size limits; so no link between different components is lost.
+components, turn after turn, and at last their entries outside the largest
+component with all others, joined on the size classes of both partners that their
+positions still allow; so no link between different components is lost, and texts
+of one template that do not link are not paired.
 Candidates are first compared by parity maps of their sets (a few bits for each
 element), which can only rule out pairs that do not link, and then exactly on
 their whole sets.
@@ -40,7 +42,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.session import stage_table
@@ -58,7 +60,7 @@ FILTER_BITS = 1 << 23
 MAX_LIGHT = 16
 #: Entries of a long list that are compared with all others in a turn; turns.
 LEADERS = 16
-TURNS = 2
+TURNS = 3
 T_NUM, T_DEN = 4, 5  # threshold 0.8
 
 
@@ -396,21 +398,64 @@ def components(links: DataFrame) -> DataFrame:
 # -- lists over several components ----------------------------------------------
 
 def _spanning(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The entries of lists over several components, with their component and
-    the list's length m."""
+    """The entries of lists over several components, with their component, the
+    list's length m and its largest component."""
     rooted = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lists = (rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("m"))
-             .filter("low <> high").select("token", "m"))
+    lists = (rooted.groupBy("token", "root").agg(F.count("*").alias("c"))
+             .groupBy("token").agg(F.sum("c").alias("m"), F.max(F.struct("c", "root")).alias("top"))
+             .filter("m > top.c").select("token", "m", F.col("top.root").alias("main")))
     return rooted.join(lists, "token")
 
 
+def _sides(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    names = [("node", ""), ("n", "n"), ("pos", "p"), ("root", "r"), ("prev", "v")]
+    return tuple(rows.select("token", *[F.col(c).alias(p + side) for c, p in names]) for rows, side in ((left, "a"), (right, "b")))
+
+
 def _across(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of entries of a list, of different components and fitting sizes.
     Where both sets have the same list before this one in their order, the pair
     is met there already."""
-    a = left.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"), F.col("prev").alias("va"))
-    b = right.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"), F.col("prev").alias("vb"))
-    return a.join(b, "token").filter("a <> b and ra <> rb and coalesce(va <> vb, true) and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    a, b = _sides(left, right)
+    return _meeting(a.join(b, "token"))
+
+
+def _meeting(joined: DataFrame) -> DataFrame:
+    return joined.filter("a <> b and ra <> rb and coalesce(va <> vb, true) and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def size_class(n: Column) -> Column:
+    """Sizes by steps of two per cent (single sizes below 50)."""
+    return F.when(n < 50, n).otherwise(F.floor(F.log(n.cast("double")) / F.log(F.lit(1.02)) + 1e-9).cast("int"))
+
+
+def _reachable(n: Column, pos: Column) -> Column:
+    """The size classes of partners that an entry can still link with."""
+    classes = F.sequence(size_class(F.ceil(n * T_NUM / T_DEN).cast("int")), size_class(F.floor(n * T_DEN / T_NUM).cast("int")))
+
+    def reached(c: Column) -> Column:
+        low = F.when(c < 50, c).otherwise(F.floor(F.pow(F.lit(1.02), c) - 1e-6).cast("int"))  # no size of the class is smaller
+        return ((c < 50) | (low >= 48)) & ((n - pos) * (T_NUM + T_DEN) >= T_NUM * (n + low))
+    return F.filter(classes, reached)
+
+
+_JOINED = ["token", "ca", "cb"]
+
+
+def _rest_sides(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of entries outside their list's largest component
+    with all its entries. Both name the size classes of both partners, so an entry
+    whose size and position let it link with nobody there is not joined."""
+    a, b = _sides(entries.filter("root <> main"), entries)
+    a = a.withColumns({"ca": size_class(F.col("na")), "cb": F.explode(_reachable(F.col("na"), F.col("pa")))})
+    b = b.withColumns({"cb": size_class(F.col("nb")), "ca": F.explode(_reachable(F.col("nb"), F.col("pb")))})
+    return a, b
+
+
+def _rows_joined(a: DataFrame, b: DataFrame) -> int:
+    """How many rows the join of two sides makes, from the counts of its keys."""
+    counts = a.groupBy(*_JOINED).agg(F.count("*").alias("x")).join(b.groupBy(*_JOINED).agg(F.count("*").alias("y")), _JOINED)
+    return counts.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
 
 
 def _leaders(entries: DataFrame, turn: int) -> DataFrame:
@@ -424,8 +469,9 @@ def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: Data
     """Components after every pair that a list can still link was compared.
 
     Short lists compare all their pairs across components. Long ones compare
-    ``LEADERS`` entries with all others, turn after turn; once the pairs left
-    are no more than that (or turns bring nothing), they are all compared."""
+    ``LEADERS`` entries with all others, turn after turn, until the pairs left
+    that sizes and positions allow are no more than that, or ``TURNS`` turns were
+    made; then these are compared."""
     members = stage_table(met.select("token", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("na").alias("n"), F.col("pa").alias("pos")),
                                                                 F.struct(F.col("b").alias("node"), F.col("nb").alias("n"), F.col("pb").alias("pos")))).alias("m"))
                           .select("token", "m.*").distinct(), "members")
@@ -440,10 +486,9 @@ def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: Data
             short = entries.filter(F.col("m") <= 2 * LEADERS)
             members = stage_table(entries.filter(F.col("m") > 2 * LEADERS).select("token", "node", "n", "pos", "prev"), "members")
             entries = entries.filter(F.col("m") > 2 * LEADERS)
-        sizes = (entries.groupBy("token", "root").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
-                 .agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"), F.sum("m").alias("rows")).first())
-        last = turn >= TURNS or (sizes["pairs"] or 0) <= LEADERS * (sizes["rows"] or 0)
-        pairs = _across(entries, entries) if last else _across(_leaders(entries, turn), entries)
+        a, b = _rest_sides(entries)
+        last = turn >= TURNS or _rows_joined(a, b) <= LEADERS * entries.count()
+        pairs = _meeting(a.join(b, _JOINED)) if last else _across(_leaders(entries, turn), entries)
         if turn == 0:
             pairs = pairs.union(_across(short, short)).distinct()
         pairs = stage_table(pairs.join(tried, ["a", "b"], "left_anti"), "rest")

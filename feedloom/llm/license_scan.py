@@ -1,11 +1,15 @@
 """License scan by template matching.
 
-Templates are license notices with markup: ``<<opt>> .. <</opt>>`` may be left
-out, ``<<var N>>`` stands for up to N words of any kind, everything else is
-mandatory wording. All templates are compiled into one token automaton over the
+Templates are license notices and whole license texts with markup: ``<<opt>> ..
+<</opt>>`` may be left out, ``<<any>>`` is a replaceable region (a loop on any
+word, which ends where the wording after it stands for the first time, at most
+``REGION_WORDS`` words on), ``<<var N>>`` stands for up to N words, everything else
+is mandatory wording, of which a template must have some. All templates are compiled into one token automaton over the
 words of the templates (a word outside them is symbol 0). A text is matched from
 every place whose two first words can begin a template; the subset construction
-runs on demand and is kept. A match is accepted when all mandatory wording was
+runs on demand and is kept. Two places whose runs come to the same states at the
+same word go on as one, so a text with many beginnings of one region is read once.
+A match is accepted when all mandatory wording was
 read exactly, in order and without gaps other than the marked regions.
 
 Words: runs of 0-9, a-z (A-Z lower-cased) and characters beyond ASCII.
@@ -33,14 +37,51 @@ CHUNK_BYTES = 4 << 20
 # Phrases of the base search and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: (label, template). Written for this library.
+#: Words of a replaceable region at most. Published license templates allow 5,000
+#: characters for a copyright region, about 1,000 words of the least length met.
+REGION_WORDS = 1000
+
+# Wording of published licenses, with the copyright holder and the
+# parts that copies leave out as regions.
+_WARRANTY = ("the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+             "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any "
+             "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software "
+             "or the use or other dealings in the software")
+_BSD_HEAD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+             "<<opt>>1<</opt>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+             "<<opt>>2<</opt>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+             "in the documentation and or other materials provided with the distribution")
+_BSD_THIRD = ("<<opt>>3<</opt>> neither the name of <<any>> may be used to endorse or promote products derived from this software without specific prior "
+              "written permission")
+_BSD_TAIL = ("this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to "
+             "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright "
+             "<<opt>>holder<</opt>> <<opt>>owner<</opt>> or contributors be liable for any direct indirect incidental special exemplary or consequential "
+             "damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however "
+             "caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of "
+             "the use of this software even if advised of the possibility of such damage")
+
+#: (label, template).
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license <<opt>>version<</opt>> 2 0 <<opt>>the license<</opt>>"),
+    ("apache-2.0-notice", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain "
+                   "a copy of the license at <<any>> unless required by applicable law or agreed to in writing software distributed under the license is "
+                   "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+                   "language governing permissions and limitations under the license"),
     ("mit", "released under the <<opt>>terms of the<</opt>> mit license"),
     ("mit", "licensed under the <<opt>>terms of the<</opt>> mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
-            "<<opt>>the software<</opt>> to deal in the software without restriction <<var 60>> "
+            "<<opt>>the software<</opt>> to deal in the software without restriction <<any>> "
             "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files "
+                 "<<opt>>the software<</opt>> to deal in the software without restriction including without limitation the rights to use copy modify merge "
+                 "publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject "
+                 "to the following conditions the above copyright notice and this permission notice <<opt>>including the next paragraph<</opt>> shall be "
+                 "included in all copies or substantial portions of the software " + _WARRANTY),
+    ("isc", "permission to use copy modify and <<opt>>or<</opt>> distribute this software for any purpose with or without fee is hereby granted provided that the "
+            "above copyright notice and this permission notice appear in all copies the software is provided as is and <<any>> disclaims all warranties with "
+            "regard to this software including all implied warranties of merchantability and fitness in no event shall <<any>> be liable for any special "
+            "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+            "negligence or other tortious action arising out of or in connection with the use or performance of this software"),
     ("gpl-3.0", "licensed under the <<opt>>terms of the<</opt>> <<opt>>gnu<</opt>> general public license <<opt>>gpl<</opt>> "
                 "<<opt>>as published by the free software foundation<</opt>> <<opt>>either<</opt>> version 3 <<opt>>of the license<</opt>> "
                 "<<opt>>or at your option any later version<</opt>>"),
@@ -48,11 +89,13 @@ TEMPLATES = [
                 "<<opt>>as published by the free software foundation<</opt>> <<opt>>either<</opt>> version 2 <<opt>>of the license<</opt>>"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
             "the following conditions are met"),
+    ("bsd-2-clause", f"{_BSD_HEAD} {_BSD_TAIL}"),
+    ("bsd-3-clause", f"{_BSD_HEAD} {_BSD_THIRD} {_BSD_TAIL}"),
     ("cc-by-4.0", "licensed under <<opt>>a<</opt>> <<opt>>the<</opt>> <<opt>>creative commons<</opt>> cc by 4 0"),
     ("cc-by-nc-4.0", "licensed under <<opt>>a<</opt>> <<opt>>the<</opt>> <<opt>>creative commons<</opt>> cc by nc 4 0"),
     ("cc-by-sa-4.0", "licensed under <<opt>>a<</opt>> <<opt>>the<</opt>> <<opt>>creative commons<</opt>> cc by sa 4 0"),
     ("reserved", "all rights reserved"),
-    ("copyright", "copyright <<opt>>c<</opt>> <<var 12>> all rights reserved"),
+    ("copyright", "copyright <<opt>>c<</opt>> <<any>> all rights reserved"),
 ]
 
 
@@ -72,10 +115,13 @@ class TemplateAutomaton:
         self.on_any: list[int | None] = []
         self.free: list[set[int]] = []            # moves without a word
         self.end: dict[int, int] = {}
+        self.loops: set[int] = set()              # states inside a region
+        self.longest: list[int] = []              # words of a match of each template, at most
         self.progress: list[tuple[int, float]] = []
         starts = [self._compile(k, ts) for k, ts in enumerate(tokens)]
         self.start = self._close(starts)
         self._next: dict[tuple[frozenset, int], frozenset] = {}
+        self._met: dict[frozenset, tuple] = {}
         v = len(known) + 1
         self.begins = np.zeros((v, v), dtype=bool)  # pairs of words that can begin a template
         for a in range(1, v):
@@ -97,12 +143,21 @@ class TemplateAutomaton:
         for t in tokens:
             depth += (t == "<<opt>>") - (t == "<</opt>>")
             mandatory += not t.startswith("<<") and depth == 0
+        if not mandatory:
+            raise ValueError(f"template {k} ({self.labels[k]}) has no mandatory wording")
+        self.longest.append(sum(REGION_WORDS if t == "<<any>>" else int(t[5:-2]) if t.startswith("<<var") else not t.startswith("<<") for t in tokens))
         start = at = self._state(k, 0.0)
         for t in tokens:
             if t == "<<opt>>":
                 opened.append(at)
             elif t == "<</opt>>":
                 self.free[opened.pop()].add(at)
+            elif t == "<<any>>":
+                new = self._state(k, read / mandatory)
+                self.free[at].add(new)
+                self.on_any[new] = new
+                self.loops.add(new)
+                at = new
             elif t.startswith("<<var"):
                 first = at
                 chain = []
@@ -143,21 +198,42 @@ class TemplateAutomaton:
     def accepts(self, states: frozenset) -> list[int]:
         return [self.end[s] for s in states if s in self.end]
 
+    def _meets(self, states: frozenset) -> tuple[frozenset, list[int], float, bool]:
+        """What a set of states means: the states to go on with (of an accepted
+        template with regions, those after all its wording), templates accepted, the best share read,
+        and whether a region is open."""
+        if states not in self._met:
+            done = self.accepts(states)
+            regions = {self.progress[s][0] for s in self.loops} & set(done)
+            left = frozenset(s for s in states if self.progress[s][0] not in regions or (s not in self.loops and self.progress[s][1] >= 1.0))
+            self._met[states] = left, done, max((self.progress[s][1] for s in states), default=0.0), bool(left & self.loops)
+        return self._met[states]
+
     def match(self, symbols: np.ndarray) -> tuple[list[tuple[int, int, int]], float]:
-        """(template, first word, end word) of the longest match of every
-        template at every place, and the largest share of a template's mandatory
-        wording that was read anywhere."""
-        found, best = [], 0.0
+        """(template, first word, end word) of the match of every template at
+        every place (the longest one; a region ends as soon as it can), and the
+        largest share of a template's mandatory wording that was read anywhere."""
+        found, best, known = [], 0.0, {}
         places = np.flatnonzero(self.begins[symbols, np.append(symbols[1:], 0)]) if len(symbols) else ()
         for place in places:
-            states, at, ends = self.start, int(place), {}
+            states, at, ends, path = self.start, int(place), {}, []
             while states and at < len(symbols):
                 states = self.step(states, int(symbols[at]))
                 at += 1
-                for k in self.accepts(states):
-                    ends[k] = at
-                best = max([best, *(self.progress[s][1] for s in states)])
-            found += [(k, int(place), e) for k, e in ends.items()]
+                key = (states, at)
+                if key in known:
+                    ends = known[key]
+                    break
+                states, done, share, is_open = self._meets(states)
+                best = max(best, share)
+                if done or is_open:
+                    path.append((key if is_open else None, done, at))
+            for key, done, end in reversed(path):
+                if done:
+                    ends = {k: end for k in done} | ends
+                if key is not None:
+                    known[key] = ends
+            found += [(k, int(place), e) for k, e in ends.items() if e - place <= self.longest[k]]
         return found, best
 
 

@@ -92,6 +92,23 @@ def test_several_benchmark_blocks(spark, case, monkeypatch):
     assert result(D.find_contamination(docs_df(spark, rows), bench)) == sorted(plain(rows, items), key=str)
 
 
+def test_cutting_several_blocks_equals_one(spark, case, monkeypatch):
+    rows, items = case
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def cut():
+        return sorted(((r["doc_id"], r["text"]) for r in D.cut_contamination(docs_df(spark, rows).repartition(3), bench).collect()), key=str)
+    one = cut()
+    monkeypatch.setattr(D, "BLOCK_WORDS", 60)
+    assert cut() == one
+    # Words that a cut brings together are no phrase.
+    docs = docs_df(spark, [(1, "p a b c q r s t")])
+    bench = spark.createDataFrame([(1, "a b c"), (2, "p q r"), (3, "s t")], "item_id long, text string")
+    for size in (1, 1000):
+        monkeypatch.setattr(D, "BLOCK_WORDS", size)
+        assert [r["text"] for r in D.cut_contamination(docs, bench).collect()] == ["p  q r "]
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     assert D.find_contamination(docs_df(spark, []), bench).collect() == []

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from llm_data import EDGE_TEXTS, brute_components, docs_df, near_copies
+from pyspark.sql import functions as F
 
 from feedloom.llm import jaccard_join as J
 
@@ -63,3 +64,46 @@ def test_sizes():
                 assert (100 * both >= 80 * (n + m - both)) == (both >= J.need(n, m))
     assert J.least(10) == 8 and J.most(8) == 10
     assert J.choose_boundary({5: 10, 500: 10}) >= 0
+
+
+def test_template_without_links_is_not_paired(spark):
+    """Lists of one template (60 words, two replaced, no links): the join of the
+    last turn makes fewer rows than there are entries."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(60)]
+    texts = []
+    for _ in range(400):
+        text = list(base)
+        text[20], text[40] = f"x{rng.randrange(10_000)}", f"y{rng.randrange(10_000)}"
+        texts.append(" ".join(text).encode())
+    sets = J.shingle_sets(texts, 5)
+    elements, times = np.unique(np.concatenate(sets), return_counts=True)
+    hints = J._Hints(elements[times > 2], times[times > 2])
+    rows = [(int(e.view(np.int64)), i, len(s), pos) for i, s in enumerate(sets) for pos, e in enumerate(hints.prefix(s, len(s) - J.least(len(s)) + 1))]
+    entries = spark.createDataFrame(rows, "token long, node long, n int, pos int").withColumns({"root": F.col("node"), "main": F.lit(-1), "prev": F.lit(None).cast("long")})
+    a, b = J._rest_sides(entries)
+    joined = a.join(b, J._JOINED).count()
+    assert joined == J._rows_joined(a, b) <= len(rows)
+    assert max(c for _, c in sorted(entries.groupBy("token").count().collect())) > 300      # there are long lists
+
+
+def test_one_template_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(J, "LEADERS", 1)
+    for turns in (0, 3):
+        monkeypatch.setattr(J, "TURNS", turns)
+        rng = random.Random(turns)
+        base = [f"b{i}" for i in range(70)]
+        rows = []
+        for i in range(110):
+            words = list(base[:rng.choice([64, 70, 70])])
+            for _ in range(rng.choice([1, 1, 2, 3])):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(40)}"
+            rows.append((i, " ".join(words)))
+        assert result(J.near_duplicate_components(docs_df(spark, rows).repartition(3))) == sorted(map(str, brute_components(rows)))
+
+
+def test_reachable_classes_lose_no_pair(spark):
+    pairs = spark.range(1, 140).select(F.col("id").cast("int").alias("n")).crossJoin(spark.range(1, 140).select(F.col("id").cast("int").alias("m")))
+    places = pairs.select("n", "m", F.explode(F.sequence(F.lit(0), F.least(F.col("n") - 1, F.lit(30)))).alias("pos"))
+    can = places.filter(f"{J.T_DEN} * least(n, m) >= {J.T_NUM} * greatest(n, m) and least(n - pos, m) * {J.T_NUM + J.T_DEN} >= {J.T_NUM} * (n + m)")
+    assert can.filter(~F.array_contains(J._reachable(F.col("n"), F.col("pos")), J.size_class(F.col("m")))).count() == 0

@@ -53,6 +53,34 @@ def test_boundaries_are_optimal():
             assert len(found) <= k and padded(found) == best
 
 
+def test_boundaries_are_optimal_above_256():
+    assert packing.choose_boundaries([8192, 8200, 8220, 8250], [100] * 4, 16) == [8192, 8200, 8220, 8250]
+    rng = random.Random(7)
+    for _ in range(25):
+        tops = sorted(rng.sample(range(1, 40_000), rng.randrange(2, 40)))
+        counts = [rng.choice([1, 5, 10 ** 12]) * rng.randrange(1, 9) for _ in tops]
+        upto = list(itertools.accumulate(counts, initial=0))
+        for k in (2, 3, 7):
+            cost = [t * u for t, u in zip(tops, upto[1:])]      # plain dynamic programming
+            for _ in range(k - 1):
+                cost = [min([cost[j], *(cost[i] + tops[j] * (upto[j + 1] - upto[i + 1]) for i in range(j))]) for j in range(len(tops))]
+            found = packing.choose_boundaries(tops, counts, k)
+            assert len(found) <= k and sum(c * min(b for b in found if b >= t) for t, c in zip(tops, counts)) == cost[-1]
+
+
+def test_lengths_beyond_the_exact_number(spark, monkeypatch):
+    """The padding over cells is within 1 in PER_OCTAVE of the tokens."""
+    rng = random.Random(1)
+    lengths = [rng.randrange(1, 9000) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, "x", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+
+    def padded():
+        return sum(r["bucket_tokens"] for r in packing.pack(docs, buckets=6, length=F.col("n")).collect())
+    exact = padded()
+    monkeypatch.setattr(packing, "MAX_LENGTHS", 100)
+    assert exact <= padded() <= exact + sum(lengths) / packing.PER_OCTAVE + 6
+
+
 def test_cells_keep_order(spark):
     rows = spark.range(0, 5000).select(F.col("id").alias("n")).union(spark.range(1 << 29, (1 << 29) + 50).select("id"))
     cells = [r["c"] for r in rows.select("n", packing.length_cell(F.col("n")).alias("c")).orderBy("n").collect()]

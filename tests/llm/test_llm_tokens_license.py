@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from llm_data import EDGE_TEXTS, alnum_words, docs_df
@@ -72,3 +73,76 @@ def test_scan(spark):
     assert labels[20] == {"cc-by-nc-4.0"} and labels[21] == {"gpl-3.0"} and labels[23] == {"mit"} and "copyright" in labels[26]
     assert labels[24] == labels[25] == set() and got[23]["score"] == 1.0
     assert S.scan(docs_df(spark, [])).collect() == []
+
+
+def plain_match(template, words):
+    """(first, end) of a template at every place, by trying all readings."""
+    tokens = S.re.findall(r"<<.*?>>|[^\s<>]+", template)
+
+    def closing(t):
+        depth = 0
+        for j in range(t, len(tokens)):
+            depth += (tokens[j] == "<<opt>>") - (tokens[j] == "<</opt>>")
+            if depth == 0:
+                return j
+
+    def ends(t, at):
+        if t == len(tokens):
+            return {at}
+        token = tokens[t]
+        if token == "<<opt>>":
+            return ends(t + 1, at) | ends(closing(t) + 1, at)
+        if token == "<</opt>>":
+            return ends(t + 1, at)
+        if token == "<<any>>":
+            for skip in range(len(words) - at + 1):       # the region ends as soon as it can
+                if got := ends(t + 1, at + skip):
+                    return got
+            return set()
+        return ends(t + 1, at + 1) if at < len(words) and words[at] == token else set()
+    return [(a, max(e)) for a in range(len(words)) if (e := ends(0, a))]
+
+
+def test_regions_against_plain():
+    rng = random.Random(12)
+    templates = ["a <<any>> b", "a <<opt>>c<</opt>> <<any>> b b <<opt>>d<</opt>>", "a b <<any>> c <<any>> d", "c <<opt>>a <<opt>>b<</opt>><</opt>> d", "b <<any>> a <<opt>>c d<</opt>>"]
+    for template in templates:
+        machine = S.TemplateAutomaton([("x", template)])
+        for _ in range(150):
+            words = [rng.choice("abcdz") for _ in range(rng.randrange(14))]
+            w = S.W.split([" ".join(words).encode()], S.W.ALNUM_WORDS)
+            found, _ = machine.match(S.W.find(machine.hashes, S.W.hash_words(w)) + 1)
+            assert sorted((a, b) for _, a, b in found) == plain_match(template, words), (template, words)
+
+
+def test_region_bounds_and_many_beginnings():
+    import time
+
+    machine = S.TemplateAutomaton(S.TEMPLATES)
+
+    def labels(text):
+        w = S.W.split([text.encode()], S.W.ALNUM_WORDS)
+        return sorted({machine.labels[k] for k, _, _ in machine.match(S.W.find(machine.hashes, S.W.hash_words(w)) + 1)[0]})
+    holders = " ".join(f"Holder{i}" for i in range(900))
+    assert labels(f"Copyright (c) {holders}. All rights reserved") == ["copyright", "reserved"]
+    assert labels(f"Copyright (c) {holders} {holders}. All rights reserved") == ["reserved"]
+    start = time.perf_counter()
+    assert labels("Copyright by some one. " * 40_000 + "All rights reserved") == ["copyright", "reserved"]
+    assert time.perf_counter() - start < 20
+    with pytest.raises(ValueError, match="no mandatory wording"):
+        S.TemplateAutomaton([("x", "<<opt>>a<</opt>> <<any>>")])
+
+
+def test_whole_license_texts():
+    machine = S.TemplateAutomaton(S.TEMPLATES)
+
+    def labels(text):
+        w = S.W.split([text.encode()], S.W.ALNUM_WORDS)
+        return {machine.labels[k] for k, _, _ in machine.match(S.W.find(machine.hashes, S.W.hash_words(w)) + 1)[0]}
+    for label in ("mit-text", "isc", "bsd-2-clause", "bsd-3-clause", "apache-2.0-notice"):
+        wording = next(t for x, t in reversed(S.TEMPLATES) if x == label)
+        text = "Copyright (c) 2020, A. Holder\n" + wording.replace("<<opt>>", "").replace("<</opt>>", "").replace("<<any>>", "the regents of a university").upper()
+        assert label in labels(text)
+        words = text.split()
+        words[len(words) - 3] = "other"                     # mandatory wording must stand exactly
+        assert label not in labels(" ".join(words))
