@@ -18,9 +18,9 @@ one leader of similar size, first in the task that reads it, then leaders among
 themselves. After the found links are closed to components, only lists that
 still span several components go on: they compare more leaders with their other
 components, turn after turn, and at last their entries outside the largest
-component with all others, joined on the size classes of both partners that their
-positions still allow; so no link between different components is lost, and texts
-of one template that do not link are not paired.
+component with all others; so no link between different components is lost.
+Entries that sizes and positions let link with nobody in their list are left out
+before, so texts of one template that do not link are not paired.
 Candidates are first compared by parity maps of their sets (a few bits for each
 element), which can only rule out pairs that do not link, and then exactly on
 their whole sets.
@@ -42,7 +42,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.session import stage_table
@@ -60,7 +60,7 @@ FILTER_BITS = 1 << 23
 MAX_LIGHT = 16
 #: Entries of a long list that are compared with all others in a turn; turns.
 LEADERS = 16
-TURNS = 3
+TURNS = 2
 T_NUM, T_DEN = 4, 5  # threshold 0.8
 
 
@@ -424,38 +424,17 @@ def _meeting(joined: DataFrame) -> DataFrame:
     return joined.filter("a <> b and ra <> rb and coalesce(va <> vb, true) and " + _CAN_LINK).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def size_class(n: Column) -> Column:
-    """Sizes by steps of two per cent (single sizes below 50)."""
-    return F.when(n < 50, n).otherwise(F.floor(F.log(n.cast("double")) / F.log(F.lit(1.02)) + 1e-9).cast("int"))
-
-
-def _reachable(n: Column, pos: Column) -> Column:
-    """The size classes of partners that an entry can still link with."""
-    classes = F.sequence(size_class(F.ceil(n * T_NUM / T_DEN).cast("int")), size_class(F.floor(n * T_DEN / T_NUM).cast("int")))
-
-    def reached(c: Column) -> Column:
-        low = F.when(c < 50, c).otherwise(F.floor(F.pow(F.lit(1.02), c) - 1e-6).cast("int"))  # no size of the class is smaller
-        return ((c < 50) | (low >= 48)) & ((n - pos) * (T_NUM + T_DEN) >= T_NUM * (n + low))
-    return F.filter(classes, reached)
-
-
-_JOINED = ["token", "ca", "cb"]
-
-
-def _rest_sides(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the join of entries outside their list's largest component
-    with all its entries. Both name the size classes of both partners, so an entry
-    whose size and position let it link with nobody there is not joined."""
-    a, b = _sides(entries.filter("root <> main"), entries)
-    a = a.withColumns({"ca": size_class(F.col("na")), "cb": F.explode(_reachable(F.col("na"), F.col("pa")))})
-    b = b.withColumns({"cb": size_class(F.col("nb")), "ca": F.explode(_reachable(F.col("nb"), F.col("pb")))})
-    return a, b
-
-
-def _rows_joined(a: DataFrame, b: DataFrame) -> int:
-    """How many rows the join of two sides makes, from the counts of its keys."""
-    counts = a.groupBy(*_JOINED).agg(F.count("*").alias("x")).join(b.groupBy(*_JOINED).agg(F.count("*").alias("y")), _JOINED)
-    return counts.agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
+def _useful(entries: DataFrame) -> DataFrame:
+    """The entries that sizes and positions let link with some entry of their
+    list: of every size class (steps of two per cent) the least size and the most
+    elements left are known. In lists of one template's common wording, texts that
+    do not link have too few elements left, and all go."""
+    step = F.floor(F.log("n") / F.log(F.lit(1.02)))
+    classes = (entries.groupBy("token", step.alias("c")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("room"))
+               .groupBy("token").agg(F.collect_list(F.struct("low", "high", "room")).alias("classes")))  # sizes of one document's range
+    met = F.exists("classes", lambda x: (F.least(F.col("n") - F.col("pos"), x["room"]) * (T_NUM + T_DEN) >= T_NUM * (F.col("n") + x["low"]))
+                   & (T_DEN * F.least(F.col("n"), x["high"]) >= T_NUM * F.greatest(F.col("n"), x["low"])))
+    return entries.join(classes, "token").filter(met).drop("classes")
 
 
 def _leaders(entries: DataFrame, turn: int) -> DataFrame:
@@ -469,9 +448,9 @@ def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: Data
     """Components after every pair that a list can still link was compared.
 
     Short lists compare all their pairs across components. Long ones compare
-    ``LEADERS`` entries with all others, turn after turn, until the pairs left
-    that sizes and positions allow are no more than that, or ``TURNS`` turns were
-    made; then these are compared."""
+    ``LEADERS`` entries with all others, turn after turn, until the pairs of
+    entries outside a list's largest component with its others are no more than
+    that, or ``TURNS`` turns were made; then these pairs are compared."""
     members = stage_table(met.select("token", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("na").alias("n"), F.col("pa").alias("pos")),
                                                                 F.struct(F.col("b").alias("node"), F.col("nb").alias("n"), F.col("pb").alias("pos")))).alias("m"))
                           .select("token", "m.*").distinct(), "members")
@@ -484,11 +463,11 @@ def _close_lists(met: DataFrame, links: DataFrame, labels: DataFrame, docs: Data
         entries = stage_table(entries, "spanning")
         if turn == 0:
             short = entries.filter(F.col("m") <= 2 * LEADERS)
-            members = stage_table(entries.filter(F.col("m") > 2 * LEADERS).select("token", "node", "n", "pos", "prev"), "members")
-            entries = entries.filter(F.col("m") > 2 * LEADERS)
-        a, b = _rest_sides(entries)
-        last = turn >= TURNS or _rows_joined(a, b) <= LEADERS * entries.count()
-        pairs = _meeting(a.join(b, _JOINED)) if last else _across(_leaders(entries, turn), entries)
+            entries = stage_table(_useful(entries.filter(F.col("m") > 2 * LEADERS)), "members")
+            members = entries.select("token", "node", "n", "pos", "prev")
+        others = entries.filter("root <> main")
+        last = turn >= TURNS or (others.agg(F.sum("m")).first()[0] or 0) <= LEADERS * entries.count()
+        pairs = _across(others, entries) if last else _across(_leaders(entries, turn), entries)
         if turn == 0:
             pairs = pairs.union(_across(short, short)).distinct()
         pairs = stage_table(pairs.join(tried, ["a", "b"], "left_anti"), "rest")

@@ -81,9 +81,8 @@ def test_template_without_links_is_not_paired(spark):
     hints = J._Hints(elements[times > 2], times[times > 2])
     rows = [(int(e.view(np.int64)), i, len(s), pos) for i, s in enumerate(sets) for pos, e in enumerate(hints.prefix(s, len(s) - J.least(len(s)) + 1))]
     entries = spark.createDataFrame(rows, "token long, node long, n int, pos int").withColumns({"root": F.col("node"), "main": F.lit(-1), "prev": F.lit(None).cast("long")})
-    a, b = J._rest_sides(entries)
-    joined = a.join(b, J._JOINED).count()
-    assert joined == J._rows_joined(a, b) <= len(rows)
+    left = J._useful(entries)
+    assert sum(r["count"] ** 2 for r in left.groupBy("token").count().collect()) <= len(rows)
     assert max(c for _, c in sorted(entries.groupBy("token").count().collect())) > 300      # there are long lists
 
 
@@ -102,8 +101,15 @@ def test_one_template_against_brute_force(spark, monkeypatch):
         assert result(J.near_duplicate_components(docs_df(spark, rows).repartition(3))) == sorted(map(str, brute_components(rows)))
 
 
-def test_reachable_classes_lose_no_pair(spark):
-    pairs = spark.range(1, 140).select(F.col("id").cast("int").alias("n")).crossJoin(spark.range(1, 140).select(F.col("id").cast("int").alias("m")))
-    places = pairs.select("n", "m", F.explode(F.sequence(F.lit(0), F.least(F.col("n") - 1, F.lit(30)))).alias("pos"))
-    can = places.filter(f"{J.T_DEN} * least(n, m) >= {J.T_NUM} * greatest(n, m) and least(n - pos, m) * {J.T_NUM + J.T_DEN} >= {J.T_NUM} * (n + m)")
-    assert can.filter(~F.array_contains(J._reachable(F.col("n"), F.col("pos")), J.size_class(F.col("m")))).count() == 0
+def test_useful_entries_lose_no_pair(spark):
+    rng = random.Random(2)
+    rows = []
+    for token in range(40):
+        for node in range(rng.randrange(2, 12)):
+            n = rng.choice([rng.randrange(1, 30), rng.randrange(40, 300)])
+            rows.append((token, 1000 * token + node, n, rng.randrange(0, n // 5 + 1)))
+    kept = {(r["token"], r["node"]) for r in J._useful(spark.createDataFrame(rows, "token long, node long, n long, pos long")).collect()}
+    for t, a, na, pa in rows:
+        for u, b, nb, pb in rows:
+            if t == u and a != b and 5 * min(na, nb) >= 4 * max(na, nb) and 9 * min(na - pa, nb - pb) >= 4 * (na + nb):
+                assert (t, a) in kept and (t, b) in kept
