@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pytest
 from llm_data import EDGE_TEXTS, brute_components, docs_df, near_copies
-from pyspark.sql import functions as F
 
 from feedloom.llm import jaccard_join as J
 
@@ -66,26 +65,6 @@ def test_sizes():
     assert J.choose_boundary({5: 10, 500: 10}) >= 0
 
 
-def test_template_without_links_is_not_paired(spark):
-    """Lists of one template (60 words, two replaced, no links): the join of the
-    last turn makes fewer rows than there are entries."""
-    rng = random.Random(3)
-    base = [f"b{i}" for i in range(60)]
-    texts = []
-    for _ in range(400):
-        text = list(base)
-        text[20], text[40] = f"x{rng.randrange(10_000)}", f"y{rng.randrange(10_000)}"
-        texts.append(" ".join(text).encode())
-    sets = J.shingle_sets(texts, 5)
-    elements, times = np.unique(np.concatenate(sets), return_counts=True)
-    hints = J._Hints(elements[times > 2], times[times > 2])
-    rows = [(int(e.view(np.int64)), i, len(s), pos) for i, s in enumerate(sets) for pos, e in enumerate(hints.prefix(s, len(s) - J.least(len(s)) + 1))]
-    entries = spark.createDataFrame(rows, "token long, node long, n int, pos int").withColumns({"root": F.col("node"), "main": F.lit(-1), "prev": F.lit(None).cast("long")})
-    left = J._useful(entries)
-    assert sum(r["count"] ** 2 for r in left.groupBy("token").count().collect()) <= len(rows)
-    assert max(c for _, c in sorted(entries.groupBy("token").count().collect())) > 300      # there are long lists
-
-
 def test_one_template_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(J, "LEADERS", 1)
     for turns in (0, 3):
@@ -99,17 +78,3 @@ def test_one_template_against_brute_force(spark, monkeypatch):
                 words[rng.randrange(len(words))] = f"x{rng.randrange(40)}"
             rows.append((i, " ".join(words)))
         assert result(J.near_duplicate_components(docs_df(spark, rows).repartition(3))) == sorted(map(str, brute_components(rows)))
-
-
-def test_useful_entries_lose_no_pair(spark):
-    rng = random.Random(2)
-    rows = []
-    for token in range(40):
-        for node in range(rng.randrange(2, 12)):
-            n = rng.choice([rng.randrange(1, 30), rng.randrange(40, 300)])
-            rows.append((token, 1000 * token + node, n, rng.randrange(0, n // 5 + 1)))
-    kept = {(r["token"], r["node"]) for r in J._useful(spark.createDataFrame(rows, "token long, node long, n long, pos long")).collect()}
-    for t, a, na, pa in rows:
-        for u, b, nb, pb in rows:
-            if t == u and a != b and 5 * min(na, nb) >= 4 * max(na, nb) and 9 * min(na - pa, nb - pb) >= 4 * (na + nb):
-                assert (t, a) in kept and (t, b) in kept
