@@ -9,19 +9,25 @@ neighbouring bytes is in the corpus), dictionary coverage (share of its letters
 in runs that the corpus uses often as words), path and address marks, and the
 words around it.
 
-Corpus statistics cover all documents: byte pair counts (65,536 numbers) and a
-hashed word count table (``DICT_SLOTS`` numbers), both of fixed size.
-
-The forest is trained on labelled findings. ``label_findings`` labels findings
-by strict formats (known key formats and assigned random values are secrets;
-addresses, numbers, dates and dictionary words are not; others stay unlabelled);
-a table of reviewed findings can be given instead. At most about
-``TRAIN_FINDINGS`` labelled findings of each class, drawn by hash among those of
-different features, are used (the documented bound of the sample).
-
-Defined cases: null texts have no candidates; equal rows get equal results; if
-labelled findings of both classes are not to be had, the strict formats alone
-decide; other columns are ignored (or passed on by ``mask_secrets``); an empty
+Corpus statistics cover all documents: byte pair counts (65,536 numbers) and the
+exact counts of all words, of which the often used ones are kept. A word is used
+often if it is at least ``DICT_SHARE`` of all words, so there are at most
+1 / ``DICT_SHARE`` (500,000) of them at every size.
+
+The forest is trained on labelled findings whose labels do not come from the
+features: ``plant_findings`` plants values of known make (``FORMATS``: keys and
+random values; addresses, digests, placeholders, words of the document and so
+on) between words of drawn documents and computes their features there as for
+any candidate; findings of those documents that fully match a published key
+format, or the form of an address, number or date, are taken too. A table of
+reviewed findings can be given instead. Values are planted into about
+``PLANT_DOCS`` documents drawn by hash of id and text; at most about
+``TRAIN_FINDINGS`` findings of each class, drawn by hash among those of different
+features, are used (the documented bounds of the sample).
+
+Defined cases: null texts have no candidates; equal rows get equal results (and
+equal planted values, which count once); if labelled findings of both classes
+are not to be had, the strict formats (``strict_label``) alone decide; other columns are ignored (or passed on by ``mask_secrets``); an empty
 table gives an empty result.
 """
 
@@ -45,9 +51,9 @@ from .tables import prepare
 
 CHUNK_BYTES = 4 << 20
 LEAST = 8
-DICT_SLOTS = 1 << 18
 #: A word belongs to the dictionary if it is at least this share of all words.
 DICT_SHARE = 2e-6
+PLANT_DOCS = 20_000
 TRAIN_FINDINGS = 20_000
 TREES, DEPTH = 24, 6
 
@@ -73,51 +79,53 @@ FEATURES = ["length", "digits", "upper", "lower", "hexadecimal", "entropy", "lon
 @dataclass
 class Statistics:
     pair_logp: np.ndarray      # log2 probability of a byte after a byte
-    often: np.ndarray          # bool, by word slot
+    often: np.ndarray          # uint64, hashes of the often used words, sorted
+    rows: int = 0              # documents
 
 
-def _slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(46)).astype(np.int64)
+_PAIR, _WORD, _WORDS, _ROWS = range(4)
+
+
+def _counts(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind), pa.int32()), pa.array(keys.astype(np.uint64).view(np.int64)), pa.array(n, pa.int64())],
+                                      ["kind", "h", "n"])
 
 
 def _statistics_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pairs, slots = np.zeros(65536, dtype=np.int64), np.zeros(DICT_SLOTS, dtype=np.int64)
+    """Word counts of each chunk; byte pairs, words and rows of the whole task."""
+    pairs, words, rows = np.zeros(65536, dtype=np.int64), 0, 0
     for chunk in W.chunks(batches, "text", CHUNK_BYTES):
         texts = W.texts_of(chunk, "text")
         raw = np.frombuffer(b"\n".join(t or b"" for t in texts), dtype=np.uint8)
         pairs += np.bincount((raw[:-1].astype(np.uint16) << 8) | raw[1:], minlength=65536)
-        slots += np.bincount(_slots(W.hash_words(W.split(texts, W.ALNUM_WORDS))), minlength=DICT_SLOTS)
-    # Packed: one row for each task and table.
-    yield pa.RecordBatch.from_arrays([pa.array(["pairs", "slots"]), pa.array([pairs.tolist(), slots.tolist()], pa.list_(pa.int64()))], ["kind", "counts"])
-
-
-def _sum_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for kind, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            c = counts.values.to_numpy()
-            sums[kind] = sums[kind] + c if kind in sums else c.copy()
-    for kind, c in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([c.tolist()], pa.list_(pa.int64()))], ["kind", "counts"])
+        h, n = np.unique(W.hash_words(W.split(texts, W.ALNUM_WORDS)), return_counts=True)
+        words, rows = words + int(n.sum()), rows + len(texts)
+        yield _counts(_WORD, h, n)
+    seen = np.flatnonzero(pairs)
+    yield _counts(_PAIR, seen, pairs[seen])
+    yield _counts(_WORDS, np.zeros(1), np.array([words]))
+    yield _counts(_ROWS, np.zeros(1), np.array([rows]))
 
 
 def corpus_statistics(docs: DataFrame, text_col: str = "text") -> Statistics:
-    """Byte pair and word counts over all documents. The counts are fixed-size
-    vectors, cut into slices that are summed by slice."""
+    """Byte pair and word counts over all documents, in one pass. Both are summed
+    by key, after Spark's partial sums in each task; the driver gets the byte
+    pairs, two totals and the often used words."""
     prepare(docs.sparkSession)
     text = docs.select(F.col(text_col).alias("text"))
-    per_task = text.mapInArrow(_statistics_pass, "kind string, counts array<long>")
-    cut = 4096
-    slices = per_task.select("kind", F.posexplode(F.transform(F.sequence(F.lit(0), (F.size("counts") / cut - 1).cast("int")), lambda i: F.slice("counts", i * cut + 1, cut))).alias("part", "counts"))
-    summed = (slices.select(F.concat_ws("-", "kind", "part").alias("kind"), "counts")
-              .repartition("kind").mapInArrow(_sum_pass, "kind string, counts array<long>").collect())  # 80 rows
-    vectors = {"pairs": np.zeros(65536), "slots": np.zeros(DICT_SLOTS)}
-    for r in summed:
-        kind, part = r["kind"].split("-")
-        vectors[kind][int(part) * cut:(int(part) + 1) * cut] = r["counts"]
-    pairs = vectors["pairs"].reshape(256, 256) + 0.5
+    summed = stage_table(text.mapInArrow(_statistics_pass, "kind int, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n"))
+                         .filter((F.col("kind") != _WORD) | (F.col("n") >= 3)), "statistics")
+    pairs, totals = np.full(65536, 0.5), {_WORDS: 0, _ROWS: 0}
+    for kind, h, n in summed.filter(F.col("kind") != _WORD).collect():  # at most 65,538 rows
+        if kind == _PAIR:
+            pairs[h] += n
+        else:
+            totals[kind] = n
+    least = max(3, DICT_SHARE * totals[_WORDS])
+    often = summed.filter((F.col("kind") == _WORD) & (F.col("n") >= least)).select("h").toArrow()  # at most 1 / DICT_SHARE rows
+    pairs = pairs.reshape(256, 256)
     return Statistics(np.log2(pairs / pairs.sum(axis=1, keepdims=True)).astype(np.float32),
-                      vectors["slots"] >= max(3, DICT_SHARE * vectors["slots"].sum()))
+                      np.sort(often.column(0).to_numpy().view(np.uint64)), totals[_ROWS])
 
 
 # -- candidates -----------------------------------------------------------------
@@ -128,7 +136,7 @@ def _coverage(word: bytes, stats: Statistics) -> float:
     total = sum(map(len, runs))
     if not total:
         return 0.0
-    known = sum(len(r) for r in runs if len(r) > 2 and stats.often[_slots(np.array([W.hash_bytes(r.lower())], dtype=np.uint64))[0]])
+    known = sum(len(r) for r in runs if len(r) > 2 and W.find(stats.often, np.array([W.hash_bytes(r.lower())], dtype=np.uint64))[0] >= 0)
     return known / total
 
 
@@ -265,59 +273,151 @@ def train_forest(findings: DataFrame, per_class: int = TRAIN_FINDINGS, seed: int
     return Forest([_tree_arrays(t.toDebugString) for t in model.trees])
 
 
-_FOUND = "array<struct<first: int, end: int, features: array<double>, label: int>>"
+# -- labelled findings --------------------------------------------------------------
 
+_DIGITS, _HEX, _UPPER, _LOWER = "0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_ALNUM = _DIGITS + _UPPER + _LOWER
+_NAMES = ["password", "passwd", "pwd", "secret", "token", "key", "api_key", "apikey", "db_password", "access_token", "AUTH_TOKEN", "secret-key", "client_secret"]
 
-def candidate_table(docs: DataFrame, stats: Statistics, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, found``: the candidates of every document, without their text."""
-    sent = docs.sparkSession.sparkContext.broadcast(stats)
-    shape = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("features", pa.list_(pa.float64())), ("label", pa.int32())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in W.chunks(batches, "text", CHUNK_BYTES):
-            found = [[{"first": c["first"], "end": c["end"], "features": c["features"], "label": strict_label(c)} for c in cs]
-                     for cs in find_candidates(W.texts_of(chunk, "text"), sent.value)]
-            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array(found, shape)], ["doc_id", "found"])
+def _any(rng: np.random.Generator, alphabet: str, least: int, most: int | None = None) -> str:
+    return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), int(rng.integers(least, (most or least) + 1))))
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, found {_FOUND}")
+
+def _named(rng: np.random.Generator, value: str) -> tuple[str, str, str]:
+    """The value after a naming word and an assignment, quoted or not."""
+    mark = ["", "\"", "'"][int(rng.integers(3))]
+    return _NAMES[int(rng.integers(len(_NAMES)))] + ["=", " = ", ": ", ":"][int(rng.integers(4))] + mark, value, mark
+
+
+def _uuid(rng: np.random.Generator) -> str:
+    return "-".join(_any(rng, _HEX, n) for n in (8, 4, 4, 4, 12))
 
 
-def label_findings(candidates: DataFrame) -> DataFrame:
-    """Findings with their strict labels, one row each."""
-    return (candidates.select(F.explode("found").alias("f"))
-            .select("f.features", "f.label").withColumn("h", F.xxhash64("features")))
+def _placeholder(rng: np.random.Generator, word: str) -> str:
+    return ["your_{w}_here", "changeme{d}", "xxxxxxxx{d}", "example_{w}", "{w}_{w}_{d}", "********{d}"][int(rng.integers(6))].format(w=word, d=_any(rng, _DIGITS, 1, 4))
 
 
-def _decide(candidates: list[dict], forest: Forest | None) -> np.ndarray:
-    if not candidates:
-        return np.empty(0)
-    if forest is None:
-        return np.array([float(c["label"] == 1) for c in candidates])
-    return forest.scores(np.array([c["features"] for c in candidates]))
+#: Makes of planted findings: name, label (1: a secret), and a function of a
+#: random generator and a word of the document that gives the text before the
+#: value, the value and the text after it.
+FORMATS = [
+    ("cloud key id", 1, lambda r, w: ("", ["AKIA", "ASIA"][int(r.integers(2))] + _any(r, _UPPER + _DIGITS, 16), "")),
+    ("repository token", 1, lambda r, w: ("", "gh" + "pousr"[int(r.integers(5))] + "_" + _any(r, _ALNUM, 36), "")),
+    ("chat token", 1, lambda r, w: ("", "xox" + "abprs"[int(r.integers(5))] + "-" + _any(r, _DIGITS, 10, 12) + "-" + _any(r, _ALNUM, 24), "")),
+    ("service key", 1, lambda r, w: ("", "AIza" + _any(r, _ALNUM + "_-", 35), "")),
+    ("named hexadecimal value", 1, lambda r, w: _named(r, _any(r, _HEX, 12, 64))),
+    ("named random value", 1, lambda r, w: _named(r, _any(r, _ALNUM, 10, 48))),
+    ("named password with marks", 1, lambda r, w: _named(r, _any(r, _ALNUM, 4, 10) + "!@#$%&*+"[int(r.integers(8))] + _any(r, _ALNUM, 4, 10))),
+    ("named base 64 value", 1, lambda r, w: _named(r, _any(r, _ALNUM + "+/", 20, 64))),
+    ("named pass phrase", 1, lambda r, w: _named(r, "".join(_any(r, _UPPER, 1) + _any(r, _LOWER, 3, 6) for _ in range(3)) + _any(r, _DIGITS, 2, 4))),
+    ("network address", 0, lambda r, w: ("", ".".join(_any(r, "123456789", 1, 3) for _ in range(4)), "")),
+    ("telephone number", 0, lambda r, w: ("+1 ", f"{_any(r, _DIGITS, 3)}-{_any(r, _DIGITS, 3)}-{_any(r, _DIGITS, 4)}", "")),
+    ("long number", 0, lambda r, w: ("", _any(r, _DIGITS, 8, 20), "")),
+    ("mail address", 0, lambda r, w: ("", f"{w}.{_any(r, _DIGITS, 2)}@mail{_any(r, _DIGITS, 1)}.example.com", "")),
+    ("web address", 0, lambda r, w: ("https:", f"//www.example.com/{w}/{_any(r, _DIGITS, 2, 6)}", "")),
+    ("file path", 0, lambda r, w: ("", f"/{w}/v{_any(r, _DIGITS, 1)}/{w}_{_any(r, _DIGITS, 2, 4)}.txt", "")),
+    ("time stamp", 0, lambda r, w: ("", f"20{_any(r, _DIGITS, 2)}-{_any(r, '01', 2)}-{_any(r, '12', 2)}T{_any(r, '01', 2)}", "")),
+    ("version", 0, lambda r, w: ("", f"{w}-{_any(r, _DIGITS, 1)}.{_any(r, _DIGITS, 1, 2)}.{_any(r, _DIGITS, 1, 2)}", "")),
+    ("commit digest", 0, lambda r, w: (["commit ", "revision: ", "in "][int(r.integers(3))], _any(r, _HEX, 40), "")),
+    ("content digest", 0, lambda r, w: (["sha256:", "md5: ", "digest="][int(r.integers(3))], _any(r, _HEX, [32, 64][int(r.integers(2))]), "")),
+    ("row identifier", 0, lambda r, w: (["id: ", "uuid=", ""][int(r.integers(3))], _uuid(r), "")),
+    ("word with a number", 0, lambda r, w: ("", w + _any(r, _DIGITS, 2, 5), "")),
+    ("ticket", 0, lambda r, w: (["see ", ""][int(r.integers(2))], f"{_any(r, _UPPER, 3, 5)}-{_any(r, _DIGITS, 4, 6)}", "")),
+    ("named placeholder", 0, lambda r, w: _named(r, _placeholder(r, w))),
+    ("named word", 0, lambda r, w: _named(r, w)),
+    ("named number", 0, lambda r, w: _named(r, _any(r, _DIGITS, 8, 12))),
+]
+
+
+def known_label(word: bytes) -> int | None:
+    """1 for a published key format, 0 for the form of an address, number or
+    date, else None."""
+    return 1 if _KNOWN.fullmatch(word) else 0 if _NOT.fullmatch(word) else None
+
+
+def _planted(texts: list[bytes | None], seeds: list[int], formats: list[tuple], each: int) -> tuple[list[bytes], list[tuple[int, int, int, int]]]:
+    """Texts of some words of a document around a planted value, and for each
+    the value's first and end byte, its label and the number of its format."""
+    w = W.split(texts, _TABLE)
+    made, places = [], []
+    for d, (text, seed) in enumerate(zip(texts, seeds)):
+        rng = np.random.default_rng(seed & ((1 << 63) - 1))
+        lo, hi, base = int(w.bounds[d]), int(w.bounds[d + 1]), int(w.offsets[d])
+
+        def part(first: int, end: int) -> bytes:
+            """Words ``first`` to ``end``, with what stands between them."""
+            return text[int(w.starts[first]) - base:int(w.starts[end - 1] + w.lens[end - 1]) - base] if first < end else b""
+
+        for number in rng.permutation(len(formats))[:each].tolist():
+            at = int(rng.integers(lo, hi + 1))
+            pick = int(rng.integers(lo, hi)) if hi > lo else -1
+            word = re.sub(r"[^\w]", "", part(pick, pick + 1).decode("utf-8", "ignore")).lower() if hi > lo else ""
+            _, label, make = formats[number]
+            before, value, after = (x.encode() for x in make(rng, word or "word"))
+            left = part(max(lo, at - 4), at) + b" " + before
+            made.append(left + value + after + b" " + part(at, min(hi, at + 3)))
+            places.append((len(left), len(left) + len(value), label, number))
+    return made, places
+
+
+def plant_findings(docs: DataFrame, stats: Statistics, formats: list[tuple] | None = None, rows: int = PLANT_DOCS,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``features, label, format, h``: labelled findings of about ``rows`` documents
+    drawn by hash of id and text. ``format`` is the number of the make of a
+    planted value, -1 for a finding of the document itself. Fewer documents get
+    more values each, at most one of every make."""
+    makes = FORMATS if formats is None else formats
+    sent = docs.sparkSession.sparkContext.broadcast(stats)
+    each = min(len(makes), max(1, rows // max(1, stats.rows)))
+    shape = [pa.list_(pa.float64()), pa.int32(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in W.chunks(batches, "text", CHUNK_BYTES):
+            texts = W.texts_of(chunk, "text")
+            found = [(c["features"], known_label(c["word"]), -1) for cs in find_candidates(texts, sent.value) for c in cs]
+            made, places = _planted(texts, chunk.column(1).to_pylist(), makes, each)
+            for cs, (first, end, label, number) in zip(find_candidates(made, sent.value), places):
+                found += [(c["features"], label, number) for c in cs if first <= c["first"] and c["end"] <= end]
+            found = [f for f in found if f[1] is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(shape)], ["features", "label", "format"])
+
+    share = min(1.0, rows / max(1, stats.rows))
+    drawn = (docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("seed"))
+             .filter(F.pmod("seed", F.lit(1 << 30)) < share * (1 << 30)))
+    return drawn.mapInArrow(run, "features array<double>, label int, format int").withColumn("h", F.xxhash64("features"))
+
+
+def _scored(texts: list[bytes | None], stats: Statistics, forest: Forest | None) -> tuple[list[list[dict]], list[list[float]]]:
+    """The candidates of every text and their scores."""
+    rows = find_candidates(texts, stats)
+    flat = [c for cs in rows for c in cs]
+    if forest is None or not flat:
+        scores = [float(strict_label(c) == 1) for c in flat]
+    else:
+        scores = forest.scores(np.array([c["features"] for c in flat])).tolist()
+    ends = np.cumsum([0, *map(len, rows)]).tolist()
+    return rows, [scores[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_candidates, n_secrets, secrets`` (first and end byte, score)
     for every document row."""
-    candidates = stage_table(candidate_table(docs, corpus_statistics(docs, text_col), id_col, text_col), "candidates")
-    forest = train_forest(label_findings(candidates) if findings is None else findings)
-    sent = docs.sparkSession.sparkContext.broadcast(forest)
+    stats = corpus_statistics(docs, text_col)
+    forest = train_forest(plant_findings(docs, stats, id_col=id_col, text_col=text_col) if findings is None else findings)
+    sent = docs.sparkSession.sparkContext.broadcast((stats, forest))
     shape = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(1).to_pylist()
-            flat = _decide([c for cs in rows for c in cs], sent.value).tolist()
-            at, kept = 0, []
-            for cs in rows:
-                kept.append([{"first": c["first"], "end": c["end"], "score": s} for c, s in zip(cs, flat[at:at + len(cs)]) if s >= threshold])
-                at += len(cs)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(cs) for cs in rows], pa.int64()), pa.array([len(k) for k in kept], pa.int64()),
+        for chunk in W.chunks(batches, "text", CHUNK_BYTES):
+            rows, scores = _scored(W.texts_of(chunk, "text"), *sent.value)
+            kept = [[{"first": c["first"], "end": c["end"], "score": s} for c, s in zip(cs, ss) if s >= threshold] for cs, ss in zip(rows, scores)]
+            yield pa.RecordBatch.from_arrays([chunk.column(0), pa.array([len(cs) for cs in rows], pa.int64()), pa.array([len(k) for k in kept], pa.int64()),
                                               pa.array(kept, shape)], ["doc_id", "n_candidates", "n_secrets", "secrets"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return candidates.mapInArrow(run, f"doc_id {id_type}, n_candidates long, n_secrets long, secrets array<struct<first: int, end: int, score: double>>")
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInArrow(run, f"doc_id {id_type}, n_candidates long, n_secrets long, secrets array<struct<first: int, end: int, score: double>>"))
 
 
 def mask_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = 0.5, mask: str = "[SECRET]",
@@ -325,23 +425,19 @@ def mask_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold:
     """All documents, each found secret replaced by ``mask``; other columns as
     they were."""
     stats = corpus_statistics(docs, text_col)
-    if findings is None:
-        findings = label_findings(stage_table(candidate_table(docs, stats, id_col, text_col), "candidates"))
-    sent = docs.sparkSession.sparkContext.broadcast((stats, train_forest(findings)))
+    forest = train_forest(plant_findings(docs, stats, id_col=id_col, text_col=text_col) if findings is None else findings)
+    sent = docs.sparkSession.sparkContext.broadcast((stats, forest))
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, forest = sent.value
         for chunk in W.chunks(batches, text_col, CHUNK_BYTES):
             texts = W.texts_of(chunk, text_col)
-            rows = find_candidates(texts, known)
-            flat = [(d, c) for d, cs in enumerate(rows) for c in cs]
-            for _, c in flat:
-                c["label"] = strict_label(c)
             cut = False
-            for (d, c), s in reversed(list(zip(flat, _decide([c for _, c in flat], forest).tolist()))):
-                if s >= threshold:
-                    texts[d] = texts[d][:c["first"]] + mask.encode() + texts[d][c["end"]:]
+            for d, (cs, ss) in enumerate(zip(*_scored(texts, *sent.value))):
+                found = [c for c, s in zip(cs, ss) if s >= threshold]
+                if found:
+                    ends = [0, *(c["end"] for c in found)]
+                    texts[d] = b"".join(texts[d][at:c["first"]] + mask.encode() for at, c in zip(ends, found)) + texts[d][ends[-1]:]
                     cut = True
             field = chunk.schema.field(place)
             yield chunk.set_column(place, field, pa.array(texts, pa.binary()).cast(field.type)) if cut else chunk
