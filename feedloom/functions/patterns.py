@@ -165,6 +165,49 @@ def to_java(pattern: str) -> str | None:
     return None if parts is None else "".join(parts)
 
 
+#: Letters that no character beyond ASCII folds to, and shorter literals tell little.
+_SOLID, SHORTEST = set("abcdefghjlmnopqrtuvwxyz0123456789") | set(" -_./&"), 3
+
+
+def _needed(items) -> frozenset[str] | None:
+    """Lower-case literals of which the lower-cased text of any match holds at
+    least one; None where nothing can be said. The best of the sequence's parts."""
+    found, run = [], ""
+
+    def ended():
+        if len(run) >= SHORTEST:
+            found.append(frozenset([run]))
+    for op, av in items:
+        if op is C.AT or op in (C.ASSERT, C.ASSERT_NOT):
+            continue                                   # no width: the letters around it are neighbours
+        c = chr(av).lower() if op is C.LITERAL else ""
+        if c in _SOLID:
+            run += c
+            continue
+        ended()
+        run, part = "", None
+        if op is C.SUBPATTERN:
+            part = _needed(av[3])
+        elif op is C.ATOMIC_GROUP:
+            part = _needed(av)
+        elif op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT) and av[0]:
+            part = _needed(av[2])
+        elif op is C.BRANCH:
+            branches = [_needed(b) for b in av[1]]
+            part = None if None in branches else frozenset().union(*branches)
+        if part:
+            found.append(part)
+    ended()
+    return max(found, key=lambda f: (min(map(len, f)), -len(f)), default=None)
+
+
+def needed_literals(pattern: str) -> frozenset[str] | None:
+    """Literals of which every text that a (valid) pattern is found in holds at
+    least one when lower-cased; None if there are none such. ``i``, ``k`` and ``s``
+    are in no literal, as characters beyond ASCII are their other case."""
+    return _needed(P.parse(pattern))
+
+
 def refers_back(body: str) -> bool:
     """The Java body has a back-reference, so its groups must keep their numbers."""
     return re.search(r"\\[0-9]", body) is not None

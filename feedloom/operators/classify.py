@@ -9,16 +9,22 @@ Rule order is preserved by ordered ``when`` chains: the first hit wins.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import checked, java_parts, refers_back
+from ..functions.patterns import checked, java_parts, needed_literals, refers_back
 from ..functions.text import has_text, strip_u
 from ..schema import DEFAULT_CATEGORY, HAS, RESERVED
 from .substrings import INLINE_RULES, first_substring
 
 
+#: Literals looked for before a rule's patterns at most; beyond that the patterns alone are scanned for.
+MAX_GUARDS = 64
+
+
 def feed_columns(columns: Iterable[str]) -> list[str]:
     """The feed's own columns: rules never see what the pipeline adds."""
     return [c for c in columns if not c.startswith(RESERVED)]
@@ -104,21 +110,26 @@ def column_value_substring(columns, cv: dict, joined: Column | None = None) -> C
     return _null() if out is None else out
 
 
-def any_pattern(text: Column, patterns) -> Column | None:
+def any_pattern(text: Column, patterns, low: Column | None = None) -> Column | None:
     """True when any valid pattern is found in ``text``.
 
     Patterns that share their flags are fused into one alternation, so the text
     is scanned once per rule; those with back-references are tested one by one. Patterns
     that Python rejects are skipped; one that only Java rejects fails the plan.
+
+    ``low``: the lower-cased text. Where every pattern needs one of a few literals
+    (``MAX_GUARDS`` in all), only texts that hold one are scanned for the patterns.
     """
     fused: dict[str, list[str]] = {}
-    single = []
+    single, literals = [], frozenset()
     for p in map(str, patterns):
         parts = java_parts(p)
         if parts is None:
             continue
         flags, body = parts
         checked(p, flags + body)
+        needed = needed_literals(p)
+        literals = None if literals is None or needed is None else literals | needed
         if refers_back(body):
             single.append(flags + body)
         else:
@@ -129,18 +140,21 @@ def any_pattern(text: Column, patterns) -> Column | None:
     out = text.rlike(single[0])
     for p in single[1:]:
         out = out | text.rlike(p)
-    return out
+    if low is None or literals is None or len(literals) > MAX_GUARDS:
+        return out
+    return reduce(or_, [low.contains(x) for x in sorted(literals)]) & out
 
 
-def regex_scan(columns, rs: dict, hay: Column | None = None) -> Column:
+def regex_scan(columns, rs: dict, hay: Column | None = None, low: Column | None = None) -> Column:
     """first rule with a pattern found in the newline-joined original texts.
 
     A hit on a rule without ``category_type`` ends the layer with no result.
+    ``hay``, ``low``: the joined texts and their lower-case form, where staged.
     """
     hay = joined_values(columns, rs.get("columns"), "\n", lower=False) if hay is None else hay
     out = None
     for rule in rs.get("rules") or []:
-        cond = any_pattern(hay, rule.get("any_regex") or [])
+        cond = any_pattern(hay, rule.get("any_regex") or [], low)
         if cond is None:
             continue
         cond = (hay != F.lit("")) & cond
@@ -178,10 +192,10 @@ def category_expr(columns: Iterable[str], cfg: dict, with_layer: bool = False, s
     if strat == "layered":
         cv = cat.get("column_value") or {}
         joined = F.col("__cv_joined") if staged else None
-        hay = F.col("__rx_hay") if staged else None
+        hay, low = (F.col("__rx_hay"), F.col("__rx_low")) if staged else (None, None)
         layers.append(("column_value_exact", column_value_exact(cols, cv, joined)))
         layers.append(("column_value_substring", column_value_substring(cols, cv, joined)))
-        layers.append(("regex_scan", regex_scan(cols, cat.get("regex_scan") or {}, hay)))
+        layers.append(("regex_scan", regex_scan(cols, cat.get("regex_scan") or {}, hay, low)))
         fp = None
         fp_conds = []
         for rule in ((cat.get("feature_presence") or {}).get("rules") or []):
@@ -208,6 +222,20 @@ def category_expr(columns: Iterable[str], cfg: dict, with_layer: bool = False, s
     return (dflt, F.lit("default")) if with_layer else dflt
 
 
+def categories_of(cfg: dict) -> list[str | None]:
+    """All categories that :func:`classify` can give with a mapping."""
+    cat = cfg.get("category") or {}
+    strat, default = str(cat.get("strategy") or "default").strip().lower(), cat.get("default", DEFAULT_CATEGORY)
+    out = [default]
+    if strat == "rules":
+        out += [r["default"] if "default" in r else r.get("category_type", default) for r in cat.get("rules") or []]
+    if strat == "layered":
+        out += list(((cat.get("column_value") or {}).get("mappings") or {}))
+        out += [r.get("category_type") or None for r in (cat.get("regex_scan") or {}).get("rules") or []]
+        out += [r.get("category_type", default) for r in (cat.get("feature_presence") or {}).get("rules") or []]
+    return list(dict.fromkeys(out))
+
+
 def classify(df: DataFrame, cfg: dict, out: str = "category_type", layer_col: str | None = None) -> DataFrame:
     """Add the category (and optionally the deciding layer) as columns.
 
@@ -223,7 +251,7 @@ def classify(df: DataFrame, cfg: dict, out: str = "category_type", layer_col: st
         staged = df.withColumns({
             "__cv_joined": joined_values(cols, cv_cols, " | ", lower=True),
             "__rx_hay": joined_values(cols, rx_cols, "\n", lower=False),
-        })
+        }).withColumn("__rx_low", F.lower("__rx_hay"))
     if layer_col:
         c, layer = category_expr(df.columns, cfg, with_layer=True, staged=staged is not df)
         return staged.withColumns({out: c, layer_col: layer}).select(*names, out, layer_col)
@@ -240,7 +268,9 @@ def classify_layer(df: DataFrame, cfg: dict, layer: str, out: str = "category_ty
     elif layer == "column_value_substring":
         e = column_value_substring(cols, cat.get("column_value") or {})
     elif layer == "regex_scan":
-        e = regex_scan(cols, cat.get("regex_scan") or {})
+        rs = cat.get("regex_scan") or {}
+        staged = df.withColumn("__rx_hay", joined_values(cols, rs.get("columns"), "\n", lower=False)).withColumn("__rx_low", F.lower("__rx_hay"))
+        return staged.withColumn(out, regex_scan(cols, rs, F.col("__rx_hay"), F.col("__rx_low"))).drop("__rx_hay", "__rx_low")
     elif layer == "feature_presence":
         e = None
         for rule in ((cat.get("feature_presence") or {}).get("rules") or []):

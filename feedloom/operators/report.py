@@ -1,24 +1,52 @@
 """Run reporting (I1-I5): counters, category counts, the run report and log sinks.
 
-Counters are plain hash aggregates over the status-tagged rows (partial
-aggregation before the shuffle), computed from the same plan as the merge.
+Counters of files are plain hash aggregates over the status-tagged rows (partial
+aggregation before the shuffle). The totals of a run are observed on the write of
+those rows (:func:`observe_totals`), so they take no pass of their own, and the
+report reads the rows once, for all counters of all files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+COUNTS = ("rows_total", "rows_upserted", "rows_skipped_missing_key", "rows_error")
+#: The category of rows without one, as a JSON key.
+NO_CATEGORY = "null"
+
+
+def _counts() -> list[Column]:
+    s = F.col("status")
+    return [c.alias(n) for n, c in zip(COUNTS, (F.count(F.lit(1)), F.count_if(s == "ok"), F.count_if(s == "skipped"), F.count_if(s == "error")))]
+
+
 def file_counters(rows: DataFrame) -> DataFrame:
     """Rows processed per file (not distinct keys). A file is its path."""
-    s = F.col("status")
-    return rows.groupBy(F.col("source_path").alias("path"), F.col("source_file_name").alias("file"), "vendor_code").agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_if(s == "ok").alias("rows_upserted"),
-        F.count_if(s == "skipped").alias("rows_skipped_missing_key"),
-        F.count_if(s == "error").alias("rows_error"),
-    )
+    return rows.groupBy(F.col("source_path").alias("path"), F.col("source_file_name").alias("file"), "vendor_code").agg(*_counts())
+
+
+def observe_totals(rows: DataFrame, categories: Iterable[str | None]) -> tuple[DataFrame, Observation]:
+    """I1 + I2 of a whole run, counted while ``rows`` is written: the rows to
+    write, and what :func:`totals_of` reads after the write. ``categories``: all
+    that the mappings can give (``classify.categories_of``).
+
+    The counts belong to the tasks of the write. A task that runs again after the
+    loss of an executor is counted once, as the write's other outcome is dropped."""
+    seen, ok = Observation(), F.col("status") == "ok"
+    named = [F.count_if(ok & F.col("category_type").eqNullSafe(F.lit(c))).alias(f"category:{NO_CATEGORY if c is None else c}")
+             for c in dict.fromkeys(categories)]
+    return rows.observe(seen, *_counts(), *named), seen
+
+
+def totals_of(seen: Observation) -> dict:
+    """The four counts and ``by_category`` (upserted rows, categories that occur)."""
+    got = seen.get
+    names = [n for n in got if n.startswith("category:")]
+    return {n: got[n] for n in COUNTS} | {"by_category": {n.removeprefix("category:"): got[n] for n in names if got[n]}}
 
 
 def category_counts(rows: DataFrame) -> DataFrame:
@@ -36,10 +64,12 @@ def category_totals(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("level")).select("f.path", "f.file", "category_type", "n_rows", "level")
 
 
-def category_map(rows: DataFrame) -> DataFrame:
-    """I2 as the report's ``by_category`` map column, one row per file."""
-    return category_counts(rows).groupBy("path", "category_type").agg(F.sum("n_rows").alias("n_rows")).groupBy("path").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("category_type", "n_rows")))).alias("by_category"))
+def file_summary(rows: DataFrame) -> DataFrame:
+    """I1 + I2 of every file in one pass: the counts, and the upserted rows of
+    each category as a map (NULL for a file without any)."""
+    per = rows.groupBy(F.col("source_path").alias("path"), F.coalesce("category_type", F.lit(NO_CATEGORY)).alias("category_type")).agg(*_counts())
+    entries = F.array_sort(F.collect_list(F.when(F.col("rows_upserted") > 0, F.struct("category_type", F.col("rows_upserted").alias("n_rows")))))
+    return per.groupBy("path").agg(*[F.sum(c).alias(c) for c in COUNTS], F.when(F.size(entries) > 0, F.map_from_entries(entries)).alias("by_category"))
 
 
 def file_status(files: DataFrame, fatal: DataFrame) -> DataFrame:
@@ -53,28 +83,25 @@ def file_status(files: DataFrame, fatal: DataFrame) -> DataFrame:
     }).drop("__why")
 
 
-COUNTS = ("rows_total", "rows_upserted", "rows_skipped_missing_key", "rows_error")
-
-
-def run_report(rows: DataFrame, files: DataFrame, input_dir: str | None = None, moved: DataFrame | None = None) -> DataFrame:
+def run_report(rows: DataFrame, files: DataFrame, input_dir: str | None = None, moved: DataFrame | None = None,
+               totals: dict | None = None) -> DataFrame:
     """One report row per file of the inventory: its counters and categories
     when it was read (zeros for a file without rows), else the reason why it was
     skipped or failed. ``moved(path, moved_to, move_error)``: what became of the
-    file. ``run_status`` is ``failed`` if no matched file was read, ``partial`` if
-    some were not or had row errors, else ``ok``."""
-    counters = file_counters(rows).groupBy("path").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    file. ``totals``: :func:`totals_of` the run, whose errors are else counted in
+    another pass. ``run_status`` is ``failed`` if no matched file was read,
+    ``partial`` if some were not or a file that was read had row errors, else ``ok``."""
     read = F.col("status") == "ok"
-    df = files.select("path", F.col("file_name").alias("file"), "vendor_code", "status", "reason")
-    df = df.join(counters, "path", "left").join(category_map(rows), "path", "left")
+    df = files.select("path", F.col("file_name").alias("file"), "vendor_code", "status", "reason").join(file_summary(rows), "path", "left")
     df = df.withColumns({c: F.when(read, F.coalesce(c, F.lit(0))) for c in COUNTS} | {"skipped": ~read})
     if moved is None:
         df = df.withColumns({"archived_to": F.lit(None).cast("string"), "move_error": F.lit(None).cast("string")})
     else:
         df = df.join(moved.select("path", F.col("moved_to").alias("archived_to"), "move_error"), "path", "left")
-    whole = df.agg(F.count_if(read).alias("n_ok"), F.count_if(F.col("status") == "failed").alias("n_failed"),
-                   F.coalesce(F.sum("rows_error"), F.lit(0)).alias("n_errors"))
-    run = whole.select(F.when((F.col("n_failed") > 0) & (F.col("n_ok") == 0), F.lit("failed"))
-                       .when((F.col("n_failed") > 0) | (F.col("n_errors") > 0), F.lit("partial")).otherwise(F.lit("ok")).alias("run_status"))
+    whole, errors = (df, F.coalesce(F.sum("rows_error"), F.lit(0))) if totals is None else (files, F.lit(totals["rows_error"]))
+    run = whole.agg(F.count_if(read).alias("n_ok"), F.count_if(F.col("status") == "failed").alias("n_failed"), errors.alias("n_errors")).select(
+        F.when((F.col("n_failed") > 0) & (F.col("n_ok") == 0), F.lit("failed"))
+        .when((F.col("n_failed") > 0) | (F.col("n_errors") > 0), F.lit("partial")).otherwise(F.lit("ok")).alias("run_status"))
     # One row: the status of the whole run.
     return df.join(F.broadcast(run)).select(
         F.lit(input_dir).cast("string").alias("input_dir"), "path", "file", "vendor_code", *COUNTS, "by_category", "skipped", "status", "reason",

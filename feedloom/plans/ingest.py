@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from ..config import match_rules_df, sheet_rules_df
 from ..functions.headers import norm_header_py
 from ..functions.text import source_na
-from ..operators.classify import classify, feed_columns
+from ..operators.classify import categories_of, classify, feed_columns
 from ..operators.files import MAPPED_SUFFIXES, disposition, file_inventory, vendor_match
 from ..operators.mapping import alias_list, conversion_audit, project_records, union_vendors
 from ..operators.merge import exclude_failed_files, merge_run
 from ..operators.moves import finish_moves, move_files, names_in
-from ..operators.report import file_status, run_report, write_csv, write_report
+from ..operators.report import file_status, observe_totals, run_report, totals_of, write_csv, write_report
 from ..operators.snapshots import merge_batch
 from ..operators.validate import PROBE_COLUMNS, error_rows, split_status, with_status
 from ..schema import FILE, FILE_SEQ, KIND, PATH, RESERVED, ROW, SHEET, VENDOR
@@ -74,6 +74,13 @@ def canonical_rows(feed: DataFrame, cfg: dict, run_id: int | None = None, na_tok
     return with_status(project_records(df, cfg, run_id=run_id, keep=keep))
 
 
+def stage_rows_counted(rows: DataFrame, mappings: list[dict]) -> tuple[DataFrame, dict]:
+    """The canonical batch as a table, and the run's totals, which are counted by
+    the write itself."""
+    counted, seen = observe_totals(rows, [c for cfg in mappings for c in categories_of(cfg)])
+    return stage_table(counted, "canonical-batch"), totals_of(seen)
+
+
 def probe_columns(feed: DataFrame) -> list[str]:
     """The columns shown for rows without a key, as far as the feed has them."""
     cols = feed_columns(feed.columns)
@@ -86,15 +93,14 @@ def ingest(feed: DataFrame, cfg: dict, targets: dict | None = None, run_id: int
 
     The canonical batch is read by the merge, the counters, the error log and
     the audit; ``stage_rows`` writes it once to the shared folder so the
-    classification and conversions run once.
+    classification and conversions run once. ``totals`` are counted by that write
+    (None without it).
     """
-    rows = canonical_rows(feed, cfg, run_id=run_id)
+    rows, totals = canonical_rows(feed, cfg, run_id=run_id), None
     if stage_rows:
-        rows = stage_table(rows, "canonical-batch")
+        rows, totals = stage_rows_counted(rows, [cfg])
     ok, _, _ = split_status(rows)
-    out = merge_run(targets or {}, ok)
-    out["rows"] = rows
-    return out
+    return merge_run(targets or {}, ok) | {"rows": rows, "totals": totals}
 
 
 def mapping_columns(cfg: dict) -> list[str]:
@@ -117,7 +123,8 @@ def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targe
 
     Returns the new snapshots, ``rows`` (status-tagged canonical rows), ``ok``
     (those to merge), ``files`` (with status ok / skipped / failed), ``errors``,
-    ``audit`` and ``report``. With ``merge=False`` there are no snapshots: the
+    ``audit``, ``report`` and ``totals`` (of the run, counted by the write of
+    ``rows``; None without it). With ``merge=False`` there are no snapshots: the
     caller merges ``ok``.
     """
     fatal = cells.filter(F.col("kind") == "fatal").select(F.col("file_path").alias("path"), F.col("text").alias("reason")).distinct()
@@ -133,13 +140,13 @@ def ingest_cells(cells: DataFrame, files: DataFrame, mappings: list[dict], targe
         feed = normalize_feed(wide)
         frames.append(canonical_rows(feed, cfg, run_id=run_id, normalize=False, keep=probe_columns(feed)))
         audits.append(conversion_audit(classify(feed, cfg), cfg))
-    rows = union_vendors(frames)
+    rows, totals = union_vendors(frames), None
     if stage_rows:
-        rows = stage_table(rows, "canonical-batch")
+        rows, totals = stage_rows_counted(rows, mappings)
     ok = exclude_failed_files(rows.filter(F.col("status") == "ok"), files.filter(F.col("status") == "failed"))
     out = merge_run(targets or {}, ok) if merge else {}
     out |= {"rows": rows, "ok": ok, "files": files, "errors": error_rows(rows), "audit": union_vendors(audits),
-            "report": run_report(rows, files, input_dir)}
+            "report": run_report(rows, files, input_dir, totals=totals), "totals": totals}
     return out
 
 
@@ -202,11 +209,11 @@ def run_folder(spark, path: str, mappings: list[dict], root: str, archive_dir: s
         merge_batch(spark, root, out["ok"])
         plan = disposition(out["files"], names_in(spark, [archive_dir, error_dir]), run_stamp, archive_dir, error_dir)
         moved = move_files(spark, plan, journal, run_stamp)
-        write_report(run_report(out["rows"], out["files"], path, moved), f"{logs}/report")
+        report = run_report(out["rows"], out["files"], path, moved, out["totals"])
+        write_report(report, f"{logs}/report")
         write_csv(out["errors"], f"{logs}/errors", only_if_any=True)
         write_csv(out["audit"], f"{logs}/conversions", sort_columns=True, only_if_any=True)
-        schema = run_report(out["rows"], out["files"], path, moved).schema
-    return spark.read.schema(schema).json(f"{logs}/report")
+    return spark.read.schema(report.schema).json(f"{logs}/report")
 
 
 __all__ = ["as_feed", "normalize_feed", "canonical_rows", "ingest", "ingest_cells", "ingest_delimited", "ingest_workbooks", "match_files", "run_folder",

@@ -34,7 +34,7 @@ from ..operators.files import vendor_match, with_name_parts
 from ..operators.mapping import conversion_audit, union_vendors
 from ..operators.report import file_status, run_report, write_report
 from ..operators.validate import error_rows
-from ..plans.ingest import as_feed, canonical_rows, ingest_cells, match_files, normalize_feed, probe_columns
+from ..plans.ingest import as_feed, canonical_rows, ingest_cells, match_files, normalize_feed, probe_columns, stage_rows_counted
 from ..schema import PATH
 from ..session import scratch_scope, ship_package, stage_table
 from ..sources.xlsx import WORKBOOK_GLOB, cells_of
@@ -81,10 +81,10 @@ def _feed_batch(mappings: list[dict], root: str, columns: dict, run_id: int | No
             feed = normalize_feed(as_feed(own, **columns))
             rows.append(canonical_rows(feed, cfg, run_id=run_id, normalize=False, keep=probe_columns(feed)))
             audits.append(conversion_audit(classify(feed, cfg), cfg))
-        whole = stage_table(union_vendors(rows), "canonical-batch")
+        whole, totals = stage_rows_counted(union_vendors(rows), mappings)
         status = file_status(files, spark.createDataFrame([], _NO_FATAL))
         _write_batch({"rows": whole, "errors": error_rows(whole), "audit": union_vendors(audits),
-                      "report": run_report(whole, status, input_dir)}, root, stream, batch_id, buckets)
+                      "report": run_report(whole, status, input_dir, totals=totals)}, root, stream, batch_id, buckets)
     return run
 
 
@@ -113,10 +113,12 @@ def start_feed(spark: SparkSession, drop_dir: str, mappings: list[dict], root: s
 
     ``schema``: the files' columns; ``columns``: arguments of
     :func:`~feedloom.plans.ingest.as_feed` (which column is the row number, the
-    vendor and so on). A file is told by its path.
+    vendor and so on). A file is told by its path. The query's progress has the
+    rows of each batch (``observedMetrics["feed"].rows_read``), matched to a mapping or not.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
     stream = _run(reader, drop_dir, max_files, archive_dir).withColumn(PATH, F.col("_metadata.file_path"))
+    stream = stream.observe("feed", F.count(F.lit(1)).alias("rows_read"))  # a batch is read once, by the write that stages it
     return (stream.writeStream.foreachBatch(_scoped(_feed_batch(mappings, root, columns or {"row": "row_idx"}, run_id, drop_dir, buckets), checkpoint))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

@@ -1,5 +1,8 @@
 """Classification layers and strategies on small hand-made feeds."""
+import re
+
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.config import bundled
@@ -133,3 +136,39 @@ def test_probed_patterns(spark):
         assert hit == (re.search(p, t) is not None), (p, t)
     with pytest.raises(ValueError, match="no Java form"):
         java_pattern(r"(a)?(?(1)b|c)")
+
+
+PIECES = ["fan", "(?i:Ceil)", "blades?", "(chair|stool)", "(chair|x)", "(?:lamp )+", "(?:lamp)*", r"\bcfm\b", r"\s+", "[Ff]an", "Kelvin", "(?=tube)", "tu(?!x)be",
+          "table{2}", "(?>mirror)", "é", "ſtool", ".", "$", "|", "dim{0,1}mer"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), min_size=1, max_size=4), st.booleans(),
+       st.lists(st.sampled_from(["fan", "FAN", "ceil", "blade", "blades", "chair", "ſtool", "STOOL", "stool", "lamp ", "CFM", " ", "\u212aelvin", "kelvin", "tube", "tablee",
+                                 "mirror", "É", "\u0130", "x", "dimmer", "dmer"]), max_size=5))
+def test_literals_are_in_every_match(pieces, fold, words):
+    """A text in which Python finds the pattern holds a literal of it."""
+    from feedloom.functions.patterns import java_parts, needed_literals
+
+    pattern, text = ("(?i)" if fold else "") + "".join(pieces), "".join(words)
+    if java_parts(pattern) is None:
+        return
+    literals = needed_literals(pattern)
+    if literals is not None and re.search(pattern, text):
+        assert any(x in text.lower() for x in literals)
+
+
+def test_guards_change_no_result(spark):
+    from feedloom.functions.patterns import needed_literals
+    from feedloom.operators.classify import any_pattern
+
+    assert needed_literals(r"(?i)\b(mirror|tapestry|candle\s*holder)\b") == {"rror", "tape", "candle"}
+    assert needed_literals("(?i)KISS") is None and needed_literals("a|fan") is None
+    rules = [["fan", r"(?i)\bblades?\b"], [r"(?i)(chair|STOOL)"], ["(?i)candle\\s*holder", "^tube"], ["[Ff]an"]]
+    texts = ["fan", "FAN", "Blades", "bladesmith", "ChAir", "ſtool", "candle  HOLDER", "tube", "a tube", "Fan", "É fan", "\u0130 chair", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", *[(any_pattern(F.col("t"), r) if i == 0 else any_pattern(F.col("t"), r, F.lower("t"))).alias(f"c{k}_{i}") for k, r in enumerate(rules) for i in (0, 1)]).collect()
+    for r in got:
+        for k, rule in enumerate(rules):
+            want = None if r.t is None else any(re.search(p, r.t) is not None for p in rule)
+            assert r[f"c{k}_0"] == r[f"c{k}_1"] == want, (r.t, rule)

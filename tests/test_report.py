@@ -34,6 +34,33 @@ def test_report_rows_and_json(spark):
     assert next(d for d in docs if d["file"] == "z.xlsx")["reason"] == "No vendor mapping matched file_name"
 
 
+def test_totals_are_counted_by_the_write(spark, tmp_path):
+    from feedloom.operators.classify import categories_of
+    from feedloom.plans.ingest import stage_rows_counted
+
+    cfg = dict(CFG, category={"strategy": "rules", "rules": [{"if_any_field_present": ["lamp"], "category_type": "lighting"}, {"default": None}]})
+    feed = spark.createDataFrame([(f"f{i % 3}", i, f"K{i}" if i % 4 else None, "x" if i % 5 else None) for i in range(60)],
+                                 "file_name string, row_idx int, sku string, lamp string").repartition(7)
+    rows, totals = stage_rows_counted(canonical_rows(as_feed(feed, row="row_idx", file="file_name"), cfg), [cfg])
+    files = R.file_counters(rows).collect()
+    assert {c: totals[c] for c in R.COUNTS} == {c: sum(r[c] for r in files) for c in R.COUNTS}
+    by = {}
+    for r in R.category_counts(rows).collect():
+        by[r.category_type or "null"] = by.get(r.category_type or "null", 0) + r.n_rows
+    assert totals["by_category"] == by == {"lighting": 36, "null": 9} and sum(by.values()) == totals["rows_upserted"]
+    summary = {r.path: r for r in R.file_summary(rows).collect()}
+    assert {p: sum(r.by_category.values()) for p, r in summary.items()} == {r.path: r.rows_upserted for r in files}
+    # With the totals the report reads the rows once; without them, twice or more.
+    listed = spark.createDataFrame([(r.path, r.file, "V", "ok", None) for r in files], "path string, file_name string, vendor_code string, status string, reason string")
+    with_totals, without = R.run_report(rows, listed, totals=totals), R.run_report(rows, listed)
+    assert sorted(map(str, with_totals.collect())) == sorted(map(str, without.collect()))
+    leaves = [df._jdf.queryExecution().optimizedPlan().collectLeaves().toString().count("Relation [") for df in (with_totals, without)]
+    assert leaves[0] < leaves[1], leaves
+    none, totals = stage_rows_counted(rows.limit(0).select(*rows.columns), [CFG])
+    assert none.count() == 0 and totals == dict.fromkeys(R.COUNTS, 0) | {"by_category": {}}
+    assert categories_of(CFG) == ["lighting", "fans"]
+
+
 def test_log_sinks(spark, tmp_path):
     empty = spark.createDataFrame([], "file string, error_message string")
     assert R.write_csv(empty, str(tmp_path / "none"), only_if_any=True) is False

@@ -157,7 +157,9 @@ def test_streams_of_two_checkpoints(spark, tmp_path):
         os.makedirs(drop, exist_ok=True)
         with open(f"{drop}/acme_{len(os.listdir(drop))}.csv", "w") as fh:
             fh.write("n,item,finish\n" + lines)
-        D.start_feed(spark, drop, [cfg], root, f"{tmp_path}/ckpt-{job}", "n long, item string, finish string", "csv", {"row": "n"}, {"header": "true"}).awaitTermination()
+        query = D.start_feed(spark, drop, [cfg], root, f"{tmp_path}/ckpt-{job}", "n long, item string, finish string", "csv", {"row": "n"}, {"header": "true"})
+        query.awaitTermination()
+        assert [p.observedMetrics["feed"]["rows_read"] for p in query.recentProgress if p.numInputRows] == [lines.count("\n")]
     core = {r.inventory_partno: (r.product_id, r.finish) for r in D.latest_snapshot(spark, root)["core"].collect()}
     assert core == {"A": (1, "black"), "B": (2, "blue"), "C": (3, "green"), "D": (4, "white")}
     assert D.latest_snapshot(spark, root, f"{tmp_path}/ckpt-two")["core"].count() == 3
