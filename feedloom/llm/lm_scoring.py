@@ -5,7 +5,12 @@ logarithmic scale; a pair or word with code q is put into a Bloom filter q times
 as (item, 1) .. (item, q). A count is read back by asking for (item, 1),
 (item, 2), ... until one is missing, or the code of the total is reached.
 Probabilities are smoothed: ``P(w | v) = (c(v w) + PRIOR * P(w)) / (c(v) + PRIOR)`` with
-``P(w) = (c(w) + 1) / (N + V + 1)``.
+``P(w) = (c(w) + 1) / (N + V + 1)``. A code stands for a range of counts; above the
+line its least count is taken, below it its greatest, so the probabilities of
+all words after ``v`` sum to 1 at most, whatever the counts are. The one thing that
+can add to them is an error of the filter (an item found that was not put in, or
+at too high a code); a pair found more often than one of its words is such an
+error and is taken down to that word's count.
 
 Counting covers all training documents. Every task counts its pairs in chunks
 and hands them on packed (sorted 32-bit remainders and counts, one row for each
@@ -87,10 +92,14 @@ def code_of(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(counts, 1)) / np.log(BASE)).astype(np.int64) + 1
 
 
-def count_of(code: np.ndarray) -> np.ndarray:
-    """The middle of a code's counts; 0 for code 0."""
-    low = BASE ** (code - 1.0)
-    return np.where(code > 0, (low + np.maximum(low, BASE ** code - 1)) / 2, 0.0)
+def least_of(code: np.ndarray) -> np.ndarray:
+    """The least count of a code; 0 for code 0."""
+    return np.where(code > 0, BASE ** (code - 1.0), 0.0)
+
+
+def most_of(code: np.ndarray) -> np.ndarray:
+    """The greatest count of a code; 0 for code 0."""
+    return np.where(code > 0, np.maximum(BASE ** (code - 1.0), BASE ** code.astype(float) - 1), 0.0)
 
 
 # -- filter -------------------------------------------------------------------
@@ -302,10 +311,10 @@ def learn(training: DataFrame, text_col: str = "text") -> Model:
 
 # -- scoring --------------------------------------------------------------------
 
-def smoothed(c_pair: np.ndarray, c_before: np.ndarray, c_word: np.ndarray, total: int, distinct: int) -> np.ndarray:
-    """log10 P(word | word before)."""
-    prior = PRIOR * (c_word + 1) / (total + distinct + 1)
-    return np.log10((c_pair + prior) / (np.maximum(c_before, c_pair) + PRIOR))
+def smoothed(pair: np.ndarray, before: np.ndarray, word: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """log10 P(word | word before), from the codes of the pair and its words."""
+    prior = PRIOR * (least_of(word) + 1) / (total + distinct + 1)
+    return np.log10((least_of(np.minimum(pair, np.minimum(before, word))) + prior) / (most_of(before) + PRIOR))
 
 
 def items_of(t: np.ndarray, bounds: np.ndarray, slice_bits: int) -> np.ndarray:
@@ -317,15 +326,15 @@ def items_of(t: np.ndarray, bounds: np.ndarray, slice_bits: int) -> np.ndarray:
 def score_tokens(t: np.ndarray, bounds: np.ndarray, codes: np.ndarray, slice_bits: int, total: int, distinct: int) -> np.ndarray:
     """log10 probability of every token given the one before. ``codes``: of
     ``items_of`` the chunk."""
-    items, counts = items_of(t, bounds, slice_bits), count_of(codes)
+    items, codes = items_of(t, bounds, slice_bits), codes.astype(np.int64)
 
     def found(h):
         code, unique = pd.factorize(h)
-        return counts[np.searchsorted(items, unique >> np.uint64(32 - slice_bits))][code]
+        return codes[np.searchsorted(items, unique >> np.uint64(32 - slice_bits))][code]
 
-    c_word = found(t)
-    c_before = np.concatenate([found(np.array([END])), c_word[:-1]]) if len(t) else c_word
-    return smoothed(found(pair_hashes(t, bounds)), c_before, c_word, total, distinct)
+    word = found(t)
+    before = np.concatenate([found(np.array([END])), word[:-1]]) if len(t) else word
+    return smoothed(found(pair_hashes(t, bounds)), before, word, total, distinct)
 
 
 def _chunks_pass(slice_bits: int, size: int, id_type: pa.DataType):

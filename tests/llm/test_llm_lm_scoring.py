@@ -76,15 +76,47 @@ def test_empty(spark):
 
 
 def plain_scores(c, pairs, rows):
-    quantised = lambda n: float(M.count_of(M.code_of(np.array([n])))[0]) if n else 0.0
+    def range_of(n):
+        return (0, 0) if not n else (2 ** (n.bit_length() - 1), 2 ** n.bit_length() - 1)
     n, v, out = sum(c.values()), len(c), []
     for i, t in rows:
         tokens = [*space_words(t), None]
-        both = [(quantised(pairs[x, y]), quantised(c[x]), M.PRIOR * (quantised(c[y]) + 1) / (n + v + 1)) for x, y in zip([None, *tokens], tokens)]
-        out.append((str(i), sum(math.log10((p + prior) / (max(before, p) + M.PRIOR)) for p, before, prior in both)))
+        both = [(range_of(pairs[x, y])[0], range_of(c[x])[1], M.PRIOR * (range_of(c[y])[0] + 1) / (n + v + 1)) for x, y in zip([None, *tokens], tokens)]
+        out.append((str(i), sum(math.log10((p + prior) / (before + M.PRIOR)) for p, before, prior in both)))
     return sorted(out)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_probabilities_sum_to_one_at_most(seed):
+    """All words, and one unknown word, after each word and after an unknown one."""
+    rng = np.random.default_rng(seed)
+    v = int(rng.integers(1, 40))
+    text = [0, *rng.choice(v, size=int(rng.integers(1, 2000)), p=rng.dirichlet(np.full(v, 0.3))).tolist(), 0]
+    pairs = np.zeros((v + 1, v + 1), dtype=np.int64)                 # word v is unknown
+    np.add.at(pairs, (text[:-1], text[1:]), 1)
+    words = np.append(np.bincount(text[1:], minlength=v), 0)
+    words[0] = max(words[0], pairs[0].sum())
+    code = lambda n: np.where(n > 0, M.code_of(n), 0)
+    distinct = int((words > 0).sum())
+    for before in range(v + 1):
+        p = 10 ** M.smoothed(code(pairs[before]), np.full(v + 1, code(words[before])), code(words), int(words.sum()), distinct)
+        sum_ = p[words > 0].sum() + p[-1]
+        assert (p > 0).all() and sum_ <= 1 + 1e-12, (before, sum_)
+
+
+def test_sum_of_six_in_three_pairs():
+    """Six times v, followed by three words twice each."""
+    code = M.code_of(np.array([2, 2, 2, 6]))
+    p = 10 ** M.smoothed(np.array([*code[:3], 0, 0]), np.full(5, code[3]), np.array([*code, 0]), 12, 4)
+    assert p.sum() <= 1
+
+
+def test_a_pair_is_not_more_frequent_than_its_words():
+    code = lambda *x: np.array(x)
+    assert M.smoothed(code(9), code(5), code(2), 1000, 100) == M.smoothed(code(2), code(5), code(2), 1000, 100)
+    assert M.smoothed(code(3), code(5), code(0), 1000, 100) == M.smoothed(code(0), code(5), code(0), 1000, 100)
+
+
 def test_scores_do_not_depend_on_the_filter_being_cut(spark, monkeypatch, rows):
     monkeypatch.setattr(M, "MAX_FILTER_BYTES", 1 << 10, raising=False)
     monkeypatch.setattr(M, "SLICE_PAIRS", 50)
