@@ -58,3 +58,23 @@ def test_category_values_in_both_forms(spark):
     cfg = {"category": {"column_value": {"columns": ["a", "b"], "mappings": {"lights": ["lamp"], "fans": ["fan", " "], "odd": ["r | y"]}}}}
     a, b = ({r.i: r.category_type for r in column_value_substring_table(df, cfg, inline=n).collect()} for n in (2000, 0))
     assert a == b == {1: "fans", 2: "lights", 3: None, 4: "odd"}
+
+
+def test_no_rule_table_passes_through_the_driver(spark, monkeypatch):
+    """Numbers as patterns: told apart by their grams, and joined without a broadcast
+    beyond BROADCAST_ROWS, with the same result."""
+    from feedloom.operators import substrings
+
+    rules = spark.range(1000, 4000).select(F.concat(F.col("id").cast("string"), F.lit("00.xlsx")).alias("pattern"), (-F.col("id")).alias("seq")).union(
+        spark.range(10).select(F.col("id").cast("string"), F.col("id")))
+    texts = spark.range(0, 5000, 7).select(F.concat(F.lit("feed_0"), F.col("id").cast("string"), F.lit("00.xlsx")).alias("t"))
+    filed = substrings.filed_patterns(rules, ["seq"])
+    assert filed.groupBy("n", "key").count().agg(F.max("count")).first()[0] <= 2
+    got = []
+    for rows in (1 << 16, 5):
+        monkeypatch.setattr(substrings, "BROADCAST_ROWS", rows)
+        found = first_substring(texts, "t", rules, ["seq"])
+        got.append(sorted((r.text, r.rule.pattern) for r in found.collect()))
+        assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == (rows > 5)
+    want = [(t, f"{i}00.xlsx" if 1000 <= i < 4000 else "0") for i in range(0, 5000, 7) for t in [f"feed_0{i}00.xlsx"]]
+    assert got[0] == got[1] == sorted(want)
