@@ -3,10 +3,11 @@
 The lengths of all documents give one global histogram of distinct lengths.
 Dynamic programming over it chooses the boundaries of at most ``buckets`` buckets
 with the least padding: a document is padded to the longest length of its bucket.
-Beyond ``MAX_LENGTHS`` distinct lengths the histogram has cells (``PER_OCTAVE`` for
-each doubling, so its size does not grow with the data); a cell's lengths differ
-by less than 1 in ``PER_OCTAVE``, so the padding is then at most that share of all
-tokens above the least possible.
+The histogram is exact at any size. It is small beside the data: ``d`` distinct
+lengths are ``d * d / 2`` tokens at least, so ten billion tokens have 141,422 at most.
+A caller may pass ``cell`` (:func:`length_cell`) for a histogram of a fixed size: a
+cell's lengths differ by less than 1 in ``PER_OCTAVE``, so the padding is then at
+most that share of all tokens above the least possible.
 Inside a bucket documents are put in
 hashed order, counted by global prefix sums, and cut into batches whose padded
 tokens stay within the budget. A document longer than the budget is whole and
@@ -19,6 +20,10 @@ cut; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import warnings
+from array import array
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +31,8 @@ from feedloom.session import stage_table
 
 from .prefix import prefix_sums
 
-#: Distinct lengths that the dynamic programming takes one by one.
-MAX_LENGTHS = 1 << 16
+#: Distinct lengths beyond which a caller is told of ``cell``.
+MAX_LENGTHS = 1 << 20
 EXACT = 256
 PER_OCTAVE = 4096
 
@@ -58,9 +63,9 @@ def choose_boundaries(tops: list[int], counts: list[int], buckets: int) -> list[
         upto.append(upto[-1] + c)
     cells = len(tops)
     cost = [t * u for t, u in zip(tops, upto[1:])]     # one bucket over cells 0..j
-    cuts = []
+    cuts = []                                         # an array for each bucket, as cells may be many
     for _ in range(1, min(buckets, cells)):
-        nxt, cut, hull, best = cost[:], [-1] * cells, [], 0
+        nxt, cut, hull, best = cost[:], array("q", [-1]) * cells, [], 0
         for j in range(1, cells):
             line = (-upto[j], cost[j - 1], j - 1)
             while len(hull) > 1 and _is_above(hull[-2], hull[-1], line):
@@ -88,7 +93,7 @@ def _is_above(a: tuple, b: tuple, c: tuple) -> bool:
 
 
 def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 65_536, id_col: str = "doc_id", text_col: str = "text",
-         length: Column | None = None) -> DataFrame:
+         length: Column | None = None, cell: Callable[[Column], Column] | None = None) -> DataFrame:
     """``doc_id, n_tokens, bucket, bucket_tokens, batch, slot`` for every row.
 
     ``bucket_tokens`` is the padded length, ``batch`` counts from 0 inside the
@@ -97,10 +102,12 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 65_536, id_col:
     # Texts are counted once; these narrow rows are read again by every step.
     rows = stage_table(docs.select(F.col(id_col).alias("doc_id"), (word_count(text) if length is None else length).alias("n_tokens"),
                                    F.crc32(text.cast("binary")).alias("crc")), "lengths")
-    lengths = rows.groupBy("n_tokens").agg(F.count("*").alias("n"))
-    cell = F.col("n_tokens") if lengths.limit(MAX_LENGTHS + 1).count() <= MAX_LENGTHS else length_cell(F.col("n_tokens"))
-    cells = (lengths.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"), F.max("n_tokens").alias("top"))
-             .orderBy("cell").collect())  # MAX_LENGTHS or EXACT + 63 * PER_OCTAVE rows at most
+    n_tokens = F.col("n_tokens")
+    # One row for each distinct length (or cell): the square root of twice the tokens at most.
+    cells = (rows.groupBy((n_tokens if cell is None else cell(n_tokens)).alias("cell")).agg(F.count("*").alias("n"), F.max("n_tokens").alias("top"))
+             .orderBy("cell").collect())
+    if len(cells) > MAX_LENGTHS:
+        warnings.warn(f"{len(cells)} distinct lengths are read by the driver; cell=length_cell bounds them", stacklevel=2)
     bounds = choose_boundaries([r["top"] for r in cells], [r["n"] for r in cells], buckets) if cells else [0]
     bucket = sum((F.when(F.col("n_tokens") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))
     keyed = rows.withColumns({"bucket": bucket.cast("int"), "mixed": F.xxhash64("doc_id", "crc")})

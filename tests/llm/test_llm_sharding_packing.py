@@ -2,6 +2,7 @@ import itertools
 import random
 import zlib
 
+import pytest
 from llm_data import EDGE_TEXTS, docs_df, space_words
 from pyspark.sql import functions as F
 
@@ -103,3 +104,18 @@ def test_packing_invariants(spark):
     for bucket in {b for b, _ in batches}:
         numbers = sorted(n for b, n in batches if b == bucket)
         assert numbers == list(range(len(numbers)))
+
+
+def test_boundaries_do_not_depend_on_the_number_of_lengths(spark, monkeypatch):
+    """Exact at any size; cells only if the caller asks for them."""
+    lengths = [*range(8192, 8392), 9000, 9001]
+    docs = spark.createDataFrame([(i, "x", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+
+    def rows(**options):
+        return sorted(map(tuple, packing.pack(docs, buckets=202, length=F.col("n"), **options).collect()))
+    exact = rows()
+    assert [r[3] for r in exact] == lengths          # a bucket for each length: no padding
+    assert sum(r[3] for r in rows(cell=packing.length_cell)) > sum(lengths)
+    monkeypatch.setattr(packing, "MAX_LENGTHS", 10)
+    with pytest.warns(UserWarning, match="202 distinct lengths"):
+        assert rows() == exact
