@@ -28,7 +28,7 @@ from ..functions.headers import norm_header
 from ..functions.text import SOURCE_NA_TOKENS, has_text
 from ..operators.classify import config_tokens
 from ..schema import FILE, FILE_SEQ, HAS, KIND, PATH, ROW, SHEET, SHEET_COLUMNS, SHEET_SEQ
-from ..session import ship_package
+from ..session import ship_package, stage_table
 
 NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RNS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -36,6 +36,9 @@ PKG = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 CELLS_SCHEMA = "sheet_name string, sheet_seq int, row_idx int, col_idx int, kind string, text string"
 # Built-in number formats that show dates/times.
 DATE_FORMAT_IDS = frozenset(list(range(14, 23)) + [45, 46, 47])
+#: Cells that one task puts together into rows, and row positions dealt at once.
+CELLS_PER_TASK = 1 << 18
+ROWS_PER_BLOCK = 1 << 12
 EXCEL_EPOCH = _dt.datetime(1899, 12, 30)
 
 
@@ -215,38 +218,55 @@ def mapped_rows(cells: DataFrame, sheet_rules: DataFrame, columns: list[str], cf
     """
     from pyspark.sql import Window
 
-    rules = sheet_rules.select("sheet_name", "header_row", F.col("sheet_seq").alias("cfg_sheet_seq"))
+    # A configuration's sheets, few rows: a join by name would send every cell of one
+    # sheet name to one task.
+    rules = F.broadcast(sheet_rules.select("sheet_name", "header_row", F.col("sheet_seq").alias("cfg_sheet_seq")))
     sheet = ["file_path", "sheet_name"]
     na = (F.col("kind") == "s") & F.col("text").isin(*SOURCE_NA_TOKENS)
     sel = cells.join(rules, "sheet_name").filter(F.col("row_idx") >= F.col("header_row")).withColumns({
         "text": F.when(~F.coalesce(na, F.lit(False)), F.col("text")), "kind": F.when(~F.coalesce(na, F.lit(False)), F.col("kind"))})
     # Column slots: every column with a header or a value (at most 16,384 per sheet).
-    head = sel.groupBy(*sheet, "col_idx").agg(F.max(F.when(F.col("row_idx") == F.col("header_row"), F.col("text"))).alias("h"))
+    # Numbers are folded by hash before the shuffle; texts, which need a sort, only
+    # where few: in header cells and one row a column. Written, as tables of their
+    # real size, so that joins with them are planned by it.
+    found = ["header_row", "cfg_sheet_seq", "file_name", "file_seq"]
+    slots = sel.groupBy(*sheet, *found, "col_idx").agg(F.max("row_idx").alias("last"), F.count("*").alias("n"))
+    titles = sel.filter(F.col("row_idx") == F.col("header_row")).groupBy(*sheet, "col_idx").agg(F.max("text").alias("h"))
+    slots = stage_table(slots.unionByName(titles, allowMissingColumns=True), "slots")
+    head = slots.groupBy(*sheet, "col_idx").agg(F.max("h").alias("h"))
     head = head.withColumn("raw", F.coalesce("h", F.concat(F.lit("Unnamed: "), F.col("col_idx").cast("string"))))
     k = F.row_number().over(Window.partitionBy(*sheet, "raw").orderBy("col_idx")) - 1
-    head = head.withColumn("__k", k).select(
+    head = stage_table(head.withColumn("__k", k).select(
         *sheet, "col_idx",
         norm_header(F.when(F.col("__k") > 0, F.concat(F.col("raw"), F.lit("."), F.col("__k").cast("string")))
-                    .otherwise(F.col("raw"))).alias("col_name"))
+                    .otherwise(F.col("raw"))).alias("col_name")), "head")
     shown = head.groupBy(*sheet).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("col_idx", "col_name"))), lambda c: c["col_name"]), 1, 40).alias("names"))
-
+    sheets = stage_table(slots.filter("n is not null").groupBy(*sheet, "header_row", "cfg_sheet_seq").agg(
+        F.max("last").alias("last"), F.first("file_name").alias("file_name"), F.first("file_seq").alias("file_seq"), F.sum("n").alias("n"))
+        .join(shown, sheet), "sheets")
+
+    # Rows are put together by a sort, whose memory is that of the task's cells, and
+    # cells compress too well for a size in bytes to bound it: a task has a number of
+    # cells, however many there are.
+    size = sheets.agg(F.sum(F.col("n") + F.col("last") - F.col("header_row")).alias("n")).first()["n"] or 0
+    parts = 1 + size // CELLS_PER_TASK
     keys = [*sheet, "row_idx"]
     tokens = config_tokens(cfg or {})
-    body = sel.filter(F.col("row_idx") > F.col("header_row")).join(head, [*sheet, "col_idx"])
+    body = sel.filter(F.col("row_idx") > F.col("header_row")).join(head, [*sheet, "col_idx"]).select(*keys, "col_idx", "col_name", "text", "kind")
+    # Every row position up to the sheet's last non-empty row, dealt in blocks, as a
+    # cell without a column.
+    span = (sheets.filter(F.col("last") > F.col("header_row")).select(*sheet, "last", F.explode(F.expr(f"sequence(header_row + 1L, cast(last AS bigint), {ROWS_PER_BLOCK}L)")).alias("low"))
+            .repartition(parts, *sheet, "low"))
+    grid = span.select(*sheet, F.explode(F.expr(f"sequence(low, least(low + {ROWS_PER_BLOCK - 1}L, cast(last AS bigint)))")).alias("row_idx"))
+    grid = grid.withColumn("row_idx", F.col("row_idx").cast(cells.schema["row_idx"].dataType))
+    body = grid.unionByName(body, allowMissingColumns=True).repartition(parts, *keys)
     filled = F.col("text").isNotNull()
     name = F.col("col_name")
     # A column repeats under one name: the first non-empty cell by position.
     picks = [F.min_by(F.struct("text", "kind"), F.when(filled & (name == c), F.col("col_idx"))).alias(f"v{i}") for i, c in enumerate(columns)]
     flags = [F.bool_or(name.contains(t) & has_text(F.col("text"))).alias(f"t{i}") for i, t in enumerate(tokens)]
     wide = body.groupBy(*keys).agg(*picks, *flags) if picks or flags else body.select(*keys).distinct()
-    # Every row position up to the sheet's last non-empty row (a sheet has at
-    # most 1,048,576 rows, so one sheet's range is bounded).
-    last = sel.groupBy(*sheet, "header_row", "cfg_sheet_seq").agg(
-        F.max("row_idx").alias("last"), F.first("file_name").alias("file_name"), F.first("file_seq").alias("file_seq")).join(shown, sheet)
-    grid = last.filter(F.col("last") > F.col("header_row")).select(
-        *sheet, "header_row", "cfg_sheet_seq", "file_name", "file_seq", "names",
-        F.explode(F.sequence(F.col("header_row") + 1, F.col("last"))).alias("row_idx"))
-    rows = grid.join(wide, keys, "left")
+    rows = wide.join(sheets.drop("n"), sheet).filter((F.col("row_idx") > F.col("header_row")) & (F.col("row_idx") <= F.col("last")))
     return rows.select(
         F.col("file_path").alias(PATH), F.col("file_name").alias(FILE), F.col("file_seq").alias(FILE_SEQ), F.col("sheet_name").alias(SHEET),
         F.col("cfg_sheet_seq").alias(SHEET_SEQ), (F.col("row_idx") - F.col("header_row") - 1).alias(ROW), F.col("names").alias(SHEET_COLUMNS),

@@ -160,3 +160,21 @@ def test_missing_key_sample_of_two_sheets(spark):
     rows = canonical_rows(feed, cfg, normalize=False, keep=probe_columns(feed))
     got = [(r.sheet, r.row_idx, r.sample_rank, list(r.cols_first40), r.probe_model) for r in missing_key_sample(rows, []).orderBy("sample_rank").collect()]
     assert got == [("S1", 0, 1, ["zeta", "model"], "m1"), ("S2", 0, 2, ["model", "alpha"], "m2")]
+
+
+def test_mapped_rows_by_tasks_of_so_many_cells(spark, monkeypatch):
+    """Cells are not dealt by sheet name; the tasks that put rows together
+    grow in number with the cells; positions in blocks are the same positions."""
+    from feedloom.sources import xlsx
+
+    cells = [("DATA", 0, 0, "Item No"), ("DATA", 0, 1, "Width")] + [("DATA", r, c, f"{r}-{c}") for r in range(2, 60, 3) for c in (0, 1)]
+
+    def rows():
+        wide = _wide(spark, cells, ["item_no", "width"])
+        return sorted((r._src_row, r.item_no, r.width) for r in wide.collect()), wide._jdf.queryExecution().executedPlan().toString()
+    few, _ = rows()
+    monkeypatch.setattr(xlsx, "CELLS_PER_TASK", 20)
+    monkeypatch.setattr(xlsx, "ROWS_PER_BLOCK", 7)
+    many, plan = rows()
+    assert many == few == [(r - 1, f"{r}-0" if r % 3 == 2 else None, f"{r}-1" if r % 3 == 2 else None) for r in range(1, 60)]
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(sheet_name" not in plan
