@@ -28,6 +28,8 @@ from .ids import global_index
 INLINE_RULES = 2000
 #: Rows of a rule table that a join sends to every executor.
 BROADCAST_ROWS = 1 << 16
+#: Texts whose grams one task looks up.
+TEXTS_PER_TASK = 1 << 17
 
 
 def grams(text: Column, n: int | Column) -> Column:
@@ -60,7 +62,9 @@ def first_substring(texts: DataFrame, text: str, rules: DataFrame, order: list[s
     def beside(df: DataFrame, rows: int) -> DataFrame:
         return df.hint("broadcast" if rows <= BROADCAST_ROWS else "merge")
 
-    distinct = texts.filter(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct()
+    distinct = stage_table(texts.filter(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct(), "texts")
+    # A text has many grams: tasks are bounded by texts, not by their compressed bytes.
+    distinct = distinct.repartition(1 + distinct.count() // TEXTS_PER_TASK, "text")
     filed = stage_table(filed_patterns(rules, order), "patterns")
     sizes = {r["n"]: r["count"] for r in filed.groupBy("n").count().collect()}  # one row for each power of two
     hits = distinct.select("text", F.lit(None).cast("long").alias("place")).limit(0)
