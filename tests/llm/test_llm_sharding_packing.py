@@ -119,3 +119,14 @@ def test_boundaries_do_not_depend_on_the_number_of_lengths(spark, monkeypatch):
     monkeypatch.setattr(packing, "MAX_LENGTHS", 10)
     with pytest.warns(UserWarning, match="202 distinct lengths"):
         assert rows() == exact
+
+
+def test_pipeline_packs_by_exact_lengths(spark, monkeypatch):
+    """The pipeline's last stage, with more distinct lengths than MAX_LENGTHS."""
+    import corpus_pipeline
+
+    docs = docs_df(spark, [(i, "w " * n) for i, n in enumerate([*range(300, 312), 1000, 1001, 5000, 5001])])
+    monkeypatch.setattr(packing, "MAX_LENGTHS", 3)
+    with pytest.warns(UserWarning, match="16 distinct lengths"):
+        got = corpus_pipeline.pack(spark, docs, "").collect()
+    assert all(r["bucket_tokens"] == r["n_tokens"] for r in got) and len(got) == 16
