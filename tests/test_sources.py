@@ -178,3 +178,18 @@ def test_mapped_rows_by_tasks_of_so_many_cells(spark, monkeypatch):
     many, plan = rows()
     assert many == few == [(r - 1, f"{r}-0" if r % 3 == 2 else None, f"{r}-1" if r % 3 == 2 else None) for r in range(1, 60)]
     assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(sheet_name" not in plan
+
+
+def test_sheet_queries_make_no_large_task(spark, monkeypatch, tmp_path):
+    """sheet_scan over several files, rows put together by many tasks."""
+    from feedloom.plans import catalog
+    from feedloom.sources import xlsx
+
+    spark.range(1, 90).selectExpr("id AS p_partkey", "'Brand#12' AS p_brand", "concat('part ', id) AS p_name", "'TIN' AS p_type", "cast(id % 50 AS int) AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(catalog, "SHEET_ROWS", 16)
+    found = []
+    for n in (1 << 18, 30):
+        monkeypatch.setattr(xlsx, "CELLS_PER_TASK", n)
+        monkeypatch.setattr(xlsx, "ROWS_PER_BLOCK", 5)
+        found.append(sorted(map(str, catalog.REGISTRY["sheet_scan"](spark, str(tmp_path)).collect())))
+    assert found[0] == found[1] and len(found[0]) == 89
