@@ -81,3 +81,17 @@ def test_whole_runs_over_a_folder(spark, tmp_path, monkeypatch):
     assert core == {"A": (1, 5.0), "B": (2, None), "D": (3, 4.0)}
     assert [r["field"] for r in spark.read.option("header", True).csv(f"{root}/logs/run=s1/conversions").collect()] == ["wholesale_price"]
     assert set(run("s3")) == {"other.csv"} and S.versions(spark, root)[-1] == 2
+
+
+def test_run_over_files_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A whole run whose rows are put together by tasks of a few cells."""
+    from feedloom.sources import xlsx
+
+    monkeypatch.setattr(xlsx, "CELLS_PER_TASK", 25)
+    monkeypatch.setattr(xlsx, "ROWS_PER_BLOCK", 4)
+    for k in range(3):
+        _put(f"{tmp_path}/in/acme_{k}.csv", "Item No,Price\n" + "".join(f"P{k}-{i},{i}\n" if i % 5 else ",\n" for i in range(20)))
+    report = run_folder(spark, f"{tmp_path}/in", [CFG], f"{tmp_path}/root", f"{tmp_path}/archive", f"{tmp_path}/error", "s1", source=ingest_delimited).collect()
+    assert [(r.status, r.rows_total, r.rows_upserted) for r in report] == [("ok", 20, 16)] * 3
+    core = S.read_snapshot(spark, f"{tmp_path}/root")["core"].collect()
+    assert sorted((r.inventory_partno, r.wholesale_price) for r in core) == sorted((f"P{k}-{i}", float(i)) for k in range(3) for i in range(20) if i % 5)
